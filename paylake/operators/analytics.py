@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 
 from paylake.functions.numeric import rate_pct_half_up
 
-_SUCCESS = F.col("status") == "SUCCESS"
+
+def _success():
+    return F.col("status") == "SUCCESS"
 
 
 def q1_daily_gtv(fact: DataFrame) -> DataFrame:
     """Daily gross transaction value and volume, by day ascending."""
     agg = fact.groupBy("transaction_date").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.count_if(_SUCCESS).alias("successful_transactions"),
-        F.round(F.sum(F.when(_SUCCESS, F.col("amount")).otherwise(F.lit(0.0))), 2)
+        F.count_if(_success()).alias("successful_transactions"),
+        F.round(F.sum(F.when(_success(), F.col("amount")).otherwise(F.lit(0.0))), 2)
         .alias("total_gtv_idr"))
     return (agg.withColumn("overall_success_rate_pct",
                            rate_pct_half_up(F.col("successful_transactions"),
@@ -37,7 +39,7 @@ def q2_category_ranking(fact: DataFrame, dim_merchants: DataFrame) -> DataFrame:
     """
     per_merchant = fact.groupBy("merchant_id").agg(
         F.count("transaction_id").alias("_n"),
-        F.sum(F.when(_SUCCESS, F.col("amount")).otherwise(F.lit(0.0))).alias("_v"))
+        F.sum(F.when(_success(), F.col("amount")).otherwise(F.lit(0.0))).alias("_v"))
     per_cat = (per_merchant.join(dim_merchants.select("merchant_id", "merchant_category"),
                                  "merchant_id")
                .groupBy("merchant_category")
@@ -79,7 +81,7 @@ def q4_top_users(fact: DataFrame, dim_users: DataFrame, k: int = 10) -> DataFram
     shuffles only the dimension; the final sort+limit runs as a bounded
     top-k per partition (TakeOrderedAndProject), never a global sort.
     """
-    per_user = (fact.filter(_SUCCESS)
+    per_user = (fact.filter(_success())
                 .groupBy("user_id")
                 .agg(F.count("transaction_id").alias("total_transactions"),
                      F.sum("amount").alias("_spent")))

@@ -19,18 +19,28 @@ from paylake.schemas import ORD
 CRITICAL = ["transaction_id", "user_id", "amount", "status"]
 
 
-def day_slice(raw: DataFrame, start, end=None) -> DataFrame:
-    """keep rows whose parsed timestamp falls in [start, end).
-
-    ``end`` defaults to ``start + 1 day`` (the reference's single target
-    day).  Unparsable timestamps fall out.  Written as a half-open range on
-    the parsed value, not as a comparison of formatted text.
+def between_days(raw: DataFrame, start=None, end=None) -> DataFrame:
+    """F1+F2 over a range: keep rows whose parsed timestamp falls in
+    [start, end); ``None`` leaves that side open.  Rows with unparsable
+    timestamps always fall out.  Written as a half-open range on the parsed
+    value, not as a comparison of formatted text.
     """
-    lo = parse_day(start)
-    hi = parse_day(end) if end is not None else lo + _dt.timedelta(days=1)
+    def at(d):
+        return F.lit(_dt.datetime.combine(d, _dt.time())).cast("timestamp_ntz")
+
     ts = parse_lenient(F.col("timestamp"))
-    return raw.filter((ts >= F.lit(_dt.datetime.combine(lo, _dt.time())).cast("timestamp_ntz"))
-                      & (ts < F.lit(_dt.datetime.combine(hi, _dt.time())).cast("timestamp_ntz")))
+    cond = ts.isNotNull()
+    if start is not None:
+        cond = cond & (ts >= at(parse_day(start)))
+    if end is not None:
+        cond = cond & (ts < at(parse_day(end)))
+    return raw.filter(cond)
+
+
+def day_slice(raw: DataFrame, day) -> DataFrame:
+    """the reference's incremental filter - rows of one target day."""
+    lo = parse_day(day)
+    return between_days(raw, lo, lo + _dt.timedelta(days=1))
 
 
 def dedupe_first(df: DataFrame, key: str = "transaction_id", order: str = ORD) -> DataFrame:
@@ -105,8 +115,10 @@ def cleaning_counters(raw: DataFrame, delta: DataFrame | None = None) -> DataFra
     counts = after.select(F.inline(F.array(
         F.struct(F.lit(3).alias("step_no"), F.lit("dedupe").alias("step"),
                  F.col("after_dedupe").alias("rows")),
-        F.struct(F.lit(4), F.lit("drop_missing"), F.col("after_null_filter")),
-        F.struct(F.lit(5), F.lit("positive_amount"), F.col("after_amount_filter")))))
+        F.struct(F.lit(4).alias("step_no"), F.lit("drop_missing").alias("step"),
+                 F.col("after_null_filter").alias("rows")),
+        F.struct(F.lit(5).alias("step_no"), F.lit("positive_amount").alias("step"),
+                 F.col("after_amount_filter").alias("rows")))))
     read = raw.agg(F.lit(1).alias("step_no"), F.lit("read").alias("step"),
                    F.count(F.lit(1)).alias("rows"))
     batch = delta.agg(F.lit(2).alias("step_no"), F.lit("batch").alias("step"),
