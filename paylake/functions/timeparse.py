@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from paylake.schemas import TIMESTAMP_FORMAT
 
+_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
+
 
 def parse_lenient(text: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """unparsable -> null.  Validity is tested with ``try_to_timestamp``
@@ -38,10 +41,10 @@ def parse_day(day) -> _dt.date:
         return day.date()
     if isinstance(day, _dt.date):
         return day
-    try:
-        return _dt.datetime.strptime(str(day), "%Y-%m-%d").date()
-    except ValueError:
-        raise ValueError(f"target day must be YYYY-MM-DD, got {day!r}") from None
+    text = str(day)
+    if not _DAY.fullmatch(text):
+        raise ValueError(f"target day must be YYYY-MM-DD, got {day!r}")
+    return _dt.date.fromisoformat(text)
 
 
 def yesterday() -> _dt.date:
