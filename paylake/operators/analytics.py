@@ -47,7 +47,7 @@ def q2_category_ranking(fact: DataFrame, dim_merchants: DataFrame) -> DataFrame:
                     F.round(F.sum("_v"), 2).alias("total_volume_idr")))
     # One row per category: the unpartitioned window sees a handful of rows.
     w = Window.orderBy(F.col("total_volume_idr").desc())
-    return (per_cat.withColumn("rank_by_volume", F.dense_rank().over(w))
+    return (per_cat.withColumn("rank_by_volume", F.dense_rank().over(w).cast("long"))
             .orderBy("rank_by_volume", "merchant_category"))
 
 

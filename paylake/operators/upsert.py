@@ -12,13 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (counted).
-
-    Call it on a staged (already materialised) frame so the count is cheap.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+from paylake.operators.joins import bounded_broadcast  # noqa: F401  (re-export)
 
 
 def upsert_replace(target: DataFrame | None, batch: DataFrame, keys: list[str],

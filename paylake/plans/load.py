@@ -12,6 +12,7 @@ cleaning counters are collected with ``observe`` inside that same job.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,7 +37,7 @@ class LoadResult:
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:12]}")  # names must be unique
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 

@@ -67,8 +67,9 @@ TABLES = {
     "dim_users": (DIM_USERS, ["user_id"], None),
     "dim_merchants": (DIM_MERCHANTS, ["merchant_id"], None),
     "fact_transactions": (FACT, ["transaction_id"], "transaction_date"),
-    "daily_merchant_summary": (DAILY_SUMMARY, ["transaction_date", "merchant_category"],
-                               "transaction_date"),
+    # The summary has one row per (day, category): bounded by the calendar
+    # and the category list, not by data volume, so it is not partitioned.
+    "daily_merchant_summary": (DAILY_SUMMARY, ["transaction_date", "merchant_category"], None),
 }
 
 # Fixed values that must equal the reference's.

@@ -4,8 +4,8 @@ The mapping is fixed (see FIXTURES.md section 3).  Everything downstream reads
 this adapter, so every query's work grows with ``lineitem``.
 
 Plan shape: lineitem is joined once with the supplier geography (supplier +
-nation + region, small enough at test scale for Catalyst's own size check to
-broadcast; a sort-merge join beyond it) and once with orders+customer on the
+nation + region; broadcast when the counted supplier rows are under the
+bound, a sort-merge join beyond it) and once with orders+customer on the
 order key.  Orders and customer are joined first, so lineitem is shuffled at
 most twice.  Only the needed columns are read (ReadSchema) and a day filter is
 pushed to the lineitem scan as a conservative range on ``l_shipdate``.
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.functions.timeparse import format_ts
+from paylake.operators.joins import bounded_broadcast
 from paylake.schemas import ORD, RAW_COLUMNS
 
 # Fixed values of the mapping: order priority digit -> payment method.
@@ -97,10 +98,13 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    supp_geo = (supplier
-                .join(nation, supplier.s_nationkey == nation.n_nationkey)
-                .join(region, nation.n_regionkey == region.r_regionkey)
-                .select("s_suppkey", "s_name", "r_name"))
+    # supplier geography has one row per supplier (nation and region are
+    # lookups), so the supplier count bounds it; broadcast it under the bound.
+    supp_geo = bounded_broadcast(
+        supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+        .join(region, nation.n_regionkey == region.r_regionkey)
+        .select("s_suppkey", "s_name", "r_name"),
+        rows=supplier.count())
     order_cust = (orders.join(customer, orders.o_custkey == customer.c_custkey)
                   .select("o_orderkey", "o_custkey", "o_orderpriority", "c_custkey",
                           "c_name", "c_mktsegment"))

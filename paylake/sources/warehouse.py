@@ -9,8 +9,8 @@ so every rewrite first stages the new contents in the shared folder
 
 * dimensions (REPLACE): whole-table rewrite (dimensions are small next to
   the fact);
-* daily summary (REPLACE): only the day partitions present in the batch are
-  rewritten (dynamic partition overwrite), read back with partition pruning;
+* daily summary (REPLACE): one row per (day, category) - bounded by the
+  calendar, not the data - so it is rewritten whole;
 * fact, IGNORE (default): append-only - new ids are appended, nothing is
   rewritten;
 * fact, REPLACE (keep-last): the batch days plus the days holding older
@@ -100,17 +100,26 @@ class Warehouse:
                 self.spark.sql(f"REFRESH TABLE `{self.database}`.`{name}`")
 
     # -- S4: writes -----------------------------------------------------------
+    def _prepare_write(self, name: str, df: DataFrame) -> DataFrame:
+        """Column order of the table; for partitioned tables a rebalance on
+        the partition column, so each day lands in few files instead of one
+        file per task and day.  AQE sizes the rebalance: small days are
+        coalesced, a hot day is split across tasks."""
+        _s, _k, part = TABLES[name]
+        out = df.select(*self._write_order(name))
+        return out.hint("rebalance", part) if part else out
+
     def _overwrite(self, name: str, staged: DataFrame, dynamic: bool) -> None:
         _s, _k, part = TABLES[name]
-        w = staged.select(*self._write_order(name)).write.mode("overwrite")
+        w = self._prepare_write(name, staged).write.mode("overwrite")
         if part:
             w = w.partitionBy(part).option("partitionOverwriteMode",
                                            "dynamic" if dynamic else "static")
         w.parquet(self.path(name))
 
-    def _append(self, name: str, staged: DataFrame) -> None:
+    def _append(self, name: str, df: DataFrame) -> None:
         _s, _k, part = TABLES[name]
-        w = staged.select(*self._write_order(name)).write.mode("append")
+        w = self._prepare_write(name, df).write.mode("append")
         if part:
             w = w.partitionBy(part)
         w.parquet(self.path(name))
@@ -139,15 +148,26 @@ class Warehouse:
         self._overwrite(name, stage(new_parts, self.spark, f"{name}-next"), dynamic=True)
 
     def insert_ignore_table(self, name: str, batch: DataFrame) -> int:
-        """K3: append rows whose key is not stored yet; returns rows added."""
+        """K3: append rows whose key is not stored yet; returns rows added.
+
+        Two steps: ``hits`` - stored keys that the batch also has (the target
+        contributes only its key column, probed against the bounded-broadcast
+        batch keys) - is staged; then the batch minus ``hits`` is appended.
+        The append job never reads the table it writes.  Batch keys are
+        unique (gate rule D1), so rows added = batch rows - hits."""
         _s, keys, _part = TABLES[name]
         current = self.read(name)
-        new_rows = K.insert_ignore(current, batch, keys, self._batch_keys(batch, keys))
-        staged = stage(new_rows, self.spark, f"{name}-new")
-        n = staged.count()
-        if n:
-            self._append(name, staged)
-        return n
+        bk = self._batch_keys(batch, keys)
+        hits = stage(current.select(*keys).join(bk, keys, "left_semi"), self.spark,
+                     f"{name}-hits")
+        n_hits = hits.count()
+        n_batch = batch.count()
+        if n_hits == n_batch:
+            return 0
+        new_rows = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows=n_hits),
+                              keys, "left_anti")
+        self._append(name, new_rows)
+        return n_batch - n_hits
 
     def keep_last_table(self, name: str, batch: DataFrame) -> None:
         """K1 for the partitioned fact: the batch version of an id replaces
