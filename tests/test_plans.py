@@ -57,3 +57,26 @@ def test_insert_ignore_does_not_shuffle_target(spark, tmp_path):
     # the target side is only scanned and probed against the broadcast keys
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
+
+
+def test_supplier_geography_broadcast_is_bounded(spark):
+    import re
+    from paylake.operators.joins import bounded_broadcast
+    df = spark.range(10)
+    assert bounded_broadcast(df, 9) is df
+    assert bounded_broadcast(df, 10) is not df
+    # adapter: the supplier geography is the build side of the suppkey join,
+    # never lineitem
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        raw_transactions(spark, SF001).explain()
+    assert re.search(r"BroadcastHashJoin \[l_suppkey#\d+L\], \[s_suppkey#\d+L\], Inner, "
+                     r"BuildRight", buf.getvalue())
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_path):
+    from paylake.sources.warehouse import Warehouse
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    fact = M.fact_transactions(C.transform(raw_transactions(spark, SF001)))
+    plan = _plan(w._prepare_write("fact_transactions", fact))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
