@@ -60,45 +60,85 @@ def uniqueness(df: DataFrame, key_cols, table: str, rule_no: int = 1) -> DataFra
     return _emit(agg, [(rule_no, "uniqueness", table, ",".join(keys), F.col("v"), F.col("s"))])
 
 
-def completeness(df: DataFrame, required: list[str], table: str, key: str | None = None,
-                 rule_no: int = 1) -> DataFrame:
-    """D2 + D3: every required column present and without nulls (or NaN on
-    floating columns).  An empty table passes, as in the reference."""
+def _completeness_part(df: DataFrame, required: list[str], table: str, key: str | None,
+                       rule_no: int):
     types = {f.name: f.dataType for f in df.schema.fields}
     key = key or required[0]
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    tag = f"_c{rule_no}"
+    aggs = [F.count(F.lit(1)).alias(f"{tag}_rows")]
     specs = []
     for i, c in enumerate(required):
         if c not in types:
             specs.append((rule_no + i, "column_present", table, c,
-                          F.when(F.col("_rows") > 0, F.lit(1)).otherwise(F.lit(0)), F.lit(None)))
+                          F.when(F.col(f"{tag}_rows") > 0, F.lit(1)).otherwise(F.lit(0)),
+                          F.lit(None)))
             continue
         missing = F.col(c).isNull()
         if isinstance(types[c], (T.DoubleType, T.FloatType)):
             missing = missing | F.isnan(F.col(c))
-        aggs.append(F.count_if(missing).alias(f"_v{i}"))
+        aggs.append(F.count_if(missing).alias(f"{tag}_v{i}"))
         if key in types:
-            aggs.append(F.min(F.when(missing, F.col(key))).cast("string").alias(f"_s{i}"))
-            sample = F.col(f"_s{i}")
+            aggs.append(F.min(F.when(missing, F.col(key))).cast("string").alias(f"{tag}_s{i}"))
+            sample = F.col(f"{tag}_s{i}")
         else:
             sample = F.lit(None)
-        specs.append((rule_no + i, "completeness", table, c, F.col(f"_v{i}"), sample))
+        specs.append((rule_no + i, "completeness", table, c, F.col(f"{tag}_v{i}"), sample))
+    return aggs, specs
+
+
+def _validity_part(fact: DataFrame, table: str, rule_no: int):
+    status = F.col("status")
+    bad_status = status.isNotNull() & ~status.isin(*VALID_STATUSES)
+    tag = f"_d{rule_no}"
+    aggs = [F.count_if(F.col("amount") <= 0).alias(f"{tag}_va"),
+            F.min(F.when(F.col("amount") <= 0, F.col("transaction_id"))).alias(f"{tag}_sa"),
+            F.count_if(bad_status).alias(f"{tag}_vs"),
+            F.min(F.when(bad_status, status)).alias(f"{tag}_ss")]
+    specs = [(rule_no, "amount_positive", table, "amount", F.col(f"{tag}_va"), F.col(f"{tag}_sa")),
+             (rule_no + 1, "status_domain", table, "status", F.col(f"{tag}_vs"),
+              F.col(f"{tag}_ss"))]
+    return aggs, specs
+
+
+def _pii_part(users: DataFrame, table: str, rule_no: int):
+    cols = set(users.columns)
+    phone = F.coalesce(F.col("masked_phone"), F.lit("")) if "masked_phone" in cols else F.lit("")
+    name = (F.coalesce(F.col("masked_user_name"), F.lit(""))
+            if "masked_user_name" in cols else F.lit(""))
+    uid = F.col("user_id")
+    unmasked = ~phone.contains(MASK)
+    leak = phone.rlike("(?U)" + RAW_PHONE_PATTERN)
+    bad_name = ~name.contains(MASK)
+    tag = f"_p{rule_no}"
+    aggs = [F.count_if(unmasked).alias(f"{tag}_vp"), F.min(F.when(unmasked, uid)).alias(f"{tag}_sp"),
+            F.count_if(leak).alias(f"{tag}_vl"), F.min(F.when(leak, uid)).alias(f"{tag}_sl"),
+            F.count_if(bad_name).alias(f"{tag}_vn"), F.min(F.when(bad_name, uid)).alias(f"{tag}_sn")]
+    specs = [
+        (rule_no, "pii_phone_masked", table, "masked_phone", F.col(f"{tag}_vp"), F.col(f"{tag}_sp")),
+        (rule_no + 1, "pii_phone_raw", table, "masked_phone", F.col(f"{tag}_vl"), F.col(f"{tag}_sl")),
+        (rule_no + 2, "pii_name_masked", table, "masked_user_name", F.col(f"{tag}_vn"),
+         F.col(f"{tag}_sn")),
+    ]
+    return aggs, specs
+
+
+def _one_pass(df: DataFrame, *parts) -> DataFrame:
+    """Several column rules over one table as a single aggregate pass."""
+    aggs = [a for p in parts for a in p[0]]
+    specs = [sp for p in parts for sp in p[1]]
     return _emit(df.agg(*aggs), specs)
 
 
+def completeness(df: DataFrame, required: list[str], table: str, key: str | None = None,
+                 rule_no: int = 1) -> DataFrame:
+    """D2 + D3: every required column present and without nulls (or NaN on
+    floating columns).  An empty table passes, as in the reference."""
+    return _one_pass(df, _completeness_part(df, required, table, key, rule_no))
+
+
 def validity(fact: DataFrame, table: str = "fact_transactions", rule_no: int = 1) -> DataFrame:
     """D4 + D5: ``amount <= 0`` rows; non-null status outside the domain."""
-    status = F.col("status")
-    bad_status = status.isNotNull() & ~status.isin(*VALID_STATUSES)
-    agg = fact.agg(
-        F.count_if(F.col("amount") <= 0).alias("_va"),
-        F.min(F.when(F.col("amount") <= 0, F.col("transaction_id"))).alias("_sa"),
-        F.count_if(bad_status).alias("_vs"),
-        F.min(F.when(bad_status, status)).alias("_ss"))
-    return _emit(agg, [
-        (rule_no, "amount_positive", table, "amount", F.col("_va"), F.col("_sa")),
-        (rule_no + 1, "status_domain", table, "status", F.col("_vs"), F.col("_ss")),
-    ])
+    return _one_pass(fact, _validity_part(fact, table, rule_no))
 
 
 def invalid_statuses(fact: DataFrame) -> DataFrame:
@@ -113,23 +153,7 @@ def pii(users: DataFrame, table: str = "dim_users", rule_no: int = 1) -> DataFra
 
     A missing cell fails the mask test (the reference turns it into text).
     """
-    cols = set(users.columns)
-    phone = F.coalesce(F.col("masked_phone"), F.lit("")) if "masked_phone" in cols else F.lit("")
-    name = (F.coalesce(F.col("masked_user_name"), F.lit(""))
-            if "masked_user_name" in cols else F.lit(""))
-    uid = F.col("user_id")
-    unmasked = ~phone.contains(MASK)
-    leak = phone.rlike("(?U)" + RAW_PHONE_PATTERN)
-    bad_name = ~name.contains(MASK)
-    agg = users.agg(
-        F.count_if(unmasked).alias("_vp"), F.min(F.when(unmasked, uid)).alias("_sp"),
-        F.count_if(leak).alias("_vl"), F.min(F.when(leak, uid)).alias("_sl"),
-        F.count_if(bad_name).alias("_vn"), F.min(F.when(bad_name, uid)).alias("_sn"))
-    return _emit(agg, [
-        (rule_no, "pii_phone_masked", table, "masked_phone", F.col("_vp"), F.col("_sp")),
-        (rule_no + 1, "pii_phone_raw", table, "masked_phone", F.col("_vl"), F.col("_sl")),
-        (rule_no + 2, "pii_name_masked", table, "masked_user_name", F.col("_vn"), F.col("_sn")),
-    ])
+    return _one_pass(users, _pii_part(users, table, rule_no))
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, table: str = "fact_transactions",
@@ -159,11 +183,15 @@ def report(dim_users: DataFrame, dim_merchants: DataFrame, fact: DataFrame,
         uniqueness(dim_users, "user_id", "dim_users", 1),
         uniqueness(dim_merchants, "merchant_id", "dim_merchants", 2),
         uniqueness(fact, "transaction_id", "fact_transactions", 3),
-        completeness(dim_users, USER_REQUIRED, "dim_users", "user_id", 4),
+        # one aggregate pass per table for all column rules
+        _one_pass(dim_users,
+                  _completeness_part(dim_users, USER_REQUIRED, "dim_users", "user_id", 4),
+                  _pii_part(dim_users, "dim_users", 17)),
         completeness(dim_merchants, MERCHANT_REQUIRED, "dim_merchants", "merchant_id", 7),
-        completeness(fact, FACT_REQUIRED, "fact_transactions", "transaction_id", 10),
-        validity(fact, "fact_transactions", 15),
-        pii(dim_users, "dim_users", 17),
+        _one_pass(fact,
+                  _completeness_part(fact, FACT_REQUIRED, "fact_transactions",
+                                     "transaction_id", 10),
+                  _validity_part(fact, "fact_transactions", 15)),
     ]
     if summary is not None:
         parts.append(uniqueness(summary, ["transaction_date", "merchant_category"],

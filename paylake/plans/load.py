@@ -1,7 +1,7 @@
 """Load jobs: full load (L1) and incremental load of a day or range (L2).
 
-    raw -> [day filter] -> clean + mask  --stage-->  star schema
-        -> quality gate (raises before any write) -> upserts -> counters
+    raw -> [day filter] -> clean + mask  --stage-->  star schema --stage-->
+        quality gate (raises before any warehouse write) -> upserts
 
 The cleaned batch is staged once as Parquet in the shared folder: it feeds
 four model tables and the gate, so the scan/join/dedupe work runs once and a
@@ -78,19 +78,19 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
 
     staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt)
     result = LoadResult(counters=counters)
-    if counters.get("positive_amount", 0) == 0:
+    if staged.count() == 0:  # Parquet footers only
         return result  # nothing to load: the reference's no-op
 
+    # The small model tables are staged first (they are aggregates of the
+    # cleaned batch); the gate then reads the staged copies, and the upserts
+    # count and join them without recomputing the aggregations.
     tables = M.star_schema(staged)
-    result.report = DQ.validate_all(tables["dim_users"], tables["dim_merchants"],
-                                    tables["fact_transactions"], tables["daily_merchant_summary"],
-                                    check_orphans=check_orphans)
-
-    # Small model tables are staged before the upserts count and join them.
     users = stage(tables["dim_users"], spark, "dim_users-batch")
     merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch")
     summary = stage(tables["daily_merchant_summary"], spark, "summary-batch")
     fact = tables["fact_transactions"]
+    result.report = DQ.validate_all(users, merchants, fact, summary,
+                                    check_orphans=check_orphans)
 
     warehouse.upsert_replace_table("dim_users", users)
     warehouse.upsert_replace_table("dim_merchants", merchants)

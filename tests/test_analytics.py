@@ -52,3 +52,22 @@ def test_q4_counts_successful_rows_only(spark):
                     ("U1", "B**** P****", "0812****7890", 1, 100.0)]
     plan = Q.q4_top_users(m["fact_transactions"], m["dim_users"])._jdf.queryExecution().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_sql_form_equals_dataframe_form(spark):
+    from conftest import SF001
+    from paylake.operators import analytics_sql as S
+    from paylake.sources.testdata import raw_transactions
+    m = M.star_schema(C.transform(raw_transactions(spark, SF001)))
+    fact, users, merchants = m["fact_transactions"], m["dim_users"], m["dim_merchants"]
+    S.register_views(fact, users, merchants)
+    frames = {"q1_daily_gtv": Q.q1_daily_gtv(fact),
+              "q2_category_ranking": Q.q2_category_ranking(fact, merchants),
+              "q3_payment_health": Q.q3_payment_health(fact),
+              "q3b_payment_rate": Q.q3b_payment_rate(fact),
+              "q4_top_users": Q.q4_top_users(fact, users)}
+    for name, df in frames.items():
+        sql_df = S.run(spark, name)
+        assert sql_df.columns == df.columns, name
+        assert [f.dataType for f in sql_df.schema] == [f.dataType for f in df.schema], name
+        assert [tuple(r) for r in sql_df.collect()] == [tuple(r) for r in df.collect()], name
