@@ -26,7 +26,8 @@ def between_days(raw: DataFrame, start=None, end=None) -> DataFrame:
     value, not as a comparison of formatted text.
     """
     def at(d):
-        return F.lit(_dt.datetime.combine(d, _dt.time())).cast("timestamp_ntz")
+        # wall-clock literal from text: independent of driver and session zones
+        return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
 
     ts = parse_lenient(F.col("timestamp"))
     cond = ts.isNotNull()

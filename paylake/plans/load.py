@@ -22,7 +22,7 @@ from paylake.functions.timeparse import parse_day, yesterday
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
-from paylake.session import stage
+from paylake.session import drop_staged, stage
 from paylake.sources.warehouse import Warehouse
 
 FACT_MODES = ("ignore", "replace")
@@ -43,7 +43,7 @@ def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
             strict_timestamps: bool = True, min_digits: int = 7,
-            salt: str | None = None) -> tuple[DataFrame, dict]:
+            salt: str | None = None, scope: list | None = None) -> tuple[DataFrame, dict]:
     """Filter, clean, mask and stage one batch; return (staged, counters)."""
     batch = raw if start is None and end is None else C.between_days(raw, start, end)
     batch, o_batch = _count(batch, "batch")
@@ -51,7 +51,7 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
     complete, o_null = _count(C.drop_incomplete(deduped), "drop_missing")
     positive, o_amount = _count(C.positive_amount(complete), "positive_amount")
     cleaned = C.mask_pii(C.standardise(positive, strict_timestamps), min_digits, salt)
-    staged = stage(cleaned, spark, "clean")
+    staged = stage(cleaned, spark, "clean", scope)
     named = {"batch": o_batch, "dedupe": o_dedupe, "drop_missing": o_null,
              "positive_amount": o_amount}
     counters = {k: o.get.get("rows", 0) for k, o in named.items()}
@@ -76,7 +76,18 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     elif start is None and end is None:
         raise ValueError("give day=, start=/end= or full=True")
 
-    staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt)
+    scope: list = []
+    try:
+        return _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
+                     min_digits, salt, check_orphans, scope)
+    finally:
+        drop_staged(spark, scope)  # the batch copies; the warehouse drops its own
+
+
+def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits, salt,
+          check_orphans, scope) -> LoadResult:
+    staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt,
+                               scope)
     result = LoadResult(counters=counters)
     if staged.count() == 0:  # Parquet footers only
         return result  # nothing to load: the reference's no-op
@@ -85,9 +96,9 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     # cleaned batch); the gate then reads the staged copies, and the upserts
     # count and join them without recomputing the aggregations.
     tables = M.star_schema(staged)
-    users = stage(tables["dim_users"], spark, "dim_users-batch")
-    merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch")
-    summary = stage(tables["daily_merchant_summary"], spark, "summary-batch")
+    users = stage(tables["dim_users"], spark, "dim_users-batch", scope)
+    merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch", scope)
+    summary = stage(tables["daily_merchant_summary"], spark, "summary-batch", scope)
     fact = tables["fact_transactions"]
     result.report = DQ.validate_all(users, merchants, fact, summary,
                                     check_orphans=check_orphans)

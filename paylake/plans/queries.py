@@ -207,8 +207,15 @@ def insert_ignore(spark, sf_dir):
 
 
 def full_load_daily(spark, sf_dir):
-    """L1: the summary table a full load writes into an empty warehouse."""
-    return _model(spark, sf_dir)["daily_merchant_summary"]
+    """L1: the summary table a full load writes into an empty warehouse.
+
+    As in the load job, the quality gate runs first (it collects one row per
+    rule) and raises if any rule fails; only then is the summary returned.
+    """
+    m = _model(spark, sf_dir)
+    DQ.validate_all(m["dim_users"], m["dim_merchants"], m["fact_transactions"],
+                    m["daily_merchant_summary"])
+    return m["daily_merchant_summary"]
 
 
 def incremental_replay(spark, sf_dir):

@@ -71,19 +71,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/paylake-stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df, spark: SparkSession, name: str):
+def stage(df, spark: SparkSession, name: str, scope: list | None = None):
     """Cut lineage by writing ``df`` as Parquet in the shared folder.
 
     Used where a result is read several times (the cleaned batch) or where a
     table must be rewritten from its own contents (upserts).  Parquet keeps
     column pruning and predicate pushdown on every re-read, unlike an RDD
-    checkpoint, and survives executor loss.
+    checkpoint, and survives executor loss.  The path is appended to
+    ``scope`` so the caller can drop it when done (``drop_staged``).
     """
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
+    if scope is not None:
+        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, paths: list) -> None:
+    """Delete staged copies through the Hadoop file system of each path
+    (works for HDFS, object stores and local files alike)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(conf).delete(p, True)
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 

@@ -87,10 +87,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
         "l_returnflag", "l_linestatus", "l_shipdate")
     if start is not None:
         lo = _as_date(start) - _dt.timedelta(days=1)
-        li = li.filter(F.col("l_shipdate") >= F.lit(_dt.datetime.combine(lo, _dt.time())))
+        li = li.filter(F.col("l_shipdate") >= _wall(lo))
     if end is not None:
         hi = _as_date(end)
-        li = li.filter(F.col("l_shipdate") < F.lit(_dt.datetime.combine(hi, _dt.time())))
+        li = li.filter(F.col("l_shipdate") < _wall(hi))
 
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -132,6 +132,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
     return raw.select(*RAW_COLUMNS, ORD)
 
 
+def _wall(d: _dt.date):
+    """Midnight of ``d`` as a timestamp_ntz literal (zone-independent)."""
+    return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def _as_date(d) -> _dt.date:
     if isinstance(d, _dt.datetime):
         return d.date()

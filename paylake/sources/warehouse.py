@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
-from paylake.session import stage
+from paylake.session import drop_staged, stage
 
 # Batches with at most this many keys are broadcast into the upsert joins
 # (counted on the staged batch); larger batches use shuffle joins.
@@ -136,16 +136,22 @@ class Warehouse:
         _s, keys, part = TABLES[name]
         current = self.read(name)
         bk = self._batch_keys(batch, keys)
+        staged: list = []
         if part is None:
             new_state = K.upsert_replace(current, batch, keys, bk)
-            self._overwrite(name, stage(new_state, self.spark, f"{name}-next"), dynamic=False)
-            return
-        days = self._days(batch)
-        if not days:
-            return
-        touched = current.filter(F.col(part).isin(days))
-        new_parts = K.upsert_replace(touched, batch, keys, bk)
-        self._overwrite(name, stage(new_parts, self.spark, f"{name}-next"), dynamic=True)
+            self._overwrite(name, stage(new_state, self.spark, f"{name}-next", staged),
+                            dynamic=False)
+        else:
+            days = self._days(batch)
+            if not days:
+                return
+            touched = current.filter(F.col(part).isin(days))
+            new_parts = K.upsert_replace(touched, batch, keys, bk)
+            self._overwrite(name, stage(new_parts, self.spark, f"{name}-next", staged),
+                            dynamic=True)
+        # only after a successful overwrite: until then the staged copy is the
+        # one complete version of the new table state
+        drop_staged(self.spark, staged)
 
     def insert_ignore_table(self, name: str, batch: DataFrame) -> int:
         """K3: append rows whose key is not stored yet; returns rows added.
@@ -158,15 +164,16 @@ class Warehouse:
         _s, keys, _part = TABLES[name]
         current = self.read(name)
         bk = self._batch_keys(batch, keys)
+        staged: list = []
         hits = stage(current.select(*keys).join(bk, keys, "left_semi"), self.spark,
-                     f"{name}-hits")
+                     f"{name}-hits", staged)
         n_hits = hits.count()
         n_batch = batch.count()
-        if n_hits == n_batch:
-            return 0
-        new_rows = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows=n_hits),
-                              keys, "left_anti")
-        self._append(name, new_rows)
+        if n_hits < n_batch:
+            new_rows = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows=n_hits),
+                                  keys, "left_anti")
+            self._append(name, new_rows)
+        drop_staged(self.spark, staged)
         return n_batch - n_hits
 
     def keep_last_table(self, name: str, batch: DataFrame) -> None:
@@ -181,4 +188,7 @@ class Warehouse:
             return
         touched = current.filter(F.col(part).isin(days))
         new_parts = K.upsert_replace(touched, batch, keys, bk)
-        self._overwrite(name, stage(new_parts, self.spark, f"{name}-next"), dynamic=True)
+        staged: list = []
+        self._overwrite(name, stage(new_parts, self.spark, f"{name}-next", staged),
+                        dynamic=True)
+        drop_staged(self.spark, staged)

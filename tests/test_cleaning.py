@@ -84,3 +84,19 @@ def test_day_prefilter_is_pushed_to_scan(spark):
     raw = raw_transactions(spark, SF001, "1998-07-01", "1998-07-02")
     plan = C.day_slice(raw, "1998-07-01")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    raw = raw_transactions(spark, SF001, "1998-07-01", "1998-07-03")
+
+    def run():
+        out = C.clean(C.between_days(raw, "1998-07-01", "1998-07-03"))
+        return sorted((r["transaction_id"], r["timestamp"], r["transaction_date"])
+                      for r in out.collect())
+
+    utc = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert run() == utc and len(utc) > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

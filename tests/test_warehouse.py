@@ -111,3 +111,16 @@ def test_missing_timestamp_passes_full_load(spark, wh):
             for r in wh.read("fact_transactions").collect()}
     assert set(fact) == {"T1", "T2"} and fact["T2"] is None
     assert wh.read("daily_merchant_summary").count() == 1
+
+
+def test_staged_copies_are_dropped(spark, wh):
+    import os
+    from paylake.session import shared_root
+    root = shared_root(spark).replace("file:", "")
+    stage_dir = os.path.join(root, "paylake-stage")
+    before = set(os.listdir(stage_dir)) if os.path.isdir(stage_dir) else set()
+    run_load(spark, raw_frame(spark, [tx("T1"), tx("T2", uid="U2")]), wh, full=True)
+    run_load(spark, raw_frame(spark, [tx("T1"), tx("T3")]), wh, full=True, fact_mode="replace")
+    after = set(os.listdir(stage_dir)) if os.path.isdir(stage_dir) else set()
+    assert after - before == set()
+    assert wh.read("fact_transactions").count() == 3
