@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylake.functions.timeparse import format_ts
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
 from paylake.session import drop_staged, stage
@@ -94,6 +95,22 @@ class Warehouse:
         df = self.spark.read.schema(schema).parquet(self.path(name))
         return df.select(*[f.name for f in schema.fields])
 
+    def export_csv(self, name: str, path: str) -> None:
+        """S4 text export: the table as CSV with a header, timestamps as
+        ``yyyy-MM-dd HH:mm:ss`` and days as ``yyyy-MM-dd`` (the reference's
+        processed-file format).  Written by all tasks in parallel - a folder
+        of part files, never funnelled through one task."""
+        cols = []
+        for f in self.schema(name).fields:
+            c = F.col(f.name)
+            if isinstance(f.dataType, T.TimestampNTZType):
+                c = format_ts(c)
+            elif isinstance(f.dataType, T.DateType):
+                c = F.date_format(c, "yyyy-MM-dd")
+            cols.append(c.alias(f.name))
+        (self.read(name).select(*cols).write.mode("overwrite")
+         .option("header", True).csv(path))
+
     def refresh(self) -> None:
         if self.database:
             for name in TABLES:

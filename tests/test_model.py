@@ -51,3 +51,13 @@ def test_half_even_rate_matches_numpy(spark):
         assert r["e"] == float(np.round((r["s"] / r["t"]) * 100, 2))
         exact = (Decimal(r["s"]) * 100 / Decimal(r["t"])).quantize(Decimal("0.01"), ROUND_HALF_UP)
         assert r["u"] == float(exact)
+
+
+def test_rates_over_zero_counts_are_null(spark):
+    """SURVEY 8.9: a group whose counted ids are all null gets a null rate."""
+    from pyspark.sql import functions as F
+    from paylake.functions.numeric import rate_pct_half_even, rate_pct_half_up
+    df = spark.createDataFrame([(0, 0)], "s long, t long")
+    r = df.select(rate_pct_half_up(F.col("s"), F.col("t")).alias("u"),
+                  rate_pct_half_even(F.col("s"), F.col("t")).alias("e")).collect()[0]
+    assert r["u"] is None and r["e"] is None

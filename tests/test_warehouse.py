@@ -124,3 +124,37 @@ def test_staged_copies_are_dropped(spark, wh):
     after = set(os.listdir(stage_dir)) if os.path.isdir(stage_dir) else set()
     assert after - before == set()
     assert wh.read("fact_transactions").count() == 3
+
+
+def test_category_drift_between_summary_and_q2(spark, wh):
+    """SURVEY 8.7: the summary groups by the row's category; Q2 by the
+    merchant dimension's current one."""
+    from paylake.operators import analytics as Q
+    run_load(spark, raw_frame(spark, [tx("T1", mid="M1", cat="Retail", amount=10.0)]), wh,
+             full=True)
+    run_load(spark, raw_frame(spark, [tx("T2", mid="M1", cat="F&B", amount=5.0,
+                                         ts="2026-08-02 10:00:00")]), wh, full=True)
+    summary = {(str(r["transaction_date"]), r["merchant_category"])
+               for r in wh.read("daily_merchant_summary").collect()}
+    assert summary == {("2026-08-01", "Retail"), ("2026-08-02", "F&B")}
+    q2 = [tuple(r) for r in Q.q2_category_ranking(wh.read("fact_transactions"),
+                                                  wh.read("dim_merchants")).collect()]
+    assert q2 == [("F&B", 2, 15.0, 1)]
+
+
+def test_stale_summary_rows_stay(spark, wh):
+    """SURVEY 8.13: a (day, category) missing from a re-run is not deleted."""
+    day = [tx("T1", cat="Retail"), tx("T2", cat="F&B", mid="M2")]
+    run_load(spark, raw_frame(spark, day), wh, day="2026-08-01")
+    run_load(spark, raw_frame(spark, day[:1]), wh, day="2026-08-01")
+    cats = sorted(r["merchant_category"] for r in wh.read("daily_merchant_summary").collect())
+    assert cats == ["F&B", "Retail"]
+
+
+def test_csv_export_text_formats(spark, wh, tmp_path):
+    run_load(spark, raw_frame(spark, [tx("T1", ts="2026-08-01 10:00:05")]), wh, full=True)
+    out = str(tmp_path / "fact_csv")
+    wh.export_csv("fact_transactions", out)
+    rows = spark.read.option("header", True).csv(out).collect()
+    assert [(r["transaction_id"], r["timestamp"], r["transaction_date"]) for r in rows] == [
+        ("T1", "2026-08-01 10:00:05", "2026-08-01")]
