@@ -29,6 +29,29 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of raw data.
+
+    The largest shuffles (the order-key join and the dedupe on the id) move
+    about the raw volume, so shuffle partitions are sized to roughly
+    ``target_partition_bytes`` each - and never below a few waves of the
+    available cores - with AQE coalescing small ones and splitting skewed
+    ones at run time.  E.g. 100 TB on 8,000 cores -> ~410k partitions.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = max(by_size, 3 * total_cores)
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, app: str = "paylake",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

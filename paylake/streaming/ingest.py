@@ -45,22 +45,31 @@ def _as_raw(batch: DataFrame) -> DataFrame:
     return batch.select(*cols, order.alias(ORD))
 
 
-def start_csv_ingest(spark: SparkSession, landing_dir: str, warehouse: Warehouse, *,
+def start_file_ingest(spark: SparkSession, landing_dir: str, warehouse: Warehouse, *,
                      checkpoint: str | None = None, available_now: bool = True,
-                     max_files_per_trigger: int | None = None, **load_options):
-    """Start the stream; returns the ``StreamingQuery``."""
-    reader = (spark.readStream.schema(_text_schema())
-              .option("header", True))
+                     max_files_per_trigger: int | None = None, fmt: str = "csv",
+                     **load_options):
+    """Start the stream over CSV (default) or Parquet raw files; returns the
+    ``StreamingQuery``."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(landing_dir).select(
-        "*", F.col("_metadata.file_path").alias("_file"),
+    if fmt == "csv":
+        stream = reader.schema(_text_schema()).option("header", True).csv(landing_dir)
+    elif fmt == "parquet":
+        typed = reader.schema(RAW).parquet(landing_dir)
+        stream = typed.select(*[F.col(f.name).cast("string").alias(f.name) for f in RAW.fields],
+                              F.col("_metadata"))
+    else:
+        raise ValueError("fmt must be 'csv' or 'parquet'")
+    stream = stream.select(
+        *[f.name for f in RAW.fields], F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         run_load(spark, _as_raw(batch), warehouse, full=True, **load_options)
 
-    location = checkpoint or f"{shared_root(spark).rstrip('/')}/paylake-stream/csv-ingest"
+    location = checkpoint or f"{shared_root(spark).rstrip('/')}/paylake-stream/file-ingest"
     writer = (stream.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer

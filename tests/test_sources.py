@@ -6,7 +6,7 @@ from conftest import RAW_FIELDS, raw_frame, tx
 from paylake.operators import cleaning as C
 from paylake.sources.raw import read_raw_csv, read_raw_parquet
 from paylake.sources.warehouse import Warehouse
-from paylake.streaming.ingest import start_csv_ingest
+from paylake.streaming.ingest import start_file_ingest
 
 CSV = """transaction_id,user_id,user_name,phone_number,merchant_id,merchant_name,merchant_category,amount,payment_method,status,timestamp
 T1,U1,Ana Bell,081234567890,M1,Kopi,F&B,100.0,QRIS,SUCCESS,2026-08-01 10:00:00
@@ -50,12 +50,32 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     (landing / "day1.csv").write_text("\n".join([header] + good[:3]) + "\n")
     w = Warehouse(spark, str(tmp_path / "wh"))
     w.create_tables()
-    q = start_csv_ingest(spark, str(landing), w, checkpoint=str(tmp_path / "chk"))
+    q = start_file_ingest(spark, str(landing), w, checkpoint=str(tmp_path / "chk"))
     q.awaitTermination(120)
     (landing / "day2.csv").write_text("\n".join([header] + good[3:]) + "\n")
-    q = start_csv_ingest(spark, str(landing), w, checkpoint=str(tmp_path / "chk"))
+    q = start_file_ingest(spark, str(landing), w, checkpoint=str(tmp_path / "chk"))
     q.awaitTermination(120)
     fact = {r["transaction_id"]: (r["amount"], r["status"])
             for r in w.read("fact_transactions").collect()}
     assert fact == {"T1": (100.0, "SUCCESS"), "T4": (5.5, "PENDING")}
     assert w.read("dim_users").count() == 2
+
+
+def test_streaming_parquet_ingest(spark, tmp_path):
+    from conftest import RAW_FIELDS
+    landing = str(tmp_path / "landing_pq")
+    rows = [tx("T1", amount=10.0), tx("T1", amount=99.0), tx("T2", amount=5.0, uid="U2")]
+    raw_frame(spark, rows).select(*RAW_FIELDS).coalesce(1).write.parquet(landing)
+    w = Warehouse(spark, str(tmp_path / "wh_pq"))
+    w.create_tables()
+    q = start_file_ingest(spark, landing, w, checkpoint=str(tmp_path / "chk_pq"), fmt="parquet")
+    q.awaitTermination(120)
+    fact = {r["transaction_id"]: r["amount"] for r in w.read("fact_transactions").collect()}
+    assert fact == {"T1": 10.0, "T2": 5.0}
+
+
+def test_scale_conf():
+    from paylake.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 192

@@ -158,3 +158,27 @@ def test_csv_export_text_formats(spark, wh, tmp_path):
     rows = spark.read.option("header", True).csv(out).collect()
     assert [(r["transaction_id"], r["timestamp"], r["transaction_date"]) for r in rows] == [
         ("T1", "2026-08-01 10:00:05", "2026-08-01")]
+
+
+def test_merchant_null_attributes(spark, wh):
+    """FIXTURES 2: a null category on a merchant's first row fails the gate;
+    on a later row it only falls out of the summary."""
+    later = [tx("T1", mid="M1", cat="Retail"), tx("T2", mid="M1", cat=None, amount=7.0)]
+    run_load(spark, raw_frame(spark, later), wh, full=True)
+    merchants = [tuple(r) for r in wh.read("dim_merchants").collect()]
+    assert merchants == [("M1", "Kopi", "Retail")]
+    summary = [(r["merchant_category"], r["total_transactions"])
+               for r in wh.read("daily_merchant_summary").collect()]
+    assert summary == [("Retail", 1)]
+    assert wh.read("fact_transactions").count() == 2
+    first = [tx("T3", mid="M2", cat=None), tx("T4", mid="M2", cat="F&B")]
+    with pytest.raises(DataQualityError, match="merchant_category"):
+        run_load(spark, raw_frame(spark, first), wh, full=True)
+    first_name = [tx("T5", mid="M3", mname=None)]
+    with pytest.raises(DataQualityError, match="merchant_name"):
+        run_load(spark, raw_frame(spark, first_name), wh, full=True)
+
+
+def test_null_user_id_is_cleaned_out(spark, wh):
+    run_load(spark, raw_frame(spark, [tx("T1"), tx("T2", uid=None)]), wh, full=True)
+    assert [r["transaction_id"] for r in wh.read("fact_transactions").collect()] == ["T1"]
