@@ -62,10 +62,12 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
              day=None, start=None, end=None, full: bool = False,
              fact_mode: str = "ignore", strict_timestamps: bool = True,
              min_digits: int = 7, salt: str | None = None,
-             check_orphans: bool = False) -> LoadResult:
+             check_orphans: bool = False, count_read: bool = False) -> LoadResult:
     """One load.  ``full`` wins over ``day``/``start``/``end`` (as ``--full``
     wins over ``--date`` in the reference).  With none of them given the
-    caller must choose: see ``default_day``."""
+    caller must choose: see ``default_day``.  ``count_read`` adds the rows of
+    the whole source (before the day filter) to the counters - a separate
+    count job, so that the day filter still reaches the scan."""
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
     if full:
@@ -78,8 +80,11 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
 
     scope: list = []
     try:
-        return _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
-                     min_digits, salt, check_orphans, scope)
+        result = _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
+                       min_digits, salt, check_orphans, scope)
+        if count_read:
+            result.counters = {"read": raw.count(), **result.counters}
+        return result
     finally:
         drop_staged(spark, scope)  # the batch copies; the warehouse drops its own
 

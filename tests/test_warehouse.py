@@ -36,8 +36,8 @@ def test_create_tables_idempotent(spark, tmp_path):
 
 def test_full_load_matches_model(spark, wh):
     raw = raw_transactions(spark, SF001)
-    res = run_load(spark, raw, wh, full=True)
-    assert res.loaded and res.counters == {"batch": 6000, "dedupe": 4599,
+    res = run_load(spark, raw, wh, full=True, count_read=True)
+    assert res.loaded and res.counters == {"read": 6000, "batch": 6000, "dedupe": 4599,
                                            "drop_missing": 4484, "positive_amount": 4458}
     model = M.star_schema(C.transform(raw))
     snap = _snap(wh)
