@@ -13,7 +13,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 6))
+        return "nan" if math.isnan(v) else repr(v)  # exact: results are order-independent
     return str(v)
 
 
