@@ -5,8 +5,8 @@ this adapter, so every query's work grows with ``lineitem``.
 
 Plan shape: lineitem is joined once with the supplier geography (supplier +
 nation + region; broadcast when the counted supplier rows are under the
-bound, a sort-merge join beyond it) and once with orders+customer on the
-order key.  Orders and customer are joined first, so lineitem is shuffled at
+bound, a sort-merge join beyond it) and once with orders+customer (customer
+broadcast under the same counted bound) on the order key.  Orders and customer are joined first, so lineitem is shuffled at
 most twice.  Only the needed columns are read (ReadSchema) and a day filter is
 pushed to the lineitem scan as a conservative range on ``l_shipdate``.
 """
@@ -105,7 +105,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select("s_suppkey", "s_name", "r_name"),
         rows=supplier.count())
-    order_cust = (orders.join(customer, orders.o_custkey == customer.c_custkey)
+    # customer is broadcast into orders under the same counted bound
+    # (Catalyst's own check looks at compressed file bytes only).
+    order_cust = (orders.join(bounded_broadcast(customer), orders.o_custkey == customer.c_custkey)
                   .select("o_orderkey", "o_custkey", "o_orderpriority", "c_custkey",
                           "c_name", "c_mktsegment"))
 
