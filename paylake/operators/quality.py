@@ -16,16 +16,6 @@ from pyspark.sql import types as T
 
 from paylake.schemas import MASK, RAW_PHONE_PATTERN, VALID_STATUSES
 
-REPORT = T.StructType([
-    T.StructField("rule_no", T.IntegerType()),
-    T.StructField("rule", T.StringType()),
-    T.StructField("table_name", T.StringType()),
-    T.StructField("column_name", T.StringType()),
-    T.StructField("violations", T.LongType()),
-    T.StructField("passed", T.BooleanType()),
-    T.StructField("sample", T.StringType()),
-])
-
 
 class DataQualityError(Exception):
     """A data-quality rule failed; nothing was written."""

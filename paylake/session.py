@@ -8,7 +8,6 @@ falls back to a temp folder when the session leaves it unset (tests, local).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -118,12 +117,3 @@ def drop_staged(spark: SparkSession, paths: list) -> None:
     while paths:
         p = jvm.org.apache.hadoop.fs.Path(paths.pop())
         p.getFileSystem(conf).delete(p, True)
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_exists(path: str) -> bool:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.exists(p)

@@ -20,16 +20,10 @@ from pyspark.sql import functions as F
 
 from paylake.functions.timeparse import format_ts
 from paylake.operators.joins import bounded_broadcast
-from paylake.schemas import ORD, RAW_COLUMNS
-
-# Fixed values of the mapping: order priority digit -> payment method.
-PRIORITY_TO_METHOD = {
-    "1": "QRIS",
-    "2": "E-WALLET_BALANCE",
-    "3": "VIRTUAL_ACCOUNT",
-    "4": "CREDIT_CARD",
-    "5": "DEBIT_CARD",
-}
+from paylake.schemas import ORD, PAYMENT_METHODS, RAW_COLUMNS
+
+# Mapping: order priority digit 1..5 -> the payment methods in their fixed order.
+PRIORITY_TO_METHOD = {str(i + 1): m for i, m in enumerate(PAYMENT_METHODS)}
 
 ORDER_FIELDS = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 

@@ -1,7 +1,6 @@
 """Warehouse loads: full, incremental, replay, modes, gate."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001, raw_frame, tx
 from paylake.operators import cleaning as C
