@@ -100,3 +100,15 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         assert run() == utc and len(utc) > 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_fixture_day_and_group_counts_sf001(spark):
+    from conftest import SF01
+    from paylake.functions.timeparse import parse_lenient
+    raw = raw_transactions(spark, SF01)
+    days = raw.select(F.to_date(parse_lenient(F.col("timestamp"))).alias("d"), "merchant_category")
+    assert days.select("d").distinct().count() == 2499
+    assert days.distinct().count() == 12297
+    # wrong order (filters before dedupe) at this scale
+    assert C.dedupe_first(C.positive_amount(C.drop_incomplete(raw))).count() == 44761
+    assert C.clean(raw).count() == 44421
