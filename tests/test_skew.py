@@ -1,0 +1,79 @@
+"""One key holding a third of all rows: results stay whole and exact, and the
+plans pre-aggregate or split instead of sending the group to one task."""
+
+from pyspark.sql import functions as F
+
+from paylake.operators import cleaning as C
+from paylake.operators import model as M
+from paylake.sources.raw import raw_from_frame
+
+
+def _skewed_raw(spark, n=30000):
+    # every third row repeats transaction id HOT and belongs to user U-HOT on
+    # the same day; the rest are distinct
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+            F.concat(F.lit("T"), F.col("id").cast("string"))).alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("U-HOT")).otherwise(
+            F.concat(F.lit("U"), (F.col("id") % 500).cast("string"))).alias("user_id"),
+        F.lit("Ana Bell").alias("user_name"),
+        F.lit("081234567890").alias("phone_number"),
+        F.concat(F.lit("M"), (F.col("id") % 7).cast("string")).alias("merchant_id"),
+        F.lit("Shop").alias("merchant_name"),
+        F.lit("Retail").alias("merchant_category"),
+        (F.col("id") % 100 + 1).cast("double").alias("amount"),
+        F.lit("QRIS").alias("payment_method"),
+        F.lit("SUCCESS").alias("status"),
+        F.when(F.col("id") % 3 == 0, F.lit("2026-08-01 10:00:00")).otherwise(
+            F.format_string("2026-08-%02d 12:00:00", (F.col("id") % 28 + 2).cast("int"))
+        ).alias("timestamp"),
+        F.col("id").alias("_pos"))
+    return raw_from_frame(df.repartition(8), ["_pos"]), n
+
+
+def test_hot_id_dedupe_is_exact(spark):
+    raw, n = _skewed_raw(spark)
+    out = C.dedupe_first(raw)
+    rows = out.filter(F.col("transaction_id") == "HOT").collect()
+    assert len(rows) == 1 and rows[0]["amount"] == 1.0  # position 0 is first
+    assert out.count() == 1 + (n - n // 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan
+
+
+def test_hot_user_dimension_and_summary(spark):
+    raw, n = _skewed_raw(spark)
+    cl = C.transform(raw)
+    users = M.dim_users(cl)
+    assert users.filter(F.col("user_id") == "U-HOT").count() == 1
+    s = M.daily_summary(cl)
+    total = s.agg(F.sum("total_transactions")).collect()[0][0]
+    assert total == cl.count()
+
+
+def test_hot_day_is_split_on_write(spark, tmp_path):
+    import glob
+    from paylake.sources.warehouse import Warehouse
+    raw = spark.range(30000).select(
+        F.concat(F.lit("T"), F.col("id").cast("string")).alias("transaction_id"),
+        F.lit("U1").alias("user_id"), F.lit("M1").alias("merchant_id"),
+        F.lit(10.0).alias("amount"), F.lit("QRIS").alias("payment_method"),
+        F.lit("SUCCESS").alias("status"),
+        F.lit("2026-08-01 10:00:00").cast("timestamp_ntz").alias("timestamp"),
+        F.when(F.col("id") % 3 == 0, F.lit("2026-08-01")).otherwise(
+            F.lit("2026-08-02")).cast("date").alias("transaction_date"))
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    w.create_tables()
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        w._append("fact_transactions", raw)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = glob.glob(str(tmp_path / "wh" / "fact_transactions" / "transaction_date=*" / "*.parquet"))
+    per_day = {}
+    for f in files:
+        day = f.split("transaction_date=")[1].split("/")[0]
+        per_day[day] = per_day.get(day, 0) + 1
+    assert per_day["2026-08-02"] > 1  # the hot day is spread over several tasks
+    assert w.read("fact_transactions").count() == 30000
