@@ -109,6 +109,13 @@ def stage(df, spark: SparkSession, name: str, scope: list | None = None):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_staged(spark: SparkSession, paths: list) -> None:
     """Delete staged copies through the Hadoop file system of each path
     (works for HDFS, object stores and local files alike)."""

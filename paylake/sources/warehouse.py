@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from paylake.functions.timeparse import format_ts
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
-from paylake.session import drop_staged, stage
+from paylake.session import drop_staged, path_exists, stage
 
 # Batches with at most this many keys are broadcast into the upsert joins
 # (counted on the staged batch); larger batches use shuffle joins.
@@ -80,11 +80,12 @@ class Warehouse:
         """Create every table (empty, typed) if absent; register it in the
         session catalog when a database is given."""
         for name, (schema, _keys, part) in TABLES.items():
-            empty = self.spark.createDataFrame([], schema).select(*self._write_order(name))
-            w = empty.write.mode("append")
-            if part:
-                w = w.partitionBy(part)
-            w.parquet(self.path(name))
+            if not path_exists(self.spark, self.path(name)):
+                empty = self.spark.createDataFrame([], schema).select(*self._write_order(name))
+                w = empty.write.mode("append")
+                if part:
+                    w = w.partitionBy(part)
+                w.parquet(self.path(name))
             if self.database:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
                 self.spark.sql(create_table_sql(name, self.path(name), self.database))

@@ -181,3 +181,12 @@ def test_merchant_null_attributes(spark, wh):
 def test_null_user_id_is_cleaned_out(spark, wh):
     run_load(spark, raw_frame(spark, [tx("T1"), tx("T2", uid=None)]), wh, full=True)
     assert [r["transaction_id"] for r in wh.read("fact_transactions").collect()] == ["T1"]
+
+
+def test_create_tables_adds_no_files_on_repeat(spark, tmp_path):
+    import glob
+    w = Warehouse(spark, str(tmp_path / "wh_rep"))
+    w.create_tables()
+    first = sorted(glob.glob(str(tmp_path / "wh_rep" / "**" / "*"), recursive=True))
+    w.create_tables()
+    assert sorted(glob.glob(str(tmp_path / "wh_rep" / "**" / "*"), recursive=True)) == first
