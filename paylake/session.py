@@ -116,6 +116,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-directories of ``path`` (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
 def drop_staged(spark: SparkSession, paths: list) -> None:
     """Delete staged copies through the Hadoop file system of each path
     (works for HDFS, object stores and local files alike)."""

@@ -3,18 +3,22 @@
 Layout: one directory per table under ``root``.  The fact and the daily
 summary are partitioned by ``transaction_date``; the two dimensions are not.
 
-Spark cannot overwrite a path it is reading, and plain Parquet has no MERGE,
-so every rewrite first stages the new contents in the shared folder
-(``spark.checkpoint.dir``) and then overwrites from the staged copy:
-
-* dimensions (REPLACE): whole-table rewrite (dimensions are small next to
-  the fact);
-* daily summary (REPLACE): one row per (day, category) - bounded by the
-  calendar, not the data - so it is rewritten whole;
+Plain Parquet has no MERGE, and a static overwrite deletes the old files
+before the job runs.  So:
+
+* dimensions and the daily summary (REPLACE) are versioned snapshots: each
+  load writes the new state to ``v=<n+1>`` - read from ``v=<n>``, a
+  different path - and readers take the newest version whose ``_SUCCESS``
+  marker exists.  A failed write is invisible and the previous version stays
+  current; a concurrent writer of the same version fails instead of
+  overwriting.  The two newest versions are kept.  (The summary has one row
+  per day and category - bounded by the calendar, not the data.)
 * fact, IGNORE (default): append-only - new ids are appended, nothing is
   rewritten;
 * fact, REPLACE (keep-last): the batch days plus the days holding older
-  versions of the batch ids are rewritten.
+  versions of the batch ids are rewritten from a copy staged in the shared
+  folder (``spark.checkpoint.dir``); dynamic partition overwrite swaps the
+  partitions at job commit.
 
 The set of touched days is collected to the driver: it is bounded by the
 calendar span of one batch, not by data volume.
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 from paylake.functions.timeparse import format_ts
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
-from paylake.session import drop_staged, path_exists, stage
+from paylake.session import drop_staged, list_dirs, path_exists, stage
 
 # Batches with at most this many keys are broadcast into the upsert joins
 # (counted on the staged batch); larger batches use shuffle joins.
@@ -45,6 +49,9 @@ def _ddl_type(dt) -> str:
     return _DDL_TYPES[type(dt)]
 
 
+KEEP_VERSIONS = 2
+
+
 def create_table_sql(name: str, location: str, database: str | None = None) -> str:
     """Idempotent DDL for one warehouse table (keys are checked by the
     quality rules, Spark does not enforce them)."""
@@ -80,20 +87,55 @@ class Warehouse:
         """Create every table (empty, typed) if absent; register it in the
         session catalog when a database is given."""
         for name, (schema, _keys, part) in TABLES.items():
-            if not path_exists(self.spark, self.path(name)):
-                empty = self.spark.createDataFrame([], schema).select(*self._write_order(name))
-                w = empty.write.mode("append")
-                if part:
-                    w = w.partitionBy(part)
-                w.parquet(self.path(name))
+            empty = self.spark.createDataFrame([], schema).select(*self._write_order(name))
+            if part is None:
+                if not self._versions(name):
+                    self._commit_version(name, empty)
+            elif not path_exists(self.spark, self.path(name)):
+                empty.write.mode("append").partitionBy(part).parquet(self.path(name))
             if self.database:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
-                self.spark.sql(create_table_sql(name, self.path(name), self.database))
+                self.spark.sql(create_table_sql(name, self.location(name), self.database))
+
+    # -- versions of the unpartitioned tables --------------------------------
+    def _versions(self, name: str) -> list[int]:
+        out = []
+        for d in list_dirs(self.spark, self.path(name)):
+            if d.startswith("v=") and d[2:].isdigit() and path_exists(
+                    self.spark, f"{self.path(name)}/{d}/_SUCCESS"):
+                out.append(int(d[2:]))
+        return sorted(out)
+
+    def _version_path(self, name: str, n: int) -> str:
+        return f"{self.path(name)}/v={n:08d}"
+
+    def location(self, name: str) -> str:
+        """Current data location: the newest committed version of a snapshot
+        table, the table folder of a partitioned one."""
+        if TABLES[name][2] is not None:
+            return self.path(name)
+        versions = self._versions(name)
+        return self._version_path(name, versions[-1]) if versions else self.path(name)
+
+    def _commit_version(self, name: str, df: DataFrame) -> None:
+        versions = self._versions(name)
+        n = versions[-1] + 1 if versions else 0
+        # mode "error": a concurrent writer of the same version fails here
+        df.select(*self._write_order(name)).write.mode("error").parquet(
+            self._version_path(name, n))
+        if self.database and self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            self.spark.sql(f"ALTER TABLE `{self.database}`.`{name}` SET LOCATION "
+                           f"'{self._version_path(name, n)}'")
+        keep = KEEP_VERSIONS - 1  # previous versions kept besides the new one
+        drop_staged(self.spark, [self._version_path(name, v)
+                                 for v in versions[:max(len(versions) - keep, 0)]])
 
     # -- S3 -------------------------------------------------------------------
     def read(self, name: str) -> DataFrame:
         schema = self.schema(name)
-        df = self.spark.read.schema(schema).parquet(self.path(name))
+        if TABLES[name][2] is None and not self._versions(name):
+            return self.spark.createDataFrame([], schema)
+        df = self.spark.read.schema(schema).parquet(self.location(name))
         return df.select(*[f.name for f in schema.fields])
 
     def export_csv(self, name: str, path: str) -> None:
@@ -113,9 +155,16 @@ class Warehouse:
          .option("header", True).csv(path))
 
     def refresh(self) -> None:
-        if self.database:
-            for name in TABLES:
-                self.spark.sql(f"REFRESH TABLE `{self.database}`.`{name}`")
+        """Keep catalog tables in step with the files: register partitions
+        written by path (partitioned tables track them in the catalog) and
+        drop cached listings.  Snapshot tables are re-pointed on commit."""
+        if not self.database:
+            return
+        for name, (_s, _k, part) in TABLES.items():
+            qual = f"`{self.database}`.`{name}`"
+            if part is not None:
+                self.spark.sql(f"MSCK REPAIR TABLE {qual}")
+            self.spark.sql(f"REFRESH TABLE {qual}")
 
     # -- S4: writes -----------------------------------------------------------
     def _prepare_write(self, name: str, df: DataFrame) -> DataFrame:
@@ -156,9 +205,8 @@ class Warehouse:
         bk = self._batch_keys(batch, keys)
         staged: list = []
         if part is None:
-            new_state = K.upsert_replace(current, batch, keys, bk)
-            self._overwrite(name, stage(new_state, self.spark, f"{name}-next", staged),
-                            dynamic=False)
+            # v=n+1 is written from v=n: no staging copy needed
+            self._commit_version(name, K.upsert_replace(current, batch, keys, bk))
         else:
             days = self._days(batch)
             if not days:

@@ -190,3 +190,34 @@ def test_create_tables_adds_no_files_on_repeat(spark, tmp_path):
     first = sorted(glob.glob(str(tmp_path / "wh_rep" / "**" / "*"), recursive=True))
     w.create_tables()
     assert sorted(glob.glob(str(tmp_path / "wh_rep" / "**" / "*"), recursive=True)) == first
+
+
+def test_failed_replace_keeps_previous_version(spark, wh, tmp_path):
+    """A write that dies mid-job leaves the previous snapshot current."""
+    from pyspark.sql import functions as F
+    run_load(spark, raw_frame(spark, [tx("T1", uid="U1"), tx("T2", uid="U2")]), wh, full=True)
+    before = sorted(tuple(r) for r in wh.read("dim_users").collect())
+    # a partial version folder (no _SUCCESS) is ignored by readers
+    import os
+    partial = os.path.join(wh.path("dim_users"), "v=00000099")
+    os.makedirs(partial)
+    open(os.path.join(partial, "part-0.parquet"), "w").write("garbage")
+    assert sorted(tuple(r) for r in wh.read("dim_users").collect()) == before
+    # a batch whose evaluation fails inside the write job
+    bad = spark.range(1).select(
+        F.raise_error(F.lit("boom")).cast("string").alias("user_id"),
+        F.lit("X****").alias("masked_user_name"), F.lit("0812****0000").alias("masked_phone"),
+        F.lit("h").alias("phone_hash"))
+    with pytest.raises(Exception, match="boom"):
+        wh.upsert_replace_table("dim_users", bad)
+    assert sorted(tuple(r) for r in wh.read("dim_users").collect()) == before
+
+
+def test_catalog_follows_versions(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "wh_cat"), database="paylake_test_versions")
+    w.create_tables()
+    run_load(spark, raw_frame(spark, [tx("T1", uid="U1")]), w, full=True)
+    run_load(spark, raw_frame(spark, [tx("T2", uid="U2")]), w, full=True)
+    assert spark.table("paylake_test_versions.dim_users").count() == 2
+    assert spark.table("paylake_test_versions.fact_transactions").count() == 2
+    assert len(w._versions("dim_users")) == 2  # older versions are pruned
