@@ -196,6 +196,9 @@ def report(dim_users: DataFrame, dim_merchants: DataFrame, fact: DataFrame,
 
 
 def failure_message(row) -> str:
+    # Fixed message fragments callers match on (the reference's tests):
+    # "Uniqueness check failed", "Completeness check failed", "amount <= 0",
+    # "invalid status", "PII".
     where = f"{row['table_name']}.{row['column_name']}"
     n, sample = row["violations"], row["sample"]
     rule = row["rule"]

@@ -1,6 +1,6 @@
 """Keyed upserts K1-K3 as DataFrame operators.
 
-Both are written as anti/semi joins keyed on the primary key.  Catalyst
+All three are anti/semi joins keyed on the primary key.  Catalyst
 broadcasts the batch side when its size estimate is under the broadcast
 threshold (a staged batch has exact file statistics); ``bounded_broadcast``
 adds an explicit, counted bound for callers that want the hint.  Beyond the

@@ -36,6 +36,6 @@ def raw_frame(spark, rows):
 
 
 def tx(tid, uid="USR-1", amount=100.0, status="SUCCESS", ts="2026-08-01 10:00:00",
-       mid="MCH-1", cat="F&B", method="QRIS", name="Bagus Purbhawa", phone="081234567890",
+       mid="MCH-1", cat="F&B", method="QRIS", name="Rina Sari", phone="081234567890",
        mname="Kopi"):
     return (tid, uid, name, phone, mid, mname, cat, amount, method, status, ts)

@@ -48,8 +48,8 @@ def test_q3_and_q3b(spark):
 def test_q4_counts_successful_rows_only(spark):
     m = _model(spark)
     rows = [tuple(r) for r in Q.q4_top_users(m["fact_transactions"], m["dim_users"], 2).collect()]
-    assert rows == [("U2", "B**** P****", "0812****7890", 1, 300.0),
-                    ("U1", "B**** P****", "0812****7890", 1, 100.0)]
+    assert rows == [("U2", "R**** S****", "0812****7890", 1, 300.0),
+                    ("U1", "R**** S****", "0812****7890", 1, 100.0)]
     plan = Q.q4_top_users(m["fact_transactions"], m["dim_users"])._jdf.queryExecution().toString()
     assert "TakeOrderedAndProject" in plan
 

@@ -7,7 +7,7 @@ from paylake.operators import quality as DQ
 from paylake.schemas import DIM_MERCHANTS, DIM_USERS, FACT
 from pyspark.sql import types as T
 
-USERS = [("USR-0001", "B**** P****", "0812****5678", "abc123hash"),
+USERS = [("USR-0001", "R**** S****", "0812****5678", "abc123hash"),
          ("USR-0002", "A**** W****", "0819****1234", "def456hash")]
 MERCHANTS = [("MCH-001", "Kopi Kenangan", "F&B"), ("MCH-002", "Indomaret", "Retail")]
 FACTS = [("TX-1001", "USR-0001", "MCH-001", 50000.0, "QRIS", "SUCCESS",
