@@ -26,6 +26,7 @@ from paylake.session import drop_staged, stage
 from paylake.sources.warehouse import Warehouse
 
 FACT_MODES = ("ignore", "replace")
+RAW_PII = ("user_name", "phone_number")
 
 
 @dataclass
@@ -51,7 +52,8 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
     complete, o_null = _count(C.drop_incomplete(deduped), "drop_missing")
     positive, o_amount = _count(C.positive_amount(complete), "positive_amount")
     cleaned = C.mask_pii(C.standardise(positive, strict_timestamps), min_digits, salt)
-    staged = stage(cleaned, spark, "clean", scope)
+    # raw PII never reaches storage: only masked values and the hash are staged
+    staged = stage(cleaned.drop(*RAW_PII), spark, "clean", scope)
     named = {"batch": o_batch, "dedupe": o_dedupe, "drop_missing": o_null,
              "positive_amount": o_amount}
     counters = {k: o.get.get("rows", 0) for k, o in named.items()}

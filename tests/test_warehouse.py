@@ -221,3 +221,13 @@ def test_catalog_follows_versions(spark, tmp_path):
     assert spark.table("paylake_test_versions.dim_users").count() == 2
     assert spark.table("paylake_test_versions.fact_transactions").count() == 2
     assert len(w._versions("dim_users")) == 2  # older versions are pruned
+
+
+def test_staged_batch_holds_no_raw_pii(spark):
+    from paylake.plans.load import prepare
+    scope = []
+    staged, _ = prepare(spark, raw_frame(spark, [tx("T1")]), scope=scope)
+    assert "user_name" not in staged.columns and "phone_number" not in staged.columns
+    assert {"masked_user_name", "masked_phone", "phone_hash"} <= set(staged.columns)
+    from paylake.session import drop_staged
+    drop_staged(spark, scope)
