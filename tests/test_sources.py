@@ -79,3 +79,18 @@ def test_scale_conf():
     conf = scale_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_job_cli(spark, tmp_path):
+    import pytest as _pytest
+    from paylake.plans.job import main
+    p = tmp_path / "raw.csv"
+    p.write_text(CSV.replace("T3,U3,Budi,null", "T3,U3,Budi,081234567892"))
+    wh = str(tmp_path / "wh_job")
+    out = main(["--raw", str(p), "--warehouse", wh, "--date", "2026-08-01"], spark=spark)
+    assert out["loaded"] and out["counters"]["read"] == 5 and out["counters"]["batch"] == 4
+    assert out["fact_rows_added"] == 1  # T1 only: T2/T3 have no amount
+    out = main(["--raw", str(p), "--warehouse", wh, "--full"], spark=spark)
+    assert out["fact_rows_added"] == 1  # T4 (the 2026-08-02 row) is new
+    with _pytest.raises(SystemExit):
+        main(["--raw", str(p), "--warehouse", wh], spark=spark)
