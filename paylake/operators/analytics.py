@@ -77,17 +77,23 @@ def q3b_payment_rate(fact: DataFrame) -> DataFrame:
 def q4_top_users(fact: DataFrame, dim_users: DataFrame, k: int = 10) -> DataFrame:
     """Top-k users by successful spend (counts successful rows only).
 
-    The aggregate output is already hash-partitioned by user_id, so the join
-    shuffles only the dimension; the final sort+limit runs as a bounded
-    top-k per partition (TakeOrderedAndProject), never a global sort.
+    Exact restructure of "join, group, sort, limit" (valid because the
+    dimension is unique on user_id, rule D1):
+      1. aggregate the successful fact per user (map-side partials);
+      2. keep users that exist in the dimension - a semi join against its
+         key column only, so the masked attributes are not shuffled;
+      3. top-k (TakeOrderedAndProject: a bounded heap per partition);
+      4. attach the attributes: the k rows - a proven bound - are broadcast
+         against a scan of the dimension.
     """
     per_user = (fact.filter(_success())
                 .groupBy("user_id")
                 .agg(F.count("transaction_id").alias("total_transactions"),
-                     F.sum("amount").alias("_spent")))
-    joined = per_user.join(dim_users.select("user_id", "masked_user_name", "masked_phone"),
-                           "user_id")
-    return (joined.select("user_id", "masked_user_name", "masked_phone", "total_transactions",
-                          F.round(F.col("_spent"), 2).alias("total_spent_idr"))
-            .orderBy(F.col("total_spent_idr").desc(), "user_id")
-            .limit(k))
+                     F.round(F.sum("amount"), 2).alias("total_spent_idr")))
+    known = per_user.join(dim_users.select("user_id"), "user_id", "left_semi")
+    top = known.orderBy(F.col("total_spent_idr").desc(), "user_id").limit(k)
+    attrs = dim_users.select("user_id", "masked_user_name", "masked_phone")
+    return (attrs.join(F.broadcast(top), "user_id")
+            .select("user_id", "masked_user_name", "masked_phone", "total_transactions",
+                    "total_spent_idr")
+            .orderBy(F.col("total_spent_idr").desc(), "user_id"))
