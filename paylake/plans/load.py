@@ -12,6 +12,7 @@ cleaning counters are collected with ``observe`` inside that same job.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ class LoadResult:
     report: list = field(default_factory=list)
     fact_rows_added: int | None = None
     loaded: bool = False
+    timings: dict = field(default_factory=dict)  # seconds per phase
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -93,9 +95,11 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
 
 def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits, salt,
           check_orphans, scope) -> LoadResult:
+    t0 = time.perf_counter()
     staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt,
                                scope)
     result = LoadResult(counters=counters)
+    result.timings["prepare"] = time.perf_counter() - t0
     if staged.count() == 0:  # Parquet footers only
         return result  # nothing to load: the reference's no-op
 
@@ -107,8 +111,12 @@ def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_d
     merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch", scope)
     summary = stage(tables["daily_merchant_summary"], spark, "summary-batch", scope)
     fact = tables["fact_transactions"]
+    result.timings["model"] = time.perf_counter() - t0 - result.timings["prepare"]
+    t1 = time.perf_counter()
     result.report = DQ.validate_all(users, merchants, fact, summary,
                                     check_orphans=check_orphans)
+    result.timings["gate"] = time.perf_counter() - t1
+    t2 = time.perf_counter()
 
     warehouse.upsert_replace_table("dim_users", users)
     warehouse.upsert_replace_table("dim_merchants", merchants)
@@ -118,6 +126,7 @@ def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_d
         warehouse.keep_last_table("fact_transactions", fact)
     warehouse.upsert_replace_table("daily_merchant_summary", summary)
     warehouse.refresh()
+    result.timings["write"] = time.perf_counter() - t2
     result.loaded = True
     return result
 
