@@ -71,3 +71,17 @@ def test_sql_form_equals_dataframe_form(spark):
         assert sql_df.columns == df.columns, name
         assert [f.dataType for f in sql_df.schema] == [f.dataType for f in df.schema], name
         assert [tuple(r) for r in sql_df.collect()] == [tuple(r) for r in df.collect()], name
+
+
+def test_ties_are_broken_by_the_group_key(spark):
+    """SURVEY 8.8: equal rates / volumes / spend order by the key."""
+    rows = [tx("A1", method="QRIS", mid="M1", cat="F&B", uid="U2", amount=50.0),
+            tx("A2", method="DEBIT_CARD", mid="M2", cat="Retail", uid="U1", amount=50.0)]
+    m = M.star_schema(C.transform(raw_frame(spark, rows)))
+    q3 = [r["payment_method"] for r in Q.q3_payment_health(m["fact_transactions"]).collect()]
+    assert q3 == ["DEBIT_CARD", "QRIS"]
+    q2 = [(r["merchant_category"], r["rank_by_volume"])
+          for r in Q.q2_category_ranking(m["fact_transactions"], m["dim_merchants"]).collect()]
+    assert q2 == [("F&B", 1), ("Retail", 1)]  # dense rank ties share a rank
+    q4 = [r["user_id"] for r in Q.q4_top_users(m["fact_transactions"], m["dim_users"], 1).collect()]
+    assert q4 == ["U1"]
