@@ -59,6 +59,10 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
     named = {"batch": o_batch, "dedupe": o_dedupe, "drop_missing": o_null,
              "positive_amount": o_amount}
     counters = {k: o.get.get("rows", 0) for k, o in named.items()}
+    # what each step removed, as the reference reports it
+    counters["removed_duplicates"] = counters["batch"] - counters["dedupe"]
+    counters["removed_missing"] = counters["dedupe"] - counters["drop_missing"]
+    counters["removed_invalid_amount"] = counters["drop_missing"] - counters["positive_amount"]
     return staged, counters
 
 

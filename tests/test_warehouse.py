@@ -37,7 +37,9 @@ def test_full_load_matches_model(spark, wh):
     raw = raw_transactions(spark, SF001)
     res = run_load(spark, raw, wh, full=True, count_read=True)
     assert res.loaded and res.counters == {"read": 6000, "batch": 6000, "dedupe": 4599,
-                                           "drop_missing": 4484, "positive_amount": 4458}
+                                           "drop_missing": 4484, "positive_amount": 4458,
+                                           "removed_duplicates": 1401, "removed_missing": 115,
+                                           "removed_invalid_amount": 26}
     model = M.star_schema(C.transform(raw))
     snap = _snap(wh)
     for t, df in model.items():
