@@ -16,6 +16,21 @@ from pyspark.sql import functions as F
 # ~50 bytes/row for the narrow sides broadcast here: 1M rows ~ 50 MB.
 DEFAULT_MAX_ROWS = 1_000_000
 
+_SCAN_ROWS: dict[tuple, int] = {}
+
+
+def scan_rows(df: DataFrame) -> int:
+    """Row count of an unfiltered table scan (projections allowed), cached
+    per exact set of input file paths (Spark gives rewritten files new names,
+    and added files change the set).  The count only steers a broadcast
+    decision, never a result."""
+    key = tuple(sorted(df.inputFiles()))
+    if not key:
+        return df.count()
+    if key not in _SCAN_ROWS:
+        _SCAN_ROWS[key] = df.count()
+    return _SCAN_ROWS[key]
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       rows: int | None = None) -> DataFrame:

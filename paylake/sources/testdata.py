@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.functions.timeparse import format_ts
-from paylake.operators.joins import bounded_broadcast
+from paylake.operators.joins import bounded_broadcast, scan_rows
 from paylake.schemas import ORD, PAYMENT_METHODS, RAW_COLUMNS
 
 # Mapping: order priority digit 1..5 -> the payment methods in their fixed order.
@@ -98,10 +98,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select("s_suppkey", "s_name", "r_name"),
-        rows=supplier.count())
+        rows=scan_rows(supplier))
     # customer is broadcast into orders under the same counted bound
     # (Catalyst's own check looks at compressed file bytes only).
-    order_cust = (orders.join(bounded_broadcast(customer), orders.o_custkey == customer.c_custkey)
+    order_cust = (orders.join(bounded_broadcast(customer, rows=scan_rows(customer)),
+                              orders.o_custkey == customer.c_custkey)
                   .select("o_orderkey", "o_custkey", "o_orderpriority", "c_custkey",
                           "c_name", "c_mktsegment"))
 
