@@ -15,6 +15,8 @@ time) so each micro-batch carries whole days.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,7 +71,9 @@ def start_file_ingest(spark: SparkSession, landing_dir: str, warehouse: Warehous
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         run_load(spark, _as_raw(batch), warehouse, full=True, **load_options)
 
-    location = checkpoint or f"{shared_root(spark).rstrip('/')}/paylake-stream/file-ingest"
+    # one checkpoint per landing folder (and target warehouse) unless given
+    tag = hashlib.sha1(f"{landing_dir}|{warehouse.root}".encode()).hexdigest()[:16]
+    location = checkpoint or f"{shared_root(spark).rstrip('/')}/paylake-stream/ingest-{tag}"
     writer = (stream.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer
