@@ -23,7 +23,7 @@ from paylake.functions.timeparse import parse_day, yesterday
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
-from paylake.session import drop_staged, stage
+from paylake.session import delete_paths, stage
 from paylake.sources.warehouse import Warehouse
 
 FACT_MODES = ("ignore", "replace")
@@ -94,7 +94,7 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
             result.counters = {"read": raw.count(), **result.counters}
         return result
     finally:
-        drop_staged(spark, scope)  # the batch copies; the warehouse drops its own
+        delete_paths(spark, scope)  # the batch copies; the warehouse drops its own
 
 
 def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits, salt,

@@ -100,7 +100,7 @@ def stage(df, spark: SparkSession, name: str, scope: list | None = None):
     table must be rewritten from its own contents (upserts).  Parquet keeps
     column pruning and predicate pushdown on every re-read, unlike an RDD
     checkpoint, and survives executor loss.  The path is appended to
-    ``scope`` so the caller can drop it when done (``drop_staged``).
+    ``scope`` so the caller can delete it when done (``delete_paths``).
     """
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
@@ -126,9 +126,10 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
-def drop_staged(spark: SparkSession, paths: list) -> None:
-    """Delete staged copies through the Hadoop file system of each path
-    (works for HDFS, object stores and local files alike)."""
+def delete_paths(spark: SparkSession, paths: list) -> None:
+    """Delete the given folders (staged copies, superseded table versions)
+    through the Hadoop file system of each path - HDFS, object stores and
+    local files alike.  The list is emptied."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     while paths:

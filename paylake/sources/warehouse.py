@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from paylake.functions.timeparse import format_ts
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
-from paylake.session import drop_staged, list_dirs, path_exists, stage
+from paylake.session import delete_paths, list_dirs, path_exists, stage
 
 # Batches with at most this many keys are broadcast into the upsert joins
 # (counted on the staged batch); larger batches use shuffle joins.
@@ -127,7 +127,7 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE `{self.database}`.`{name}` SET LOCATION "
                            f"'{self._version_path(name, n)}'")
         keep = KEEP_VERSIONS - 1  # previous versions kept besides the new one
-        drop_staged(self.spark, [self._version_path(name, v)
+        delete_paths(self.spark, [self._version_path(name, v)
                                  for v in versions[:max(len(versions) - keep, 0)]])
 
     # -- S3 -------------------------------------------------------------------
@@ -217,7 +217,7 @@ class Warehouse:
                             dynamic=True)
         # only after a successful overwrite: until then the staged copy is the
         # one complete version of the new table state
-        drop_staged(self.spark, staged)
+        delete_paths(self.spark, staged)
 
     def insert_ignore_table(self, name: str, batch: DataFrame) -> int:
         """K3: append rows whose key is not stored yet; returns rows added.
@@ -239,7 +239,7 @@ class Warehouse:
             new_rows = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows=n_hits),
                                   keys, "left_anti")
             self._append(name, new_rows)
-        drop_staged(self.spark, staged)
+        delete_paths(self.spark, staged)
         return n_batch - n_hits
 
     def keep_last_table(self, name: str, batch: DataFrame) -> None:
@@ -257,4 +257,4 @@ class Warehouse:
         staged: list = []
         self._overwrite(name, stage(new_parts, self.spark, f"{name}-next", staged),
                         dynamic=True)
-        drop_staged(self.spark, staged)
+        delete_paths(self.spark, staged)

@@ -231,5 +231,5 @@ def test_staged_batch_holds_no_raw_pii(spark):
     staged, _ = prepare(spark, raw_frame(spark, [tx("T1")]), scope=scope)
     assert "user_name" not in staged.columns and "phone_number" not in staged.columns
     assert {"masked_user_name", "masked_phone", "phone_hash"} <= set(staged.columns)
-    from paylake.session import drop_staged
-    drop_staged(spark, scope)
+    from paylake.session import delete_paths
+    delete_paths(spark, scope)
