@@ -39,3 +39,34 @@ def test_clean_matches_pandas(spark, recs):
     for g, w in zip(got, want):
         assert g[:2] == w[:2] and g[3] == w[3]
         assert (math.isnan(g[2]) and math.isnan(w[2])) or g[2] == w[2]
+
+
+days = st.sampled_from(["2026-08-01 10:00:00", "2026-08-02 11:30:00", "2026-08-03 09:15:00"])
+cats = st.sampled_from(["F&B", "Retail", "Transport", None])
+clean_rows = st.lists(st.tuples(st.sampled_from(["SUCCESS", "FAILED", "PENDING"]),
+                                st.sampled_from([10.01, 0.1, 250000.0, 1.05, 33.33]),
+                                days, cats), min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(clean_rows)
+def test_summary_matches_pandas(spark, recs):
+    from paylake.operators import model as M
+    raw = raw_frame(spark, [tx(f"T{i}", status=s, amount=a, ts=d, cat=c)
+                            for i, (s, a, d, c) in enumerate(recs)])
+    got = {(str(r["transaction_date"]), r["merchant_category"]): r
+           for r in M.daily_summary(C.clean(raw)).collect()}
+    df = pd.DataFrame(recs, columns=["status", "amount", "ts", "cat"])
+    df["day"] = df["ts"].str[:10]
+    g = df.groupby(["day", "cat"])  # null categories are not grouped
+    assert set(got) == {k for k, _ in g}
+    for (day, cat), part in g:
+        r = got[(day, cat)]
+        t = len(part)
+        s = int((part["status"] == "SUCCESS").sum())
+        assert r["total_transactions"] == t and r["successful_transactions"] == s
+        assert r["failed_transactions"] == int((part["status"] == "FAILED").sum())
+        assert r["success_rate_pct"] == round((s / t) * 100, 2)
+        assert r["total_volume_idr"] == round(float(part["amount"].sum()), 2)
+        assert r["successful_volume_idr"] == round(
+            float(part.loc[part["status"] == "SUCCESS", "amount"].sum()), 2)
