@@ -70,3 +70,27 @@ def test_summary_matches_pandas(spark, recs):
         assert r["total_volume_idr"] == round(float(part["amount"].sum()), 2)
         assert r["successful_volume_idr"] == round(
             float(part.loc[part["status"] == "SUCCESS", "amount"].sum()), 2)
+
+
+names = st.sampled_from(["Ana Bell", "Budi", "  Citra  Dewi ", None, "Eko"])
+dim_rows = st.lists(st.tuples(st.sampled_from(["U1", "U2", "U3"]), names,
+                              st.sampled_from([5.0, -1.0, None])),
+                    min_size=1, max_size=30)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(dim_rows)
+def test_dim_users_first_clean_row_matches_pandas(spark, recs):
+    from paylake.operators import model as M
+    from test_privacy_properties import py_mask_name
+    raw = raw_frame(spark, [tx(f"T{i}", uid=u, name=n, amount=a)
+                            for i, (u, n, a) in enumerate(recs)])
+    got = {r["user_id"]: r["masked_user_name"]
+           for r in M.dim_users(C.transform(raw)).collect()}
+    df = pd.DataFrame(recs, columns=["user_id", "name", "amount"])
+    df = df.dropna(subset=["amount"])
+    df = df[df["amount"] > 0]
+    first = df.drop_duplicates(subset=["user_id"])
+    want = {r.user_id: py_mask_name(r.name if isinstance(r.name, str) else None)
+            for r in first.itertuples()}
+    assert got == want
