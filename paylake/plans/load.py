@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -97,8 +98,27 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
         delete_paths(spark, scope)  # the batch copies; the warehouse drops its own
 
 
+@contextmanager
+def _described(spark: SparkSession, text: str):
+    """Label the Spark jobs of a phase (visible in event logs)."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"paylake load: {text}")
+    try:
+        yield
+    finally:
+        sc.setJobDescription(previous)
+
+
 def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits, salt,
           check_orphans, scope) -> LoadResult:
+    with _described(spark, "prepare"):
+        return _load_phases(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
+                            min_digits, salt, check_orphans, scope)
+
+
+def _load_phases(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits,
+                 salt, check_orphans, scope) -> LoadResult:
     t0 = time.perf_counter()
     staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt,
                                scope)
@@ -111,25 +131,30 @@ def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_d
     # cleaned batch); the gate then reads the staged copies, and the upserts
     # count and join them without recomputing the aggregations.
     tables = M.star_schema(staged)
-    users = stage(tables["dim_users"], spark, "dim_users-batch", scope)
-    merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch", scope)
-    summary = stage(tables["daily_merchant_summary"], spark, "summary-batch", scope)
+    with _described(spark, "model"):
+        users = stage(tables["dim_users"], spark, "dim_users-batch", scope)
+        merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch", scope)
+        summary = stage(tables["daily_merchant_summary"], spark, "summary-batch", scope)
     fact = tables["fact_transactions"]
     result.timings["model"] = time.perf_counter() - t0 - result.timings["prepare"]
     t1 = time.perf_counter()
-    result.report = DQ.validate_all(users, merchants, fact, summary,
-                                    check_orphans=check_orphans)
+    with _described(spark, "quality gate"):
+        result.report = DQ.validate_all(users, merchants, fact, summary,
+                                        check_orphans=check_orphans)
     result.timings["gate"] = time.perf_counter() - t1
     t2 = time.perf_counter()
 
-    warehouse.upsert_replace_table("dim_users", users)
-    warehouse.upsert_replace_table("dim_merchants", merchants)
-    if fact_mode == "ignore":
-        result.fact_rows_added = warehouse.insert_ignore_table("fact_transactions", fact)
-    else:
-        warehouse.keep_last_table("fact_transactions", fact)
-    warehouse.upsert_replace_table("daily_merchant_summary", summary)
-    warehouse.refresh()
+    with _described(spark, "upsert dimensions"):
+        warehouse.upsert_replace_table("dim_users", users)
+        warehouse.upsert_replace_table("dim_merchants", merchants)
+    with _described(spark, f"fact {fact_mode}"):
+        if fact_mode == "ignore":
+            result.fact_rows_added = warehouse.insert_ignore_table("fact_transactions", fact)
+        else:
+            warehouse.keep_last_table("fact_transactions", fact)
+    with _described(spark, "upsert summary"):
+        warehouse.upsert_replace_table("daily_merchant_summary", summary)
+        warehouse.refresh()
     result.timings["write"] = time.perf_counter() - t2
     result.loaded = True
     return result
