@@ -94,3 +94,30 @@ def test_dim_users_first_clean_row_matches_pandas(spark, recs):
     want = {r.user_id: py_mask_name(r.name if isinstance(r.name, str) else None)
             for r in first.itertuples()}
     assert got == want
+
+
+fact_rows = st.lists(st.tuples(st.sampled_from(["SUCCESS", "FAILED", "PENDING"]),
+                               st.sampled_from([10.01, 0.1, 250000.0, 1.05]),
+                               days), min_size=1, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(fact_rows)
+def test_q1_matches_exact_sql_semantics(spark, recs):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from paylake.operators import analytics as Q
+    from paylake.operators import model as M
+    raw = raw_frame(spark, [tx(f"T{i}", status=s, amount=a, ts=d)
+                            for i, (s, a, d) in enumerate(recs)])
+    got = {str(r["transaction_date"]): tuple(r)[1:]
+           for r in Q.q1_daily_gtv(M.fact_transactions(C.clean(raw))).collect()}
+    want = {}
+    for day in {d[:10] for _, _, d in recs}:
+        part = [(s, a) for s, a, d in recs if d[:10] == day]
+        t = len(part)
+        ok = [a for s, a in part if s == "SUCCESS"]
+        rate = (Decimal(len(ok)) * 100 / Decimal(t)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        gtv = sum(Decimal(str(a)) for a in ok)
+        want[day] = (t, len(ok), float(gtv), float(rate))
+    assert got == want
