@@ -1,7 +1,8 @@
 """Warehouse tables on Parquet: creation (S6), reads (S3), upsert writes.
 
-Layout: one directory per table under ``root``.  The fact and the daily
-summary are partitioned by ``transaction_date``; the two dimensions are not.
+Layout: one directory per table under ``root``.  The fact is partitioned by
+``transaction_date``; the two dimensions and the daily summary are
+unpartitioned snapshot tables.
 
 Plain Parquet has no MERGE, and a static overwrite deletes the old files
 before the job runs.  So:
