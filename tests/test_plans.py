@@ -98,3 +98,12 @@ def test_registered_plans_have_no_pairwise_joins(spark):
         if name != "q2_category_ranking":
             assert re.search(r"\bWindow\b", plan) is None, name
         assert not re.search(r"BroadcastExchange[^\n]*\n(?:[^\n]*\n){0,3}[^\n]*lineitem", plan), name
+
+
+def test_scan_row_cache_follows_the_files(spark, tmp_path):
+    from paylake.operators.joins import scan_rows
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    assert scan_rows(spark.read.parquet(path)) == 10
+    spark.range(5).write.mode("append").parquet(path)  # new file -> new key
+    assert scan_rows(spark.read.parquet(path)) == 15
