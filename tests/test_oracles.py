@@ -32,8 +32,8 @@ def con():
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from paylake.plans.queries import REGISTRY
+    return sorted(REGISTRY)
 
 
 @pytest.mark.parametrize("name", _names())

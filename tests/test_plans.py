@@ -86,8 +86,8 @@ def test_registered_plans_have_no_pairwise_joins(spark):
     """Every registered query: no cartesian or nested-loop join, a window only
     in Q2 (one row per category), and lineitem never broadcast."""
     import re
-    from __spark_entry__ import queries
-    for name, fn in queries().items():
+    from paylake.plans.queries import REGISTRY
+    for name, fn in REGISTRY.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, SF001).explain()  # simple format: scans show their paths
