@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, packing
+from paylake.llm import bpe, line_dedup, packing
 from paylake.llm.common import read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup(read(spark, sf_dir, "documents")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
 
@@ -16,7 +20,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read(spark, sf_dir, "documents")))
 
 
-REGISTRY = {f.__name__: f for f in (op2_bpe, op7_packing)}
+REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op7_packing)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
