@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, line_dedup, packing
+from paylake.llm import bpe, line_dedup, packing, substrings
 from paylake.llm.common import read
 
 
@@ -16,11 +16,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.dedup(read(spark, sf_dir, "documents")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read(spark, sf_dir, "documents")))
 
 
-REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op7_packing)}
+REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op6_substring_dedup, op7_packing)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
