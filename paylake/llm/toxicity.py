@@ -126,9 +126,10 @@ def _adam(state, value, grad, step, rate):
               ).astype(np.float32)
 
 
-def train(word, prefix, first, y, epochs: int = 6, batch: int = 32, rate: float = 0.01,
+def train(word, prefix, first, y, steps: int = 480, batch: int = 32, rate: float = 0.01,
           drop: float = 0.25, seed: int = 11) -> Network:
-    """Mini-batches with dropped words; embeddings get sparse Adagrad steps."""
+    """Mini-batches with dropped words, ``steps`` of them or six passes, whichever
+    is more; embeddings get sparse Adagrad steps."""
     net, rng = Network(), np.random.default_rng(seed)
     weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-3), 0.5 / max(1 - y.mean(), 1e-3))
     seen = [np.full(BUCKETS, 1e-4, np.float32) for _ in net.e]
@@ -137,7 +138,7 @@ def train(word, prefix, first, y, epochs: int = 6, batch: int = 32, rate: float
     adam_c = (np.zeros(1, np.float32), np.zeros(1, np.float32))
     bias[0] = net.c
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(6, -(-steps * batch // len(y)))):
         order = rng.permutation(len(y))
         for i in range(0, len(order), batch):
             rows = order[i:i + batch]
@@ -202,23 +203,37 @@ class Classifier:
 
     @classmethod
     def fit(cls, raw, offsets, y) -> Classifier:
-        """Three quarters of the rows train the network, the others calibrate
-        the thresholds (a language with fewer than 20 rows shares that of all)."""
+        """All rows train the network. The thresholds come from probabilities of
+        rows that a network did not see: of one quarter, or with few rows of
+        each quarter in turn. A language with fewer than 20 rows, or without
+        label 1, shares the threshold of all."""
         prior = float(y.mean()) if len(y) else 0.0
         if len(y) < 8 or prior in (0.0, 1.0):
             return cls(None, np.full(len(LANGUAGES), 0.5), prior)
         word, prefix, first = features(raw, offsets)
-        part = np.arange(len(y)) % 4 != 3
-        rows = np.flatnonzero(part)
-        size = np.diff(first)[rows]
-        ids = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
-        net = train(word[ids], prefix[ids], np.concatenate(([0], np.cumsum(size))), y[rows])
-        p, lang = net.probability(word, prefix, first), languages(raw, offsets)
-        rest = ~part
-        common = best_threshold(p[rest], y[rest])
-        thresholds = np.array([best_threshold(p[m], y[m]) if (m := rest & (lang == k)).sum() >= 20
-                               and (y[m] > 0).any() else common for k in range(len(LANGUAGES))])
-        return cls(net, thresholds, prior)
+
+        def on(rows):
+            return np.concatenate([np.arange(first[r], first[r + 1]) for r in rows]), \
+                np.concatenate(([0], np.cumsum(np.diff(first)[rows])))
+
+        def fitted(rows):
+            ids, own = on(rows)
+            return train(word[ids], prefix[ids], own, y[rows])
+
+        part, lang = np.arange(len(y)) % 4, languages(raw, offsets)
+        p = np.full(len(y), np.nan)
+        for k in range(4 if len(y) < 2000 else 1):
+            rows, others = np.flatnonzero(part != k), np.flatnonzero(part == k)
+            if not 0 < y[rows].mean() < 1:
+                continue
+            ids, own = on(others)
+            p[others] = fitted(rows).probability(word[ids], prefix[ids], own)
+        seen = ~np.isnan(p)
+        common = best_threshold(p[seen], y[seen])
+        thresholds = np.array([best_threshold(p[m], y[m])
+                               if (m := seen & (lang == k)).sum() >= 20 and (y[m] > 0).sum() >= 8
+                               else common for k in range(len(LANGUAGES))])
+        return cls(fitted(np.arange(len(y))), thresholds, prior)
 
     def score(self, raw, offsets) -> np.ndarray:
         if self.net is None:
