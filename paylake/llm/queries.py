@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, line_dedup, packing, quality, substrings, toxicity
+from paylake.llm import bpe, line_dedup, packing, pii, quality, substrings, toxicity
 from paylake.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(read(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -33,7 +37,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_line_dedup, op2_bpe, op4_toxicity, op6_substring_dedup, op7_packing, op10_quality)}
+    op1_line_dedup, op2_bpe, op3_pii, op4_toxicity, op6_substring_dedup, op7_packing, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
