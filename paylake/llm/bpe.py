@@ -20,7 +20,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from paylake.llm.common import documents, text_bytes
 from paylake.llm.tokenizer import codec, unit_starts, vocabulary_path
@@ -190,6 +189,49 @@ class ChunkEncoder:
 
 
 _workers: dict[str, ChunkEncoder] = {}
+#: Bytes of text that are encoded at a time.
+SLICE = 4 << 20
+
+
+def encode_batches(batches, path: str):
+    """(doc_id, ids) batches from (doc_id, text) batches."""
+    enc = _workers.setdefault(path, ChunkEncoder(path))
+    for batch in batches:
+        raw, offsets = text_bytes(batch.column("text"))
+        for a, b in slices(offsets, SLICE):
+            ids = enc.encode(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(a, b - a),
+                 pa.array([i.astype("<u2").tobytes() for i in ids], pa.binary())],
+                names=["doc_id", "ids"])
+
+
+def decode_batches(batches, path: str):
+    """(doc_id, ids, text) batches from (doc_id, ids) batches."""
+    tok = codec(path)
+    for batch in batches:
+        texts = [tok.decode(np.frombuffer(i, "<u2")) for i in batch.column("ids").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
+            names=["doc_id", "ids", "text"])
+
+
+def digest_batches(batches):
+    """Contract columns from (doc_id, ids, text) batches."""
+    for batch in batches:
+        ids = [np.frombuffer(i, "<u2").tolist() for i in batch.column("ids").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
+             pa.array([hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i in ids],
+                      pa.string()),
+             pa.array([hashlib.sha256(t.encode()).hexdigest()
+                       for t in batch.column("text").to_pylist()], pa.string())],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def dealt(docs: DataFrame) -> DataFrame:
+    """Documents dealt out by shared chunks; groups that are too large are split."""
+    return with_route(docs).hint("rebalance", "_route").select("doc_id", "text")
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -200,49 +242,22 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     those of the whole text whatever chunks a task has met before.
     """
     path = vocabulary or vocabulary_path()
-
-    def run(batches):
-        enc = _workers.setdefault(path, ChunkEncoder(path))
-        for batch in batches:
-            raw, offsets = text_bytes(batch.column("text"))
-            for a, b in slices(offsets, 8 << 20):
-                ids = enc.encode(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a),
-                     pa.array([i.astype("<u2").tobytes() for i in ids], pa.binary())],
-                    names=["doc_id", "ids"])
-
-    return with_route(docs).hint("rebalance", "_route").select("doc_id", "text") \
-        .mapInArrow(run, "doc_id long, ids binary")
+    return dealt(docs).mapInArrow(lambda b: encode_batches(b, path), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``doc_id, ids, text`` from ids; byte sequences that are no UTF-8 are
     replaced as the tokenizers library does."""
     path = vocabulary or vocabulary_path()
-
-    def run(batches):
-        tok = codec(path)
-        for batch in batches:
-            texts = [tok.decode(np.frombuffer(i, "<u2")) for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
-                names=["doc_id", "ids", "text"])
-
-    return encoded.mapInArrow(run, "doc_id long, ids binary, text string")
+    return encoded.mapInArrow(lambda b: decode_batches(b, path),
+                              "doc_id long, ids binary, text string")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """Contract columns from ids and decoded text."""
-
-    def run(batches):
-        for batch in batches:
-            ids = [np.frombuffer(i, "<u2").tolist() for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(",".join(map(str, i)).encode()).hexdigest()
-                           for i in ids]),
-                 batch.column("text")], names=["doc_id", "n_tokens", "ids_sha256", "text"])
-
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text string") \
-        .select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: texts encoded, decoded and
+    hashed in one pass of one worker (the ids and the decoded text leave it
+    only as hashes). Rows as in ``encode``."""
+    path = vocabulary or vocabulary_path()
+    return dealt(docs).mapInArrow(
+        lambda b: digest_batches(decode_batches(encode_batches(b, path), path)),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -13,7 +13,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digest(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
+    return bpe.round_trip(read(spark, sf_dir, "documents"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

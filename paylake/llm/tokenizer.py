@@ -25,7 +25,7 @@ from paylake.llm.words import hashes
 VOCABULARY = "byte_bpe_50k"
 END_OF_TEXT = b"<|endoftext|>"
 #: Bytes of text handled at a time; bounds the working arrays.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 #: Ends of characters after which a blank doesn't begin a unit: white space,
 #: and 0xA0 as the last byte of a no-break space (or of others, which is safe).
