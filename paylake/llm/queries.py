@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, line_dedup, near_dups, packing, pii, quality, substrings, toxicity
+from paylake.llm import bpe, fingerprints, line_dedup, near_dups, packing, pii, quality, substrings, toxicity
 from paylake.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read(spark, sf_dir, "documents")))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(read(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.link(read(spark, sf_dir, "documents"))
 
@@ -41,8 +45,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_line_dedup, op2_bpe, op3_pii, op4_toxicity, op6_substring_dedup, op7_packing, op9_minhash,
-    op10_quality)}
+    op1_line_dedup, op2_bpe, op3_pii, op4_toxicity, op6_substring_dedup, op7_packing, op8_fingerprints,
+    op9_minhash, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
