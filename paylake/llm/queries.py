@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, fingerprints, line_dedup, near_dups, packing, pii, quality, substrings, toxicity
+from paylake.llm import ann, bpe, fingerprints, line_dedup, near_dups, packing, pii, quality, substrings, toxicity
 from paylake.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.dedup(read(spark, sf_dir, "documents")))
 
@@ -45,7 +49,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_line_dedup, op2_bpe, op3_pii, op4_toxicity, op6_substring_dedup, op7_packing, op8_fingerprints,
+    op1_line_dedup, op2_bpe, op3_pii, op4_toxicity, op5_ann, op6_substring_dedup, op7_packing, op8_fingerprints,
     op9_minhash, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
