@@ -69,6 +69,38 @@ def documents(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` as ``documents`` has them, and all other columns, by
+    position, in the struct ``rest``."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = [docs.columns.index(n) for n in ("doc_id", "text")]
+    others = [F.col(f"c{i}") for i in range(len(docs.columns)) if i not in at]
+    return plain.select(F.col(f"c{at[0]}").cast("long").alias("doc_id"),
+                        F.coalesce(F.col(f"c{at[1]}").cast("string"), F.lit("")).alias("text"),
+                        F.struct(*others or [F.lit(0).alias("none")]).alias("rest"))
+
+
+def rest_type(docs: DataFrame) -> str:
+    """Type of the column ``rest``, for the schema of a pass over Arrow batches."""
+    return carried(docs).schema["rest"].dataType.simpleString()
+
+
+def restored(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``rest`` back as columns of ``like``; ``n_chars`` follows
+    the text."""
+    at = [like.columns.index(n) for n in ("doc_id", "text")]
+    out = []
+    for i, f in enumerate(like.schema.fields):
+        if i in at:
+            value = F.col(f.name)
+        elif f.name == "n_chars":
+            value = F.char_length("text")
+        else:
+            value = F.col(f"rest.c{i}")
+        out.append(value.cast(f.dataType).alias(f"c{i}"))
+    return df.select(*out).toDF(*like.columns)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage with a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession

@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import (PIECE_SCHEMA, Outbox, block_count, block_of, corpus_size,
-                                documents, empty, ids_of, mix, text_bytes, unpack)
+from paylake.llm.common import (PIECE_SCHEMA, Outbox, block_count, block_of, carried, corpus_size,
+                                documents, empty, ids_of, mix, rest_type, restored, text_bytes,
+                                unpack)
 
 BLANK = b" \t\n\x0b\x0c\r"
 _PIECE = [("_block", pa.int64()), ("_shard", pa.int64()), ("data", pa.binary())]
@@ -125,19 +126,21 @@ def _texts(table: pa.Table):
         yield data[a:b]
 
 
-def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
+          carry: bool = False) -> DataFrame:
     """Documents without the lines that ``min_docs`` documents or more hold.
 
     A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` with A-Z lower-cased.
     Keys of ``min_chars`` code points or more found in ``min_docs`` rows or more
     lose all their lines except in the largest doc_id holding them. Returns
-    ``doc_id, kept_text, n_lines, n_dropped``.
+    ``doc_id, kept_text, n_lines, n_dropped``; with ``carry`` also the other columns as
+    a struct ``rest``.
 
     Null or empty text: one empty line. Null doc_id counts as the smallest id.
     Rows that share a doc_id count as documents of their own, and all of them
     keep a line that their id owns. An empty table gives no rows.
     """
-    own = documents(docs)
+    own = carried(docs) if carry else documents(docs)
     rows, size = corpus_size(own)
     blocks, shards = block_count(rows, size), max(1, -(-size // SHARD_BYTES))
     dealt = own.withColumn("_block", block_of(blocks, "doc_id"))
@@ -179,8 +182,6 @@ def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
                          "data": pa.array(data, pa.binary())})
 
     def rewrite(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return empty(out)
         owners: dict[bytes, int] = {}
         if right.num_rows:
             h1, h2, _, _ = block_keys(left)
@@ -209,14 +210,22 @@ def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
         return pa.table({"doc_id": left.column("doc_id"),
                          "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
                          "n_lines": pa.array(lines, pa.int64()),
-                         "n_dropped": pa.array(dropped, pa.int64())})
+                         "n_dropped": pa.array(dropped, pa.int64())}
+                        | ({"rest": left.column("rest")} if carry else {}))
 
-    out = [("doc_id", pa.int64()), ("kept_text", pa.string()), ("n_lines", pa.int64()),
-           ("n_dropped", pa.int64())]
     pieces = dealt.groupBy("_block").applyInArrow(ask, PIECE_SCHEMA)
     replies = pieces.groupBy("_shard").applyInArrow(answer, PIECE_SCHEMA)
+    schema = "doc_id long, kept_text string, n_lines long, n_dropped long"
+    if carry:
+        schema += f", rest {rest_type(docs)}"
     return dealt.groupBy("_block").cogroup(replies.groupBy("_block")).applyInArrow(
-        rewrite, "doc_id long, kept_text string, n_lines long, n_dropped long")
+        rewrite, schema)
+
+
+def without_common_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """``docs`` with all their columns, texts as ``dedup`` leaves them."""
+    kept = dedup(docs, min_chars, min_docs, carry=True)
+    return restored(kept.select("doc_id", F.col("kept_text").alias("text"), "rest"), docs)
 
 
 def digest(deduped: DataFrame) -> DataFrame:

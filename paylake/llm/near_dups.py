@@ -24,11 +24,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import documents, empty, mix, text_bytes, write_shared
 from paylake.llm.bpe import slices
+from paylake.llm.common import (carried, documents, empty, mix, restored, text_bytes,
+                                write_shared)
 from paylake.llm.components import components
 from paylake.llm.words import batch_words, lower_ascii, windows
 from paylake.operators.joins import bounded_broadcast
@@ -339,3 +340,15 @@ def link(docs: DataFrame, percent: int = 75, miss: float = 1e-5) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.col("component").alias("component_id"),
                       F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 75, miss: float = 1e-5) -> DataFrame:
+    """``docs`` with all their columns, one document of each component: the one
+    whose doc_id is the component's. Rows that share this doc_id are versions of
+    one document, of which the least text stays; rows without a doc_id stay."""
+    own = carried(docs)
+    stay = link(docs, percent, miss).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = own.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi")
+    order = Window.partitionBy("doc_id").orderBy("text")
+    one = named.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    return restored(one.unionByName(own.where("doc_id IS NULL")), docs)

@@ -12,9 +12,11 @@ nearest neighbours vote with weights that grow with similarity.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from paylake.llm.bpe import slices
+from paylake.llm.common import carried, rest_type, restored, text_bytes
 from paylake.llm.labelled import training_rows
 from paylake.llm.toxicity import THRESHOLD, scored
 from paylake.llm.words import batch_words
@@ -156,3 +158,18 @@ def classify(docs: DataFrame, labels: DataFrame, bound: int = 4000, parts: int =
     """
     model = Neighbours.fit(*training_rows(docs, labels, "quality", parts, remainder, bound))
     return scored(docs, model, parts, remainder)
+
+
+def keep(docs: DataFrame, labels: DataFrame, bound: int = 4000, parts: int = 5,
+         remainder: int = 0) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``classify`` predicts as 1."""
+    model = Neighbours.fit(*training_rows(docs, labels, "quality", parts, remainder, bound))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            score = shared.value.score(*text_bytes(batch.column("text")))
+            yield batch.filter(pa.array(score >= THRESHOLD))
+
+    return restored(carried(docs).mapInArrow(
+        run, f"doc_id long, text string, rest {rest_type(docs)}"), docs)
