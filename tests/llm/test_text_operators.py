@@ -1,0 +1,283 @@
+"""Line dedup, BPE, packing, substring dedup, near-dedup against plain versions."""
+
+import collections
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from cases import frame, rows, sha, words
+from paylake.llm import bpe, fingerprints, line_dedup, near_dups, packing, substrings
+from paylake.llm.common import ship
+from paylake.llm.tokenizer import codec, vocabulary_path
+
+DATA = rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    ship(spark)
+    return frame(spark, DATA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    ship(spark)
+    return frame(spark, [])
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(vocabulary_path() + ".json")
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
+def bag(found):
+    return collections.Counter(tuple(r) for r in found)
+
+
+def test_line_dedup(docs, none):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    held = collections.defaultdict(list)
+    key = lambda s: s.strip(" \t\n\x0b\x0c\r").translate(low)
+    small = -(1 << 63)
+    for d, t in DATA:
+        for k in {key(s) for s in (t or "").split("\n")}:
+            if len(k) >= 40:
+                held[k].append(small if d is None else d)
+    common = {k: max(v) for k, v in held.items() if len(v) >= 5}
+    assert common
+    want = []
+    for d, t in DATA:
+        lines = (t or "").split("\n")
+        kept = [s for s in lines
+                if key(s) not in common or common[key(s)] == (small if d is None else d)]
+        want.append((d, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    assert bag(line_dedup.digest(line_dedup.dedup(docs)).collect()) == collections.Counter(want)
+    assert line_dedup.dedup(none).count() == 0
+    out = line_dedup.without_common_lines(docs)
+    assert out.columns == docs.columns and out.count() == len(DATA)
+
+
+def test_perfect_hash_is_minimal():
+    rng = np.random.default_rng(1)
+    h1, h2 = (rng.integers(0, 1 << 63, 50_000).astype(np.uint64) for _ in range(2))
+    h1[:1000] = h1[0]  # equal first words are told apart by the second
+    slots = line_dedup.PerfectHash.build(h1, h2).slots(h1, h2)
+    assert sorted(slots.tolist()) == list(range(50_000))
+    index = line_dedup.LineIndex(h1, h2, np.ones(50_000, np.uint32), np.arange(50_000))
+    count, _ = index.probe(h1 + np.uint64(1), h2)
+    assert count.sum() <= 1  # strangers fail the fingerprint
+
+
+def test_bpe_is_the_library(docs, none, library):
+    want = []
+    for d, t in DATA:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((d, len(ids), sha(",".join(map(str, ids))),
+                     sha(library.decode(ids, skip_special_tokens=False))))
+    assert bag(bpe.round_trip(docs).collect()) == collections.Counter(want)
+    both = bpe.decode(bpe.encode(docs)).collect()
+    assert collections.Counter(r["text"] for r in both) == collections.Counter(
+        t or "" for _, t in DATA)
+    assert bpe.round_trip(none).count() == 0
+
+
+def test_units_and_chunks_on_random_texts(library):
+    import random
+    rng = random.Random(5)
+    signs = "ab  \n\t'stremlld1290 .,!?é\xa0ñ_-–²½あ漢😀\x85\x1c İſǅʰ٣"
+    texts = []
+    for i in range(3000):
+        s = "".join(rng.choice(signs[:rng.choice([10, 24, 34, len(signs)])])
+                    for _ in range(rng.randint(0, 300)))
+        texts.append(s + "<|endoftext|>" + s if i % 50 == 0 else s)
+    tok = codec(vocabulary_path())
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    ids, at = tok.encode_many(raw, offsets)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    for mask in (3, 31):  # chunks of a few bytes put joins everywhere
+        old, bpe.CUT_MASK = bpe.CUT_MASK, np.uint32(mask)
+        try:
+            enc = bpe.ChunkEncoder(vocabulary_path())
+            got = enc.encode(raw, offsets)
+            assert [g.tolist() for g in got] == want
+            assert enc.reused > 0
+        finally:
+            bpe.CUT_MASK = old
+
+
+def test_packing(docs, none, library):
+    pieces = packing.digest(packing.pack(docs)).collect()
+    assert len({r["sequence_id"] for r in pieces}) == len(pieces)
+    by = collections.defaultdict(list)
+    for r in pieces:
+        assert r["offset"] == 0 and r["length"] & (r["length"] - 1) == 0 and r["length"] <= 2048
+        by[r["doc_id"], r["doc_tokens"], r["sequence_id"] >> packing.BUCKET_SHIFT].append(r)
+        assert 1 << (r["sequence_id"] >> packing.BUCKET_SHIFT) == r["length"]
+    want = collections.Counter()
+    for d, t in DATA:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [1]
+        at = 0
+        while at < len(ids):
+            size = min(2048, 1 << ((len(ids) - at).bit_length() - 1))
+            part = ids[at:at + size]
+            want[d, at, size, zlib.crc32(struct.pack(f"<{size}I", *part)), len(ids)] += 1
+            at += size
+    assert collections.Counter(tuple(r)[:5] for r in pieces) == want
+    assert packing.pack(none).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(docs, longest=1000)
+
+
+def plain_removal(data, size):
+    held = collections.Counter()
+    for _, t in data:
+        w = words(t)
+        held.update(tuple(w[i:i + size]) for i in range(len(w) - size + 1))
+    out = collections.Counter()
+    for d, t in data:
+        w = words(t)
+        gone = [False] * len(w)
+        for i in range(len(w) - size + 1):
+            if held[tuple(w[i:i + size])] > 1:
+                gone[i:i + size] = [True] * size
+        out[d, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone, strict=True)
+                                               if not g))] += 1
+    return out
+
+
+@pytest.mark.parametrize("size", [35, 20, 8])
+def test_substring_dedup(docs, none, size):
+    got = substrings.digest(substrings.dedup(docs, size)).collect()
+    assert bag(got) == plain_removal(DATA, size)
+    assert substrings.dedup(none, size).count() == 0
+
+
+def test_substring_dedup_on_few_words(spark):
+    """Three different words: windows repeat within texts and overlap themselves."""
+    import random
+    rng = random.Random(9)
+    data = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(0, 60)))) for i in range(60)]
+    data += [(100, "a " * 90), (101, "a b " * 40)]
+    got = substrings.digest(substrings.dedup(frame(spark, data), 9)).collect()
+    assert bag(got) == plain_removal(data, 9)
+
+
+def test_substring_spans_cover_what_went(docs):
+    for r in substrings.dedup(docs).collect():
+        assert sum(s["end"] - s["first"] for s in r["spans"]) == r["n_removed"]
+
+
+def plain_components(data):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = []
+    for d, t in data:
+        w = words((t or "").translate(low))
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5
+                    else {tuple(w)} if w else set())
+    up = list(range(len(data)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(data)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            same_id = data[i][0] is not None and data[i][0] == data[j][0]
+            linked = both and 100 * both >= 75 * len(sets[i] | sets[j])
+            if (linked and None not in (data[i][0], data[j][0])) or same_id:
+                up[max(find(i), find(j))] = min(find(i), find(j))
+    least = {}
+    for i, (d, _) in enumerate(data):
+        r = find(i)
+        least[r] = d if r not in least else min(least[r], d)
+    return collections.Counter((d, len(sets[i]), least[find(i)], d is None or d == least[find(i)])
+                               for i, (d, _) in enumerate(data))
+
+
+def test_near_dups(docs, none):
+    assert bag(near_dups.link(docs).collect()) == plain_components(DATA)
+    assert near_dups.link(none).count() == 0
+    left = near_dups.keep_one(docs)
+    ids = [r["doc_id"] for r in left.select("doc_id").collect()]
+    want = {d for d, _, c, k in plain_components(DATA) if k and d is not None}
+    assert collections.Counter(i for i in ids if i is not None) == dict.fromkeys(want, 1)
+    assert left.columns == docs.columns
+
+
+def test_near_dups_in_chunks(spark, monkeypatch):
+    """A large group with similarities about the threshold, cut into small chunks."""
+    import random
+    rng = random.Random(4)
+    voc = [f"w{i}" for i in range(300)]
+    base = [rng.choice(voc) for _ in range(120)]
+    data = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = rng.choice(voc)
+        data.append((i, " ".join(w)))
+    monkeypatch.setattr(near_dups, "CHUNK", 16)
+    assert bag(near_dups.link(frame(spark, data)).collect()) == plain_components(data)
+
+
+def test_posterior_bounds():
+    need = near_dups.least_matches(0.75, 1e-5)
+    assert need == sorted(need) and need[-1] < 0.75 * near_dups.HASHES
+    rng = np.random.default_rng(2)
+    lost = sum((np.cumsum((rng.random(near_dups.HASHES) < 0.75).reshape(-1, 16).sum(1))
+                < need).any() for _ in range(4000))
+    assert lost <= 2
+
+
+def test_fingerprints(docs, none):
+    got = fingerprints.compare(docs).collect()
+    assert len(got) == len(DATA)
+    ids = sorted({d for d, _ in DATA if d is not None})
+    least = {d: min(t or "" for e, t in DATA if e == d) for d in ids}
+    follow = {d: least[ids[(i + 1) % len(ids)]] for i, d in enumerate(ids)} | {None: ""}
+    want = collections.Counter(
+        (d, len(t or ""), sha(fingerprints.edited(t or "", follow[d]))) for d, t in DATA)
+    assert collections.Counter(tuple(r)[:3] for r in got) == want
+    prints = {}
+    for r in got:
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        prints[r["doc_id"]] = r["fingerprint"]
+    assert prints[60] == prints[61] != prints[62]
+    alone = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(docs).collect()}
+    assert all(alone[d] == p for d, p in prints.items() if d is not None)
+    assert fingerprints.compare(none).count() == 0
+
+
+def test_fingerprint_likeness_follows_edits(spark):
+    import random
+    rng = random.Random(1)
+    text = "".join(rng.choice("etaoin shrdlu") for _ in range(3000))
+
+    def edit(n):
+        s = list(text)
+        for _ in range(n):
+            s[rng.randrange(len(s))] = rng.choice("xyz")
+            del s[rng.randrange(len(s))]
+        return "".join(s)
+
+    def like(a, b):
+        steps, bits = fingerprints.walk([fingerprints.classes(fingerprints._codes(x))
+                                         for x in (a, b)])
+        return fingerprints.likeness((steps[0], bits[0]), (steps[1], bits[1]))
+
+    other = "".join(rng.choice("etaoin shrdlu") for _ in range(3000))
+    got = [np.mean([like(text, edit(n)) for _ in range(4)]) for n in (0, 3, 30, 300)]
+    assert got[0] == 1 and got[0] > got[1] > got[2] > got[3] and got[1] > 0.85
+    assert like(text, other) < 0.3 and like("", "") == 1 and like("", text) == 0
+    pairs = fingerprints.similar(fingerprints.fingerprint(
+        frame(spark, [(1, text), (2, edit(3)), (3, other), (4, text), (5, None)])))
+    assert [(r["a"], r["b"]) for r in pairs.collect()] == [(1, 2)]
