@@ -8,10 +8,12 @@ both are provided:
 * ``rate_pct_half_even`` - pandas ``round(s/t*100, 2)``: numpy scales the
   double by 100, rounds half-to-even and divides back.
 
-Money totals are ``round(sum(amount), 2)``: amounts are whole cents, so the
-double sum sits within rounding noise of an exact cent value and rounding to
-two places makes the result independent of summation order (and of the
-partitioning that decides it).
+Money sums add ``decimal(38, 6)`` values, so they do not depend on the order
+or the partitioning of the rows, and become a double once, at the end.
+Amounts of up to six decimals are summed exactly; further decimals are
+rounded half up at the sixth.  Amounts that no decimal holds (infinite, or
+beyond 1e32) are added as doubles.  ``money_total`` rounds the sum to cents
+where the reference's SQL does; ``money_sum`` does not.
 """
 
 from __future__ import annotations
@@ -32,5 +34,16 @@ def rate_pct_half_even(successes: Column, total: Column) -> Column:
     return F.rint(ratio * F.lit(100.0)) / F.lit(100.0)
 
 
+SUM_TYPE = "decimal(38,6)"
+
+
+def money_sum(amount: Column) -> Column:
+    """Order-independent sum as a double; null without non-null amounts."""
+    exact = amount.try_cast(SUM_TYPE)
+    rest = F.sum(F.when(exact.isNull(), amount))
+    total = F.sum(exact).cast("double")
+    return F.when(rest.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + rest)
+
+
 def money_total(amount: Column) -> Column:
-    return F.round(F.sum(amount), 2)
+    return F.round(money_sum(amount), 2)

@@ -11,19 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.functions.numeric import rate_pct_half_up
+from paylake.functions.numeric import SUM_TYPE, money_total, rate_pct_half_up
 
 
 def _success():
     return F.col("status") == "SUCCESS"
 
 
+def _spent():
+    return F.when(_success(), F.col("amount")).otherwise(F.lit(0.0))
+
+
+def _exact():
+    """Successful amount as the decimal that per-merchant and per-category sums share."""
+    return _spent().try_cast(SUM_TYPE)
+
+
 def q1_daily_gtv(fact: DataFrame) -> DataFrame:
     """Daily gross transaction value and volume, by day ascending."""
     agg = fact.groupBy("transaction_date").agg(
         F.count("transaction_id").alias("total_transactions"),
         F.count_if(_success()).alias("successful_transactions"),
-        F.round(F.sum(F.when(_success(), F.col("amount")).otherwise(F.lit(0.0))), 2)
+        money_total(F.when(_success(), F.col("amount")).otherwise(F.lit(0.0)))
         .alias("total_gtv_idr"))
     return (agg.withColumn("overall_success_rate_pct",
                            rate_pct_half_up(F.col("successful_transactions"),
@@ -39,12 +48,13 @@ def q2_category_ranking(fact: DataFrame, dim_merchants: DataFrame) -> DataFrame:
     """
     per_merchant = fact.groupBy("merchant_id").agg(
         F.count("transaction_id").alias("_n"),
-        F.sum(F.when(_success(), F.col("amount")).otherwise(F.lit(0.0))).alias("_v"))
+        F.sum(_exact()).alias("_v"), F.sum(F.when(_exact().isNull(), _spent())).alias("_w"))
     per_cat = (per_merchant.join(dim_merchants.select("merchant_id", "merchant_category"),
                                  "merchant_id")
                .groupBy("merchant_category")
                .agg(F.sum("_n").alias("total_tx_count"),
-                    F.round(F.sum("_v"), 2).alias("total_volume_idr")))
+                    (F.coalesce(F.sum("_v").cast("double"), F.lit(0.0)) + F.coalesce(F.sum("_w"), F.lit(0.0)))
+                    .alias("total_volume_idr")))
     # One row per category: the unpartitioned window sees a handful of rows.
     w = Window.orderBy(F.col("total_volume_idr").desc())
     return (per_cat.withColumn("rank_by_volume", F.dense_rank().over(w).cast("long"))
@@ -89,7 +99,7 @@ def q4_top_users(fact: DataFrame, dim_users: DataFrame, k: int = 10) -> DataFram
     per_user = (fact.filter(_success())
                 .groupBy("user_id")
                 .agg(F.count("transaction_id").alias("total_transactions"),
-                     F.round(F.sum("amount"), 2).alias("total_spent_idr")))
+                     money_total(F.col("amount")).alias("total_spent_idr")))
     known = per_user.join(dim_users.select("user_id"), "user_id", "left_semi")
     top = known.orderBy(F.col("total_spent_idr").desc(), "user_id").limit(k)
     attrs = dim_users.select("user_id", "masked_user_name", "masked_phone")

@@ -25,7 +25,8 @@ FROM (
   SELECT transaction_date,
          COUNT(transaction_id) AS total_transactions,
          COUNT_IF(status = 'SUCCESS') AS successful_transactions,
-         ROUND(SUM(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END), 2) AS total_gtv_idr
+         ROUND(CAST(SUM(CAST(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END AS DECIMAL(38,6)))
+                    AS DOUBLE), 2) AS total_gtv_idr
   FROM fact_transactions
   GROUP BY transaction_date)
 ORDER BY transaction_date ASC NULLS FIRST
@@ -34,17 +35,18 @@ ORDER BY transaction_date ASC NULLS FIRST
 Q2 = """
 WITH per_merchant AS (
   SELECT merchant_id, COUNT(transaction_id) AS n,
-         SUM(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END) AS v
+         SUM(CAST(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END AS DECIMAL(38,6))) AS v
   FROM fact_transactions
   GROUP BY merchant_id
-), category_metrics AS (
-  SELECT m.merchant_category, SUM(p.n) AS total_tx_count, ROUND(SUM(p.v), 2) AS total_volume_idr
+), by_category AS (
+  SELECT m.merchant_category, SUM(p.n) AS total_tx_count,
+         CAST(SUM(p.v) AS DOUBLE) AS total_volume_idr
   FROM per_merchant p JOIN dim_merchants m ON p.merchant_id = m.merchant_id
   GROUP BY m.merchant_category
 )
 SELECT merchant_category, total_tx_count, total_volume_idr,
        CAST(DENSE_RANK() OVER (ORDER BY total_volume_idr DESC) AS BIGINT) AS rank_by_volume
-FROM category_metrics
+FROM by_category
 ORDER BY rank_by_volume, merchant_category
 """
 
@@ -75,7 +77,8 @@ ORDER BY success_rate_pct DESC, payment_method
 
 Q4 = """
 WITH per_user AS (
-  SELECT user_id, COUNT(transaction_id) AS total_transactions, SUM(amount) AS spent
+  SELECT user_id, COUNT(transaction_id) AS total_transactions,
+         CAST(SUM(CAST(amount AS DECIMAL(38,6))) AS DOUBLE) AS spent
   FROM fact_transactions
   WHERE status = 'SUCCESS'
   GROUP BY user_id

@@ -14,22 +14,35 @@ from pyspark.sql import functions as F
 
 from paylake.functions.privacy import hash_pii, mask_name, mask_phone
 from paylake.functions.timeparse import parse_day, parse_lenient, parse_strict
-from paylake.schemas import ORD
+from paylake.schemas import ORD, TIMESTAMP_FORMAT
 
 CRITICAL = ["transaction_id", "user_id", "amount", "status"]
 
 
-def between_days(raw: DataFrame, start=None, end=None) -> DataFrame:
+def between_days(raw: DataFrame, start=None, end=None,
+                 fmt: str = TIMESTAMP_FORMAT) -> DataFrame:
     """F1+F2 over a range: keep rows whose parsed timestamp falls in
     [start, end); ``None`` leaves that side open.  Rows with unparsable
-    timestamps always fall out.  Written as a half-open range on the parsed
-    value, not as a comparison of formatted text.
+    timestamps always fall out.  The exact filter is a half-open range on the
+    parsed value.
+
+    With the fixed-width format a range on the raw text comes first: the scan
+    can use it (pushed filter, row-group statistics).  It keeps every row of the
+    exact filter.  A text that parses starts with a four-digit year, so text
+    and time sort alike, or with a sign: a minus sorts before all digits, as
+    such years do, and a plus (a year beyond 9999) is let through.
     """
     def at(d):
         # wall-clock literal from text: independent of driver and session zones
         return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
 
-    ts = parse_lenient(F.col("timestamp"))
+    text = F.col("timestamp")
+    if fmt == TIMESTAMP_FORMAT:
+        if start is not None:
+            raw = raw.filter((text >= parse_day(start).isoformat()) | text.startswith("+"))
+        if end is not None:
+            raw = raw.filter(text < parse_day(end).isoformat())
+    ts = parse_lenient(text, fmt)
     cond = ts.isNotNull()
     if start is not None:
         cond = cond & (ts >= at(parse_day(start)))
@@ -38,23 +51,33 @@ def between_days(raw: DataFrame, start=None, end=None) -> DataFrame:
     return raw.filter(cond)
 
 
-def day_slice(raw: DataFrame, day) -> DataFrame:
+def day_slice(raw: DataFrame, day, fmt: str = TIMESTAMP_FORMAT) -> DataFrame:
     """the reference's incremental filter - rows of one target day."""
     lo = parse_day(day)
-    return between_days(raw, lo, lo + _dt.timedelta(days=1))
+    return between_days(raw, lo, lo + _dt.timedelta(days=1), fmt)
 
 
 def dedupe_first(df: DataFrame, key: str = "transaction_id", order: str = ORD) -> DataFrame:
     """one row per key, the first in ingest order; null keys form one group.
 
-    An aggregate rather than a window: ``min_by`` is computed partially on the
+    An aggregate rather than a window: the minimum is computed partially on the
     map side, so a key holding a third of all rows leaves each map task as a
     single row and never lands whole in one reduce task.
     """
-    rest = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order)).alias("_first"))
-    return picked.select(key, *[F.col(f"_first.{c}").alias(c) for c in rest])
+    attrs = [c for c in df.columns if c not in (key, order)]
+    return first_row(df, key, attrs, order, keep_order=order in df.columns) \
+        .select(*df.columns)
+
+
+def first_row(df: DataFrame, key: str, attrs: list[str], order: str = ORD,
+              keep_order: bool = False) -> DataFrame:
+    """``key`` and ``attrs`` of each key's first row.  The least struct of (order,
+    attributes) is that row, so the order key travels once per row."""
+    first = F.min(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in attrs]))
+    out = [key, *[F.col(f"_first.{c}").alias(c) for c in attrs]]
+    if keep_order:
+        out.append(F.col("_first._o").alias(order))
+    return df.groupBy(key).agg(first.alias("_first")).select(*out)
 
 
 def drop_incomplete(df: DataFrame, subset=None) -> DataFrame:
@@ -68,11 +91,12 @@ def positive_amount(df: DataFrame) -> DataFrame:
     return df.filter(F.col("amount") > 0)
 
 
-def standardise(df: DataFrame, strict_timestamps: bool = True) -> DataFrame:
+def standardise(df: DataFrame, strict_timestamps: bool = True,
+                fmt: str = TIMESTAMP_FORMAT) -> DataFrame:
     """Parse timestamp (strict), derive the day, amount as double,
     upper-case status (no trimming)."""
     parse = parse_strict if strict_timestamps else parse_lenient
-    return (df.withColumn("timestamp", parse(F.col("timestamp")))
+    return (df.withColumn("timestamp", parse(F.col("timestamp"), fmt))
             .withColumn("transaction_date", F.to_date(F.col("timestamp")))
             .withColumn("amount", F.col("amount").cast("double"))
             .withColumn("status", F.upper(F.col("status"))))

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.functions.numeric import money_total, rate_pct_half_even
+from paylake.operators.cleaning import first_row
+from paylake.functions.numeric import money_sum, rate_pct_half_even
 from paylake.schemas import DAILY_SUMMARY, DIM_MERCHANTS, DIM_USERS, FACT, ORD
 
 
 def _first_per_key(df: DataFrame, key: str, attrs: list[str], order: str = ORD) -> DataFrame:
     """First row per key in ingest order, as a partial (map-side) aggregate."""
-    picked = df.groupBy(key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in attrs]), F.col(order)).alias("_first"))
-    return picked.select(key, *[F.col(f"_first.{c}").alias(c) for c in attrs])
+    return first_row(df, key, attrs, order)
 
 
 def dim_users(clean: DataFrame) -> DataFrame:
@@ -47,8 +46,8 @@ def daily_summary(clean: DataFrame) -> DataFrame:
            .agg(F.count("transaction_id").alias("total_transactions"),
                 F.count_if(status == "SUCCESS").alias("successful_transactions"),
                 F.count_if(status == "FAILED").alias("failed_transactions"),
-                money_total(amount).alias("total_volume_idr"),
-                money_total(F.when(status == "SUCCESS", amount).otherwise(F.lit(0.0)))
+                money_sum(amount).alias("total_volume_idr"),
+                money_sum(F.when(status == "SUCCESS", amount).otherwise(F.lit(0.0)))
                 .alias("successful_volume_idr")))
     agg = agg.withColumn("success_rate_pct",
                          rate_pct_half_even(F.col("successful_transactions"),

@@ -4,7 +4,9 @@
         --raw s3a://.../raw/ --format csv \\
         --warehouse s3a://.../warehouse [--database payments] \\
         (--date 2026-08-01 | --start D --end D | --full | --yesterday) \\
-        [--fact-mode ignore|replace] [--check-orphans]
+        [--fact-mode ignore|replace] [--check-orphans] [--count-read] \\
+        [--timestamp-format P] [--multi-line] [--export-csv DIR] \\
+        [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
 
 ``--full`` wins over a day, as in the reference.  The reference falls back to
 "yesterday" when no mode is given; here that fallback must be asked for
@@ -16,12 +18,15 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 
 from pyspark.sql import SparkSession
 
 from paylake.plans.load import default_day, run_load
+from paylake.schemas import TIMESTAMP_FORMAT
 from paylake.session import shared_root
-from paylake.sources.raw import read_raw_csv, read_raw_parquet
+from paylake.sources.jdbc import jdbc_options
+from paylake.sources.raw import count_corrupt, read_raw_csv, read_raw_parquet
 from paylake.sources.warehouse import Warehouse
 
 
@@ -39,7 +44,21 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--full", action="store_true", help="load every row (wins over a day)")
     p.add_argument("--fact-mode", choices=("ignore", "replace"), default="ignore")
     p.add_argument("--check-orphans", action="store_true")
+    p.add_argument("--count-read", action="store_true",
+                   help="also count the whole raw log (a second scan)")
+    p.add_argument("--timestamp-format", default=TIMESTAMP_FORMAT)
+    p.add_argument("--multi-line", action="store_true",
+                   help="CSV fields may hold line breaks (files are not split)")
+    p.add_argument("--export-csv", default=None, help="write the four tables as CSV folders")
+    p.add_argument("--jdbc-url", default=None, help="append the batch's four tables there")
+    p.add_argument("--jdbc-user", default=None)
+    p.add_argument("--jdbc-password-env", default=None,
+                   help="environment variable that holds the password")
+    p.add_argument("--jdbc-driver", default=None)
+    p.add_argument("--jdbc-connections", type=int, default=None)
     args = p.parse_args(argv)
+    if (args.date or args.yesterday) and (args.start or args.end):
+        p.error("--date and --yesterday exclude --start/--end")
     if not (args.full or args.date or args.yesterday or args.start or args.end):
         p.error("give --date, --start/--end, --full or --yesterday")
     return args
@@ -49,13 +68,24 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     args = parse_args(argv)
     spark = spark or SparkSession.builder.appName("paylake-load").getOrCreate()
     shared_root(spark)  # the job stages in spark.checkpoint.dir
-    raw = (read_raw_csv if args.format == "csv" else read_raw_parquet)(spark, args.raw)
+    raw = (read_raw_csv(spark, args.raw, args.multi_line) if args.format == "csv"
+           else read_raw_parquet(spark, args.raw))
+    jdbc = None
+    if args.jdbc_url:
+        password = os.environ[args.jdbc_password_env] if args.jdbc_password_env else None
+        jdbc = {"url": args.jdbc_url, "num_partitions": args.jdbc_connections,
+                "props": jdbc_options(args.jdbc_url, args.jdbc_user, password, args.jdbc_driver)}
     wh = Warehouse(spark, args.warehouse, database=args.database)
     wh.create_tables()
     day = default_day() if args.yesterday else args.date
     result = run_load(spark, raw, wh, full=args.full, day=None if args.full else day,
                       start=args.start, end=args.end, fact_mode=args.fact_mode,
-                      check_orphans=args.check_orphans, count_read=True)
+                      check_orphans=args.check_orphans, count_read=args.count_read,
+                      timestamp_format=args.timestamp_format, jdbc=jdbc,
+                      export_dir=args.export_csv)
+    if args.format == "csv":
+        result.counters["corrupt_records"] = count_corrupt(spark, args.raw, args.multi_line) \
+            if args.count_read else None
     out = {"loaded": result.loaded, "counters": result.counters,
            "fact_rows_added": result.fact_rows_added,
            "rules": [{k: r[k] for k in ("rule_no", "rule", "table_name", "column_name",

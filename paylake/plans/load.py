@@ -24,7 +24,9 @@ from paylake.functions.timeparse import parse_day, yesterday
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
+from paylake.schemas import TABLES, TIMESTAMP_FORMAT
 from paylake.session import delete_paths, stage
+from paylake.sources.jdbc import append_all
 from paylake.sources.warehouse import Warehouse
 
 FACT_MODES = ("ignore", "replace")
@@ -47,14 +49,15 @@ def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
             strict_timestamps: bool = True, min_digits: int = 7,
-            salt: str | None = None, scope: list | None = None) -> tuple[DataFrame, dict]:
+            salt: str | None = None, scope: list | None = None,
+            fmt: str = TIMESTAMP_FORMAT) -> tuple[DataFrame, dict]:
     """Filter, clean, mask and stage one batch; return (staged, counters)."""
-    batch = raw if start is None and end is None else C.between_days(raw, start, end)
+    batch = raw if start is None and end is None else C.between_days(raw, start, end, fmt)
     batch, o_batch = _count(batch, "batch")
     deduped, o_dedupe = _count(C.dedupe_first(batch), "dedupe")
     complete, o_null = _count(C.drop_incomplete(deduped), "drop_missing")
     positive, o_amount = _count(C.positive_amount(complete), "positive_amount")
-    cleaned = C.mask_pii(C.standardise(positive, strict_timestamps), min_digits, salt)
+    cleaned = C.mask_pii(C.standardise(positive, strict_timestamps, fmt), min_digits, salt)
     # raw PII never reaches storage: only masked values and the hash are staged
     staged = stage(cleaned.drop(*RAW_PII), spark, "clean", scope)
     named = {"batch": o_batch, "dedupe": o_dedupe, "drop_missing": o_null,
@@ -71,12 +74,21 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
              day=None, start=None, end=None, full: bool = False,
              fact_mode: str = "ignore", strict_timestamps: bool = True,
              min_digits: int = 7, salt: str | None = None,
-             check_orphans: bool = False, count_read: bool = False) -> LoadResult:
+             check_orphans: bool = False, count_read: bool = False,
+             timestamp_format: str = TIMESTAMP_FORMAT, summary_from_store: bool = False,
+             jdbc: dict | None = None, export_dir: str | None = None) -> LoadResult:
     """One load.  ``full`` wins over ``day``/``start``/``end`` (as ``--full``
     wins over ``--date`` in the reference).  With none of them given the
     caller must choose: see ``default_day``.  ``count_read`` adds the rows of
     the whole source (before the day filter) to the counters - a separate
-    count job, so that the day filter still reaches the scan."""
+    count job over the whole source, so ask for it only where that is wanted.
+
+    ``timestamp_format`` is the raw log's (a Spark datetime pattern).
+    ``summary_from_store`` makes the daily summary of the batch's days from the
+    stored facts, for batches that do not hold whole days.  ``jdbc`` (``url``,
+    optional ``props`` and ``num_partitions``) appends the batch's four tables to
+    a database, ``export_dir`` writes the four stored tables as CSV folders,
+    both after the warehouse's own writes; a failure raises."""
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
     if full:
@@ -90,7 +102,8 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     scope: list = []
     try:
         result = _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
-                       min_digits, salt, check_orphans, scope)
+                       min_digits, salt, check_orphans, scope, timestamp_format,
+                       summary_from_store, jdbc, export_dir)
         if count_read:
             result.counters = {"read": raw.count(), **result.counters}
         return result
@@ -111,17 +124,11 @@ def _described(spark: SparkSession, text: str):
 
 
 def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits, salt,
-          check_orphans, scope) -> LoadResult:
-    with _described(spark, "prepare"):
-        return _load_phases(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
-                            min_digits, salt, check_orphans, scope)
-
-
-def _load_phases(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits,
-                 salt, check_orphans, scope) -> LoadResult:
+          check_orphans, scope, fmt, summary_from_store, jdbc, export_dir) -> LoadResult:
     t0 = time.perf_counter()
-    staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt,
-                               scope)
+    with _described(spark, "prepare"):
+        staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt,
+                                   scope, fmt)
     result = LoadResult(counters=counters)
     result.timings["prepare"] = time.perf_counter() - t0
     if staged.count() == 0:  # Parquet footers only
@@ -144,6 +151,7 @@ def _load_phases(spark, raw, warehouse, start, end, fact_mode, strict_timestamps
     result.timings["gate"] = time.perf_counter() - t1
     t2 = time.perf_counter()
 
+    days = [r[0] for r in fact.select("transaction_date").distinct().collect()]
     with _described(spark, "upsert dimensions"):
         warehouse.upsert_replace_table("dim_users", users)
         warehouse.upsert_replace_table("dim_merchants", merchants)
@@ -151,15 +159,36 @@ def _load_phases(spark, raw, warehouse, start, end, fact_mode, strict_timestamps
         if fact_mode == "ignore":
             result.fact_rows_added = warehouse.insert_ignore_table("fact_transactions", fact)
         else:
-            warehouse.keep_last_table("fact_transactions", fact)
+            days = warehouse.keep_last_table("fact_transactions", fact)
     with _described(spark, "upsert summary"):
+        if summary_from_store:
+            summary = stage(stored_summary(warehouse, days), spark, "summary-stored", scope)
         warehouse.upsert_replace_table("daily_merchant_summary", summary)
-        warehouse.refresh()
+        warehouse.refresh(days)
+    if jdbc:
+        with _described(spark, "jdbc append"):
+            append_all({"dim_users": users, "dim_merchants": merchants,
+                        "fact_transactions": fact, "daily_merchant_summary": summary},
+                       jdbc["url"], jdbc.get("props") or {}, jdbc.get("num_partitions"))
+    if export_dir:
+        with _described(spark, "csv export"):
+            for name in TABLES:
+                warehouse.export_csv(name, f"{export_dir.rstrip('/')}/{name}")
     result.timings["write"] = time.perf_counter() - t2
     result.loaded = True
     return result
 
 
+def stored_summary(warehouse: Warehouse, days: list) -> DataFrame:
+    """The daily summary of ``days`` from the stored facts, categories by the
+    stored merchants (the fact holds no category of its own)."""
+    known = [d for d in days if d is not None]
+    fact = warehouse.read("fact_transactions").filter(F.col("transaction_date").isin(known)
+                                                      if known else F.lit(False))
+    merchants = warehouse.read("dim_merchants").select("merchant_id", "merchant_category")
+    return M.daily_summary(fact.join(merchants, "merchant_id"))
+
+
 def default_day() -> _dt.date:
     """yesterday - only when the caller opts in (see README, 8.11)."""
     return yesterday()

@@ -115,9 +115,9 @@ def _clean(src: str, p: str) -> list[str]:
                count(transaction_id) AS total_transactions,
                count(*) FILTER (WHERE status = 'SUCCESS') AS successful_transactions,
                count(*) FILTER (WHERE status = 'FAILED') AS failed_transactions,
-               round(sum(amount), 2) AS total_volume_idr,
-               round(sum(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0.0 END), 2)
-                 AS successful_volume_idr
+               CAST(sum(CAST(amount AS DECIMAL(38,6))) AS DOUBLE) AS total_volume_idr,
+               CAST(sum(CAST(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0.0 END
+                             AS DECIMAL(38,6))) AS DOUBLE) AS successful_volume_idr
         FROM {p}clean
         WHERE transaction_date IS NOT NULL AND merchant_category IS NOT NULL
         GROUP BY transaction_date, merchant_category))""",
@@ -237,6 +237,9 @@ def oracle_sql() -> dict[str, str]:
                   f"UNION ALL SELECT {SUMMARY_COLS} FROM b_summary")
     fact_cols = ("transaction_id, user_id, merchant_id, amount, payment_method, status, "
                  "\"timestamp\", transaction_date")
+    ignore_ab = (f"SELECT {fact_cols} FROM a_fact UNION ALL SELECT {fact_cols} FROM b_fact b "
+                 f"WHERE NOT EXISTS (SELECT 1 FROM a_fact a "
+                 f"WHERE a.transaction_id = b.transaction_id)")
     return {
         "raw_day_slice": _with(RAW_CTE, _slice("raw", "day", SLICE_DAY,
                                                _next_day(SLICE_DAY)))
@@ -302,16 +305,27 @@ def oracle_sql() -> dict[str, str]:
         "upsert_keep_last": BATCHES + (
             f"SELECT {fact_cols} FROM a_fact a WHERE NOT EXISTS (SELECT 1 FROM b_fact b "
             f"WHERE b.transaction_id = a.transaction_id) UNION ALL SELECT {fact_cols} FROM b_fact"),
-        "insert_ignore": BATCHES + (
-            f"SELECT {fact_cols} FROM a_fact UNION ALL SELECT {fact_cols} FROM b_fact b "
-            f"WHERE NOT EXISTS (SELECT 1 FROM a_fact a WHERE a.transaction_id = b.transaction_id)"),
+        "insert_ignore": BATCHES + ignore_ab,
         "full_load_daily": FULL + "SELECT * FROM summary",
         "incremental_replay": BATCHES + replace_ab,
+        "incremental_replay_fact": BATCHES + ignore_ab,
+        "raw_csv_roundtrip": _with(RAW_CTE) + f"SELECT {RAW_COLS} FROM raw",
+        "dq_status_values": _with(RAW_CTE) + (
+            "SELECT status, count(*) AS \"rows\" FROM raw WHERE status IS NOT NULL "
+            "AND status NOT IN ('SUCCESS', 'FAILED', 'PENDING') GROUP BY status"),
+        "dq_missing_column": FULL + _union(
+            _complete(1, "dim_merchants", "merchants", ["merchant_id"], "merchant_id")
+            + ["SELECT CAST(2 AS INTEGER) AS rule_no, 'column_present' AS rule, "
+               "'dim_merchants' AS table_name, 'merchant_name' AS column_name, "
+               "CAST(1 AS BIGINT) AS violations, false AS passed, "
+               "CAST(NULL AS VARCHAR) AS sample"]
+            + _complete(3, "dim_merchants", "merchants", ["merchant_category"], "merchant_id")),
         "q1_daily_gtv": FULL + _q1("fact"),
         "q2_category_ranking": FULL + """SELECT merchant_category, total_tx_count, total_volume_idr,
        dense_rank() OVER (ORDER BY total_volume_idr DESC) AS rank_by_volume
 FROM (SELECT m.merchant_category, count(t.transaction_id) AS total_tx_count,
-             round(sum(CASE WHEN t.status = 'SUCCESS' THEN t.amount ELSE 0.0 END), 2) AS total_volume_idr
+             CAST(sum(CAST(CASE WHEN t.status = 'SUCCESS' THEN t.amount ELSE 0.0 END
+                           AS DECIMAL(38,6))) AS DOUBLE) AS total_volume_idr
       FROM fact t JOIN merchants m ON t.merchant_id = m.merchant_id
       GROUP BY m.merchant_category)""",
         "q3_payment_health": FULL + f"""SELECT payment_method, total_attempts, successful_tx, failed_tx,

@@ -2,7 +2,8 @@
 
 Every query reads the supplied tables through the adapter, so its work grows
 with ``lineitem``; none runs on fixed or sampled input.  Each returns a lazy
-DataFrame (the caller triggers it).
+DataFrame (the caller triggers it); the load and upsert queries first run the
+load job into a warehouse of their own and return what its tables hold.
 
 Batch parameters for the incremental/upsert queries: batch A holds the events
 before ``CUT_DAY``, batch B those from ``OVERLAP_DAY`` on.  The overlap makes
@@ -20,9 +21,12 @@ from paylake.operators import analytics as Q
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
-from paylake.operators import upsert as K
-from paylake.schemas import DAILY_SUMMARY, ORD, RAW_COLUMNS, TABLES
+from paylake.plans.load import run_load
+from paylake.schemas import ORD, RAW_COLUMNS
+from paylake.session import scratch_path
+from paylake.sources.raw import read_raw_csv
 from paylake.sources.testdata import raw_transactions
+from paylake.sources.warehouse import Warehouse
 
 SLICE_DAY = "1998-07-01"
 CUT_DAY = "1998-07-01"
@@ -42,12 +46,6 @@ def _batch(spark, sf_dir, start, end) -> dict[str, DataFrame]:
     return M.star_schema(C.transform(C.between_days(raw, start, end)))
 
 
-def _batches(spark, sf_dir):
-    a = _batch(spark, sf_dir, None, CUT_DAY)
-    b = _batch(spark, sf_dir, OVERLAP_DAY, None)
-    return a, b
-
-
 # --- scans and cleaning ------------------------------------------------------
 
 def raw_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +161,7 @@ def dq_composite_key(spark, sf_dir):
 
 
 def dq_orphans(spark, sf_dir):
-    a, b = _batches(spark, sf_dir)
+    a = _batch(spark, sf_dir, None, CUT_DAY)
     full = _model(spark, sf_dir)
     return _union([
         DQ.orphans(full["fact_transactions"], full["dim_users"], "user_id", rule_no=1),
@@ -181,50 +179,68 @@ def dq_report(spark, sf_dir):
 
 # --- upserts and load modes --------------------------------------------------
 
-def _key(table):
-    return TABLES[table][1]
+def _loaded(spark, sf_dir, *ranges, fact_mode: str = "ignore") -> Warehouse:
+    """A fresh warehouse in the shared folder after one load job per range of
+    days (``None, None``: a full load): scan, clean, gate, upserts."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.create_tables()
+    for start, end in ranges:
+        run_load(spark, raw_transactions(spark, sf_dir, start, end), wh, start=start, end=end,
+                 full=start is None and end is None, fact_mode=fact_mode)
+    return wh
+
+
+BATCH_A = (None, CUT_DAY)
+BATCH_B = (OVERLAP_DAY, None)
 
 
 def upsert_replace(spark, sf_dir):
-    """Daily summary after batch A then batch B, REPLACE on (day, category)."""
-    a, b = _batches(spark, sf_dir)
-    t = "daily_merchant_summary"
-    return K.upsert_replace(a[t], b[t], _key(t))
+    """Stored daily summary after loads of batch A then B: REPLACE on (day, category)."""
+    return _loaded(spark, sf_dir, BATCH_A, BATCH_B).read("daily_merchant_summary")
 
 
 def upsert_keep_last(spark, sf_dir):
-    """Fact after batch A then batch B, keeping the last version per id."""
-    a, b = _batches(spark, sf_dir)
-    t = "fact_transactions"
-    return K.keep_last(a[t], b[t], _key(t))
+    """Stored fact after replace loads of batch A then B: the last version per id."""
+    return _loaded(spark, sf_dir, BATCH_A, BATCH_B, fact_mode="replace").read("fact_transactions")
 
 
 def insert_ignore(spark, sf_dir):
-    """Fact after batch A then batch B, keeping the stored version per id."""
-    a, b = _batches(spark, sf_dir)
-    t = "fact_transactions"
-    return K.insert_ignore_state(a[t], b[t], _key(t))
+    """Stored fact after ignore loads of batch A then B: the stored version per id."""
+    return _loaded(spark, sf_dir, BATCH_A, BATCH_B).read("fact_transactions")
 
 
 def full_load_daily(spark, sf_dir):
-    """L1: the summary table a full load writes into an empty warehouse.
-
-    As in the load job, the quality gate runs first (it collects one row per
-    rule) and raises if any rule fails; only then is the summary returned.
-    """
-    m = _model(spark, sf_dir)
-    DQ.validate_all(m["dim_users"], m["dim_merchants"], m["fact_transactions"],
-                    m["daily_merchant_summary"])
-    return m["daily_merchant_summary"]
+    """L1: the summary table a full load writes into an empty warehouse."""
+    return _loaded(spark, sf_dir, (None, None)).read("daily_merchant_summary")
 
 
 def incremental_replay(spark, sf_dir):
-    """L2: batch A, batch B, then batch B again; the replay changes nothing."""
-    a, b = _batches(spark, sf_dir)
-    t = "daily_merchant_summary"
-    state = K.upsert_replace(a[t], b[t], _key(t))
-    state = K.upsert_replace(state, b[t], _key(t))
-    return state.select(*[f.name for f in DAILY_SUMMARY.fields])
+    """L2: loads of batch A, batch B, then batch B again; the replay changes nothing."""
+    wh = _loaded(spark, sf_dir, BATCH_A, BATCH_B, BATCH_B)
+    return wh.read("daily_merchant_summary")
+
+
+def incremental_replay_fact(spark, sf_dir):
+    """L2: the stored fact after the same three loads."""
+    return _loaded(spark, sf_dir, BATCH_A, BATCH_B, BATCH_B).read("fact_transactions")
+
+
+def raw_csv_roundtrip(spark, sf_dir):
+    """The raw log written as CSV files and scanned again."""
+    path = scratch_path(spark, "raw-csv")
+    _raw(spark, sf_dir).drop(ORD).write.option("header", True).option("escape", '"').csv(path)
+    return read_raw_csv(spark, path).select(*RAW_COLUMNS)
+
+
+def dq_status_values(spark, sf_dir):
+    """The distinct statuses outside the domain in the raw log, with their rows."""
+    return DQ.invalid_statuses(_raw(spark, sf_dir))
+
+
+def dq_missing_column(spark, sf_dir):
+    """The merchant table without one of its required columns."""
+    merchants = _model(spark, sf_dir)["dim_merchants"].drop("merchant_name")
+    return DQ.completeness(merchants, DQ.MERCHANT_REQUIRED, "dim_merchants", "merchant_id")
 
 
 # --- analytics ---------------------------------------------------------------
@@ -275,6 +291,10 @@ REGISTRY = {
     "insert_ignore": insert_ignore,
     "full_load_daily": full_load_daily,
     "incremental_replay": incremental_replay,
+    "incremental_replay_fact": incremental_replay_fact,
+    "raw_csv_roundtrip": raw_csv_roundtrip,
+    "dq_status_values": dq_status_values,
+    "dq_missing_column": dq_missing_column,
     "q1_daily_gtv": q1_daily_gtv,
     "q2_category_ranking": q2_category_ranking,
     "q3_payment_health": q3_payment_health,

@@ -72,8 +72,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared durable folder for lineage cuts and staging tables.
 
     Reads ``spark.checkpoint.dir`` (or the directory already set on the
-    context).  Only when neither is set - local runs and tests - a temp folder
-    is created and registered as the checkpoint dir.
+    context).  When neither is set, a local master gets a temp folder; any
+    other master raises, since its executors do not share the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -83,6 +83,8 @@ def shared_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="paylake-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -3,8 +3,10 @@
 The reference appends to PostgreSQL when a host is configured and swallows
 errors; here the append is a plain ``DataFrameWriter.jdbc`` call and a failed
 write raises.  Column types for tables the writer creates come from the
-schemas (``createTableColumnTypes``).  Writes run one connection per task;
-``num_partitions`` caps concurrent connections against the database.
+schemas (``createTableColumnTypes``, which takes Spark SQL type names).  Writes
+run one connection per task; ``num_partitions`` is the writer's own cap on
+concurrent connections, so give it frames that are staged: the cap applies to
+the stage that feeds the writer.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import types as T
 from paylake.schemas import TABLES
 
 _JDBC_TYPES = {
-    T.StringType: "VARCHAR(255)", T.DoubleType: "DOUBLE PRECISION", T.LongType: "BIGINT",
+    T.StringType: "VARCHAR(255)", T.DoubleType: "DOUBLE", T.LongType: "BIGINT",
     T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP",
 }
 
@@ -40,11 +42,10 @@ def jdbc_options(url: str, user: str | None = None, password: str | None = None,
 def append_table(df: DataFrame, name: str, url: str, props: dict[str, str],
                  num_partitions: int | None = None) -> None:
     out = df.select(*[f.name for f in TABLES[name][0].fields])
+    writer = out.write.mode("append").option("createTableColumnTypes", column_types(name))
     if num_partitions:
-        out = out.coalesce(num_partitions)
-    (out.write.mode("append")
-     .option("createTableColumnTypes", column_types(name))
-     .jdbc(url, name, properties=props))
+        writer = writer.option("numPartitions", num_partitions)
+    writer.jdbc(url, name, properties=props)
 
 
 def append_all(tables: dict[str, DataFrame], url: str, props: dict[str, str],

@@ -32,20 +32,59 @@ def _normalise_missing(df: DataFrame) -> DataFrame:
     return df.select(*out, ORD)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def csv_options(reader, multi_line: bool):
+    """Options of the raw CSV: header, doubled quotes inside quoted fields."""
+    return reader.options(header=True, quote='"', escape='"', mode="PERMISSIVE",
+                          multiLine=multi_line, enforceSchema=False,
+                          columnNameOfCorruptRecord=CORRUPT)
+
+
+def csv_schema(spark: SparkSession, path: str, multi_line: bool = False) -> T.StructType:
+    """All columns that the header names, as text, in the header's order, and the
+    corrupt-record column.  Raises if a column of the raw log is missing."""
+    names = csv_options(spark.read, multi_line).csv(path).columns
+    missing = [c for c in RAW_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"raw CSV {path} has no column {', '.join(missing)}")
+    return T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+
+
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Raw CSV as text with the corrupt-record column: columns are bound by the
+    names in the header, and a file whose header differs makes the scan fail
+    instead of swapping columns."""
+    return csv_options(spark.read.schema(csv_schema(spark, path, multi_line)),
+                       multi_line).csv(path)
+
+
+def count_corrupt(spark: SparkSession, path: str, multi_line: bool = False) -> int:
+    """Records with too few or too many fields (they are kept as far as they go)."""
+    # the scan must parse all columns to tell: the hash asks for each of them
+    df = scan_csv(spark, path, multi_line)
+    return df.agg(F.count(CORRUPT).alias("n"), F.max(F.xxhash64(*RAW_COLUMNS))).first()["n"]
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with header.  ``amount`` is read as text and converted with
     ``try_cast`` so a stray token becomes missing instead of failing the scan.
-    Order key: (file path, split start, position inside the split)."""
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW.fields])
-    df = (spark.read.schema(text_schema)
-          .option("header", True)
-          .option("mode", "PERMISSIVE")
-          .option("multiLine", False)
-          .csv(path))
-    df = df.withColumn(ORD, F.struct(
+    Order key: (file path, split start, position inside the split).
+
+    ``multi_line`` reads quoted fields that hold line breaks; it stops files
+    from being split, so it is for logs that need it.  Without it such a
+    record is corrupt, see ``count_corrupt``.
+    """
+    df = scan_csv(spark, path, multi_line).select(*RAW_COLUMNS, F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos")))
+        F.monotonically_increasing_id().alias("pos")).alias(ORD))
+    return text_to_raw(df)
+
+
+def text_to_raw(df: DataFrame) -> DataFrame:
+    """Text columns to the raw log's types, missing-value tokens to null."""
     amount = F.col("amount")
     df = df.withColumn("amount", F.when(amount.isin(*MISSING_TOKENS), F.lit(None))
                        .otherwise(amount).try_cast("double"))
@@ -53,12 +92,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet raw log; order key: (file path, row index inside the file)."""
+    """Parquet raw log; order key: (file path, row index inside the file).  Typed
+    values are taken as they are: a missing value is a null there, and a text
+    such as ``NA`` is a text."""
     df = spark.read.schema(RAW).parquet(path)
-    df = df.withColumn(ORD, F.struct(
+    return df.select(*RAW_COLUMNS, F.struct(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("pos")))
-    return _normalise_missing(df)
+        F.col("_metadata.row_index").alias("pos")).alias(ORD))
 
 
 def raw_from_frame(df: DataFrame, order_cols: list[str]) -> DataFrame:

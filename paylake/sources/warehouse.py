@@ -8,18 +8,23 @@ Plain Parquet has no MERGE, and a static overwrite deletes the old files
 before the job runs.  So:
 
 * dimensions and the daily summary (REPLACE) are versioned snapshots: each
-  load writes the new state to ``v=<n+1>`` - read from ``v=<n>``, a
-  different path - and readers take the newest version whose ``_SUCCESS``
-  marker exists.  A failed write is invisible and the previous version stays
-  current; a concurrent writer of the same version fails instead of
-  overwriting.  The two newest versions are kept.  (The summary has one row
-  per day and category - bounded by the calendar, not the data.)
+  load writes the new state to a folder ``v=<n>`` with a number above every
+  folder that exists, committed or not, reading from the newest committed
+  one, and readers take the newest version whose ``_SUCCESS`` marker exists.
+  A failed write is invisible, the previous version stays current and the
+  next load simply uses the next number; a concurrent writer of the same
+  version fails instead of overwriting.  The two newest versions are kept.
+  A batch that changes no stored row writes no version.  (The summary has one
+  row per day and category - bounded by the calendar, not the data.)
 * fact, IGNORE (default): append-only - new ids are appended, nothing is
   rewritten;
 * fact, REPLACE (keep-last): the batch days plus the days holding older
-  versions of the batch ids are rewritten from a copy staged in the shared
-  folder (``spark.checkpoint.dir``); dynamic partition overwrite swaps the
-  partitions at job commit.
+  versions of the batch ids - the null day is a day like any other - are
+  rewritten from a copy staged in the shared folder
+  (``spark.checkpoint.dir``); dynamic partition overwrite swaps the
+  partitions at job commit, and partitions of days that have no row left are
+  then deleted.  A run that dies between the two steps is healed by repeating
+  the load: the day to be emptied still holds an id of the batch.
 
 The set of touched days is collected to the driver: it is bounded by the
 calendar span of one batch, not by data volume.
@@ -118,18 +123,29 @@ class Warehouse:
         versions = self._versions(name)
         return self._version_path(name, versions[-1]) if versions else self.path(name)
 
+    def _next_version(self, name: str) -> int:
+        """Above every version folder that exists: a folder left by a failed
+        write is never written into again."""
+        taken = [int(d[2:]) for d in list_dirs(self.spark, self.path(name))
+                 if d.startswith("v=") and d[2:].isdigit()]
+        return max(taken) + 1 if taken else 0
+
     def _commit_version(self, name: str, df: DataFrame) -> None:
         versions = self._versions(name)
-        n = versions[-1] + 1 if versions else 0
+        n = self._next_version(name)
         # mode "error": a concurrent writer of the same version fails here
         df.select(*self._write_order(name)).write.mode("error").parquet(
             self._version_path(name, n))
         if self.database and self.spark.catalog.tableExists(f"{self.database}.{name}"):
             self.spark.sql(f"ALTER TABLE `{self.database}`.`{name}` SET LOCATION "
                            f"'{self._version_path(name, n)}'")
-        keep = KEEP_VERSIONS - 1  # previous versions kept besides the new one
-        delete_paths(self.spark, [self._version_path(name, v)
-                                 for v in versions[:max(len(versions) - keep, 0)]])
+        # previous versions kept besides the new one; folders of failed writes
+        # below them go too
+        kept = versions[-(KEEP_VERSIONS - 1):]
+        first = kept[0] if kept else n
+        old = [d for d in list_dirs(self.spark, self.path(name))
+               if d.startswith("v=") and d[2:].isdigit() and int(d[2:]) < first]
+        delete_paths(self.spark, [f"{self.path(name)}/{d}" for d in old])
 
     # -- S3 -------------------------------------------------------------------
     def read(self, name: str) -> DataFrame:
@@ -155,16 +171,23 @@ class Warehouse:
         (self.read(name).select(*cols).write.mode("overwrite")
          .option("header", True).csv(path))
 
-    def refresh(self) -> None:
-        """Keep catalog tables in step with the files: register partitions
-        written by path (partitioned tables track them in the catalog) and
-        drop cached listings.  Snapshot tables are re-pointed on commit."""
+    def refresh(self, days: list | None = None) -> None:
+        """Keep catalog tables in step with the files: register the touched
+        partitions written by path (all of them without ``days``) and drop
+        cached listings.  Snapshot tables are re-pointed on commit."""
         if not self.database:
             return
         for name, (_s, _k, part) in TABLES.items():
             qual = f"`{self.database}`.`{name}`"
-            if part is not None:
+            if part is not None and (days is None or None in days):
                 self.spark.sql(f"MSCK REPAIR TABLE {qual}")
+            elif part is not None:
+                for d in days:
+                    there = path_exists(self.spark, self._day_path(name, d))
+                    self.spark.sql(
+                        f"ALTER TABLE {qual} "
+                        + ("ADD IF NOT EXISTS" if there else "DROP IF EXISTS")
+                        + f" PARTITION (`{part}` = DATE'{d}')")
             self.spark.sql(f"REFRESH TABLE {qual}")
 
     # -- S4: writes -----------------------------------------------------------
@@ -196,66 +219,74 @@ class Warehouse:
         return K.bounded_broadcast(batch.select(*keys), BROADCAST_KEY_ROWS)
 
     def _days(self, df: DataFrame) -> list:
-        rows = df.select("transaction_date").distinct().collect()
-        return [r[0] for r in rows]
+        """Distinct days (``None``: the null day), bounded by the calendar."""
+        return [r[0] for r in df.select("transaction_date").distinct().collect()]
+
+    def _day_path(self, name: str, day) -> str:
+        part = TABLES[name][2]
+        return f"{self.path(name)}/{part}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+
+    @staticmethod
+    def _in_days(column: str, days: list):
+        known = [d for d in days if d is not None]
+        cond = F.col(column).isin(known) if known else F.lit(False)
+        return cond | F.col(column).isNull() if None in days else cond
 
     def upsert_replace_table(self, name: str, batch: DataFrame) -> None:
         """K2: REPLACE (batch row wins).  ``batch`` must be staged."""
         _s, keys, part = TABLES[name]
+        if part is not None:
+            self.keep_last_table(name, batch)
+            return
         current = self.read(name)
+        # rows that the table does not hold as they are (null-safe on all columns)
+        changed = batch.select(*current.columns).exceptAll(current)
+        if changed.isEmpty():
+            return
         bk = self._batch_keys(batch, keys)
-        staged: list = []
-        if part is None:
-            # v=n+1 is written from v=n: no staging copy needed
-            self._commit_version(name, K.upsert_replace(current, batch, keys, bk))
-        else:
-            days = self._days(batch)
-            if not days:
-                return
-            touched = current.filter(F.col(part).isin(days))
-            new_parts = K.upsert_replace(touched, batch, keys, bk)
-            self._overwrite(name, stage(new_parts, self.spark, f"{name}-next", staged),
-                            dynamic=True)
-        # only after a successful overwrite: until then the staged copy is the
-        # one complete version of the new table state
-        delete_paths(self.spark, staged)
+        # v=n+1 is written from v=n: no staging copy needed
+        self._commit_version(name, K.upsert_replace(current, batch, keys, bk))
 
     def insert_ignore_table(self, name: str, batch: DataFrame) -> int:
         """K3: append rows whose key is not stored yet; returns rows added.
 
-        Two steps: ``hits`` - stored keys that the batch also has (the target
-        contributes only its key column, probed against the bounded-broadcast
-        batch keys) - is staged; then the batch minus ``hits`` is appended.
-        The append job never reads the table it writes.  Batch keys are
-        unique (gate rule D1), so rows added = batch rows - hits."""
+        Two steps: ``hits`` - distinct stored keys that the batch also has (the
+        target contributes only its key column, probed against the
+        bounded-broadcast batch keys) - is staged; then the batch minus
+        ``hits`` is staged, counted and appended.  The append job never reads
+        the table it writes."""
         _s, keys, _part = TABLES[name]
         current = self.read(name)
         bk = self._batch_keys(batch, keys)
         staged: list = []
-        hits = stage(current.select(*keys).join(bk, keys, "left_semi"), self.spark,
+        hits = stage(current.select(*keys).join(bk, keys, "left_semi").distinct(), self.spark,
                      f"{name}-hits", staged)
-        n_hits = hits.count()
-        n_batch = batch.count()
-        if n_hits < n_batch:
-            new_rows = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows=n_hits),
-                                  keys, "left_anti")
+        new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys,
+                                    "left_anti"), self.spark, f"{name}-new", staged)
+        added = new_rows.count()  # of the written copy: Parquet footers only
+        if added:
             self._append(name, new_rows)
         delete_paths(self.spark, staged)
-        return n_batch - n_hits
+        return added
 
-    def keep_last_table(self, name: str, batch: DataFrame) -> None:
+    def keep_last_table(self, name: str, batch: DataFrame) -> list:
         """K1 for the partitioned fact: the batch version of an id replaces
-        the stored one wherever it was."""
+        the stored one wherever it was; returns the days it touched."""
         _s, keys, part = TABLES[name]
         current = self.read(name)
         bk = self._batch_keys(batch, keys)
         old_days = self._days(current.join(bk, keys, "left_semi"))
-        days = sorted(set(self._days(batch)) | set(old_days))
+        days = list(set(self._days(batch)) | set(old_days))
         if not days:
-            return
-        touched = current.filter(F.col(part).isin(days))
-        new_parts = K.upsert_replace(touched, batch, keys, bk)
+            return []
+        touched = current.filter(self._in_days(part, days))
         staged: list = []
-        self._overwrite(name, stage(new_parts, self.spark, f"{name}-next", staged),
-                        dynamic=True)
+        after = stage(K.upsert_replace(touched, batch, keys, bk), self.spark, f"{name}-next",
+                      staged)
+        self._overwrite(name, after, dynamic=True)
+        # dynamic overwrite leaves days without a new row as they were
+        left = set(self._days(after))
+        delete_paths(self.spark, [self._day_path(name, d) for d in days if d not in left])
+        # only now: until here the staged copy is the one complete new state
         delete_paths(self.spark, staged)
+        return days

@@ -8,9 +8,8 @@ lives in the shared folder, and the load is idempotent per batch (REPLACE
 for dimensions and summary, IGNORE for facts), so a micro-batch replayed
 after a failure leaves the warehouse unchanged.
 
-Like the reference's day loads, a batch's summary rows replace the stored
-ones for the same (day, category): land one file per day (or a day at a
-time) so each micro-batch carries whole days.
+A micro-batch need not hold whole days: the summary rows of its days are made
+from the stored facts, which the batch has been added to.
 """
 
 from __future__ import annotations
@@ -19,57 +18,45 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paylake.plans.load import run_load
-from paylake.schemas import ORD, RAW
+from paylake.schemas import ORD, RAW, RAW_COLUMNS
 from paylake.session import shared_root
-from paylake.sources.raw import MISSING_TOKENS
+from paylake.sources.raw import csv_options, csv_schema, text_to_raw
 from paylake.sources.warehouse import Warehouse
 
 
-def _text_schema() -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in RAW.fields])
-
-
-def _as_raw(batch: DataFrame) -> DataFrame:
-    """Same normalisation as the batch CSV scan: missing tokens -> null,
-    amount via try_cast, and a file-order ``ingest_ord``."""
-    cols = []
-    for f in RAW.fields:
-        c = F.col(f.name)
-        c = F.when(c.isin(*MISSING_TOKENS), F.lit(None)).otherwise(c)
-        if f.name == "amount":
-            c = c.try_cast("double")
-        cols.append(c.alias(f.name))
-    order = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
-                     F.monotonically_increasing_id().alias("pos"))
-    return batch.select(*cols, order.alias(ORD))
-
-
 def start_file_ingest(spark: SparkSession, landing_dir: str, warehouse: Warehouse, *,
                      checkpoint: str | None = None, available_now: bool = True,
                      max_files_per_trigger: int | None = None, fmt: str = "csv",
-                     **load_options):
+                     multi_line: bool = False, **load_options):
     """Start the stream over CSV (default) or Parquet raw files; returns the
-    ``StreamingQuery``."""
+    ``StreamingQuery``.  CSV columns are bound by the names in the headers; the
+    folder needs one file at the start, to read them from."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    place = [F.col("_metadata.file_path").alias("_file"),
+             F.col("_metadata.file_block_start").alias("_block")]
     if fmt == "csv":
-        stream = reader.schema(_text_schema()).option("header", True).csv(landing_dir)
+        schema = csv_schema(spark, landing_dir, multi_line)
+        stream = csv_options(reader.schema(schema), multi_line).csv(landing_dir)
     elif fmt == "parquet":
-        typed = reader.schema(RAW).parquet(landing_dir)
-        stream = typed.select(*[F.col(f.name).cast("string").alias(f.name) for f in RAW.fields],
-                              F.col("_metadata"))
+        stream = reader.schema(RAW).parquet(landing_dir)
     else:
         raise ValueError("fmt must be 'csv' or 'parquet'")
-    stream = stream.select(
-        *[f.name for f in RAW.fields], F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"))
+    stream = stream.select(*RAW_COLUMNS, *place)
+
+    def as_raw(batch: DataFrame) -> DataFrame:
+        """The batch with its ingest order; text fields as in the CSV scan."""
+        order = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
+                         F.monotonically_increasing_id().alias("pos"))
+        batch = batch.select(*RAW_COLUMNS, order.alias(ORD))
+        return text_to_raw(batch) if fmt == "csv" else batch
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        run_load(spark, _as_raw(batch), warehouse, full=True, **load_options)
+        run_load(spark, as_raw(batch), warehouse, full=True,
+                 **{"summary_from_store": True, **load_options})
 
     # one checkpoint per landing folder (and target warehouse) unless given
     tag = hashlib.sha1(f"{landing_dir}|{warehouse.root}".encode()).hexdigest()[:16]

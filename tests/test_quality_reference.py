@@ -1,109 +1,102 @@
-"""The reference's own data-quality tests, on its fixtures (FIXTURES.md 1)."""
+"""Quality rules: one broken cell at a time on a small shop of our own."""
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake.operators import quality as DQ
 from paylake.schemas import DIM_MERCHANTS, DIM_USERS, FACT
-from pyspark.sql import types as T
-
-USERS = [("USR-0001", "R**** S****", "0812****5678", "abc123hash"),
-         ("USR-0002", "A**** W****", "0819****1234", "def456hash")]
-MERCHANTS = [("MCH-001", "Kopi Kenangan", "F&B"), ("MCH-002", "Indomaret", "Retail")]
-FACTS = [("TX-1001", "USR-0001", "MCH-001", 50000.0, "QRIS", "SUCCESS",
-          "2026-08-01 10:00:00", "2026-08-01"),
-         ("TX-1002", "USR-0002", "MCH-002", 125000.0, "E-WALLET_BALANCE", "FAILED",
-          "2026-08-01 11:30:00", "2026-08-01")]
-# The reference fixture keeps timestamp and day as text.
-FACT_TEXT = T.StructType([T.StructField(f.name, T.DoubleType() if f.name == "amount"
-                                        else T.StringType()) for f in FACT.fields])
 
 
 @pytest.fixture
-def users(spark):
-    return spark.createDataFrame(USERS, DIM_USERS)
+def shop(spark):
+    """Three customers, one stall, four payments; timestamps as text."""
+    people = [(f"c{i}", f"{n}****", f"08{i}7****{i}00", f"digest{i}")
+              for i, n in enumerate("LQZ")]
+    pay = [(f"p{i}", f"c{i % 3}", "stall-9", 12.5 * (i + 1), "DEBIT_CARD", s,
+            f"2031-03-0{i + 1} 08:15:00", f"2031-03-0{i + 1}")
+           for i, s in enumerate(["PENDING", "SUCCESS", "SUCCESS", "FAILED"])]
+    text = T.StructType([T.StructField(f.name, T.DoubleType() if f.name == "amount"
+                                       else T.StringType()) for f in FACT.fields])
+    return (spark.createDataFrame(people, DIM_USERS),
+            spark.createDataFrame([("stall-9", "Noodles", "Street")], DIM_MERCHANTS),
+            spark.createDataFrame(pay, text))
 
 
-@pytest.fixture
-def merchants(spark):
-    return spark.createDataFrame(MERCHANTS, DIM_MERCHANTS)
+def broken(df, key, where, column, value):
+    hit = F.col(key) == where
+    return df.withColumn(column, F.when(hit, F.lit(value)).otherwise(F.col(column)))
 
 
-@pytest.fixture
-def facts(spark):
-    return spark.createDataFrame(FACTS, FACT_TEXT)
+def rules(report):
+    return {r["rule"]: (r["violations"], r["sample"]) for r in report.collect()}
 
 
-def _set(df, row_id_col, row_id, col, value):
-    return df.withColumn(col, F.when(F.col(row_id_col) == row_id, F.lit(value))
-                         .otherwise(F.col(col)))
+def test_sound_tables_pass_every_rule(shop):
+    found = DQ.validate_all(*shop)
+    assert found and all(r["passed"] for r in found)
+    numbers = [r["rule_no"] for r in found]
+    assert numbers == sorted(set(numbers))
 
 
-def test_uniqueness_validation(users):
-    DQ.gate(DQ.uniqueness(users, "user_id", "dim_users"))
-    dup = users.unionByName(users.filter(F.col("user_id") == "USR-0001"))
+def test_surplus_rows_of_a_key(shop):
+    people = shop[0]
+    thrice = people.union(people.where("user_id = 'c2'")).union(people.where("user_id = 'c2'"))
+    report = DQ.uniqueness(thrice, "user_id", "dim_users")
+    assert rules(report) == {"uniqueness": (2, "c2")}
     with pytest.raises(DQ.DataQualityError, match="Uniqueness check failed"):
-        DQ.gate(DQ.uniqueness(dup, "user_id", "dim_users"))
-    row = DQ.uniqueness(dup, "user_id", "dim_users").collect()[0]
-    assert row["violations"] == 1 and row["sample"] == "USR-0001"
+        DQ.gate(report)
 
 
-def test_completeness_validation(facts):
-    cols = ["transaction_id", "amount", "status"]
-    DQ.gate(DQ.completeness(facts, cols, "table"))
-    bad = _set(facts, "transaction_id", "TX-1001", "amount", None)
+@pytest.mark.parametrize("column", ["transaction_id", "status", "amount"])
+def test_empty_cells(shop, column):
+    holes = broken(shop[2], "merchant_id", "stall-9", column, None)
     with pytest.raises(DQ.DataQualityError, match="Completeness check failed"):
-        DQ.gate(DQ.completeness(bad, cols, "table"))
+        DQ.gate(DQ.completeness(holes, [column], "fact_transactions"))
+
 
+def test_absent_column(shop):
+    with pytest.raises(DQ.DataQualityError, match="missing"):
+        DQ.gate(DQ.completeness(shop[1].drop("merchant_category"), DQ.MERCHANT_REQUIRED,
+                                "dim_merchants"))
 
-def test_validity_amount_and_status(facts):
-    DQ.gate(DQ.validity(facts))
-    neg = _set(facts, "transaction_id", "TX-1001", "amount", -10000.0)
+
+@pytest.mark.parametrize("value", [0.0, -0.5])
+def test_amounts_must_be_positive(shop, value):
     with pytest.raises(DQ.DataQualityError, match="amount <= 0"):
-        DQ.gate(DQ.validity(neg))
-    unk = _set(facts, "transaction_id", "TX-1001", "status", "UNKNOWN_STATUS")
+        DQ.gate(DQ.validity(broken(shop[2], "transaction_id", "p3", "amount", value)))
+
+
+def test_statuses_outside_the_domain(shop):
+    odd = broken(shop[2], "transaction_id", "p1", "status", "REFUNDED")
     with pytest.raises(DQ.DataQualityError, match="invalid status"):
-        DQ.gate(DQ.validity(unk))
-    assert [r["status"] for r in DQ.invalid_statuses(unk).collect()] == ["UNKNOWN_STATUS"]
+        DQ.gate(DQ.validity(odd))
+    assert [tuple(r) for r in DQ.invalid_statuses(odd).collect()] == [("REFUNDED", 1)]
 
 
-def test_pii_masking_validation(users):
-    DQ.gate(DQ.pii(users))
-    leaked = _set(users, "user_id", "USR-0001", "masked_phone", "081234567890")
+@pytest.mark.parametrize("phone, raw", [("+62 811 222 333", 0), ("089912345678", 1), (None, 0)])
+def test_unmasked_phone(shop, phone, raw):
+    leak = broken(shop[0], "user_id", "c1", "masked_phone", phone)
+    found = rules(DQ.pii(leak))
+    assert found["pii_phone_masked"] == (1, "c1")
+    assert found["pii_phone_raw"][0] == raw and found["pii_name_masked"][0] == 0
     with pytest.raises(DQ.DataQualityError, match="PII"):
-        DQ.gate(DQ.pii(leaked))
-    rows = {r["rule"]: r for r in DQ.pii(leaked).collect()}
-    # both the mask test and the raw-number detector fire, reported separately
-    assert rows["pii_phone_masked"]["violations"] == 1
-    assert rows["pii_phone_raw"]["violations"] == 1
-    assert rows["pii_phone_masked"]["sample"] == "USR-0001"
+        DQ.gate(DQ.pii(leak))
 
 
-def test_validate_all_end_to_end(users, merchants, facts):
-    rows = DQ.validate_all(users, merchants, facts)
-    assert all(r["passed"] for r in rows)
-    assert [r["rule_no"] for r in rows] == sorted(r["rule_no"] for r in rows)
+def test_name_without_a_mask(shop):
+    found = rules(DQ.pii(broken(shop[0], "user_id", "c0", "masked_user_name", None)))
+    assert found["pii_name_masked"] == (1, "c0")
 
 
-def test_gate_order_and_missing_column(users, merchants, facts):
-    # the first failing rule in reference order is the one raised
-    dup = users.unionByName(users)
-    bad_fact = _set(facts, "transaction_id", "TX-1001", "amount", -1.0)
+def test_first_failing_rule_is_raised(shop):
+    people, stalls, pay = shop
     with pytest.raises(DQ.DataQualityError, match="Uniqueness"):
-        DQ.validate_all(dup, merchants, bad_fact)
-    with pytest.raises(DQ.DataQualityError, match="missing"):
-        DQ.gate(DQ.completeness(merchants.drop("merchant_name"),
-                                DQ.MERCHANT_REQUIRED, "dim_merchants"))
-    # an empty table passes every rule, as in the reference
-    empty = users.limit(0)
-    DQ.gate(DQ.completeness(empty.drop("masked_phone"), DQ.USER_REQUIRED, "dim_users"))
-    DQ.gate(DQ.pii(empty))
-
-
-def test_pii_null_cells_fail(spark):
-    users = spark.createDataFrame([("U1", None, "0812****1234", ""),
-                                   ("U2", "A****", None, "")], DIM_USERS)
-    rows = {r["rule"]: r for r in DQ.pii(users).collect()}
-    assert rows["pii_name_masked"]["violations"] == 1
-    assert rows["pii_phone_masked"]["violations"] == 1
-    assert rows["pii_phone_raw"]["violations"] == 0
+        DQ.validate_all(people.union(people), stalls,
+                        broken(pay, "transaction_id", "p0", "amount", -3.0))
+
+
+def test_empty_tables_pass(shop):
+    people = shop[0].limit(0)
+    DQ.gate(DQ.completeness(people.drop("masked_phone"), DQ.USER_REQUIRED, "dim_users"))
+    DQ.gate(DQ.pii(people))

@@ -18,6 +18,12 @@ def _snap(wh):
     return out
 
 
+def _facts(wh, *cols):
+    """Stored fact rows as a sorted list: duplicates show."""
+    rows = wh.read("fact_transactions").select("transaction_id", *(cols or ("amount",))).collect()
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
 @pytest.fixture
 def wh(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path / "wh"))
@@ -65,8 +71,7 @@ def test_fact_modes(spark, tmp_path):
         w.create_tables()
         run_load(spark, raw_frame(spark, rows_a), w, full=True, fact_mode=mode)
         run_load(spark, raw_frame(spark, rows_b), w, full=True, fact_mode=mode)
-        fact = {r["transaction_id"]: r for r in w.read("fact_transactions").collect()}
-        assert len(fact) == 2 and fact["T1"]["amount"] == expect
+        assert _facts(w) == [("T1", expect), ("T2", 20.0)]
         # the summary is replaced per (day, category) in both modes
         days = {str(r["transaction_date"]): r["total_transactions"]
                 for r in w.read("daily_merchant_summary").collect()}
@@ -233,3 +238,102 @@ def test_staged_batch_holds_no_raw_pii(spark):
     assert {"masked_user_name", "masked_phone", "phone_hash"} <= set(staged.columns)
     from paylake.session import delete_paths
     delete_paths(spark, scope)
+
+
+def _load(spark, wh, rows, mode="replace"):
+    return run_load(spark, raw_frame(spark, rows), wh, full=True, fact_mode=mode)
+
+
+def test_moved_id_empties_its_day(spark, wh):
+    """The only fact of a day moves to another day: the old day is gone."""
+    _load(spark, wh, [tx("T1", ts="2026-08-01 10:00:00")])
+    _load(spark, wh, [tx("T1", ts="2026-08-02 10:00:00", amount=5.0)])
+    assert _facts(wh) == [("T1", 5.0)]
+    assert [str(d) for _, d in _facts(wh, "transaction_date")] == ["2026-08-02"]
+
+
+def test_null_day_in_replace_mode(spark, wh):
+    """Rows without a timestamp stay when other such rows are loaded."""
+    _load(spark, wh, [tx("T1", ts=None), tx("T2", ts=None)])
+    _load(spark, wh, [tx("T3", ts=None)])
+    assert [t for t, _ in _facts(wh)] == ["T1", "T2", "T3"]
+    # null and real days mixed: T1 gets a day, T4 none, T2 and T3 stay
+    _load(spark, wh, [tx("T1", ts="2026-08-01 10:00:00", amount=7.0), tx("T4", ts=None)])
+    assert [(t, str(d)) for t, d in _facts(wh, "transaction_date")] == [
+        ("T1", "2026-08-01"), ("T2", "None"), ("T3", "None"), ("T4", "None")]
+    # the last null-day rows move: the null day is gone
+    _load(spark, wh, [tx(t, ts="2026-08-03 10:00:00") for t in ("T2", "T3", "T4")])
+    assert {str(d) for _, d in _facts(wh, "transaction_date")} == {"2026-08-01", "2026-08-03"}
+
+
+def test_ignore_load_on_a_store_with_duplicates(spark, wh):
+    """Duplicate stored keys do not cancel new rows."""
+    batch = M.star_schema(C.transform(raw_frame(spark, [tx("T1")])))["fact_transactions"]
+    for _ in range(2):
+        wh._append("fact_transactions", batch)
+    res = _load(spark, wh, [tx("T1"), tx("T9", amount=9.0)], mode="ignore")
+    assert res.fact_rows_added == 1
+    assert _facts(wh) == [("T1", 100.0), ("T1", 100.0), ("T9", 9.0)]
+
+
+def test_load_after_a_failed_write(spark, wh):
+    """A write that dies in a non-key column leaves a folder without a marker;
+    readers see the old version and the next load succeeds."""
+    import os
+
+    from pyspark.sql import functions as F
+    _load(spark, wh, [tx("T1", uid="U1")])
+    before = _snap(wh)["dim_users"]
+    bad = spark.range(3).select(
+        F.concat(F.lit("U"), F.col("id").cast("string")).alias("user_id"),
+        F.lit("X****").alias("masked_user_name"), F.lit("0812****0000").alias("masked_phone"),
+        F.udf(lambda i: 1 // (i - 2) and "h", "string")("id").alias("phone_hash"))
+    with pytest.raises(Exception):
+        wh._commit_version("dim_users", bad)
+    os.makedirs(wh.path("dim_users") + "/v=00000050/_temporary", exist_ok=True)
+    assert _snap(wh)["dim_users"] == before
+    _load(spark, wh, [tx("T2", uid="U2")])
+    assert [r[0] for r in _snap(wh)["dim_users"]] == ["U1", "U2"]
+
+
+def test_replay_writes_no_new_version(spark, wh):
+    _load(spark, wh, [tx("T1", uid="U1")], mode="ignore")
+    before = wh._versions("dim_users"), wh._versions("daily_merchant_summary")
+    _load(spark, wh, [tx("T1", uid="U1")], mode="ignore")
+    assert (wh._versions("dim_users"), wh._versions("daily_merchant_summary")) == before
+
+
+def test_summary_from_stored_facts(spark, wh):
+    """Two batches of one day: the summary counts both."""
+    for rows in ([tx("T1"), tx("T2")], [tx("T3", amount=50.0)]):
+        run_load(spark, raw_frame(spark, rows), wh, full=True, summary_from_store=True)
+    got = [(r["total_transactions"], r["total_volume_idr"])
+           for r in wh.read("daily_merchant_summary").collect()]
+    assert got == [(3, 250.0)]
+
+
+def test_export_and_jdbc_are_part_of_the_load(spark, wh, tmp_path, monkeypatch):
+    from paylake.plans import load
+    seen = []
+    monkeypatch.setattr(load, "append_all", lambda tables, url, props, n: seen.append(
+        (sorted(tables), url, props, n, tables["fact_transactions"].count())))
+    run_load(spark, raw_frame(spark, [tx("T1")]), wh, full=True, export_dir=str(tmp_path / "csv"),
+             jdbc={"url": "jdbc:x", "props": {"user": "u"}, "num_partitions": 2})
+    assert seen == [(["daily_merchant_summary", "dim_merchants", "dim_users",
+                      "fact_transactions"], "jdbc:x", {"user": "u"}, 2, 1)]
+    for t in seen[0][0]:
+        assert spark.read.option("header", True).csv(str(tmp_path / "csv" / t)).count() == 1
+
+    def fails(*_a):
+        raise RuntimeError("database is down")
+
+    monkeypatch.setattr(load, "append_all", fails)
+    with pytest.raises(RuntimeError, match="database is down"):
+        run_load(spark, raw_frame(spark, [tx("T2")]), wh, full=True, jdbc={"url": "jdbc:x"})
+
+
+def test_other_timestamp_formats(spark, wh):
+    rows = [tx("T1", ts="01/08/2026 10:30"), tx("T2", ts="02/08/2026 23:59")]
+    run_load(spark, raw_frame(spark, rows), wh, day="2026-08-02",
+             timestamp_format="dd/MM/yyyy HH:mm")
+    assert [(t, str(d)) for t, d in _facts(wh, "timestamp")] == [("T2", "2026-08-02 23:59:00")]
