@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 
 from paylake.llm.common import empty, pick
 
-PROJECTIONS = 128
+PROJECTIONS = 96
 #: Share of the lines on which a vector must collide to be verified. A vector
 #: as far as the half width collides on 68 % of them, one twice as far on 38 %.
 THRESHOLD = 0.5
 #: Share of a block's vectors after whose verification a query is done, too.
 SHARE = 0.25
-WIDEN = 1.2
-FIRST_WIDTH = 0.15
+WIDEN = 1.25
+FIRST_WIDTH = 0.7
 BLOCK = 16_384
 QUERIES = 512
 
