@@ -179,9 +179,20 @@ def dq_report(spark, sf_dir):
 
 # --- upserts and load modes --------------------------------------------------
 
+_STORES: dict[tuple, Warehouse] = {}
+
+
 def _loaded(spark, sf_dir, *ranges, fact_mode: str = "ignore") -> Warehouse:
-    """A fresh warehouse in the shared folder after one load job per range of
-    days (``None, None``: a full load): scan, clean, gate, upserts."""
+    """A warehouse in the shared folder after one load job per range of days
+    (``None, None``: a full load): scan, clean, gate, upserts.  Queries of one
+    Spark application that ask for the same loads read the same warehouse."""
+    key = (spark.sparkContext.applicationId, sf_dir, ranges, fact_mode)
+    if key not in _STORES:
+        _STORES[key] = _fresh(spark, sf_dir, ranges, fact_mode)
+    return _STORES[key]
+
+
+def _fresh(spark, sf_dir, ranges, fact_mode) -> Warehouse:
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     wh.create_tables()
     for start, end in ranges:
