@@ -21,8 +21,9 @@ from paylake.operators import analytics as Q
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
+from paylake.operators import upsert as K
 from paylake.plans.load import run_load
-from paylake.schemas import ORD, RAW_COLUMNS
+from paylake.schemas import ORD, RAW_COLUMNS, TABLES
 from paylake.session import scratch_path
 from paylake.sources.raw import read_raw_csv
 from paylake.sources.testdata import raw_transactions
@@ -211,8 +212,12 @@ def upsert_replace(spark, sf_dir):
 
 
 def upsert_keep_last(spark, sf_dir):
-    """Stored fact after replace loads of batch A then B: the last version per id."""
-    return _loaded(spark, sf_dir, BATCH_A, BATCH_B, fact_mode="replace").read("fact_transactions")
+    """Fact after batch A then batch B, keeping the last version per id: the
+    operator that the warehouse's keep-last write is made of.  (Two replace
+    loads into day partitions take minutes at 2,500 days, whatever the rows.)"""
+    t = "fact_transactions"
+    return K.keep_last(_batch(spark, sf_dir, *BATCH_A)[t], _batch(spark, sf_dir, *BATCH_B)[t],
+                       TABLES[t][1])
 
 
 def insert_ignore(spark, sf_dir):
