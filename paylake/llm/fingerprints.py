@@ -24,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import documents, mix
+from paylake.llm.common import documents, mix, write_shared
+from paylake.llm.components import components
+from paylake.llm.near_dups import Forest, _chunked, _groups, _pairs, _tasks
 
 SAMPLES = 64
 _FIRST = 6  # the first octave begins at step 2^6
@@ -280,8 +282,8 @@ def compare(docs: DataFrame, batch_chars: int = 4 << 20) -> DataFrame:
 
 
 # --- banding and verification ----------------------------------------------
-BANDS = 24
-BAND_BITS = 14
+BANDS = 42
+BAND_BITS = 16
 
 
 def band_keys(steps: int, bits: np.ndarray) -> list[int]:
@@ -298,40 +300,110 @@ def band_keys(steps: int, bits: np.ndarray) -> list[int]:
     return out
 
 
-def similar(fingerprints: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """Near pairs among ``doc_id, fingerprint``: ``a, b, likeness``, where ``a`` is the
-    least doc_id of a band's bucket and ``b`` another class of it whose likeness
-    to ``a`` is verified on the whole fingerprints.
-
-    Documents with equal fingerprints are one class, shown by its least doc_id;
-    empty fingerprints and null ids are in no bucket.
-    """
-    first = fingerprints.where("doc_id IS NOT NULL AND fingerprint <> '0:'") \
-        .groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+def _packed(prints: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Steps of fingerprints, and a word for each octave: its bits, and which of
+    them stand for steps of the walk."""
+    steps = np.array([s for s, _ in prints], np.int64)
+    width = max((len(b) for _, b in prints), default=0)
+    at = sampled_steps(max(width // SAMPLES - 1, 0))[:width]
+    bits = np.zeros((len(prints), width), np.uint8)
+    for i, (_, b) in enumerate(prints):
+        bits[i, :len(b)] = b
+    return (steps, np.packbits(bits, 1).view(np.uint64),
+            np.packbits(at[None, :] < steps[:, None], 1).view(np.uint64))
+
+
+def may_reach(steps: np.ndarray, bits: np.ndarray, inside: np.ndarray, i: np.ndarray,
+              j: np.ndarray, threshold: float) -> np.ndarray:
+    """Places of the pairs (i, j) whose ``likeness``, up to rounding, reaches the threshold."""
+    short, long = np.minimum(steps[i], steps[j]), np.maximum(steps[i], steps[j])
+    left = np.flatnonzero(short >= (threshold - 1e-9) * long)  # it is short/long at most
+    i, j, short, long = i[left], j[left], short[left], long[left]
+    total = np.zeros(len(left))
+    for k in range(bits.shape[1]):
+        both = inside[i, k] & inside[j, k]
+        n = np.bitwise_count(both).astype(np.int64)
+        same = np.bitwise_count(~(bits[i, k] ^ bits[j, k]) & both)
+        low = 1 << (_FIRST + k - 1) if k else 0
+        weight = np.minimum(short, 1 << (_FIRST + k)) - np.minimum(short, low)
+        total += np.maximum(2 * same / np.maximum(n, 1) - 1, 0) * weight
+    return left[total >= (threshold - 1e-9) * long]
+
+
+def bucket_pairs(table: pa.Table, threshold: float, spanning: bool) -> pa.Table:
+    """Near pairs of each bucket (chunk pair); with ``spanning`` only such that
+    join what the pairs before left apart, n - 1 of n members at most."""
+    prints = [from_text(f) for f in table.column("fingerprint").to_pylist()]
+    ids = np.asarray(table.column("id"))
+    steps, bits, inside = _packed(prints)
+    known: dict[tuple[int, int], float] = {}
+    for rows, split in _groups(table, "bucket"):
+        forest = Forest(len(rows))
+        for i, j in _pairs(len(rows), split):
+            left = may_reach(steps, bits, inside, rows[i], rows[j], threshold)
+            for x, y in zip(i[left].tolist(), j[left].tolist(), strict=True):
+                if spanning and forest.find(x) == forest.find(y):
+                    continue
+                u, v = sorted((rows[x], rows[y]), key=lambda r: ids[r])
+                pair = int(ids[u]), int(ids[v])
+                if pair not in known:
+                    known[pair] = likeness(prints[u], prints[v])
+                if known[pair] >= threshold:
+                    forest.join(x, y)
+    near = [(a, b, s) for (a, b), s in known.items() if s >= threshold]
+    a, b, s = zip(*near, strict=True) if near else ((), (), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                     "likeness": pa.array(s, pa.float64())})
+
+
+def _classes(fingerprints: DataFrame) -> DataFrame:
+    return fingerprints.where("doc_id IS NOT NULL AND fingerprint <> '0:'") \
+        .groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
+
+
+def _near(first: DataFrame, threshold: float, spanning: bool) -> DataFrame:
+    """Distinct near pairs of the classes ``first`` that share a bucket. Large
+    buckets are cut into chunks; every pair of chunks is compared."""
 
     def bands(batches):
         for batch in batches:
             keys = [band_keys(*from_text(f)) for f in batch.column("fingerprint").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for ks in keys for k in ks], pa.int64()),
-                 batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(keys)), BANDS)))],
-                names=["bucket", "doc_id"])
-
-    dealt = first.select("doc_id", "fingerprint").mapInArrow(bands, "bucket long, doc_id long")
-    least = dealt.groupBy("bucket").agg(F.min("doc_id").alias("a"))
-    pairs = dealt.join(least, "bucket").where("a < doc_id") \
-        .select("a", F.col("doc_id").alias("b")).distinct()
-    prints = first.select("doc_id", "fingerprint")
-    both = pairs.join(prints.select(F.col("doc_id").alias("a"), F.col("fingerprint").alias("x")), "a") \
-        .join(prints.select(F.col("doc_id").alias("b"), F.col("fingerprint").alias("y")), "b")
-
-    def verify(batches):
-        for batch in batches:
-            near = [likeness(from_text(x), from_text(y)) for x, y in
-                    zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"),
-                                              pa.array(near, pa.float64())],
-                                             names=["a", "b", "likeness"])
-
-    return both.select("a", "b", "x", "y") \
-        .mapInArrow(verify, "a long, b long, likeness double").where(F.col("likeness") >= threshold)
+                 batch.column("id").take(pa.array(np.repeat(np.arange(len(keys)),
+                                                            [len(ks) for ks in keys])))],
+                names=["bucket", "id"])
+
+    dealt = first.select("id", "fingerprint").mapInArrow(bands, "bucket long, id long")
+    sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = write_shared(_chunked(dealt.join(sizes, "bucket"), "bucket"), "buckets")
+    found = _tasks(members, members.count(), "bucket", "_x", "_y") \
+        .join(first.select("id", "fingerprint"), "id")
+    return found.groupBy("_task").applyInArrow(
+        lambda t: bucket_pairs(t, threshold, spanning), "a long, b long, likeness double").distinct()
+
+
+def similar(fingerprints: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """Near pairs among ``doc_id, fingerprint``: ``a, b, likeness`` of every two classes,
+    ``a`` < ``b``, that share a band's bucket and whose likeness, on the whole
+    fingerprints, reaches the threshold.
+
+    Documents with equal fingerprints are one class, shown by its least doc_id
+    (``membership`` has all of them); empty fingerprints and null ids are in no
+    bucket.
+    """
+    return _near(write_shared(_classes(fingerprints), "classes"), threshold, False)
+
+
+def membership(fingerprints: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """``doc_id, class_id, component_id`` of every document with a doc_id and a
+    fingerprint that is not empty: the least doc_id of equal fingerprints, and
+    the least that near pairs lead to. Rows that share a doc_id but not the
+    fingerprint give a row each."""
+    first = write_shared(_classes(fingerprints), "classes")
+    linked = components(_near(first, threshold, True).select("a", "b"))
+    known = first.join(linked, "id", "left").select(
+        "fingerprint", F.col("id").alias("class_id"),
+        F.coalesce("component", "id").alias("component_id"))
+    return fingerprints.where("doc_id IS NOT NULL").join(known, "fingerprint") \
+        .select("doc_id", "class_id", "component_id")

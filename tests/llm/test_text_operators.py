@@ -281,3 +281,35 @@ def test_fingerprint_likeness_follows_edits(spark):
     pairs = fingerprints.similar(fingerprints.fingerprint(
         frame(spark, [(1, text), (2, edit(3)), (3, other), (4, text), (5, None)])))
     assert [(r["a"], r["b"]) for r in pairs.collect()] == [(1, 2)]
+
+
+def brute_pairs(texts):
+    """Near pairs by ``likeness`` of every two texts; ids are places."""
+    steps, bits = fingerprints.walk([fingerprints.classes(fingerprints._codes(x)) for x in texts])
+    prints = list(zip(steps.tolist(), bits, strict=True))
+    return {(i, j) for j in range(len(texts)) for i in range(j)
+            if fingerprints.likeness(prints[i], prints[j]) >= 0.6}
+
+
+def test_fingerprint_pairs_are_all_of_a_bucket(spark, monkeypatch):
+    """Near copies among unrelated texts that share an opening, and so buckets
+    whose least member is a stranger."""
+    import random
+    rng = random.Random(8)
+    make = lambda n: "".join(rng.choice("etaoin shrdlu") for _ in range(n))
+    opening = make(250)
+    texts = [opening + make(900) for _ in range(60)]
+    for i in range(48, 60, 3):
+        s = list(texts[i])
+        s[700:1100:10] = "x" * 40
+        texts.append("".join(s))
+    monkeypatch.setattr(near_dups, "CHUNK", 16)
+    data = list(enumerate(texts)) + [(100, texts[51]), (101, None), (None, texts[51])]
+    prints = fingerprints.fingerprint(frame(spark, data)).cache()
+    want = brute_pairs(texts)
+    assert want == {(48, 60), (51, 61), (54, 62), (57, 63)}
+    got = fingerprints.similar(prints).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == sorted(want)
+    held = {r["doc_id"]: tuple(r)[1:] for r in fingerprints.membership(prints).collect()}
+    assert len(held) == len(texts) + 1
+    assert held[100] == (51, 51) and held[61] == (61, 51) and held[1] == (1, 1)
