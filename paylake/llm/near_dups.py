@@ -13,9 +13,11 @@
    after the sequential test, and pairs already connected are skipped.
 4. Components over exact links, taken back to all copies.
 
-Large buckets and candidate groups are cut into chunks, and each pair of chunks
-is a task row group of its own: memory is bounded by two chunks, no member is
-left out, and no pair of rows is emitted.
+Large buckets and candidate groups are cut into chunks, by members and by the
+bytes of their sets, and each pair of chunks is compared by itself. Tasks are as
+many as the rows and bytes after the chunks' copies ask for, so a task holds a
+few pairs of chunks whatever the size of a group; no member is left out, and no
+pair of rows is emitted.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.llm.bpe import slices
@@ -40,9 +42,12 @@ ROWS = 4
 BATCH = 16
 #: Members of one chunk of a bucket or candidate group.
 CHUNK = 512
+#: Bytes of sets and signatures of one chunk of a candidate group.
+CHUNK_BYTES = 8 << 20
 SLICE = 4 << 20
 #: Rows that one group of the in-task steps should hold.
 TASK_ROWS = 6_000
+TASK_BYTES = 4 * CHUNK_BYTES
 
 _EDGES = [("a", pa.int64()), ("b", pa.int64())]
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -169,20 +174,41 @@ def _pairs(n: int, split: int | None):
             yield (np.repeat(rows, n - split), np.tile(np.arange(split, n), len(rows)))
 
 
+def _chunks(size: Column, weight: Column | None = None) -> Column:
+    """Chunks of a key with so many members and bytes of them."""
+    chunks = F.ceil(size / F.lit(CHUNK))
+    return (chunks if weight is None else
+            F.greatest(chunks, F.least(size, F.ceil(weight / F.lit(CHUNK_BYTES))))).cast("int")
+
+
 def _chunked(members: DataFrame, key: str) -> DataFrame:
     """One row for each chunk pair (``_x`` <= ``_y``) that a member's chunk is in.
 
-    ``members`` has ``key``, ``id`` and ``size`` (members of the key). A key with
-    more than CHUNK members is cut into chunks by a hash of the id.
+    ``members`` has ``key``, ``id`` and ``chunks`` (of the key), or ``size`` (members
+    of the key). A key with several chunks is cut by a hash of the id.
     """
-    chunks = F.ceil(F.col("size") / F.lit(CHUNK)).cast("int")
+    chunks = F.col("chunks") if "chunks" in members.columns else _chunks(F.col("size"))
     cut = members.withColumn("_c", F.pmod(F.xxhash64("id"), chunks).cast("int")) \
         .withColumn("_o", F.explode(F.sequence(F.lit(0), chunks - 1)))
     return cut.withColumns({"_x": F.least("_c", "_o"), "_y": F.greatest("_c", "_o")}).drop("_o")
 
 
-def _tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    parts = max(1, -(-rows // TASK_ROWS))
+def candidate_chunks(groups: DataFrame, reps: DataFrame) -> tuple[DataFrame, int, int]:
+    """``id, component, chunks`` of the members of candidate groups, and how many
+    rows and bytes they are with the copies for each pair of chunks."""
+    weighed = groups.join(reps.select("id", (F.col("n") * 8 + 4 * HASHES + 64).alias("w")), "id")
+    sizes = weighed.groupBy("component").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("w").alias("weight")) \
+        .withColumn("chunks", _chunks(F.col("size"), F.col("weight")))
+    total = sizes.agg(F.sum(F.col("size") * F.col("chunks")).alias("rows"),
+                      F.sum(F.col("weight") * F.col("chunks")).alias("bytes")).first()
+    members = groups.join(sizes.select("component", "chunks"), "component")
+    return members.select("id", "component", "chunks"), total["rows"] or 0, total["bytes"] or 0
+
+
+def _tasks(df: DataFrame, rows: int, *keys: str, size: int = 0) -> DataFrame:
+    """Tasks of about TASK_ROWS rows or TASK_BYTES of ``size`` bytes, whichever is less."""
+    parts = max(1, -(-rows // TASK_ROWS), -(-size // TASK_BYTES))
     return df.withColumn("_task", F.pmod(F.xxhash64(*keys), F.lit(parts)))
 
 
@@ -308,9 +334,8 @@ def link(docs: DataFrame, percent: int = 75, miss: float = 1e-5) -> DataFrame:
         lambda t: bucket_edges(t, need, percent / 100), "a long, b long")
     groups = write_shared(components(edges), "candidates")
 
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = groups.join(sizes, "component")
-    wanted = bounded_broadcast(members.select("id", "component", "size"))
+    members, copies, weight = candidate_chunks(groups, reps)
+    wanted = bounded_broadcast(members)
 
     def sets(batches):
         for batch in batches:
@@ -319,16 +344,16 @@ def link(docs: DataFrame, percent: int = 75, miss: float = 1e-5) -> DataFrame:
                 found_ = shingle_sets(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 part = pa.array([s.astype("<u8").tobytes() for s in found_], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in ("id", "component", "size")),
-                     part], names=["id", "component", "size", "shingles"])
+                    [*(batch.column(c).slice(a, b - a) for c in ("id", "component", "chunks")),
+                     part], names=["id", "component", "chunks", "shingles"])
 
     # one row of a class is read: those whose set is the class's own, once
     texts = own.withColumnRenamed("doc_id", "id").join(wanted, "id") \
-        .select("id", "component", "size", "text")
-    full = texts.mapInArrow(sets, "id long, component long, size long, shingles binary")
+        .select("id", "component", "chunks", "text")
+    full = texts.mapInArrow(sets, "id long, component long, chunks int, shingles binary")
     full = full.withColumn("n", (F.octet_length("shingles") / 8).cast("long")) \
         .join(reps.select("id", "n", "sig"), ["id", "n"])
-    cut = _tasks(_chunked(full, "component"), groups.count(), "component", "_x", "_y")
+    cut = _tasks(_chunked(full, "component"), copies, "component", "_x", "_y", size=weight)
     links = cut.groupBy("_task").applyInArrow(lambda t: exact_edges(t, need, percent),
                                               "a long, b long")
     linked = write_shared(components(links), "components")

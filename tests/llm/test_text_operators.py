@@ -313,3 +313,35 @@ def test_fingerprint_pairs_are_all_of_a_bucket(spark, monkeypatch):
     held = {r["doc_id"]: tuple(r)[1:] for r in fingerprints.membership(prints).collect()}
     assert len(held) == len(texts) + 1
     assert held[100] == (51, 51) and held[61] == (61, 51) and held[1] == (1, 1)
+
+
+def test_candidate_tasks_follow_the_chunk_copies(spark, monkeypatch):
+    """A group of 40 members in 4 chunks is 160 rows; long sets cut it further."""
+    groups = spark.createDataFrame([(i, 0) for i in range(40)] + [(i, 50) for i in range(50, 52)],
+                                   "id long, component long")
+    reps = groups.selectExpr("id", "if(id < 40, 100L, 1000000L) n")
+    monkeypatch.setattr(near_dups, "CHUNK", 10)
+    members, rows, size = near_dups.candidate_chunks(groups, reps)
+    chunks = {r["component"]: r["chunks"] for r in members.collect()}
+    assert chunks == {0: 4, 50: 2} and members.count() == 42
+    assert rows == 40 * 4 + 2 * 2 and size > 2 * 2 * 8_000_000
+    cut = near_dups._chunked(members, "component")
+    assert cut.count() == rows
+    monkeypatch.setattr(near_dups, "TASK_ROWS", 41)
+    tasks = near_dups._tasks(cut, rows, "component", "_x", "_y")
+    assert tasks.select("_task").distinct().count() > 1
+
+
+def test_near_dups_sizes_exact_tasks_after_the_copies(spark, monkeypatch):
+    asked = []
+    plain = near_dups._tasks
+
+    def spy(df, rows, *keys, **more):
+        asked.append((keys[0], rows, df.count()))
+        return plain(df, rows, *keys, **more)
+
+    monkeypatch.setattr(near_dups, "_tasks", spy)
+    monkeypatch.setattr(near_dups, "CHUNK", 8)
+    data = [(i, " ".join(f"w{j}" for j in range(200)) + f" x{i}") for i in range(40)]
+    assert bag(near_dups.link(frame(spark, data)).collect()) == plain_components(data)
+    assert [rows == real for _, rows, real in asked] == [True, True]
