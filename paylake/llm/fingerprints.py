@@ -282,22 +282,42 @@ def compare(docs: DataFrame, batch_chars: int = 4 << 20) -> DataFrame:
 
 
 # --- banding and verification ----------------------------------------------
-BANDS = 42
+#: Bands of each window of samples, and sampled bits of each.
+BANDS = 14
 BAND_BITS = 16
 
 
+def band_plan(octaves: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the bits of each band, and the step from which a walk has them.
+    The first 64 steps and each octave have three windows of half the samples,
+    half a window apart; a window has BANDS bands of its own."""
+    steps, places = sampled_steps(octaves), []
+    for k in range(octaves + 1):
+        for w in range(3):
+            begin = k * SAMPLES + w * SAMPLES // 4
+            for band in range(BANDS):
+                rng = np.random.Generator(np.random.PCG64((k * 3 + w) * BANDS + band))
+                places.append(begin + rng.choice(SAMPLES // 2, BAND_BITS, replace=False))
+    at = np.array(places)
+    last = np.repeat(np.arange(octaves + 1) * SAMPLES, 3 * BANDS) + np.tile(
+        np.repeat(np.arange(3) * SAMPLES // 4 + SAMPLES // 2 - 1, BANDS), octaves + 1)
+    return at, steps[last] + 1
+
+
+_plans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def band_keys(steps: int, bits: np.ndarray) -> list[int]:
-    """Sampled bits of each band. Bands draw from the walk's first octaves, of
-    which short texts have fewer, so texts of any length meet their likes."""
-    out = []
-    for band in range(BANDS):
-        rng = np.random.Generator(np.random.PCG64(band))
-        at = rng.integers(0, 5 * SAMPLES, BAND_BITS)
-        value = int.from_bytes(np.packbits(
-            np.where(at < len(bits), bits[np.minimum(at, max(len(bits) - 1, 0))], 0)
-            if len(bits) else np.zeros(BAND_BITS, np.uint8)).tobytes(), "big")
-        out.append(band << 32 | value)
-    return out
+    """Band number and sampled bits of each band that the walk has read to its
+    end. Every octave has bands, so the whole walk takes part, but for less than
+    a quarter of its last octave."""
+    octaves = int(octaves_of(steps))
+    if octaves not in _plans:
+        _plans[octaves] = band_plan(octaves)
+    at, need = _plans[octaves]
+    have = np.flatnonzero(need <= steps)
+    value = bits[at[have]].astype(np.int64) @ (1 << np.arange(BAND_BITS, dtype=np.int64))
+    return (have << BAND_BITS | value).tolist()
 
 
 def _packed(prints: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

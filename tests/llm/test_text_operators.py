@@ -345,3 +345,16 @@ def test_near_dups_sizes_exact_tasks_after_the_copies(spark, monkeypatch):
     data = [(i, " ".join(f"w{j}" for j in range(200)) + f" x{i}") for i in range(40)]
     assert bag(near_dups.link(frame(spark, data)).collect()) == plain_components(data)
     assert [rows == real for _, rows, real in asked] == [True, True]
+
+
+def test_fingerprint_pairs_behind_other_headings(spark):
+    """Long texts that are equal but for their first 700 characters."""
+    import random
+    rng = random.Random(1)
+    make = lambda n: "".join(rng.choice("etaoin shrdlu") for _ in range(n))
+    rest = [make(8000) for _ in range(4)]
+    texts = [make(700) + r for r in rest] + [make(700) + r for r in rest]
+    want = brute_pairs(texts)
+    assert want == {(0, 4), (1, 5), (2, 6), (3, 7)}
+    got = fingerprints.similar(fingerprints.fingerprint(frame(spark, list(enumerate(texts)))))
+    assert {(r["a"], r["b"]) for r in got.collect()} == want
