@@ -182,3 +182,15 @@ def test_neighbours_over_many_blocks(spark):
     cut = {(r["query_id"], r["rank"]): r["vec_id"]
            for r in ann.search(table, block=64, group=3).collect()}
     assert len(whole) == 40 and sum(whole[k] == cut[k] for k in whole) >= 36
+
+
+def test_pii_proposes_numbers_beside_others():
+    def told(text):
+        return {(pii.KINDS[k], text[a:b]) for k, a, b in pii.proposals(text)}
+
+    phones = {("phone", "555-123-4567"), ("phone", "555-987-6543"), ("phone", "(555) 222-3333")}
+    assert min(phones) in told("2024-05-17 (555) 222-3333")
+    assert ("phone", "555-123-4567") in told("on 2024-05-17 555-123-4567")
+    assert phones <= told("555-123-4567 555-987-6543 (555) 222-3333")
+    assert ("card", "4111/1111/1111/1111") in told("4111/1111/1111/1111 12/25 555-123-4567")
+    assert ("email", "joe (AT) example (DOT) com") in told("to joe (AT) example (DOT) com now")
