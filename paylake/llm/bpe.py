@@ -19,6 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from paylake.llm.common import documents, text_bytes
@@ -101,15 +102,16 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         self.codec = codec(path)
-        self.kept: dict[tuple[int, int], tuple[np.ndarray, int, int, int, int]] = {}
+        self.kept: dict[bytes, tuple[np.ndarray, int, int, int, int]] = {}
         self.size = 0
         self.encoded = self.reused = 0
 
     def _chunks(self, raw, starts, ends) -> list:
         """(ids, first and last safe byte, ids before the first and up to the
         last) of each chunk; -1: the chunk has no agreeing safe place."""
-        keys = list(zip(hashes(raw, starts, ends).tolist(), (ends - starts).tolist(),
-                        strict=True))
+        data = memoryview(raw)
+        keys = [xxhash.xxh3_128_digest(data[a:b])
+                for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         new: dict = {}
         for i, k in enumerate(keys):
             if k not in self.kept:

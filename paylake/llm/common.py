@@ -2,8 +2,9 @@
 
 The exchange pattern used by several operators:
 
-* rows are dealt to *blocks* by a hash of their id - a block is a bounded
-  number of rows, so it can be held by one task whatever the data look like;
+* rows are dealt to *blocks* by a hash of their id and text - a block is a
+  bounded number of rows, so it can be held by one task also where many rows
+  share an id or have none;
 * a block sends *pieces* of hashed keys to *shards* of the key space. A piece
   holds each key once, so a key that occurs in every document costs one entry
   per block, never one per row;

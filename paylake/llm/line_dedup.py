@@ -143,7 +143,7 @@ def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     own = carried(docs) if carry else documents(docs)
     rows, size = corpus_size(own)
     blocks, shards = block_count(rows, size), max(1, -(-size // SHARD_BYTES))
-    dealt = own.withColumn("_block", block_of(blocks, "doc_id"))
+    dealt = own.withColumn("_block", block_of(blocks, "doc_id", "text"))
 
     def block_keys(table: pa.Table):
         """Distinct keys of a block with documents and largest id."""

@@ -16,7 +16,7 @@ with several source coordinates. The graph is built in three steps:
    runs that remain are the nonbranching paths, and every source of a path
    traverses all of it.
 3. *Verification by source coordinates.* Each source span of a path is joined
-   on a 128-bit hash of all its words; spans with another source are verified
+   on a 124-bit hash of all its words; spans with another source are verified
    as a whole. Windows of segments that share a minimizer without being equal
    (the ends of a repeated span, near copies) are joined one by one.
 
@@ -33,14 +33,16 @@ from pyspark.sql import functions as F
 
 from paylake.llm.common import (PIECE_SCHEMA, Outbox, block_count, block_of, corpus_size,
                                 documents, empty, mix, ranges, text_bytes, unpack)
-from paylake.llm.words import batch_words, powers, windows
+from paylake.llm.words import batch_words, windows
 
 #: Words of an m-mer; windows of ``size`` words have ``size - m + 1`` of them.
 MMER = 16
 SHARD_BYTES = 24 << 20
 BLOCK_BYTES = 4 << 20
 
-_BASES = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
+PRIME = np.uint64((1 << 31) - 1)
+_BASES = (0x2C6F1E35, 0x5D588B65, 0x1B873593, 0x6A09E667)
+_SALTS = mix(np.arange(1, len(_BASES) + 1, dtype=np.uint64))
 _PIECE = [("_block", pa.int64()), ("_shard", pa.int64()), ("data", pa.binary())]
 _SEGMENT_KINDS = ("<u8", "<u8", "u1", "<u4", "<u4")
 _SPAN_KINDS = ("<u8", "<u8", "u1")
@@ -64,22 +66,39 @@ def least(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
+def residues(base: int, n: int) -> np.ndarray:
+    """Powers 0 to n-1 of ``base`` modulo PRIME, by doubling."""
+    out = np.ones(max(n, 1), np.uint64)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have:have + more] = out[:more] * np.uint64(pow(base, have, int(PRIME))) % PRIME
+        have += more
+    return out
+
+
 class Contents:
-    """128-bit hashes of word ranges from running sums."""
+    """Hashes of word ranges from running sums: four polynomials modulo a prime
+    (no regular sequence of words cancels there, as some do modulo 2^64), of which
+    two make the first and two the second 62 bits."""
 
     def __init__(self, words: np.ndarray):
         self.sums, self.down = [], []
         n = len(words)
         for salt, base in enumerate(_BASES):
-            up = powers(base, n)
-            w = words if not salt else mix(words + np.uint64(0x9FB21C651E98DF25))
-            self.sums.append(np.concatenate((np.zeros(1, np.uint64),
-                                             np.cumsum(w * up[:n], dtype=np.uint64))))
-            self.down.append(powers(np.uint64(pow(int(base), -1, 1 << 64)), n + 1))
+            w = mix(words + _SALTS[salt]) >> np.uint64(33)
+            total = np.cumsum(w * residues(base, n)[:n] % PRIME, dtype=np.uint64) % PRIME
+            self.sums.append(np.concatenate((np.zeros(1, np.uint32), total.astype(np.uint32))))
+            self.down.append(residues(pow(base, -1, int(PRIME)), n + 1).astype(np.uint32))
+
+    def _part(self, start: np.ndarray, end: np.ndarray, i: int) -> np.ndarray:
+        s = self.sums[i][end].astype(np.uint64) + PRIME - self.sums[i][start]
+        return s % PRIME * self.down[i][start] % PRIME
 
     def of(self, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
-        s = (self.sums[which][end] - self.sums[which][start]) * self.down[which][start]
-        return mix(s + (end - start).astype(np.uint64))
+        s = self._part(start, end, 2 * which) << np.uint64(31)
+        s |= self._part(start, end, 2 * which + 1)
+        return mix(s + mix((end - start).astype(np.uint64)))
 
 
 class Walks:
@@ -239,7 +258,7 @@ def dedup(docs: DataFrame, size: int = 35) -> DataFrame:
     rows, total = corpus_size(own)
     blocks = block_count(rows, total, per_bytes=BLOCK_BYTES)
     shards = max(1, -(-total // SHARD_BYTES))
-    dealt = own.withColumn("_block", block_of(blocks, "doc_id"))
+    dealt = own.withColumn("_block", block_of(blocks, "doc_id", "text"))
 
     def ask_segments(table: pa.Table) -> pa.Table:
         walks = Walks(table, size)

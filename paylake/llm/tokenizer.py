@@ -3,8 +3,8 @@
 ``Codec.encode_many`` encodes a batch of texts given as UTF-8 bytes. The
 pre-token pattern always ends a piece between a character that is not white
 space and a blank, so the *units* between such places encode alone as they do
-in their text. Equal units of a slice are found by hash with numpy and encoded
-once.
+in their text. Equal units of a slice are found by hash with numpy, compared byte
+by byte, and encoded once.
 
 Texts with characters on whose classes (letter, number, space) the libraries
 might differ, or with the vocabulary's special token, go to the tokenizers
@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 
 from paylake.llm.common import ranges
-from paylake.llm.words import hashes
+from paylake.llm.words import equal, hashes
 
 VOCABULARY = "byte_bpe_50k"
 END_OF_TEXT = b"<|endoftext|>"
@@ -48,6 +48,21 @@ def unit_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[:-1])
 
 
+def _distinct(raw, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each different unit, and which of them every unit is. Units
+    that only share a hash are told apart by their bytes."""
+    _, first, place = np.unique(hashes(raw, starts, ends), return_index=True,
+                                return_inverse=True)
+    size = ends - starts
+    model = first[place]
+    stray = size != size[model]
+    same = np.flatnonzero(~stray)
+    stray[same] = ~equal(raw, starts[same], starts[model[same]], size[same])
+    odd = np.flatnonzero(stray)
+    place[odd] = len(first) + np.arange(len(odd))
+    return np.concatenate((first, odd)), place
+
+
 class Codec:
     def __init__(self, path: str):
         import os
@@ -140,8 +155,7 @@ class Codec:
         if not len(starts):
             return np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(raw))
-        _, first, place = np.unique(hashes(raw, starts, ends), return_index=True,
-                                    return_inverse=True)
+        first, place = _distinct(raw, starts, ends)
         store, size = self._units(raw, starts[first], ends[first])
         begin = np.concatenate(([0], np.cumsum(size)[:-1]))
         n = size[place]

@@ -8,40 +8,31 @@ separators are single ASCII bytes, so working on UTF-8 bytes gives the words
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
-from paylake.llm.common import mix
+from paylake.llm.common import mix, ranges
 
-#: Bytes hashed at a time; bounds the working arrays for very long texts.
-SEGMENT = 1 << 20
+#: Longest word that is hashed in lanes of eight bytes; longer ones are hashed by xxh3.
+LONG = 64
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = np.uint64(0xD6E8FEB86659FD93)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_UP = powers(_BASE, SEGMENT)
-_DOWN = powers(_INVERSE, SEGMENT)
+_LANE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
-def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and end of every word; no word crosses a document's end."""
+def spans(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; no word crosses a document's end.
+    ``separator`` tells of each byte value whether it stands between words."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~_SEPARATOR[raw]
+    inside = ~separator[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[offsets] = True
     begins = inside.copy()
@@ -52,31 +43,46 @@ def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word. Equal bytes give equal hashes; a word longer
-    than SEGMENT is hashed piece by piece from its own start, so its hash does
-    not depend on where it stands either."""
-    out = np.zeros(len(starts), np.uint64)
-    i, n = 0, len(starts)
-    while i < n:
-        base = starts[i]
-        j = int(np.searchsorted(ends, base + SEGMENT, "right"))
-        if j <= i:  # one very long word
-            h, at = np.uint64(0), base
-            while at < ends[i]:
-                part = raw[at:min(at + SEGMENT, ends[i])]
-                h = mix(np.array([h], np.uint64))[0] ^ np.sum(
-                    _BYTE[part] * _UP[:len(part)], dtype=np.uint64)
-                at += SEGMENT
-            out[i] = h
-            i += 1
-            continue
-        part = raw[base:ends[j - 1]]
-        total = np.concatenate((np.zeros(1, np.uint64),
-                                np.cumsum(_BYTE[part] * _UP[:len(part)], dtype=np.uint64)))
-        s, e = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = (total[e] - total[s]) * _DOWN[s]
+    """64-bit hash of every word, of its bytes and length alone. Words of up to
+    LONG bytes go eight bytes at a time through a mixing bijection (two words of
+    equal length up to eight never meet), longer ones through xxh3."""
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    padded = np.concatenate((raw, np.zeros(8, np.uint8)))
+    lanes = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    row = np.flatnonzero(size <= LONG)
+    at, left, h = starts[row], size[row], out[row]
+    while len(row):
+        h = mix(h ^ (lanes[at] & _LANE[np.minimum(left, 8)])) + np.uint64(0xD6E8FEB86659FD93)
+        out[row] = h
+        more = np.flatnonzero(left > 8)
+        row, at, left, h = row[more], at[more] + 8, left[more] - 8, h[more]
+    data = memoryview(np.ascontiguousarray(raw))
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]])
+    return out
+
+
+def equal(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether ``size`` bytes from ``a`` on are those from ``b`` on, span by span."""
+    same = np.ones(len(a), bool)
+    full = np.flatnonzero((size > 0) & (a != b))
+    for i, j in _runs(size[full]):
+        part = full[i:j]
+        differ = raw[ranges(a[part], size[part])] != raw[ranges(b[part], size[part])]
+        begin = np.concatenate(([0], np.cumsum(size[part])[:-1]))
+        same[part] = ~np.logical_or.reduceat(differ, begin)
+    return same
+
+
+def _runs(size: np.ndarray, most: int = 1 << 20):
+    """Runs of spans of about ``most`` bytes together (one span at least)."""
+    total, i = np.cumsum(size), 0
+    while i < len(size):
+        j = int(np.searchsorted(total, (total[i - 1] if i else 0) + most, "right"))
+        j = max(j, i + 1)
+        yield i, j
         i = j
-    return mix(out ^ ((ends - starts).astype(np.uint64) << np.uint64(56)))
 
 
 def batch_words(raw: np.ndarray, offsets: np.ndarray):
