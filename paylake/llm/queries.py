@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import ann, bpe, fingerprints, line_dedup, near_dups, packing, pii, quality, substrings, toxicity
+from paylake.llm import (ann, bpe, fingerprints, lexical, line_dedup, near_dups, packing, pii, quality, simhash,
+                         substrings, toxicity, vector_codes)
 from paylake.llm.common import read
 
 
@@ -48,9 +49,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(*vector_codes.compress(read(spark, sf_dir, "embeddings")))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.link(read(spark, sf_dir, "documents")))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_line_dedup, op2_bpe, op3_pii, op4_toxicity, op5_ann, op6_substring_dedup, op7_packing, op8_fingerprints,
-    op9_minhash, op10_quality)}
+    op9_minhash, op10_quality, op11_vector_codes, op12_lexical_search, op13_simhash)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE,
+                              "op11_vector_codes": vector_codes.ORACLE,
+                              "op12_lexical_search": lexical.ORACLE}
