@@ -171,7 +171,8 @@ def best_split(points: np.ndarray, bits: int, rng) -> tuple[int, int, np.ndarray
 
 def shards(fps: DataFrame, bits: int, leaf: int) -> list[DataFrame]:
     """Tables of ``shard, fp, home, rows`` (rows of the shard): the leaves of all rounds."""
-    state = fps.select(F.lit(0).cast("long").alias("shard"), "fp", F.lit(True).alias("home"),
+    # all begin in shard 0 (no literal: a join on it should stay a join on a key)
+    state = fps.select(F.pmod("fp", F.lit(1)).cast("long").alias("shard"), "fp", F.lit(True).alias("home"),
                        F.lit(False).alias("closed"))
     leaves = []
     while True:
@@ -204,7 +205,7 @@ def _split(state: DataFrame, sizes: DataFrame, bits: int, leaf: int) -> DataFram
     # a shard without a sampled row stays whole
     trees = sizes.select("shard", "rows").join(trees, "shard", "left").select(
         "shard", "nodes", "leaves", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    rows = state.select("shard", "fp", "home", F.pmod(F.xxhash64("fp"), parts).alias("part"))
+    rows = state.select("shard", "fp", "home", F.pmod(F.xxhash64("fp"), parts).cast("int").alias("part"))
 
     def route(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
