@@ -1,12 +1,14 @@
 """SimHash near-duplicates by vantage-point trees over Hamming distance.
 
-Different fingerprints are dealt to the leaves of vantage-point trees. A node has a
-vantage point and a radius: fingerprints within the radius go inside, others
-outside. By the triangle inequality a fingerprint outside has a neighbour within
-``bits`` inside only if that neighbour is nearer than ``bits`` to the boundary. Such
-a fingerprint of the inside also goes outside, as a *visitor*; a visitor goes on
-to every side that its ball reaches. So each pair within ``bits`` meets in a leaf
-(shard) where one of them is at home, and the search is exact.
+Two fingerprints that differ in at most ``bits`` bits have a half (32 bits) in which
+they differ in at most ``bits // 2``. So there is a tree for each half, searched with
+that ball, and different fingerprints are dealt to the leaves of both. A node has a
+vantage point and a radius: halves within the radius go inside, others outside. By
+the triangle inequality a half outside has a neighbour inside only if that neighbour
+is as near to the boundary as the ball is wide. Such a fingerprint of the inside
+also goes outside, as a *visitor*; a visitor goes on to every side that its ball
+reaches. So each pair meets, in one of the trees at least, in a leaf (shard) where
+one of them is at home, is compared there in all bits, and the search is exact.
 
 Trees grow in rounds. A shard with too many fingerprints at home gets a tree of its
 own, from a sample that only decides how even the shards become; its rows are
@@ -97,8 +99,8 @@ class Tree:
         self.nodes, self.closed = nodes, closed
 
     @classmethod
-    def grown(cls, points: np.ndarray, homes: int, bits: int, leaf: int) -> Tree:
-        """From a sample of a shard's ``homes`` fingerprints."""
+    def grown(cls, points: np.ndarray, homes: int, ball: int, leaf: int) -> Tree:
+        """From a sample of the halves of a shard's ``homes`` fingerprints."""
         rng = np.random.Generator(np.random.PCG64(len(points)))
         scale = homes / max(len(points), 1)
         nodes: list[tuple] = []
@@ -109,7 +111,7 @@ class Tree:
             split = None
             small = len(own) * scale <= 0.6 * leaf
             if not small and len(own) >= NODE:
-                split = best_split(own, bits, rng)
+                split = best_split(own, ball, rng)
             if split is None:
                 # too few samples to tell, or nothing that is worth a split
                 closed.append(not small and len(own) >= NODE or not nodes)
@@ -123,11 +125,11 @@ class Tree:
                 nodes[parent][2 if side == "inside" else 3] = place
         return cls(np.array([tuple(n) for n in nodes], _NODE), np.array(closed, bool))
 
-    def route(self, fp: np.ndarray, home: np.ndarray, bits: int
+    def route(self, half: np.ndarray, home: np.ndarray, ball: int
               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, leaf and whether it is at home there, for every leaf a row goes to."""
         out = []
-        wait = [(0 if len(self.nodes) else -1, np.arange(len(fp)), home)]
+        wait = [(0 if len(self.nodes) else -1, np.arange(len(half)), home)]
         while wait:
             node, rows, own = wait.pop()
             if not len(rows):
@@ -136,11 +138,11 @@ class Tree:
                 out.append((rows, np.full(len(rows), -1 - node), own))
                 continue
             vantage, radius, inside, outside = self.nodes[node]
-            d = np.bitwise_count(fp[rows] ^ vantage).astype(np.int32)
+            d = np.bitwise_count(half[rows] ^ vantage).astype(np.int32)
             near = d <= radius
             # at home on one side only; visitors wherever their ball reaches
-            into = np.where(own, near, d - bits <= radius)
-            beyond = np.where(own, ~near | (d + bits > radius), d + bits > radius)
+            into = np.where(own, near, d - ball <= radius)
+            beyond = d + ball > radius
             wait.append((inside, rows[into], own[into]))
             wait.append((outside, rows[beyond], (own & ~near)[beyond]))
         if not out:
@@ -148,7 +150,7 @@ class Tree:
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def best_split(points: np.ndarray, bits: int, rng) -> tuple[int, int, np.ndarray] | None:
+def best_split(points: np.ndarray, ball: int, rng) -> tuple[int, int, np.ndarray] | None:
     """Vantage point, radius and who is inside, with the fewest visitors for the
     entropy of the split; None if none is worth it."""
     n = len(points)
@@ -160,7 +162,7 @@ def best_split(points: np.ndarray, bits: int, rng) -> tuple[int, int, np.ndarray
         fits = np.flatnonzero((share >= SIDE) & (share <= 1 - SIDE))
         if not len(fits):
             continue
-        visitors = within[fits] - np.where(fits >= bits, within[fits - bits], 0)
+        visitors = within[fits] - np.where(fits >= ball, within[fits - ball], 0)
         p = share[fits]
         cost = np.log2(1 + visitors / n) / -(p * np.log2(p) + (1 - p) * np.log2(1 - p))
         k = int(cost.argmin())
@@ -169,6 +171,11 @@ def best_split(points: np.ndarray, bits: int, rng) -> tuple[int, int, np.ndarray
     return found
 
 
+def halves(fp: np.ndarray, half: np.ndarray) -> np.ndarray:
+    """The low (0) or the high (1) 32 bits of every fingerprint."""
+    return fp.view(np.uint64) >> (half.astype(np.uint64) * np.uint64(32)) & np.uint64(0xFFFFFFFF)
+
+
 def shards(fps: DataFrame, bits: int, leaf: int) -> list[DataFrame]:
     """Tables of ``shard, fp, home, rows`` (rows of the shard): the leaves of all rounds."""
     # all begin in shard 0 (no literal: a join on it should stay a join on a key)
@@ -193,37 +200,37 @@ def _split(state: DataFrame, sizes: DataFrame, bits: int, leaf: int) -> DataFram
     sample = state.where(F.col("home") & (F.pmod(F.xxhash64("fp", "shard"), every) == 0))
 
     def grow(table: pa.Table) -> pa.Table:
-        points = np.asarray(table.column("fp")).view(np.uint64)
-        tree = Tree.grown(np.sort(points), table.column("homes")[0].as_py(), bits, leaf)
+        points = halves(np.asarray(table.column("fp")), np.asarray(table.column("half")))
+        tree = Tree.grown(np.sort(points), table.column("homes")[0].as_py(), bits // 2, leaf)
         return pa.table({"shard": table.column("shard").slice(0, 1),
                          "nodes": pa.array([tree.nodes.tobytes()], pa.binary()),
                          "leaves": pa.array([tree.closed.tobytes()], pa.binary())})
 
-    trees = sample.select("shard", "fp", "homes").groupBy("shard").applyInArrow(
+    trees = sample.select("shard", "half", "fp", "homes").groupBy("shard").applyInArrow(
         grow, "shard long, nodes binary, leaves binary")
     parts = F.ceil(F.col("rows") / F.lit(ROUTE)).cast("int")
     # a shard without a sampled row stays whole
     trees = sizes.select("shard", "rows").join(trees, "shard", "left").select(
         "shard", "nodes", "leaves", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    rows = state.select("shard", "fp", "home", F.pmod(F.xxhash64("fp"), parts).cast("int").alias("part"))
+    rows = state.select("shard", "half", "fp", "home", F.pmod(F.xxhash64("fp"), parts).cast("int").alias("part"))
 
     def route(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return empty([("shard", pa.int64()), ("fp", pa.int64()), ("home", pa.bool_()),
-                          ("closed", pa.bool_())])
+            return empty([("shard", pa.int64()), ("half", pa.int32()), ("fp", pa.int64()),
+                          ("home", pa.bool_()), ("closed", pa.bool_())])
         shard = left.column("shard")[0].as_py()
         nodes, closed = right.column("nodes")[0].as_py(), right.column("leaves")[0].as_py()
         tree = Tree(np.frombuffer(nodes or b"", _NODE), np.frombuffer(closed or b"\1", bool))
-        fp = np.asarray(left.column("fp")).view(np.uint64)
-        row, at, home = tree.route(fp, np.asarray(left.column("home")), bits)
+        fp, half = np.asarray(left.column("fp")), np.asarray(left.column("half"))
+        row, at, home = tree.route(halves(fp, half), np.asarray(left.column("home")), bits // 2)
         # two leaves of one number would be searched as one shard: right all the same
         names = np.array([xxhash.xxh3_64_intdigest(f"{shard} {k}") >> 1
                           for k in range(len(tree.closed))], np.int64)
-        return pa.table({"shard": names[at], "fp": fp[row].view(np.int64), "home": home,
+        return pa.table({"shard": names[at], "half": half[row], "fp": fp[row], "home": home,
                          "closed": tree.closed[at]})
 
     return rows.groupBy("shard", "part").cogroup(trees.groupBy("shard", "part")).applyInArrow(
-        route, "shard long, fp long, home boolean, closed boolean")
+        route, "shard long, half int, fp long, home boolean, closed boolean")
 
 
 # --- links -------------------------------------------------------------------
