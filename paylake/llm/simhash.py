@@ -177,10 +177,11 @@ def halves(fp: np.ndarray, half: np.ndarray) -> np.ndarray:
 
 
 def shards(fps: DataFrame, bits: int, leaf: int) -> list[DataFrame]:
-    """Tables of ``shard, fp, home, rows`` (rows of the shard): the leaves of all rounds."""
-    # all begin in shard 0 (no literal: a join on it should stay a join on a key)
-    state = fps.select(F.pmod("fp", F.lit(1)).cast("long").alias("shard"), "fp", F.lit(True).alias("home"),
-                       F.lit(False).alias("closed"))
+    """Tables of ``shard, fp, home, rows`` (rows of the shard): the leaves of all rounds.
+    The roots are shards 0 and 1, of the low and the high half."""
+    state = fps.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("half"), "fp").select(
+        F.col("half").cast("long").alias("shard"), "half", "fp", F.lit(True).alias("home"),
+        F.lit(False).alias("closed"))
     leaves = []
     while True:
         sizes = write_shared(state.groupBy("shard").agg(
