@@ -4,7 +4,7 @@
         --raw s3a://.../raw/ --format csv \\
         --warehouse s3a://.../warehouse [--database payments] \\
         (--date 2026-08-01 | --start D --end D | --full | --yesterday) \\
-        [--fact-mode ignore|replace] [--check-orphans] [--count-read] \\
+        [--fact-mode ignore|replace] [--layout day|month] [--check-orphans] [--count-read] \\
         [--timestamp-format P] [--multi-line] [--export-csv DIR] \\
         [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
 
@@ -27,7 +27,7 @@ from paylake.schemas import TIMESTAMP_FORMAT
 from paylake.session import shared_root
 from paylake.sources.jdbc import jdbc_options
 from paylake.sources.raw import count_corrupt, read_raw_csv, read_raw_parquet
-from paylake.sources.warehouse import Warehouse
+from paylake.sources.warehouse import LAYOUTS, Warehouse
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -36,6 +36,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--format", choices=("csv", "parquet"), default="csv")
     p.add_argument("--warehouse", required=True, help="warehouse root folder")
     p.add_argument("--database", default=None, help="register tables in this catalog database")
+    p.add_argument("--layout", choices=LAYOUTS, default="day",
+                   help="partitions of the fact; month where days are small")
     mode = p.add_mutually_exclusive_group()
     mode.add_argument("--date", help="load one day (YYYY-MM-DD)")
     mode.add_argument("--yesterday", action="store_true", help="load yesterday")
@@ -75,7 +77,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         password = os.environ[args.jdbc_password_env] if args.jdbc_password_env else None
         jdbc = {"url": args.jdbc_url, "num_partitions": args.jdbc_connections,
                 "props": jdbc_options(args.jdbc_url, args.jdbc_user, password, args.jdbc_driver)}
-    wh = Warehouse(spark, args.warehouse, database=args.database)
+    wh = Warehouse(spark, args.warehouse, database=args.database, layout=args.layout)
     wh.create_tables()
     day = default_day() if args.yesterday else args.date
     result = run_load(spark, raw, wh, full=args.full, day=None if args.full else day,

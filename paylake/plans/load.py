@@ -182,9 +182,7 @@ def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_d
 def stored_summary(warehouse: Warehouse, days: list) -> DataFrame:
     """The daily summary of ``days`` from the stored facts, categories by the
     stored merchants (the fact holds no category of its own)."""
-    known = [d for d in days if d is not None]
-    fact = warehouse.read("fact_transactions").filter(F.col("transaction_date").isin(known)
-                                                      if known else F.lit(False))
+    fact = warehouse.read_days("fact_transactions", [d for d in days if d is not None])
     merchants = warehouse.read("dim_merchants").select("merchant_id", "merchant_category")
     return M.daily_summary(fact.join(merchants, "merchant_id"))
 

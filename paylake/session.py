@@ -128,6 +128,34 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files of ``path``, without hidden ones."""
+    fs, p = _file_system(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename one file, making the target's folder. Nothing to do if it was moved
+    before; raises if it cannot be done."""
+    fs, s = _file_system(spark, source)
+    t = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(s, t) and (fs.exists(s) or not fs.exists(t)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def touch_file(spark: SparkSession, path: str) -> None:
+    """Create an empty file; fails if it exists."""
+    fs, p = _file_system(spark, path)
+    fs.create(p, False).close()
+
+
 def delete_paths(spark: SparkSession, paths: list) -> None:
     """Delete the given folders (staged copies, superseded table versions)
     through the Hadoop file system of each path - HDFS, object stores and

@@ -18,20 +18,29 @@ before the job runs.  So:
   row per day and category - bounded by the calendar, not the data.)
 * fact, IGNORE (default): append-only - new ids are appended, nothing is
   rewritten;
-* fact, REPLACE (keep-last): the batch days plus the days holding older
-  versions of the batch ids - the null day is a day like any other - are
-  rewritten from a copy staged in the shared folder
-  (``spark.checkpoint.dir``); dynamic partition overwrite swaps the
-  partitions at job commit, and partitions of days that have no row left are
-  then deleted.  A run that dies between the two steps is healed by repeating
-  the load: the day to be emptied still holds an id of the batch.
-
-The set of touched days is collected to the driver: it is bounded by the
-calendar span of one batch, not by data volume.
+* fact, REPLACE (keep-last): only the files that hold a changed row of the batch
+  are rewritten. Their other rows and the batch's rows are written to a folder
+  that readers do not see (``_swap-<n>``) together with the list of the files they
+  replace; a ``_READY`` marker commits it, and then the files change places. A run
+  that dies before the marker leaves the table as it was; after it, the next load
+  or read of the table finishes the swap (``_finish_swaps``).
+
+Key index: the stored ids of the fact are kept a second time as a table bucketed
+by id (``_ids-<buckets>``). A batch of any size meets it without moving the stored
+side: the batch is shuffled to the index's buckets. The index is derived data. Its
+row count and the fact's (Parquet footers) are compared before it is used, and
+after a load that died between the two writes it is built again.
+
+Partitions of the fact: by day (default), or by month where days are small
+(``layout="month"``; a day's rows are then found by the files' statistics). The
+names of files and partitions reach the driver, rows do not.
 """
 
 from __future__ import annotations
 
+import hashlib
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +48,8 @@ from pyspark.sql import types as T
 from paylake.functions.timeparse import format_ts
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
-from paylake.session import delete_paths, list_dirs, path_exists, stage
+from paylake.session import (delete_paths, list_dirs, list_files, move_file, path_exists, stage,
+                             touch_file)
 
 # Batches with at most this many keys are broadcast into the upsert joins
 # (counted on the staged batch); larger batches use shuffle joins.
@@ -56,14 +66,22 @@ def _ddl_type(dt) -> str:
 
 
 KEEP_VERSIONS = 2
+LAYOUTS = ("day", "month")
+MONTH = "transaction_month"
+SWAP, READY = "_swap-", "_READY"
 
 
-def create_table_sql(name: str, location: str, database: str | None = None) -> str:
+def create_table_sql(name: str, location: str, database: str | None = None,
+                     layout: str = "day") -> str:
     """Idempotent DDL for one warehouse table (keys are checked by the
     quality rules, Spark does not enforce them)."""
     schema, _keys, part = TABLES[name]
-    data_cols = [f for f in schema.fields if f.name != part]
-    part_cols = [f for f in schema.fields if f.name == part]
+    fields = list(schema.fields)
+    if part and layout == "month":
+        part = MONTH
+        fields.append(T.StructField(MONTH, T.StringType()))
+    data_cols = [f for f in fields if f.name != part]
+    part_cols = [f for f in fields if f.name == part]
     cols = ",\n  ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in data_cols + part_cols)
     qual = f"`{database}`.`{name}`" if database else f"`{name}`"
     part_sql = f"\nPARTITIONED BY (`{part}`)" if part else ""
@@ -72,10 +90,18 @@ def create_table_sql(name: str, location: str, database: str | None = None) -> s
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None,
+                 layout: str = "day", index_buckets: int | None = None):
+        """``layout``: partitions of the fact, by day or by month; a warehouse keeps the
+        one it was created with. ``index_buckets``: buckets of the key index (default:
+        the session's shuffle partitions at its first use)."""
+        if layout not in LAYOUTS:
+            raise ValueError(f"layout must be one of {LAYOUTS}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
+        self.layout = layout
+        self.index_buckets = index_buckets
 
     # -- layout ---------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -84,24 +110,38 @@ class Warehouse:
     def schema(self, name: str) -> T.StructType:
         return TABLES[name][0]
 
+    def part_column(self, name: str) -> str | None:
+        """Column of the table's partition folders."""
+        part = TABLES[name][2]
+        return MONTH if part and self.layout == "month" else part
+
     def _write_order(self, name: str) -> list[str]:
-        schema, _k, part = TABLES[name]
+        schema, _k, _p = TABLES[name]
+        part = self.part_column(name)
         return [f.name for f in schema.fields if f.name != part] + ([part] if part else [])
 
+    def _with_part(self, name: str, df: DataFrame) -> DataFrame:
+        """The table's columns in the order they are written in."""
+        if self.part_column(name) == MONTH:
+            df = df.withColumn(MONTH, F.date_format(TABLES[name][2], "yyyy-MM"))
+        return df.select(*self._write_order(name))
+
     # -- S6 -------------------------------------------------------------------
     def create_tables(self) -> None:
         """Create every table (empty, typed) if absent; register it in the
         session catalog when a database is given."""
         for name, (schema, _keys, part) in TABLES.items():
-            empty = self.spark.createDataFrame([], schema).select(*self._write_order(name))
+            empty = self._with_part(name, self.spark.createDataFrame([], schema))
             if part is None:
                 if not self._versions(name):
                     self._commit_version(name, empty)
             elif not path_exists(self.spark, self.path(name)):
-                empty.write.mode("append").partitionBy(part).parquet(self.path(name))
+                empty.write.mode("append").partitionBy(self.part_column(name)).parquet(
+                    self.path(name))
             if self.database:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
-                self.spark.sql(create_table_sql(name, self.location(name), self.database))
+                self.spark.sql(create_table_sql(name, self.location(name), self.database,
+                                                self.layout))
 
     # -- versions of the unpartitioned tables --------------------------------
     def _versions(self, name: str) -> list[int]:
@@ -152,8 +192,28 @@ class Warehouse:
         schema = self.schema(name)
         if TABLES[name][2] is None and not self._versions(name):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).parquet(self.location(name))
-        return df.select(*[f.name for f in schema.fields])
+        return self._stored(name).select(*[f.name for f in schema.fields])
+
+    def read_days(self, name: str, days: list) -> DataFrame:
+        """Rows of the given days (``None``: no day); only the folders of these days,
+        or of their months, are read."""
+        part, df = TABLES[name][2], self._stored(name)
+        if self.part_column(name) == MONTH:
+            months = {None if d is None else f"{d:%Y-%m}" for d in days}
+            df = df.filter(self._in_days(MONTH, sorted(months, key=str)))
+        return df.filter(self._in_days(part, days)).select(*self.schema(name).fieldNames())
+
+    def _stored(self, name: str, files: list[str] | None = None) -> DataFrame:
+        """The stored table, or some of its files, with its partition column."""
+        if TABLES[name][2] is not None and files is None:
+            self._finish_swaps(name, writer=False)
+        schema = self.schema(name)
+        if self.part_column(name) == MONTH:
+            schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+        reader = self.spark.read.schema(schema)
+        if files is None:
+            return reader.parquet(self.location(name))
+        return reader.option("basePath", self.path(name)).parquet(*files)
 
     def export_csv(self, name: str, path: str) -> None:
         """S4 text export: the table as CSV with a header, timestamps as
@@ -182,38 +242,34 @@ class Warehouse:
             if part is not None and (days is None or None in days):
                 self.spark.sql(f"MSCK REPAIR TABLE {qual}")
             elif part is not None:
-                for d in days:
-                    there = path_exists(self.spark, self._day_path(name, d))
+                column = self.part_column(name)
+                for v in sorted({str(d) if column == part else f"{d:%Y-%m}" for d in days}):
+                    there = path_exists(self.spark, f"{self.path(name)}/{column}={v}")
                     self.spark.sql(
                         f"ALTER TABLE {qual} "
                         + ("ADD IF NOT EXISTS" if there else "DROP IF EXISTS")
-                        + f" PARTITION (`{part}` = DATE'{d}')")
+                        + f" PARTITION (`{column}` = '{v}')")
             self.spark.sql(f"REFRESH TABLE {qual}")
 
     # -- S4: writes -----------------------------------------------------------
     def _prepare_write(self, name: str, df: DataFrame) -> DataFrame:
         """Column order of the table; for partitioned tables a rebalance on
-        the partition column, so each day lands in few files instead of one
-        file per task and day.  AQE sizes the rebalance: small days are
-        coalesced, a hot day is split across tasks."""
-        _s, _k, part = TABLES[name]
-        out = df.select(*self._write_order(name))
+        the partition column, so each partition lands in few files instead of one
+        file per task and partition.  AQE sizes the rebalance: small partitions are
+        coalesced, a hot one is split across tasks."""
+        part = self.part_column(name)
+        out = self._with_part(name, df)
         return out.hint("rebalance", part) if part else out
 
-    def _overwrite(self, name: str, staged: DataFrame, dynamic: bool) -> None:
-        _s, _k, part = TABLES[name]
-        w = self._prepare_write(name, staged).write.mode("overwrite")
-        if part:
-            w = w.partitionBy(part).option("partitionOverwriteMode",
-                                           "dynamic" if dynamic else "static")
-        w.parquet(self.path(name))
-
     def _append(self, name: str, df: DataFrame) -> None:
-        _s, _k, part = TABLES[name]
-        w = self._prepare_write(name, df).write.mode("append")
+        self._write(name, df, self.path(name), "append")
+
+    def _write(self, name: str, df: DataFrame, path: str, mode: str) -> None:
+        part = self.part_column(name)
+        w = self._prepare_write(name, df).write.mode(mode)
         if part:
             w = w.partitionBy(part)
-        w.parquet(self.path(name))
+        w.parquet(path)
 
     def _batch_keys(self, batch: DataFrame, keys: list[str]) -> DataFrame:
         return K.bounded_broadcast(batch.select(*keys), BROADCAST_KEY_ROWS)
@@ -222,71 +278,165 @@ class Warehouse:
         """Distinct days (``None``: the null day), bounded by the calendar."""
         return [r[0] for r in df.select("transaction_date").distinct().collect()]
 
-    def _day_path(self, name: str, day) -> str:
-        part = TABLES[name][2]
-        return f"{self.path(name)}/{part}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
-
     @staticmethod
     def _in_days(column: str, days: list):
         known = [d for d in days if d is not None]
         cond = F.col(column).isin(known) if known else F.lit(False)
         return cond | F.col(column).isNull() if None in days else cond
 
+    # -- key index of the fact -------------------------------------------------
+    def _index(self, name: str) -> tuple[str, str, int]:
+        """Catalog name, folder and buckets of the key index."""
+        found = [d for d in list_dirs(self.spark, self.root) if d.startswith("_ids-")]
+        if found:
+            buckets = int(found[0].split("-")[1])
+        else:
+            buckets = self.index_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = f"{self.root}/_ids-{buckets}"
+        return f"paylake_ids_{hashlib.md5(path.encode()).hexdigest()}", path, buckets
+
+    def key_index(self, name: str = "fact_transactions") -> DataFrame:
+        """Stored ids, bucketed by id; built again if it is not in step with the table
+        (a load died between the two writes, or the table is older than the index)."""
+        table, path, buckets = self._index(name)
+        key = TABLES[name][1][0]
+        fresh = not path_exists(self.spark, path)
+        # no sort columns: a bucket has a file of every load
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({key} STRING) USING parquet "
+                       f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        self.spark.sql(f"REFRESH TABLE {table}")
+        stored = self._stored(name)
+        if fresh or self.spark.table(table).count() != stored.count():
+            self._index_write(name, stored.select(key), overwrite=True)
+        return self.spark.table(table)
+
+    def _index_write(self, name: str, ids: DataFrame, overwrite: bool = False) -> None:
+        table, _path, buckets = self._index(name)
+        key = TABLES[name][1][0]
+        ids.select(key).repartition(buckets, key).write.insertInto(table, overwrite=overwrite)
+        self.spark.sql(f"REFRESH TABLE {table}")
+
+    def stored_keys(self, name: str, batch: DataFrame) -> DataFrame:
+        """Keys of the batch that are stored already. Up to BROADCAST_KEY_ROWS keys
+        of the batch are broadcast to the index; beyond, the batch is shuffled to the
+        index's buckets. The stored side is not moved either way."""
+        keys = TABLES[name][1]
+        return self.key_index(name).join(self._batch_keys(batch, keys), keys, "left_semi")
+
+    # -- swaps of files ---------------------------------------------------------
+    def _swap(self, name: str, rows: DataFrame, replaced: list[str]) -> None:
+        """Put ``rows`` in the place of the files ``replaced`` (their full paths)."""
+        taken = [int(d[len(SWAP):]) for d in list_dirs(self.spark, self.path(name))
+                 if d.startswith(SWAP)]
+        folder = f"{self.path(name)}/{SWAP}{max(taken, default=-1) + 1}"
+        self._write(name, rows, f"{folder}/data", "error")
+        self.spark.createDataFrame([(p,) for p in replaced], "path string") \
+            .coalesce(1).write.parquet(f"{folder}/replaced")
+        touch_file(self.spark, f"{folder}/{READY}")  # from here on the swap will be finished
+        self._finish_swaps(name)
+
+    def _finish_swaps(self, name: str, writer: bool = True) -> None:
+        """Finish committed swaps. Every step can be repeated: a file moves if it is
+        still there, deleting what is gone does nothing. Folders, those of swaps that
+        were never committed too, are dropped by the table's one writer alone."""
+        for d in sorted(d for d in list_dirs(self.spark, self.path(name)) if d.startswith(SWAP)):
+            folder = f"{self.path(name)}/{d}"
+            if path_exists(self.spark, f"{folder}/{READY}"):
+                for part in list_dirs(self.spark, f"{folder}/data"):
+                    for f in list_files(self.spark, f"{folder}/data/{part}"):
+                        move_file(self.spark, f"{folder}/data/{part}/{f}",
+                                  f"{self.path(name)}/{part}/{f}")
+                delete_paths(self.spark, [r["path"] for r in self.spark.read.schema("path string")
+                                          .parquet(f"{folder}/replaced").collect()])
+            if writer:
+                delete_paths(self.spark, [folder])
+
+    # -- upserts ------------------------------------------------------------------
     def upsert_replace_table(self, name: str, batch: DataFrame) -> None:
-        """K2: REPLACE (batch row wins).  ``batch`` must be staged."""
+        """K2: REPLACE (batch row wins).  ``batch`` must be staged and has a row per key."""
         _s, keys, part = TABLES[name]
         if part is not None:
             self.keep_last_table(name, batch)
             return
         current = self.read(name)
-        # rows that the table does not hold as they are (null-safe on all columns)
-        changed = batch.select(*current.columns).exceptAll(current)
-        if changed.isEmpty():
+        batch = batch.select(*current.columns)
+        rows = batch.count()  # Parquet footers only
+        if self.unchanged_rows(current, batch, keys, rows).count() == rows:
             return
-        bk = self._batch_keys(batch, keys)
         # v=n+1 is written from v=n: no staging copy needed
-        self._commit_version(name, K.upsert_replace(current, batch, keys, bk))
+        self._commit_version(name, K.upsert_replace(current, batch, keys,
+                                                    self._batch_keys(batch, keys)))
+
+    @staticmethod
+    def unchanged_rows(current: DataFrame, batch: DataFrame, keys: list[str],
+                       rows: int | None = None) -> DataFrame:
+        """Keys whose stored row is the batch's row (null-safe on all columns). Only
+        rows under batch keys are compared; the stored table is scanned once and,
+        up to the broadcast bound, not shuffled."""
+        values = [c for c in current.columns if c not in keys]
+        new = K.bounded_broadcast(batch.select(
+            *keys, F.struct(*values).alias("_new")), BROADCAST_KEY_ROWS, rows)
+        return current.select(*keys, F.struct(*values).alias("_old")).join(new, keys) \
+            .where(F.col("_old").eqNullSafe(F.col("_new"))).select(*keys)
 
     def insert_ignore_table(self, name: str, batch: DataFrame) -> int:
         """K3: append rows whose key is not stored yet; returns rows added.
 
-        Two steps: ``hits`` - distinct stored keys that the batch also has (the
-        target contributes only its key column, probed against the
-        bounded-broadcast batch keys) - is staged; then the batch minus
-        ``hits`` is staged, counted and appended.  The append job never reads
-        the table it writes."""
+        Two steps: ``hits`` - batch keys that the key index has - is staged; then
+        the batch minus ``hits`` is staged, counted, appended, and its keys go to the
+        index.  The append job never reads the table it writes."""
         _s, keys, _part = TABLES[name]
-        current = self.read(name)
-        bk = self._batch_keys(batch, keys)
+        self._finish_swaps(name)
         staged: list = []
-        hits = stage(current.select(*keys).join(bk, keys, "left_semi").distinct(), self.spark,
-                     f"{name}-hits", staged)
+        hits = stage(self.stored_keys(name, batch), self.spark, f"{name}-hits", staged)
         new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys,
                                     "left_anti"), self.spark, f"{name}-new", staged)
         added = new_rows.count()  # of the written copy: Parquet footers only
         if added:
             self._append(name, new_rows)
+            self._index_write(name, new_rows)
         delete_paths(self.spark, staged)
         return added
 
+    def changed_files(self, name: str, batch: DataFrame, hits: DataFrame) -> DataFrame:
+        """``path`` of every stored file that holds another version of a batch row, and
+        ``transaction_date`` of these versions. ``hits``: the batch's stored keys."""
+        _s, keys, part = TABLES[name]
+        values = [f for f in self.schema(name).fieldNames() if f not in keys]
+        new = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys, "left_semi") \
+            .select(*keys, F.struct(*values).alias("_new"))
+        old = self._stored(name).select(*keys, part, F.struct(*values).alias("_old"),
+                                        F.col("_metadata.file_path").alias("path"))
+        return old.join(K.bounded_broadcast(new, BROADCAST_KEY_ROWS), keys) \
+            .where(~F.col("_old").eqNullSafe(F.col("_new"))).select("path", part).distinct()
+
     def keep_last_table(self, name: str, batch: DataFrame) -> list:
         """K1 for the partitioned fact: the batch version of an id replaces
-        the stored one wherever it was; returns the days it touched."""
+        the stored one wherever it was; returns the days it touched. Rows that are
+        stored as they are, and files without a changed row, are left alone."""
         _s, keys, part = TABLES[name]
-        current = self.read(name)
-        bk = self._batch_keys(batch, keys)
-        old_days = self._days(current.join(bk, keys, "left_semi"))
-        days = list(set(self._days(batch)) | set(old_days))
-        if not days:
-            return []
-        touched = current.filter(self._in_days(part, days))
+        self._finish_swaps(name)
         staged: list = []
-        after = stage(K.upsert_replace(touched, batch, keys, bk), self.spark, f"{name}-next",
-                      staged)
-        self._overwrite(name, after, dynamic=True)
-        # dynamic overwrite leaves days without a new row as they were
-        left = set(self._days(after))
-        delete_paths(self.spark, [self._day_path(name, d) for d in days if d not in left])
-        # only now: until here the staged copy is the one complete new state
+        hits = stage(self.stored_keys(name, batch), self.spark, f"{name}-hits", staged)
+        days = set(self._days(batch))
+        new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys,
+                                    "left_anti"), self.spark, f"{name}-new", staged)
+        changed = stage(self.changed_files(name, batch, hits), self.spark, f"{name}-files",
+                        staged)
+        # (the metadata column has paths as URIs)
+        files = [unquote(r["path"]) for r in changed.select("path").distinct().collect()]
+        days |= set(self._days(changed))
+        if files:
+            bk = self._batch_keys(batch, keys)
+            held = self._stored(name, files).select(*self.schema(name).fieldNames())
+            # what these files hold beside the batch, and the batch's version of the rest
+            after = held.join(bk, keys, "left_anti").unionByName(
+                batch.join(K.bounded_broadcast(stage(
+                    held.select(*keys).join(bk, keys, "left_semi"), self.spark, f"{name}-held",
+                    staged), BROADCAST_KEY_ROWS), keys, "left_semi").select(*held.columns))
+            self._swap(name, after, files)
+        if new_rows.count():
+            self._append(name, new_rows)
+            self._index_write(name, new_rows)
         delete_paths(self.spark, staged)
-        return days
+        return sorted(days, key=str)

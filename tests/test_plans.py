@@ -40,7 +40,7 @@ def test_small_dimension_tables_are_broadcast(spark):
 def test_dedupe_is_a_partial_aggregate(spark):
     plan = _plan(C.dedupe_first(raw_transactions(spark, SF001)))
     # map-side partial aggregate before the shuffle on the key
-    assert "partial_min_by" in plan
+    assert "partial_min(" in plan
     assert "Window" not in plan
 
 
@@ -86,13 +86,15 @@ def test_registered_plans_have_no_pairwise_joins(spark):
     """Every registered query: no cartesian or nested-loop join, a window only
     in Q2 (one row per category), and lineitem never broadcast."""
     import re
-    from paylake.plans.queries import REGISTRY
+    from paylake.plans.queries import LOADED, REGISTRY
+    loaded = {f.__name__ for f in LOADED}
     for name, fn in REGISTRY.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, SF001).explain()  # simple format: scans show their paths
         plan = buf.getvalue()
-        assert "lineitem.parquet" in plan, name  # the check below is live
+        if name not in loaded:  # those return a table that a load has written
+            assert "lineitem.parquet" in plan, name  # the check below is live
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
         if name != "q2_category_ranking":

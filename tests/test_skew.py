@@ -38,7 +38,7 @@ def test_hot_id_dedupe_is_exact(spark):
     assert len(rows) == 1 and rows[0]["amount"] == 1.0  # position 0 is first
     assert out.count() == 1 + (n - n // 3)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert "partial_min(" in plan
 
 
 def test_hot_user_dimension_and_summary(spark):
