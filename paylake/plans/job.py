@@ -23,7 +23,7 @@ import os
 from pyspark.sql import SparkSession
 
 from paylake.plans.load import default_day, run_load
-from paylake.schemas import TIMESTAMP_FORMAT
+from paylake.operators.timestamps import INFER
 from paylake.session import shared_root
 from paylake.sources.jdbc import jdbc_options
 from paylake.sources.raw import count_corrupt, read_raw_csv, read_raw_parquet
@@ -48,9 +48,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--check-orphans", action="store_true")
     p.add_argument("--count-read", action="store_true",
                    help="also count the whole raw log (a second scan)")
-    p.add_argument("--timestamp-format", default=TIMESTAMP_FORMAT)
+    p.add_argument("--timestamp-format", default=INFER,
+                   help="Spark datetime pattern; without it each file's first value decides")
     p.add_argument("--multi-line", action="store_true",
-                   help="CSV fields may hold line breaks (files are not split)")
+                   help="quoted CSV fields may hold line breaks (a second pass counts quotes)")
     p.add_argument("--export-csv", default=None, help="write the four tables as CSV folders")
     p.add_argument("--jdbc-url", default=None, help="append the batch's four tables there")
     p.add_argument("--jdbc-user", default=None)

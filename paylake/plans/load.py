@@ -24,6 +24,7 @@ from paylake.functions.timeparse import parse_day, yesterday
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
+from paylake.operators.timestamps import INFER, canonical
 from paylake.schemas import TABLES, TIMESTAMP_FORMAT
 from paylake.session import delete_paths, stage
 from paylake.sources.jdbc import append_all
@@ -83,7 +84,8 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     the whole source (before the day filter) to the counters - a separate
     count job over the whole source, so ask for it only where that is wanted.
 
-    ``timestamp_format`` is the raw log's (a Spark datetime pattern).
+    ``timestamp_format`` is the raw log's (a Spark datetime pattern), or ``"infer"``:
+    each file's first value decides, at the price of a pass over order and timestamp.
     ``summary_from_store`` makes the daily summary of the batch's days from the
     stored facts, for batches that do not hold whole days.  ``jdbc`` (``url``,
     optional ``props`` and ``num_partitions``) appends the batch's four tables to
@@ -91,6 +93,8 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     both after the warehouse's own writes; a failure raises."""
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
+    if timestamp_format == INFER:
+        raw, timestamp_format = canonical(raw), TIMESTAMP_FORMAT
     if full:
         start = end = None
     elif day is not None:

@@ -310,6 +310,13 @@ def oracle_sql() -> dict[str, str]:
         "incremental_replay": BATCHES + replace_ab,
         "incremental_replay_fact": BATCHES + ignore_ab,
         "raw_csv_roundtrip": _with(RAW_CTE) + f"SELECT {RAW_COLS} FROM raw",
+        "raw_csv_multiline": _with(RAW_CTE) + f"""SELECT * REPLACE (
+    '"' || replace(user_name, ' ', chr(10)) || '",' || chr(10) || '.' AS user_name)
+FROM (SELECT {RAW_COLS} FROM raw)""",
+        "timestamps_inferred": _with(RAW_CTE) + f"""SELECT * REPLACE (
+    CASE WHEN "timestamp" < '{CUT_DAY}' THEN "timestamp"
+         ELSE substr("timestamp", 1, 10) || ' 00:00:00' END AS "timestamp")
+FROM (SELECT {RAW_COLS} FROM raw) WHERE "timestamp" >= '{OVERLAP_DAY}'""",
         "dq_status_values": _with(RAW_CTE) + (
             "SELECT status, count(*) AS \"rows\" FROM raw WHERE status IS NOT NULL "
             "AND status NOT IN ('SUCCESS', 'FAILED', 'PENDING') GROUP BY status"),

@@ -21,6 +21,7 @@ from paylake.operators import analytics as Q
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
+from paylake.operators.timestamps import canonical
 from paylake.plans.load import run_load
 from paylake.schemas import ORD, RAW_COLUMNS
 from paylake.session import scratch_path
@@ -238,6 +239,29 @@ def raw_csv_roundtrip(spark, sf_dir):
     return read_raw_csv(spark, path).select(*RAW_COLUMNS)
 
 
+def raw_csv_multiline(spark, sf_dir):
+    """Names with line breaks and quotes, written as CSV and scanned in splits."""
+    path = scratch_path(spark, "raw-csv-lines")
+    name = F.concat(F.lit('"'), F.replace("user_name", F.lit(" "), F.lit("\n")), F.lit('",\n.'))
+    _raw(spark, sf_dir).drop(ORD).withColumn("user_name", name) \
+        .write.option("header", True).option("escape", '"').csv(path)
+    return read_raw_csv(spark, path, multi_line=True).select(*RAW_COLUMNS)
+
+
+def timestamps_inferred(spark, sf_dir):
+    """ISO timestamps with fractions in the files of one half of the log, days
+    alone in those of the other; every file tells its own format."""
+    path = scratch_path(spark, "raw-csv-iso")
+    raw = _raw(spark, sf_dir).drop(ORD)
+    t = F.col("timestamp")
+    iso = F.concat(F.replace(t, F.lit(" "), F.lit("T")), F.lit(".250"))
+    for cond, value in ((t < CUT_DAY, iso), (t >= CUT_DAY, F.substring(t, 1, 10))):
+        raw.where(cond).withColumn("timestamp", value).write.mode("append") \
+            .option("header", True).option("escape", '"').csv(path)
+    found = canonical(read_raw_csv(spark, path))
+    return C.between_days(found, OVERLAP_DAY, None).select(*RAW_COLUMNS)
+
+
 def dq_status_values(spark, sf_dir):
     """The distinct statuses outside the domain in the raw log, with their rows."""
     return DQ.invalid_statuses(_raw(spark, sf_dir))
@@ -299,6 +323,8 @@ REGISTRY = {
     "incremental_replay": incremental_replay,
     "incremental_replay_fact": incremental_replay_fact,
     "raw_csv_roundtrip": raw_csv_roundtrip,
+    "raw_csv_multiline": raw_csv_multiline,
+    "timestamps_inferred": timestamps_inferred,
     "dq_status_values": dq_status_values,
     "dq_missing_column": dq_missing_column,
     "q1_daily_gtv": q1_daily_gtv,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.schemas import ORD, RAW, RAW_COLUMNS
+from paylake.sources import csv_records
 
 # Cell texts pandas reads as missing by default; the CSV reader takes one
 # nullValue only, so the rest are mapped to null after the scan.
@@ -60,10 +61,29 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
                        multi_line).csv(path)
 
 
+def scan_records(spark: SparkSession, path: str) -> DataFrame:
+    """As ``scan_csv`` of a log with line breaks in quoted fields, read in splits;
+    with the order key ``file, block, pos``.  Every file begins with the header."""
+    schema = csv_schema(spark, path)
+    names = [f.name for f in schema.fields if f.name != CORRUPT]
+    header = F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))),
+                        {"quote": '"', "escape": '"'})
+    first = (F.col("block") == 0) & (F.col("pos") == 0)
+    named = F.array(*[F.lit(n) for n in names])
+    same = F.array(*[header[f"c{i}"] for i in range(len(names))]) == named
+    found = csv_records.records(spark, path).where(~F.when(first, F.when(same, True).otherwise(
+        F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("boolean")))
+        .otherwise(False))
+    row = F.from_csv("record", ", ".join(f"`{f.name}` string" for f in schema.fields), {
+        "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return found.select(row.alias("r"), F.struct("file", "block", "pos").alias(ORD)) \
+        .select("r.*", ORD)
+
+
 def count_corrupt(spark: SparkSession, path: str, multi_line: bool = False) -> int:
     """Records with too few or too many fields (they are kept as far as they go)."""
     # the scan must parse all columns to tell: the hash asks for each of them
-    df = scan_csv(spark, path, multi_line)
+    df = scan_records(spark, path) if multi_line else scan_csv(spark, path)
     return df.agg(F.count(CORRUPT).alias("n"), F.max(F.xxhash64(*RAW_COLUMNS))).first()["n"]
 
 
@@ -72,11 +92,13 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     ``try_cast`` so a stray token becomes missing instead of failing the scan.
     Order key: (file path, split start, position inside the split).
 
-    ``multi_line`` reads quoted fields that hold line breaks; it stops files
-    from being split, so it is for logs that need it.  Without it such a
-    record is corrupt, see ``count_corrupt``.
+    ``multi_line`` reads quoted fields that hold line breaks, in splits too (see
+    ``csv_records``), at the price of a second pass that counts quotes.  Without it
+    such a record is corrupt, see ``count_corrupt``.
     """
-    df = scan_csv(spark, path, multi_line).select(*RAW_COLUMNS, F.struct(
+    if multi_line:
+        return text_to_raw(scan_records(spark, path).select(*RAW_COLUMNS, ORD))
+    df = scan_csv(spark, path).select(*RAW_COLUMNS, F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos")).alias(ORD))
