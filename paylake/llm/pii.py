@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, insort
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -99,37 +100,47 @@ CUES = ("call", "card", "contact", "correo", "email", "e-mail", "fax", "ip", "ka
         "mobile", "phone", "reach", "tel", "telefon", "tarjeta", "téléphone")
 FEATURES = ("kind", "chars", "digits", "letters", "others", "plus", "luhn", "groups",
             "longest group", "shortest group", "octets", "dots", "joined before", "joined after",
-            "cue before", "digits around", "bracketed")
+            "cue before", "digits around", "bracketed", "plus before")
+
+
+#: Digit groups of a run at most, and proposals that are judged at a time.
+GROUPS = 8
+JUDGED = 20_000
 
 
 def _numbers(text: str):
     """Every run of digit groups, with at most two separators between them, whose
-    own digits fit a kind; a plus or an open bracket before a run belongs to it."""
+    own digits fit a kind; a plus or an open bracket before a run belongs to it. A run
+    has GROUPS groups at most, of two digits or more on average, so the number of
+    runs is in proportion to the text, and small where single digits stand alone."""
     groups = [m.span() for m in _GROUPS.finditer(text)]
+    # dots between a group and the next one; -1: no run goes on there
+    dots_after = [text.count(".", e, s) if s - e <= 2 and _SEPARATOR.fullmatch(text, e, s) else -1
+                  for (_, e), (s, _) in zip(groups, groups[1:], strict=False)] + [-1]
+    size = [e - s for s, e in groups]
     for i, (a, _) in enumerate(groups):
         start = a - 1 if a and text[a - 1] in "+(" else a
         n = dots = 0
-        for j in range(i, len(groups)):
-            if j > i:
-                between = text[groups[j - 1][1]:groups[j][0]]
-                if not _SEPARATOR.fullmatch(between):
-                    break
-                dots += between.count(".")
-            b = groups[j][1]
-            n += b - groups[j][0]
+        for j in range(i, min(i + GROUPS, len(groups))):
+            n += size[j]
             if n > 25:
                 break
-            if n >= 12:
-                yield 2, start, b
-            if 7 <= n <= 15:
-                yield 3, start, b
-            if dots >= 3 and 4 <= n <= 12:
-                yield 1, start, b
+            if n >= 2 * (j - i + 1) or dots >= 3:
+                b = groups[j][1]
+                if n >= 12:
+                    yield 2, start, b
+                if 7 <= n <= 15:
+                    yield 3, start, b
+                if dots >= 3 and 4 <= n <= 12:
+                    yield 1, start, b
+            if dots_after[j] < 0:
+                break
+            dots += dots_after[j]
 
 
-def proposals(text: str) -> list[Span]:
-    """Overlapping spans that might be personal data, each under a kind."""
-    out = set(_numbers(text))
+def _addresses(text: str) -> set[Span]:
+    """Anything around an at sign, and spelled-out addresses."""
+    out = set()
     at = text.find("@")
     while at >= 0:
         a, b = at, at + 1
@@ -142,7 +153,12 @@ def proposals(text: str) -> list[Span]:
         at = text.find("@", at + 1)
     if _AT.search(text):
         out.update((0, *m.span()) for m in _SPELLED.finditer(text))
-    return sorted(out)
+    return out
+
+
+def proposals(text: str) -> list[Span]:
+    """Overlapping spans that might be personal data, each under a kind."""
+    return sorted(_addresses(text) | set(_numbers(text)))
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -162,7 +178,7 @@ def features(text: str, span: Span) -> list[float]:
             bool(after) and (after[0].isalnum() or after[0] in "=_/-\""),
             any(w in CUES for w in words[-3:]),
             sum(c.isdigit() for c in around) / max(1, len(around)),
-            ("(" in s) + ("[" in s)]
+            ("(" in s) + ("[" in s), "+" in before[-5:]]
 
 
 # --- boosted trees ---------------------------------------------------------
@@ -180,8 +196,7 @@ class Boosted:
                         1) if len(x) else np.zeros((0, len(self.edges)), np.int64)
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1]))
-                      for c in x.T]
+        self.edges = [self._edges(c) for c in x.T]
         q = self._binned(x)
         share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
         self.start = float(np.log(share / (1 - share)))
@@ -194,6 +209,13 @@ class Boosted:
             z += self._walk(tree, q)
         return self
 
+    def _edges(self, values):
+        """Between all values of a feature with few, else at its quantiles: a rare value
+        of a feature such as yes or no is beyond every quantile."""
+        few = np.unique(values)
+        return (few[1:] + few[:-1]) / 2 if len(few) <= self.bins else \
+            np.unique(np.quantile(values, np.linspace(0, 1, self.bins + 1)[1:-1]))
+
     def _grow(self, q, g, h, rows, depth) -> dict:
         gr, hr = g[rows], h[rows]
         total_g, total_h = gr.sum(), hr.sum()
@@ -264,6 +286,13 @@ def _decoys(rng) -> list[str]:
             f"x{n(9)}f", f"{n(6)}.{n(6)}"]
 
 
+def _neighbour(rng) -> str:
+    """A number that may stand beside another: an address, a card, a date."""
+    n = lambda k: "".join(map(str, rng.integers(0, 10, k)))
+    return str(rng.choice([".".join(map(str, rng.integers(1, 255, 4))), n(16),
+                           f"20{n(2)}-0{rng.integers(1, 10)}-11"]))
+
+
 def _overlaps(span: Span, others: list[Span]) -> bool:
     return any(span[1] < b and a < span[2] for _, a, b in others)
 
@@ -301,7 +330,11 @@ def examples(text: str, seed: int) -> list[list[float]]:
         left, right = text[max(0, a - 40):a], text[b:b + 40]
         written = _variants(kind, text[a:b], rng)
         date = _decoys(rng)[0]
+        # a number that the base patterns miss only for another number beside it
+        alone = [text[a:b]] if kind > 1 else []
         for s, y, before, after in [
+                *((v, 1.0, left, f" {_neighbour(rng)}{right}") for v in alone),
+                *((v, 1.0, f"{left}{_neighbour(rng)} ", right) for v in alone),
                 *((v, 1.0, left, right) for v in written),
                 *((v, 1.0, f"{left}{date} ", f" {v}{right}") for v in written if kind),
                 *((str(d), 0.0, left, right) for d in rng.permutation(_decoys(rng))[:3])]:
@@ -342,15 +375,16 @@ class Model:
         if self.trees is None:
             return base, []
         taken = _merged(base)
-        open_ = [p for p in proposals(text) if not _meets(p, taken)]
-        if not open_:
-            return base, []
-        prob = self.trees.probability(np.array([features(text, p) for p in open_], float))
+        likely = []
+        every = (p for p in chain(_addresses(text), _numbers(text)) if not _meets(p, taken))
+        while part := list(islice(every, JUDGED)):  # bounds the rows of features
+            prob = self.trees.probability(np.array([features(text, p) for p in part], float))
+            likely += [(-q, p[1], p) for q, p in zip(prob.tolist(), part, strict=True)
+                       if q >= self.thresholds[p[0]]]
         added: list[Span] = []
         taken = []
-        for i in np.lexsort(([p[1] for p in open_], -prob)):
-            p = open_[i]
-            if prob[i] >= self.thresholds[p[0]] and not _meets(p, taken):
+        for _, _, p in sorted(likely):
+            if not _meets(p, taken):
                 added.append(p)
                 insort(taken, (p[1], p[2]))
         return base, added
