@@ -67,13 +67,13 @@ def test_stages_one_by_one(spark):
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
 def test_oracles(spark):
     con = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in queries.ORACLE_SQL.items():
         df = queries.REGISTRY[name](spark, SF)
