@@ -28,6 +28,7 @@ from paylake.operators.timestamps import INFER, canonical
 from paylake.schemas import TABLES, TIMESTAMP_FORMAT
 from paylake.session import delete_paths, stage
 from paylake.sources.jdbc import append_all
+from paylake.sources.summary_state import SummaryState
 from paylake.sources.warehouse import Warehouse
 
 FACT_MODES = ("ignore", "replace")
@@ -77,7 +78,7 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
              min_digits: int = 7, salt: str | None = None,
              check_orphans: bool = False, count_read: bool = False,
              timestamp_format: str = TIMESTAMP_FORMAT, summary_from_store: bool = False,
-             jdbc: dict | None = None, export_dir: str | None = None) -> LoadResult:
+             summary_from_state: bool = False, jdbc: dict | None = None, export_dir: str | None = None) -> LoadResult:
     """One load.  ``full`` wins over ``day``/``start``/``end`` (as ``--full``
     wins over ``--date`` in the reference).  With none of them given the
     caller must choose: see ``default_day``.  ``count_read`` adds the rows of
@@ -87,7 +88,9 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     ``timestamp_format`` is the raw log's (a Spark datetime pattern), or ``"infer"``:
     each file's first value decides, at the price of a pass over order and timestamp.
     ``summary_from_store`` makes the daily summary of the batch's days from the
-    stored facts, for batches that do not hold whole days.  ``jdbc`` (``url``,
+    stored facts, for batches that do not hold whole days; ``summary_from_state`` makes
+    it from a stored state to which the batch is added (``sources.summary_state``; the
+    facts of these days are only counted; volumes are exact sums).  ``jdbc`` (``url``,
     optional ``props`` and ``num_partitions``) appends the batch's four tables to
     a database, ``export_dir`` writes the four stored tables as CSV folders,
     both after the warehouse's own writes; a failure raises."""
@@ -107,7 +110,7 @@ def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
     try:
         result = _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps,
                        min_digits, salt, check_orphans, scope, timestamp_format,
-                       summary_from_store, jdbc, export_dir)
+                       summary_from_store, summary_from_state, jdbc, export_dir)
         if count_read:
             result.counters = {"read": raw.count(), **result.counters}
         return result
@@ -128,7 +131,8 @@ def _described(spark: SparkSession, text: str):
 
 
 def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_digits, salt,
-          check_orphans, scope, fmt, summary_from_store, jdbc, export_dir) -> LoadResult:
+          check_orphans, scope, fmt, summary_from_store, summary_from_state, jdbc,
+          export_dir) -> LoadResult:
     t0 = time.perf_counter()
     with _described(spark, "prepare"):
         staged, counters = prepare(spark, raw, start, end, strict_timestamps, min_digits, salt,
@@ -159,13 +163,19 @@ def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_d
     with _described(spark, "upsert dimensions"):
         warehouse.upsert_replace_table("dim_users", users)
         warehouse.upsert_replace_table("dim_merchants", merchants)
+    state = SummaryState(warehouse) if summary_from_state else None
     with _described(spark, f"fact {fact_mode}"):
         if fact_mode == "ignore":
-            result.fact_rows_added = warehouse.insert_ignore_table("fact_transactions", fact)
+            result.fact_rows_added = warehouse.insert_ignore_table(
+                "fact_transactions", fact, state.add if state else None)
         else:
             days = warehouse.keep_last_table("fact_transactions", fact)
+            if state:
+                state.rebuild([d for d in days if d is not None])
     with _described(spark, "upsert summary"):
-        if summary_from_store:
+        if state:
+            summary = stage(state.daily(days), spark, "summary-state", scope)
+        elif summary_from_store:
             summary = stage(stored_summary(warehouse, days), spark, "summary-stored", scope)
         warehouse.upsert_replace_table("daily_merchant_summary", summary)
         warehouse.refresh(days)

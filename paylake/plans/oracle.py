@@ -230,6 +230,27 @@ SUMMARY_COLS = ("transaction_date, merchant_category, total_transactions, succes
                 "failed_transactions, total_volume_idr, successful_volume_idr, success_rate_pct")
 
 
+def _exact(amount: str) -> str:
+    """The double nearest to the true sum: the supplied amounts are whole multiples of
+    2**-60 (53 bits from 2**-7 up); the sum's digits are read once, rounded to nearest."""
+    return (f"CAST(CAST(sum(CAST({amount} * 1152921504606846976.0 AS HUGEINT)) AS VARCHAR) "
+            f"AS DOUBLE) / 1152921504606846976.0")
+
+
+def _summary_exact(src: str) -> str:
+    ok = "CASE WHEN status = 'SUCCESS' THEN amount ELSE 0.0 END"
+    return f"""SELECT *, round_even(((successful_transactions / total_transactions) * 100.0)
+         * 100.0, 0) / 100.0 AS success_rate_pct
+FROM (SELECT transaction_date, merchant_category,
+             count(transaction_id) AS total_transactions,
+             count(*) FILTER (WHERE status = 'SUCCESS') AS successful_transactions,
+             count(*) FILTER (WHERE status = 'FAILED') AS failed_transactions,
+             {_exact('amount')} AS total_volume_idr, {_exact(ok)} AS successful_volume_idr
+      FROM {src}
+      WHERE transaction_date IS NOT NULL AND merchant_category IS NOT NULL
+      GROUP BY transaction_date, merchant_category)"""
+
+
 def oracle_sql() -> dict[str, str]:
     replace_ab = (f"SELECT {SUMMARY_COLS} FROM a_summary a WHERE NOT EXISTS ("
                   f"SELECT 1 FROM b_summary b WHERE b.transaction_date = a.transaction_date "
@@ -309,6 +330,12 @@ def oracle_sql() -> dict[str, str]:
         "full_load_daily": FULL + "SELECT * FROM summary",
         "incremental_replay": BATCHES + replace_ab,
         "incremental_replay_fact": BATCHES + ignore_ab,
+        "daily_summary_exact": FULL + _summary_exact("clean"),
+        "summary_state_replay": BATCHES + _summary_exact(
+            f"(SELECT * FROM ({ignore_ab}) JOIN (SELECT merchant_id, merchant_category "
+            f"FROM b_merchants UNION ALL SELECT merchant_id, merchant_category FROM a_merchants "
+            f"WHERE merchant_id NOT IN (SELECT merchant_id FROM b_merchants)) "
+            f"USING (merchant_id))"),
         "raw_csv_roundtrip": _with(RAW_CTE) + f"SELECT {RAW_COLS} FROM raw",
         "raw_csv_multiline": _with(RAW_CTE) + f"""SELECT * REPLACE (
     '"' || replace(user_name, ' ', chr(10)) || '",' || chr(10) || '.' AS user_name)

@@ -26,6 +26,7 @@ from paylake.plans.load import run_load
 from paylake.schemas import ORD, RAW_COLUMNS
 from paylake.session import scratch_path
 from paylake.sources.raw import read_raw_csv
+from paylake.sources.summary_state import daily_summary_exact
 from paylake.sources.testdata import raw_transactions
 from paylake.sources.warehouse import Warehouse
 
@@ -104,6 +105,11 @@ def daily_merchant_summary(spark, sf_dir):
     return _model(spark, sf_dir)["daily_merchant_summary"]
 
 
+def daily_summary_exact_q(spark, sf_dir):
+    """A1, A4, A5: the daily summary, volumes the doubles nearest to the true sums."""
+    return daily_summary_exact(C.transform(_raw(spark, sf_dir)))
+
+
 # --- data quality ------------------------------------------------------------
 
 def _raw_users(raw: DataFrame) -> DataFrame:
@@ -180,7 +186,7 @@ def dq_report(spark, sf_dir):
 
 # --- upserts and load modes --------------------------------------------------
 
-def _loaded(spark, sf_dir, *ranges, fact_mode: str = "ignore") -> Warehouse:
+def _loaded(spark, sf_dir, *ranges, fact_mode: str = "ignore", **options) -> Warehouse:
     """A fresh warehouse in the shared folder after one load job per range of days
     (``None, None``: a full load): scan, clean, gate, upserts.  The supplied log has
     a few hundred rows a day, so the fact is laid out by month."""
@@ -188,7 +194,7 @@ def _loaded(spark, sf_dir, *ranges, fact_mode: str = "ignore") -> Warehouse:
     wh.create_tables()
     for start, end in ranges:
         run_load(spark, raw_transactions(spark, sf_dir, start, end), wh, start=start, end=end,
-                 full=start is None and end is None, fact_mode=fact_mode)
+                 full=start is None and end is None, fact_mode=fact_mode, **options)
     return wh
 
 
@@ -227,9 +233,16 @@ def incremental_replay_fact(spark, sf_dir):
     return _loaded(spark, sf_dir, BATCH_A, BATCH_B, BATCH_B).read("fact_transactions")
 
 
+def summary_state_replay(spark, sf_dir):
+    """A1, L2: the stored summary after ignore loads of batch A, batch B and batch B
+    again, each day from the state that the loads have added to."""
+    return _loaded(spark, sf_dir, BATCH_A, BATCH_B, BATCH_B, summary_from_state=True) \
+        .read("daily_merchant_summary")
+
+
 #: Queries that return a table which their own loads have written.
 LOADED = (upsert_replace, upsert_keep_last, insert_ignore, full_load_daily, incremental_replay,
-          incremental_replay_fact)
+          incremental_replay_fact, summary_state_replay)
 
 
 def raw_csv_roundtrip(spark, sf_dir):
@@ -309,6 +322,7 @@ REGISTRY = {
     "dim_merchants": dim_merchants,
     "fact_transactions": fact_transactions,
     "daily_merchant_summary": daily_merchant_summary,
+    "daily_summary_exact": daily_summary_exact_q,
     "dq_uniqueness": dq_uniqueness,
     "dq_completeness": dq_completeness,
     "dq_validity": dq_validity,
@@ -322,6 +336,7 @@ REGISTRY = {
     "full_load_daily": full_load_daily,
     "incremental_replay": incremental_replay,
     "incremental_replay_fact": incremental_replay_fact,
+    "summary_state_replay": summary_state_replay,
     "raw_csv_roundtrip": raw_csv_roundtrip,
     "raw_csv_multiline": raw_csv_multiline,
     "timestamps_inferred": timestamps_inferred,

@@ -203,6 +203,14 @@ class Warehouse:
             df = df.filter(self._in_days(MONTH, sorted(months, key=str)))
         return df.filter(self._in_days(part, days)).select(*self.schema(name).fieldNames())
 
+    def stored_partitions(self, name: str, days: list) -> DataFrame:
+        """All rows of the partitions (days or months) that hold the given days."""
+        column = self.part_column(name)
+        if column == MONTH:
+            days = sorted({f"{d:%Y-%m}" for d in days})
+        return self._stored(name).filter(self._in_days(column, days)) \
+            .select(*self.schema(name).fieldNames())
+
     def _stored(self, name: str, files: list[str] | None = None) -> DataFrame:
         """The stored table, or some of its files, with its partition column."""
         if TABLES[name][2] is not None and files is None:
@@ -379,8 +387,9 @@ class Warehouse:
         return current.select(*keys, F.struct(*values).alias("_old")).join(new, keys) \
             .where(F.col("_old").eqNullSafe(F.col("_new"))).select(*keys)
 
-    def insert_ignore_table(self, name: str, batch: DataFrame) -> int:
+    def insert_ignore_table(self, name: str, batch: DataFrame, on_new=None) -> int:
         """K3: append rows whose key is not stored yet; returns rows added.
+        ``on_new`` is then called with these rows, if there are any.
 
         Two steps: ``hits`` - batch keys that the key index has - is staged; then
         the batch minus ``hits`` is staged, counted, appended, and its keys go to the
@@ -395,6 +404,8 @@ class Warehouse:
         if added:
             self._append(name, new_rows)
             self._index_write(name, new_rows)
+            if on_new is not None:
+                on_new(new_rows)
         delete_paths(self.spark, staged)
         return added
 
