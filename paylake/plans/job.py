@@ -19,12 +19,16 @@ from __future__ import annotations
 import argparse
 import json
 import os
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
-from paylake.plans.load import default_day, run_load
+from paylake.functions.timeparse import parse_day
 from paylake.operators.timestamps import INFER
+from paylake.plans.load import default_day, run_load
+from paylake.schemas import TIMESTAMP_FORMAT
 from paylake.session import shared_root
+from paylake.sources.day_index import DayIndex
 from paylake.sources.jdbc import jdbc_options
 from paylake.sources.raw import count_corrupt, read_raw_csv, read_raw_parquet
 from paylake.sources.warehouse import LAYOUTS, Warehouse
@@ -50,6 +54,9 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="also count the whole raw log (a second scan)")
     p.add_argument("--timestamp-format", default=INFER,
                    help="Spark datetime pattern; without it each file's first value decides")
+    p.add_argument("--day-index", default=None,
+                   help="folder of a day index of the raw files: a load of days opens only "
+                        "files that hold them")
     p.add_argument("--multi-line", action="store_true",
                    help="quoted CSV fields may hold line breaks (a second pass counts quotes)")
     p.add_argument("--export-csv", default=None, help="write the four tables as CSV folders")
@@ -71,8 +78,18 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     args = parse_args(argv)
     spark = spark or SparkSession.builder.appName("paylake-load").getOrCreate()
     shared_root(spark)  # the job stages in spark.checkpoint.dir
-    raw = (read_raw_csv(spark, args.raw, args.multi_line) if args.format == "csv"
-           else read_raw_parquet(spark, args.raw))
+    def scan(session, path):
+        return (read_raw_csv(session, path, args.multi_line) if args.format == "csv"
+                else read_raw_parquet(session, path))
+
+    day = default_day() if args.yesterday else args.date
+    fmt = args.timestamp_format
+    if args.day_index and not args.full:
+        start, end = (day, parse_day(day) + timedelta(days=1)) if day else (args.start, args.end)
+        raw = DayIndex(spark, args.raw, args.day_index, scan, fmt).read(start, end)
+        fmt = TIMESTAMP_FORMAT if fmt == INFER else fmt  # the index has inferred it
+    else:
+        raw = scan(spark, args.raw)
     jdbc = None
     if args.jdbc_url:
         password = os.environ[args.jdbc_password_env] if args.jdbc_password_env else None
@@ -80,11 +97,10 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
                 "props": jdbc_options(args.jdbc_url, args.jdbc_user, password, args.jdbc_driver)}
     wh = Warehouse(spark, args.warehouse, database=args.database, layout=args.layout)
     wh.create_tables()
-    day = default_day() if args.yesterday else args.date
     result = run_load(spark, raw, wh, full=args.full, day=None if args.full else day,
                       start=args.start, end=args.end, fact_mode=args.fact_mode,
                       check_orphans=args.check_orphans, count_read=args.count_read,
-                      timestamp_format=args.timestamp_format, jdbc=jdbc,
+                      timestamp_format=fmt, jdbc=jdbc,
                       export_dir=args.export_csv)
     if args.format == "csv":
         result.counters["corrupt_records"] = count_corrupt(spark, args.raw, args.multi_line) \

@@ -265,6 +265,8 @@ def oracle_sql() -> dict[str, str]:
         "raw_day_slice": _with(RAW_CTE, _slice("raw", "day", SLICE_DAY,
                                                _next_day(SLICE_DAY)))
         + f"SELECT {RAW_COLS} FROM day",
+        "raw_day_indexed": _with(RAW_CTE, _slice("raw", "day", SLICE_DAY, _next_day(SLICE_DAY)))
+        + f"SELECT {RAW_COLS} FROM day",
         "dedupe_first": FULL + f"SELECT {RAW_COLS} FROM dedup",
         "clean_transactions": FULL + (
             "SELECT transaction_id, user_id, merchant_id, merchant_name, merchant_category, amount, "

@@ -13,9 +13,12 @@ copies than A's did, so REPLACE, keep-last and IGNORE give different tables.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylake.functions.timeparse import parse_day
 from paylake.functions.privacy import hash_pii, mask_name, mask_phone
 from paylake.operators import analytics as Q
 from paylake.operators import cleaning as C
@@ -25,6 +28,7 @@ from paylake.operators.timestamps import canonical
 from paylake.plans.load import run_load
 from paylake.schemas import ORD, RAW_COLUMNS
 from paylake.session import scratch_path
+from paylake.sources.day_index import DayIndex
 from paylake.sources.raw import read_raw_csv
 from paylake.sources.summary_state import daily_summary_exact
 from paylake.sources.testdata import raw_transactions
@@ -261,6 +265,15 @@ def raw_csv_multiline(spark, sf_dir):
     return read_raw_csv(spark, path, multi_line=True).select(*RAW_COLUMNS)
 
 
+def raw_day_indexed(spark, sf_dir):
+    """the log written as CSV files by time; the day index picks the files of a day."""
+    path = scratch_path(spark, "raw-csv-time")
+    _raw(spark, sf_dir).drop(ORD).repartitionByRange("timestamp").write \
+        .option("header", True).option("escape", '"').csv(path)
+    index = DayIndex(spark, path, scratch_path(spark, "day-index"))
+    return index.read(SLICE_DAY, parse_day(SLICE_DAY) + timedelta(days=1)).select(*RAW_COLUMNS)
+
+
 def timestamps_inferred(spark, sf_dir):
     """ISO timestamps with fractions in the files of one half of the log, days
     alone in those of the other; every file tells its own format."""
@@ -339,6 +352,7 @@ REGISTRY = {
     "summary_state_replay": summary_state_replay,
     "raw_csv_roundtrip": raw_csv_roundtrip,
     "raw_csv_multiline": raw_csv_multiline,
+    "raw_day_indexed": raw_day_indexed,
     "timestamps_inferred": timestamps_inferred,
     "dq_status_values": dq_status_values,
     "dq_missing_column": dq_missing_column,

@@ -87,7 +87,7 @@ def count_corrupt(spark: SparkSession, path: str, multi_line: bool = False) -> i
     return df.agg(F.count(CORRUPT).alias("n"), F.max(F.xxhash64(*RAW_COLUMNS))).first()["n"]
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """CSV with header.  ``amount`` is read as text and converted with
     ``try_cast`` so a stray token becomes missing instead of failing the scan.
     Order key: (file path, split start, position inside the split).
@@ -113,11 +113,11 @@ def text_to_raw(df: DataFrame) -> DataFrame:
     return _normalise_missing(df)
 
 
-def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet raw log; order key: (file path, row index inside the file).  Typed
     values are taken as they are: a missing value is a null there, and a text
     such as ``NA`` is a text."""
-    df = spark.read.schema(RAW).parquet(path)
+    df = spark.read.schema(RAW).parquet(*([path] if isinstance(path, str) else path))
     return df.select(*RAW_COLUMNS, F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("pos")).alias(ORD))
