@@ -198,15 +198,16 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 class Classifier:
     """A trained network with a threshold by language."""
 
-    def __init__(self, net: Network | None, thresholds: np.ndarray, prior: float):
-        self.net, self.thresholds, self.prior = net, thresholds, prior
+    def __init__(self, net: Network | None, thresholds: np.ndarray, prior: float,
+                 shared: tuple = ()):
+        self.net, self.thresholds, self.prior, self.shared = net, thresholds, prior, shared
 
     @classmethod
     def fit(cls, raw, offsets, y) -> Classifier:
         """All rows train the network. The thresholds come from probabilities of
-        rows that a network did not see: of one quarter, or with few rows of
-        each quarter in turn. A language with fewer than 20 rows, or without
-        label 1, shares the threshold of all."""
+        rows that a network did not see: of each quarter in turn, by a network of
+        the other three. A language with fewer than 20 rows, or fewer than 8 of
+        label 1, shares the threshold of all (``shared`` names these)."""
         prior = float(y.mean()) if len(y) else 0.0
         if len(y) < 8 or prior in (0.0, 1.0):
             return cls(None, np.full(len(LANGUAGES), 0.5), prior)
@@ -222,7 +223,7 @@ class Classifier:
 
         part, lang = np.arange(len(y)) % 4, languages(raw, offsets)
         p = np.full(len(y), np.nan)
-        for k in range(4 if len(y) < 2000 else 1):
+        for k in range(4):
             rows, others = np.flatnonzero(part != k), np.flatnonzero(part == k)
             if not 0 < y[rows].mean() < 1:
                 continue
@@ -230,10 +231,12 @@ class Classifier:
             p[others] = fitted(rows).probability(word[ids], prefix[ids], own)
         seen = ~np.isnan(p)
         common = best_threshold(p[seen], y[seen])
-        thresholds = np.array([best_threshold(p[m], y[m])
-                               if (m := seen & (lang == k)).sum() >= 20 and (y[m] > 0).sum() >= 8
-                               else common for k in range(len(LANGUAGES))])
-        return cls(fitted(np.arange(len(y))), thresholds, prior)
+        own = [seen & (lang == k) for k in range(len(LANGUAGES))]
+        enough = [m.sum() >= 20 and (y[m] > 0).sum() >= 8 for m in own]
+        thresholds = np.array([best_threshold(p[m], y[m]) if e else common
+                               for m, e in zip(own, enough)])
+        shared = tuple(k for k, e in enumerate(enough) if not e)
+        return cls(fitted(np.arange(len(y))), thresholds, prior, shared)
 
     def score(self, raw, offsets) -> np.ndarray:
         if self.net is None:
