@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylake.operators import key_filter
 from paylake.schemas import MASK, RAW_PHONE_PATTERN, VALID_STATUSES
 
 
@@ -147,15 +148,21 @@ def pii(users: DataFrame, table: str = "dim_users", rule_no: int = 1) -> DataFra
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, table: str = "fact_transactions",
-            rule_no: int = 1) -> DataFrame:
+            rule_no: int = 1, expected_keys: int | None = None) -> DataFrame:
     """Fact rows whose (non-null) key has no dimension row.
 
     The fact is pre-aggregated to one row per key before the anti join, so
-    only distinct keys cross the shuffle.
+    only distinct keys cross the shuffle.  ``expected_keys`` (the fact's keys at most,
+    e.g. its counted rows): dimension keys that a sketch of the fact's keys rules out
+    stay out of the shuffle too - for a batch against a much larger dimension.
     """
     per_key = (fact.filter(F.col(key).isNotNull())
                .groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
-    missing = per_key.join(dim.select(key), key, "left_anti")
+    known = dim.select(key)
+    if expected_keys is not None:
+        # with the count in use the sketch reads the same exchange as the anti join
+        known = key_filter.may_hold(known, per_key.where("_n > 0"), [key], expected_keys)
+    missing = per_key.join(known, key, "left_anti")
     agg = missing.agg(F.sum("_n").alias("v"), F.min(key).alias("s"))
     return _emit(agg, [(rule_no, "referential_integrity", table, key, F.col("v"), F.col("s"))])
 

@@ -12,20 +12,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylake.operators import key_filter
 from paylake.operators.joins import bounded_broadcast  # noqa: F401  (re-export)
 
 
 def upsert_replace(target: DataFrame | None, batch: DataFrame, keys: list[str],
-                   batch_keys: DataFrame | None = None) -> DataFrame:
+                   batch_keys: DataFrame | None = None,
+                   prefilter_rows: int | None = None) -> DataFrame:
     """K1/K2: the batch row replaces the stored row with the same key.
 
     Empty target (first load) -> the batch as is.  ``batch_keys`` may be a
-    (possibly broadcast) projection of the batch keys.
+    (possibly broadcast) projection of the batch keys.  ``prefilter_rows`` (rows of a
+    batch too large to broadcast): stored rows that a sketch of the batch's keys rules
+    out are kept without a shuffle, at the price of a second scan.
     """
     if target is None:
         return batch
     bk = batch_keys if batch_keys is not None else batch.select(*keys)
-    kept = target.join(bk, keys, "left_anti")
+    maybe, other = target, None
+    if prefilter_rows is not None:
+        maybe, other = key_filter.split(target, batch.select(*keys), keys, prefilter_rows)
+    kept = maybe.join(bk, keys, "left_anti")
+    if other is not None:
+        kept = kept.unionByName(other)
     return kept.unionByName(batch.select(*target.columns))
 
 

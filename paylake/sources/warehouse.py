@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.functions.timeparse import format_ts
+from paylake.operators import key_filter
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
 from paylake.session import (delete_paths, list_dirs, list_files, move_file, path_exists, stage,
@@ -327,9 +328,13 @@ class Warehouse:
     def stored_keys(self, name: str, batch: DataFrame) -> DataFrame:
         """Keys of the batch that are stored already. Up to BROADCAST_KEY_ROWS keys
         of the batch are broadcast to the index; beyond, the batch is shuffled to the
-        index's buckets. The stored side is not moved either way."""
+        index's buckets, and of the index only ids that a sketch of the batch does not
+        rule out are sorted. The stored side is not moved either way."""
         keys = TABLES[name][1]
-        return self.key_index(name).join(self._batch_keys(batch, keys), keys, "left_semi")
+        index, rows, own = self.key_index(name), batch.count(), batch.select(*keys)
+        if rows <= BROADCAST_KEY_ROWS:
+            return index.join(F.broadcast(own), keys, "left_semi")
+        return own.join(key_filter.may_hold(index, own, keys, rows), keys, "left_semi")
 
     # -- swaps of files ---------------------------------------------------------
     def _swap(self, name: str, rows: DataFrame, replaced: list[str]) -> None:
@@ -372,18 +377,23 @@ class Warehouse:
         if self.unchanged_rows(current, batch, keys, rows).count() == rows:
             return
         # v=n+1 is written from v=n: no staging copy needed
-        self._commit_version(name, K.upsert_replace(current, batch, keys,
-                                                    self._batch_keys(batch, keys)))
+        self._commit_version(name, K.upsert_replace(
+            current, batch, keys, self._batch_keys(batch, keys),
+            rows if rows > BROADCAST_KEY_ROWS else None))
 
     @staticmethod
     def unchanged_rows(current: DataFrame, batch: DataFrame, keys: list[str],
                        rows: int | None = None) -> DataFrame:
         """Keys whose stored row is the batch's row (null-safe on all columns). Only
         rows under batch keys are compared; the stored table is scanned once and,
-        up to the broadcast bound, not shuffled."""
+        up to the broadcast bound, not shuffled (beyond, only rows that a sketch of the
+        batch's keys lets pass)."""
         values = [c for c in current.columns if c not in keys]
+        rows = batch.count() if rows is None else rows
         new = K.bounded_broadcast(batch.select(
             *keys, F.struct(*values).alias("_new")), BROADCAST_KEY_ROWS, rows)
+        if rows > BROADCAST_KEY_ROWS:
+            current = key_filter.may_hold(current, batch.select(*keys), keys, rows)
         return current.select(*keys, F.struct(*values).alias("_old")).join(new, keys) \
             .where(F.col("_old").eqNullSafe(F.col("_new"))).select(*keys)
 
@@ -411,14 +421,18 @@ class Warehouse:
 
     def changed_files(self, name: str, batch: DataFrame, hits: DataFrame) -> DataFrame:
         """``path`` of every stored file that holds another version of a batch row, and
-        ``transaction_date`` of these versions. ``hits``: the batch's stored keys."""
+        ``transaction_date`` of these versions. ``hits``: the batch's stored keys (beyond
+        the broadcast bound, a sketch of them keeps other stored rows out of the shuffle)."""
         _s, keys, part = TABLES[name]
         values = [f for f in self.schema(name).fieldNames() if f not in keys]
-        new = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys, "left_semi") \
+        rows = hits.count()
+        new = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows), keys, "left_semi") \
             .select(*keys, F.struct(*values).alias("_new"))
         old = self._stored(name).select(*keys, part, F.struct(*values).alias("_old"),
                                         F.col("_metadata.file_path").alias("path"))
-        return old.join(K.bounded_broadcast(new, BROADCAST_KEY_ROWS), keys) \
+        if rows > BROADCAST_KEY_ROWS:
+            old = key_filter.may_hold(old, hits.select(*keys), keys, rows)
+        return old.join(K.bounded_broadcast(new, BROADCAST_KEY_ROWS, rows), keys) \
             .where(~F.col("_old").eqNullSafe(F.col("_new"))).select("path", part).distinct()
 
     def keep_last_table(self, name: str, batch: DataFrame) -> list:
