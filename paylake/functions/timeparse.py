@@ -47,6 +47,8 @@ def parse_day(day) -> _dt.date:
     return _dt.date.fromisoformat(text)
 
 
-def yesterday() -> _dt.date:
-    """Default target day, resolved once on the driver."""
-    return _dt.date.today() - _dt.timedelta(days=1)
+def yesterday(today: _dt.date | str | None = None) -> _dt.date:
+    """Default target day, resolved once on the driver.  ``today``: another
+    clock's day (a late run of a scheduled load)."""
+    now = _dt.date.today() if today is None else parse_day(today)
+    return now - _dt.timedelta(days=1)

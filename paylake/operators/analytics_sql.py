@@ -18,6 +18,18 @@ def _rate(s: str, t: str) -> str:
     return f"CASE WHEN {t} > 0 THEN (({num} - pmod({num}, {den})) / {den}) / 100.0D END"
 
 
+def _sum(x: str) -> str:
+    """As ``numeric.money_sum``: exact decimals, and the values that are none (infinite,
+    or too large) as doubles beside them."""
+    exact = f"TRY_CAST({x} AS DECIMAL(38,6))"
+    rest = f"SUM(CASE WHEN {exact} IS NULL THEN {x} END)"
+    total = f"CAST(SUM({exact}) AS DOUBLE)"
+    return f"CASE WHEN {rest} IS NULL THEN {total} ELSE COALESCE({total}, 0D) + {rest} END"
+
+
+_SPENT = "CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END"
+_SPENT_EXACT = f"TRY_CAST({_SPENT} AS DECIMAL(38,6))"
+
 Q1 = f"""
 SELECT transaction_date, total_transactions, successful_transactions, total_gtv_idr,
        {_rate('successful_transactions', 'total_transactions')} AS overall_success_rate_pct
@@ -25,22 +37,22 @@ FROM (
   SELECT transaction_date,
          COUNT(transaction_id) AS total_transactions,
          COUNT_IF(status = 'SUCCESS') AS successful_transactions,
-         ROUND(CAST(SUM(CAST(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END AS DECIMAL(38,6)))
-                    AS DOUBLE), 2) AS total_gtv_idr
+         ROUND({_sum(_SPENT)}, 2) AS total_gtv_idr
   FROM fact_transactions
   GROUP BY transaction_date)
 ORDER BY transaction_date ASC NULLS FIRST
 """
 
-Q2 = """
+Q2 = f"""
 WITH per_merchant AS (
   SELECT merchant_id, COUNT(transaction_id) AS n,
-         SUM(CAST(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0D END AS DECIMAL(38,6))) AS v
+         SUM({_SPENT_EXACT}) AS v,
+         SUM(CASE WHEN {_SPENT_EXACT} IS NULL THEN {_SPENT} END) AS w
   FROM fact_transactions
   GROUP BY merchant_id
 ), by_category AS (
   SELECT m.merchant_category, SUM(p.n) AS total_tx_count,
-         CAST(SUM(p.v) AS DOUBLE) AS total_volume_idr
+         COALESCE(CAST(SUM(p.v) AS DOUBLE), 0D) + COALESCE(SUM(p.w), 0D) AS total_volume_idr
   FROM per_merchant p JOIN dim_merchants m ON p.merchant_id = m.merchant_id
   GROUP BY m.merchant_category
 )
@@ -75,10 +87,10 @@ FROM (
 ORDER BY success_rate_pct DESC, payment_method
 """
 
-Q4 = """
+Q4 = f"""
 WITH per_user AS (
   SELECT user_id, COUNT(transaction_id) AS total_transactions,
-         CAST(SUM(CAST(amount AS DECIMAL(38,6))) AS DOUBLE) AS spent
+         {_sum("amount")} AS spent
   FROM fact_transactions
   WHERE status = 'SUCCESS'
   GROUP BY user_id

@@ -30,7 +30,7 @@ from paylake.schemas import TIMESTAMP_FORMAT
 from paylake.session import shared_root
 from paylake.sources.day_index import DayIndex
 from paylake.sources.jdbc import jdbc_options
-from paylake.sources.raw import count_corrupt, read_raw_csv, read_raw_parquet
+from paylake.sources.raw import read_raw_csv, read_raw_parquet
 from paylake.sources.warehouse import LAYOUTS, Warehouse
 
 
@@ -79,7 +79,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     spark = spark or SparkSession.builder.appName("paylake-load").getOrCreate()
     shared_root(spark)  # the job stages in spark.checkpoint.dir
     def scan(session, path):
-        return (read_raw_csv(session, path, args.multi_line) if args.format == "csv"
+        return (read_raw_csv(session, path, args.multi_line, mark_corrupt=True) if args.format == "csv"
                 else read_raw_parquet(session, path))
 
     day = default_day() if args.yesterday else args.date
@@ -102,9 +102,6 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
                       check_orphans=args.check_orphans, count_read=args.count_read,
                       timestamp_format=fmt, jdbc=jdbc,
                       export_dir=args.export_csv)
-    if args.format == "csv":
-        result.counters["corrupt_records"] = count_corrupt(spark, args.raw, args.multi_line) \
-            if args.count_read else None
     out = {"loaded": result.loaded, "counters": result.counters,
            "fact_rows_added": result.fact_rows_added,
            "rules": [{k: r[k] for k in ("rule_no", "rule", "table_name", "column_name",

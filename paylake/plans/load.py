@@ -28,6 +28,7 @@ from paylake.operators.timestamps import INFER, canonical
 from paylake.schemas import TABLES, TIMESTAMP_FORMAT
 from paylake.session import delete_paths, stage
 from paylake.sources.jdbc import append_all
+from paylake.sources.raw import CORRUPT
 from paylake.sources.summary_state import SummaryState
 from paylake.sources.warehouse import Warehouse
 
@@ -53,7 +54,12 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
             strict_timestamps: bool = True, min_digits: int = 7,
             salt: str | None = None, scope: list | None = None,
             fmt: str = TIMESTAMP_FORMAT) -> tuple[DataFrame, dict]:
-    """Filter, clean, mask and stage one batch; return (staged, counters)."""
+    """Filter, clean, mask and stage one batch; return (staged, counters).  A scan that
+    marks corrupt records (``raw.CORRUPT``) has them counted, before the day filter."""
+    o_corrupt = None
+    if CORRUPT in raw.columns:
+        o_corrupt = Observation(f"corrupt-{uuid.uuid4().hex[:12]}")
+        raw = raw.observe(o_corrupt, F.count_if(CORRUPT).alias("rows")).drop(CORRUPT)
     batch = raw if start is None and end is None else C.between_days(raw, start, end, fmt)
     batch, o_batch = _count(batch, "batch")
     deduped, o_dedupe = _count(C.dedupe_first(batch), "dedupe")
@@ -69,6 +75,8 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
     counters["removed_duplicates"] = counters["batch"] - counters["dedupe"]
     counters["removed_missing"] = counters["dedupe"] - counters["drop_missing"]
     counters["removed_invalid_amount"] = counters["drop_missing"] - counters["positive_amount"]
+    if o_corrupt is not None:
+        counters["corrupt_records"] = o_corrupt.get.get("rows", 0)
     return staged, counters
 
 
@@ -201,6 +209,6 @@ def stored_summary(warehouse: Warehouse, days: list) -> DataFrame:
     return M.daily_summary(fact.join(merchants, "merchant_id"))
 
 
-def default_day() -> _dt.date:
+def default_day(today: _dt.date | str | None = None) -> _dt.date:
     """yesterday - only when the caller opts in (see README, 8.11)."""
-    return yesterday()
+    return yesterday(today)

@@ -261,7 +261,7 @@ def oracle_sql() -> dict[str, str]:
     ignore_ab = (f"SELECT {fact_cols} FROM a_fact UNION ALL SELECT {fact_cols} FROM b_fact b "
                  f"WHERE NOT EXISTS (SELECT 1 FROM a_fact a "
                  f"WHERE a.transaction_id = b.transaction_id)")
-    return {
+    found = {
         "raw_day_slice": _with(RAW_CTE, _slice("raw", "day", SLICE_DAY,
                                                _next_day(SLICE_DAY)))
         + f"SELECT {RAW_COLS} FROM day",
@@ -309,6 +309,10 @@ def oracle_sql() -> dict[str, str]:
             _orphans(1, "fact_transactions", "fact", "users", "user_id"),
             _orphans(2, "fact_transactions", "fact", "merchants", "merchant_id"),
             _orphans(3, "fact_transactions", "fact", "a_users", "user_id")]),
+        "dq_orphans_prefiltered": BATCHES + _union([
+            _orphans(1, "fact_transactions", "b_fact", "users", "user_id"),
+            _orphans(2, "fact_transactions", "b_fact", "merchants", "merchant_id"),
+            _orphans(3, "fact_transactions", "b_fact", "a_users", "user_id")]),
         "dq_report": FULL + _union(
             [_uniq(1, "dim_users", "users", ["user_id"]),
              _uniq(2, "dim_merchants", "merchants", ["merchant_id"]),
@@ -377,7 +381,14 @@ WHERE t.status = 'SUCCESS'
 GROUP BY u.user_id, u.masked_user_name, u.masked_phone
 ORDER BY total_spent_idr DESC, u.user_id
 LIMIT 10""",
+        "catalog_fact": FULL + "SELECT * FROM fact",
     }
+    # the same results by another route
+    for name, like in (("raw_default_day", "raw_day_slice"),
+                       ("q2_category_ranking_sql", "q2_category_ranking"),
+                       ("q4_top_users_sql", "q4_top_users")):
+        found[name] = found[like]
+    return found
 
 
 def _next_day(day: str) -> str:

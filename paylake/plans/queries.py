@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 from paylake.functions.timeparse import parse_day
 from paylake.functions.privacy import hash_pii, mask_name, mask_phone
 from paylake.operators import analytics as Q
+from paylake.operators import analytics_sql as S
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
 from paylake.operators.timestamps import canonical
-from paylake.plans.load import run_load
+from paylake.operators.joins import scan_rows
+from paylake.plans.load import default_day, run_load
 from paylake.schemas import ORD, RAW_COLUMNS
 from paylake.session import scratch_path
 from paylake.sources.day_index import DayIndex
@@ -59,6 +61,12 @@ def raw_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.day_slice(raw, SLICE_DAY).select(*RAW_COLUMNS)
 
 
+def raw_default_day(spark, sf_dir):
+    """The default target day of a load that runs the day after SLICE_DAY."""
+    day = default_day(today=parse_day(SLICE_DAY) + timedelta(days=1))
+    return C.day_slice(raw_transactions(spark, sf_dir, day, None), day).select(*RAW_COLUMNS)
+
+
 def dedupe_first(spark, sf_dir):
     return C.dedupe_first(_raw(spark, sf_dir)).drop(ORD)
 
@@ -182,6 +190,20 @@ def dq_orphans(spark, sf_dir):
     ])
 
 
+def dq_orphans_prefiltered(spark, sf_dir):
+    """Facts of batch B against the dimensions of the whole log and the users of
+    batch A; keys that a sketch of the facts' keys rules out are not shuffled."""
+    full, a = _model(spark, sf_dir), _batch(spark, sf_dir, None, CUT_DAY)
+    fact = _batch(spark, sf_dir, OVERLAP_DAY, None)["fact_transactions"]
+    users, merchants = (scan_rows(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet"))
+                        for t in ("customer", "supplier"))  # Parquet footers
+    return _union([
+        DQ.orphans(fact, dim, key, rule_no=i, expected_keys=keys)
+        for i, (dim, key, keys) in enumerate([(full["dim_users"], "user_id", users),
+                                              (full["dim_merchants"], "merchant_id", merchants),
+                                              (a["dim_users"], "user_id", users)], 1)])
+
+
 def dq_report(spark, sf_dir):
     m = _model(spark, sf_dir)
     return DQ.report(m["dim_users"], m["dim_merchants"], m["fact_transactions"],
@@ -244,9 +266,21 @@ def summary_state_replay(spark, sf_dir):
         .read("daily_merchant_summary")
 
 
+def catalog_fact(spark, sf_dir):
+    """Tables created in the session catalog; the fact of a full load read back by
+    its catalog name."""
+    root = scratch_path(spark, "warehouse")
+    database = "paylake_" + root.rsplit("-", 1)[1]
+    wh = Warehouse(spark, root, database=database, layout="month")
+    wh.create_tables()
+    run_load(spark, _raw(spark, sf_dir), wh, full=True)
+    return spark.table(f"`{database}`.`fact_transactions`").select(
+        *wh.schema("fact_transactions").fieldNames())
+
+
 #: Queries that return a table which their own loads have written.
 LOADED = (upsert_replace, upsert_keep_last, insert_ignore, full_load_daily, incremental_replay,
-          incremental_replay_fact, summary_state_replay)
+          incremental_replay_fact, summary_state_replay, catalog_fact)
 
 
 def raw_csv_roundtrip(spark, sf_dir):
@@ -323,8 +357,25 @@ def q4_top_users(spark, sf_dir):
     return Q.q4_top_users(m["fact_transactions"], m["dim_users"])
 
 
+def _sql_form(spark, sf_dir, name):
+    m = _model(spark, sf_dir)
+    S.register_views(m["fact_transactions"], m["dim_users"], m["dim_merchants"])
+    return S.run(spark, name)
+
+
+def q2_category_ranking_sql(spark, sf_dir):
+    """The SQL text with common table expressions over the model's views."""
+    return _sql_form(spark, sf_dir, "q2_category_ranking")
+
+
+def q4_top_users_sql(spark, sf_dir):
+    """The SQL text over the model's views."""
+    return _sql_form(spark, sf_dir, "q4_top_users")
+
+
 REGISTRY = {
     "raw_day_slice": raw_day_slice,
+    "raw_default_day": raw_default_day,
     "dedupe_first": dedupe_first,
     "clean_transactions": clean_transactions,
     "cleaning_counters": cleaning_counters,
@@ -342,6 +393,7 @@ REGISTRY = {
     "dq_pii": dq_pii,
     "dq_composite_key": dq_composite_key,
     "dq_orphans": dq_orphans,
+    "dq_orphans_prefiltered": dq_orphans_prefiltered,
     "dq_report": dq_report,
     "upsert_replace": upsert_replace,
     "upsert_keep_last": upsert_keep_last,
@@ -350,6 +402,7 @@ REGISTRY = {
     "incremental_replay": incremental_replay,
     "incremental_replay_fact": incremental_replay_fact,
     "summary_state_replay": summary_state_replay,
+    "catalog_fact": catalog_fact,
     "raw_csv_roundtrip": raw_csv_roundtrip,
     "raw_csv_multiline": raw_csv_multiline,
     "raw_day_indexed": raw_day_indexed,
@@ -361,4 +414,6 @@ REGISTRY = {
     "q3_payment_health": q3_payment_health,
     "q3b_payment_rate": q3b_payment_rate,
     "q4_top_users": q4_top_users,
+    "q2_category_ranking_sql": q2_category_ranking_sql,
+    "q4_top_users_sql": q4_top_users_sql,
 }

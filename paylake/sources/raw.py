@@ -30,7 +30,7 @@ def _normalise_missing(df: DataFrame) -> DataFrame:
             out.append(F.when(c.isin(*MISSING_TOKENS), F.lit(None)).otherwise(c).alias(f.name))
         else:
             out.append(c)
-    return df.select(*out, ORD)
+    return df.select(*out, *[c for c in df.columns if c not in RAW_COLUMNS])
 
 
 CORRUPT = "_corrupt_record"
@@ -87,21 +87,25 @@ def count_corrupt(spark: SparkSession, path: str, multi_line: bool = False) -> i
     return df.agg(F.count(CORRUPT).alias("n"), F.max(F.xxhash64(*RAW_COLUMNS))).first()["n"]
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False,
+                 mark_corrupt: bool = False) -> DataFrame:
     """CSV with header.  ``amount`` is read as text and converted with
     ``try_cast`` so a stray token becomes missing instead of failing the scan.
     Order key: (file path, split start, position inside the split).
 
     ``multi_line`` reads quoted fields that hold line breaks, in splits too (see
     ``csv_records``), at the price of a second pass that counts quotes.  Without it
-    such a record is corrupt, see ``count_corrupt``.
+    such a record is corrupt, see ``count_corrupt``.  ``mark_corrupt`` adds a boolean
+    ``CORRUPT`` to every row, which a load counts in its own scan; it is right where all
+    columns of the log are read, as the load does.
     """
+    mark = [F.col(CORRUPT).isNotNull().alias(CORRUPT)] if mark_corrupt else []
     if multi_line:
-        return text_to_raw(scan_records(spark, path).select(*RAW_COLUMNS, ORD))
+        return text_to_raw(scan_records(spark, path).select(*RAW_COLUMNS, ORD, *mark))
     df = scan_csv(spark, path).select(*RAW_COLUMNS, F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos")).alias(ORD))
+        F.monotonically_increasing_id().alias("pos")).alias(ORD), *mark)
     return text_to_raw(df)
 
 

@@ -73,6 +73,20 @@ def test_sql_form_equals_dataframe_form(spark):
         assert [tuple(r) for r in sql_df.collect()] == [tuple(r) for r in df.collect()], name
 
 
+def test_sql_form_adds_infinite_amounts(spark):
+    from paylake.operators import analytics_sql as S
+    rows = [tx("A1", uid="U1", mid="M1", amount=float("inf")), tx("A2", uid="U1", mid="M1"),
+            tx("A3", uid="U2", mid="M2", cat="Retail", amount=2.5),
+            tx("A4", uid="U3", mid="M2", cat="Retail", amount=1e300)]
+    m = M.star_schema(C.transform(raw_frame(spark, rows)))
+    fact, users, merchants = m["fact_transactions"], m["dim_users"], m["dim_merchants"]
+    S.register_views(fact, users, merchants)
+    for name, df in (("q1_daily_gtv", Q.q1_daily_gtv(fact)),
+                     ("q2_category_ranking", Q.q2_category_ranking(fact, merchants)),
+                     ("q4_top_users", Q.q4_top_users(fact, users))):
+        assert list(map(tuple, S.run(spark, name).collect())) == list(map(tuple, df.collect()))
+
+
 def test_ties_are_broken_by_the_group_key(spark):
     """SURVEY 8.8: equal rates / volumes / spend order by the key."""
     rows = [tx("A1", method="QRIS", mid="M1", cat="F&B", uid="U2", amount=50.0),

@@ -54,6 +54,25 @@ def test_quoted_fields(spark, tmp_path):
     assert kept["T1"] == 'Toko "Maju", Jakarta'
 
 
+def test_a_load_counts_corrupt_records_in_its_own_scan(spark, tmp_path):
+    """Too few and too many fields, on any day, under any timestamp format."""
+    from paylake.plans.load import run_load
+    from paylake.sources.warehouse import Warehouse
+    whole = [_line(tx("T1"), RAW_FIELDS), _line(tx("T2", ts="2026-08-02 00:00:00"), RAW_FIELDS)]
+    cut = whole[0].replace("T1", "T3").rsplit(",", 2)[0]
+    more = whole[1].replace("T2", "T4") + ",extra"
+    path = _write(tmp_path / "c.csv", RAW_FIELDS, [*whole, cut, more])
+    for i, (multi, fmt) in enumerate([(False, "infer"), (True, "yyyy-MM-dd HH:mm:ss")]):
+        wh = Warehouse(spark, str(tmp_path / f"wh{i}"))
+        wh.create_tables()
+        raw = read_raw_csv(spark, path, multi, mark_corrupt=True)
+        out = run_load(spark, raw, wh, day="2026-08-01", timestamp_format=fmt)
+        assert out.counters["corrupt_records"] == 2 and out.counters["batch"] == 1
+        plain = run_load(spark, read_raw_csv(spark, path, multi), wh, day="2026-08-01",
+                         timestamp_format=fmt)
+        assert "corrupt_records" not in plain.counters and plain.counters["batch"] == 1
+
+
 def test_missing_tokens_are_for_text_only(spark, tmp_path):
     path = _write(tmp_path / "m.csv", RAW_FIELDS, [_line(tx("NA", status="None"), RAW_FIELDS)])
     (r,) = read_raw_csv(spark, path).collect()
