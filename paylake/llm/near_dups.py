@@ -10,14 +10,20 @@
    n - 1 edges.
 3. Groups of survivors over all buckets are candidate groups: any link lies
    inside one. Their members' full shingle sets are compared exactly, again
-   after the sequential test, and pairs already connected are skipped.
+   after the sequential test.
 4. Components over exact links, taken back to all copies.
 
+Within a group, some rows at a time are compared with all that are not yet
+connected with them: edges need only span what is linked.
+
 Large buckets and candidate groups are cut into chunks, by members and by the
-bytes of their sets, and each pair of chunks is compared by itself. Tasks are as
-many as the rows and bytes after the chunks' copies ask for, so a task holds a
-few pairs of chunks whatever the size of a group; no member is left out, and no
-pair of rows is emitted.
+bytes of their sets. First each chunk is compared by itself, with the group's least
+member in every chunk: a member that this connects with the least one needs no
+comparison with others so connected. Then the members left over, in chunks of
+their own, meet each other and all the rest. Copies of one template thus cost in
+proportion to their number, and n unlike members all n² / 2 pairs. Tasks are as many
+as the rows and bytes after the chunks' copies ask for, so a task holds a few chunks
+whatever the size of a group; no member is left out, and no pair of rows is emitted.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake.llm.bpe import slices
 from paylake.llm.common import (carried, documents, empty, mix, restored, text_bytes,
@@ -48,6 +55,8 @@ SLICE = 4 << 20
 #: Rows that one group of the in-task steps should hold.
 TASK_ROWS = 6_000
 TASK_BYTES = 4 * CHUNK_BYTES
+#: Rows of a group that are compared with the others at a time.
+LEAD = 16
 
 _EDGES = [("a", pa.int64()), ("b", pa.int64())]
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -143,6 +152,18 @@ class Forest:
         return np.array([self.find(x) for x in range(len(self.up))], np.int64)
 
 
+class Groups:
+    """Rows of one chunk pair by the least row they are connected with."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+
+    def join(self, x: int, ys: np.ndarray) -> None:
+        labels = np.unique(self.of[np.append(ys, x)])
+        if len(labels) > 1:
+            self.of[np.isin(self.of, labels)] = labels[0]
+
+
 def survivors(sig: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray,
               need: list[int], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Which of the pairs (i, j) outlive the sequential test, and their matches."""
@@ -174,6 +195,26 @@ def _pairs(n: int, split: int | None):
             yield (np.repeat(rows, n - split), np.tile(np.arange(split, n), len(rows)))
 
 
+def _open_pairs(n: int, split: int | None, groups: Groups):
+    """Pairs of n rows that are not connected when their turn comes, LEAD rows with
+    all others at a time; with ``split`` only pairs of one row before it and one from
+    it on, rows of either side in turn."""
+    def pairs(rows, others):
+        x, y = np.nonzero((groups.of[rows][:, None] != groups.of[others][None, :])
+                          & ((split is not None) | (rows[:, None] < others[None, :])))
+        return rows[x], others[y]
+
+    every = np.arange(n)
+    if split is None:
+        for a in range(0, n, LEAD):
+            yield pairs(every[a:a + LEAD], every[a:])
+        return
+    left, right = every[:split], every[split:]
+    for a in range(0, max(len(left), len(right)), LEAD):
+        yield pairs(left[a:a + LEAD], right[a:])  # those before a met all of the left
+        yield pairs(right[a:a + LEAD], left[a + LEAD:])
+
+
 def _chunks(size: Column, weight: Column | None = None) -> Column:
     """Chunks of a key with so many members and bytes of them."""
     chunks = F.ceil(size / F.lit(CHUNK))
@@ -193,17 +234,67 @@ def _chunked(members: DataFrame, key: str) -> DataFrame:
     return cut.withColumns({"_x": F.least("_c", "_o"), "_y": F.greatest("_c", "_o")}).drop("_o")
 
 
-def candidate_chunks(groups: DataFrame, reps: DataFrame) -> tuple[DataFrame, int, int]:
-    """``id, component, chunks`` of the members of candidate groups, and how many
-    rows and bytes they are with the copies for each pair of chunks."""
+def candidate_chunks(groups: DataFrame, reps: DataFrame) -> DataFrame:
+    """``component, id, lead, chunks, w`` of the members of candidate groups: the least
+    member, the group's chunks, and a member's bytes."""
     weighed = groups.join(reps.select("id", (F.col("n") * 8 + 4 * HASHES + 64).alias("w")), "id")
     sizes = weighed.groupBy("component").agg(
-        F.count(F.lit(1)).alias("size"), F.sum("w").alias("weight")) \
-        .withColumn("chunks", _chunks(F.col("size"), F.col("weight")))
-    total = sizes.agg(F.sum(F.col("size") * F.col("chunks")).alias("rows"),
-                      F.sum(F.col("weight") * F.col("chunks")).alias("bytes")).first()
-    members = groups.join(sizes.select("component", "chunks"), "component")
-    return members.select("id", "component", "chunks"), total["rows"] or 0, total["bytes"] or 0
+        F.count(F.lit(1)).alias("size"), F.sum("w").alias("weight"))
+    return weighed.join(sizes, "component").select(
+        "component", "id", F.col("component").alias("lead"),
+        _chunks(F.col("size"), F.col("weight")).alias("chunks"), "w")
+
+
+def _starred(members: DataFrame) -> DataFrame:
+    """Members by chunk, the least one in every chunk."""
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    at = F.when(F.col("id") == F.col("lead"), F.sequence(F.lit(0), F.col("chunks") - 1)) \
+        .otherwise(F.array(own))
+    return members.withColumn("_c", F.explode(at)).withColumns({"_x": F.col("_c"),
+                                                                "_y": F.col("_c")})
+
+
+def _unsettled(members: DataFrame, near: DataFrame, key: str) -> DataFrame:
+    """Members of the keys with several chunks in which some member is ``open``: not
+    connected with the least one by the edges ``near``. ``fresh``: chunks of these."""
+    met = near.select(F.col("a").alias("lead"), F.col("b").alias("id"), F.lit(True).alias("met")) \
+        .distinct()
+    marked = members.where("chunks > 1").join(met, ["lead", "id"], "left") \
+        .withColumn("open", F.col("met").isNull() & (F.col("id") != F.col("lead"))).drop("met")
+    sizes = marked.where("open").groupBy(key).agg(F.count(F.lit(1)).alias("size"),
+                                                  F.sum("w").alias("weight"))
+    return marked.join(sizes.select(key, _chunks(F.col("size"), F.col("weight")).alias("fresh")),
+                       key)
+
+
+def _crossed(marked: DataFrame) -> DataFrame:
+    """Pairs of a chunk of open members with a chunk of open ones or of the others."""
+    fresh, chunks, seat = F.col("fresh"), F.col("chunks"), F.xxhash64("id")
+    own = F.when(F.col("open"), F.pmod(seat, fresh)).otherwise(fresh + F.pmod(seat, chunks))
+    other = F.sequence(F.lit(0), F.when(F.col("open"), fresh + chunks - 1).otherwise(fresh - 1))
+    cut = marked.withColumn("_c", own.cast("int")).withColumn("_o", F.explode(other))
+    return cut.withColumns({"_x": F.least("_c", "_o"), "_y": F.greatest("_c", "_o")}).drop("_o")
+
+
+def _spanning(members: DataFrame, key: str, compare) -> DataFrame:
+    """Edges that span the linked members of every key. ``compare(members, cut, rows,
+    size)`` gives the edges of all chunk pairs of ``cut(members)``, which has so many rows
+    and bytes."""
+    lead = F.col("id") == F.col("lead")
+    copies = F.when(lead, F.col("chunks")).otherwise(1)
+    edges = compare(members, _starred, *_total(members, copies))
+    if members.where("chunks > 1").isEmpty():
+        return edges
+    edges = write_shared(edges, f"{key}-near")
+    marked = write_shared(_unsettled(members, edges, key), f"{key}-open")
+    copies = F.col("fresh") + F.when(F.col("open"), F.col("chunks")).otherwise(0)
+    rows, size = _total(marked, copies)
+    return edges.union(compare(marked, _crossed, rows, size)) if rows else edges
+
+
+def _total(members: DataFrame, copies: Column) -> tuple[int, int]:
+    r = members.agg(F.sum(copies).alias("rows"), F.sum(copies * F.col("w")).alias("size")).first()
+    return r["rows"] or 0, r["size"] or 0
 
 
 def _tasks(df: DataFrame, rows: int, *keys: str, size: int = 0) -> DataFrame:
@@ -246,12 +337,12 @@ def bucket_edges(table: pa.Table, need: list[int], threshold: float) -> pa.Table
     a, b = [], []
     for rows, split in _groups(table, "bucket"):
         s, n, own = sig[rows], size[rows], ids[rows]
-        forest = Forest(len(rows))
-        for i, j in _pairs(len(rows), split):
+        groups = Groups(len(rows))
+        for i, j in _open_pairs(len(rows), split, groups):
             left, _ = survivors(s, n, i, j, need, threshold)
-            for x, y in zip(i[left].tolist(), j[left].tolist(), strict=True):
-                forest.join(x, y)
-        u, v = _star(own, forest.roots())
+            for x in np.unique(i[left]).tolist():
+                groups.join(x, j[left[i[left] == x]])
+        u, v = _star(own, groups.of)
         a.append(u)
         b.append(v)
     if not a:
@@ -272,21 +363,21 @@ def exact_edges(table: pa.Table, need: list[int], percent: int) -> pa.Table:
         known, code = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(known), bool)
         s, n, own = sig[rows], size[rows], ids[rows]
-        forest = Forest(len(rows))
-        for i, j in _pairs(len(rows), split):
+        groups = Groups(len(rows))
+        for i, j in _open_pairs(len(rows), split, groups):
             left, got = survivors(s, n, i, j, need, percent / 100)
             likely = left[np.argsort(-got, kind="stable")]
             for x in np.unique(i[likely]).tolist():
                 own_set = code[begin[x]:begin[x + 1]]
                 mark[own_set] = True
                 for y in j[likely[i[likely] == x]].tolist():
-                    if forest.find(x) == forest.find(y):
+                    if groups.of[x] == groups.of[y]:
                         continue
                     both = int(mark[code[begin[y]:begin[y + 1]]].sum())
                     if 100 * both >= percent * (int(n[x]) + int(n[y]) - both):
-                        forest.join(x, y)
+                        groups.join(x, np.array([y]))
                 mark[own_set] = False
-        u, v = _star(own, forest.roots())
+        u, v = _star(own, groups.of)
         a.append(u)
         b.append(v)
     return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}) if a else empty(_EDGES)
@@ -326,16 +417,20 @@ def link(docs: DataFrame, percent: int = 75, miss: float = 1e-5) -> DataFrame:
                 names=["bucket", "id"])
 
     banded = reps.select("id", "sig").mapInArrow(bands, "bucket long, id long")
-    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = write_shared(_chunked(banded.join(sizes, "bucket"), "bucket"), "buckets")
-    found = _tasks(members, members.count(), "bucket", "_x", "_y") \
-        .join(reps.select("id", "n", "sig"), "id")
-    edges = found.groupBy("_task").applyInArrow(
-        lambda t: bucket_edges(t, need, percent / 100), "a long, b long")
-    groups = write_shared(components(edges), "candidates")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"),
+                                         F.min("id").alias("lead")).where("size > 1")
+    members = write_shared(banded.join(sizes, "bucket").select(
+        "bucket", "id", "lead", _chunks(F.col("size")).alias("chunks"),
+        F.lit(0).cast("long").alias("w")), "buckets")
+
+    def similar(members, cut, rows, _size):
+        found = _tasks(cut(members), rows, "bucket", "_x", "_y") \
+            .join(reps.select("id", "n", "sig"), "id")
+        return found.groupBy("_task").applyInArrow(
+            lambda t: bucket_edges(t, need, percent / 100), "a long, b long")
 
-    members, copies, weight = candidate_chunks(groups, reps)
-    wanted = bounded_broadcast(members)
+    groups = components(_spanning(members, "bucket", similar))
+    members = write_shared(candidate_chunks(groups, reps), "candidates")
 
     def sets(batches):
         for batch in batches:
@@ -344,19 +439,22 @@ def link(docs: DataFrame, percent: int = 75, miss: float = 1e-5) -> DataFrame:
                 found_ = shingle_sets(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 part = pa.array([s.astype("<u8").tobytes() for s in found_], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in ("id", "component", "chunks")),
-                     part], names=["id", "component", "chunks", "shingles"])
-
-    # one row of a class is read: those whose set is the class's own, once
-    texts = own.withColumnRenamed("doc_id", "id").join(wanted, "id") \
-        .select("id", "component", "chunks", "text")
-    full = texts.mapInArrow(sets, "id long, component long, chunks int, shingles binary")
-    full = full.withColumn("n", (F.octet_length("shingles") / 8).cast("long")) \
-        .join(reps.select("id", "n", "sig"), ["id", "n"])
-    cut = _tasks(_chunked(full, "component"), copies, "component", "_x", "_y", size=weight)
-    links = cut.groupBy("_task").applyInArrow(lambda t: exact_edges(t, need, percent),
-                                              "a long, b long")
-    linked = write_shared(components(links), "components")
+                    [*(c.slice(a, b - a) for c in batch.columns[:-1]), part],
+                    names=[*batch.schema.names[:-1], "shingles"])
+
+    def same(members, cut, rows, size):
+        # one row of a class is read: those whose set is the class's own, once
+        texts = own.withColumnRenamed("doc_id", "id").join(
+            bounded_broadcast(members.drop("w")), "id").select(*members.drop("w").columns, "text")
+        kept = texts.drop("text").schema
+        full = texts.mapInArrow(sets, T.StructType([*kept, T.StructField("shingles",
+                                                                         T.BinaryType())]))
+        full = full.withColumn("n", (F.octet_length("shingles") / 8).cast("long")) \
+            .join(reps.select("id", "n", "sig"), ["id", "n"])
+        return _tasks(cut(full), rows, "component", "_x", "_y", size=size).groupBy("_task") \
+            .applyInArrow(lambda t: exact_edges(t, need, percent), "a long, b long")
+
+    linked = write_shared(components(_spanning(members, "component", same)), "components")
 
     classes = reps.select("k1", "k2", "n", "id").join(linked, "id", "left") \
         .select("k1", "k2", "n", F.coalesce("component", "id").alias("component"))

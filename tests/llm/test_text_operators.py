@@ -316,22 +316,66 @@ def test_fingerprint_pairs_are_all_of_a_bucket(spark, monkeypatch):
 
 
 def test_candidate_tasks_follow_the_chunk_copies(spark, monkeypatch):
-    """A group of 40 members in 4 chunks is 160 rows; long sets cut it further."""
+    """A group of 40 members in 4 chunks is 43 rows with its least member in each; long
+    sets cut a group further. Open members meet all chunks, the others only theirs."""
     groups = spark.createDataFrame([(i, 0) for i in range(40)] + [(i, 50) for i in range(50, 52)],
                                    "id long, component long")
     reps = groups.selectExpr("id", "if(id < 40, 100L, 1000000L) n")
     monkeypatch.setattr(near_dups, "CHUNK", 10)
-    members, rows, size = near_dups.candidate_chunks(groups, reps)
-    chunks = {r["component"]: r["chunks"] for r in members.collect()}
-    assert chunks == {0: 4, 50: 2} and members.count() == 42
-    assert rows == 40 * 4 + 2 * 2 and size > 2 * 2 * 8_000_000
-    cut = near_dups._chunked(members, "component")
-    assert cut.count() == rows
+    members = near_dups.candidate_chunks(groups, reps)
+    assert {r["component"]: r["chunks"] for r in members.collect()} == {0: 4, 50: 2}
+    asked = []
+
+    def compare(members, cut, rows, size):
+        asked.append((cut(members).count(), rows, size))
+        # 12 members of the first group are not connected with 0, all of the second are
+        return members.where("id <> lead AND id NOT BETWEEN 5 AND 16").selectExpr("lead a", "id b")
+
+    near_dups._spanning(members, "component", compare).collect()
+    assert [real for real, _, _ in asked] == [40 + 3 + 2 + 1, 12 * (2 + 4) + 28 * 2]
+    assert all(real == rows for real, rows, _ in asked) and asked[0][2] > 3 * 8_000_000
     monkeypatch.setattr(near_dups, "TASK_ROWS", 41)
-    tasks = near_dups._tasks(cut, rows, "component", "_x", "_y")
+    tasks = near_dups._tasks(near_dups._starred(members), 46, "component", "_x", "_y")
     assert tasks.select("_task").distinct().count() > 1
 
 
+def test_crossed_chunks_hold_every_pair_with_an_open_member(spark):
+    marked = spark.range(60).selectExpr("0L component", "id", "0L lead", "3 chunks", "1L w",
+                                        "id % 4 = 1 open", "2 fresh")
+    seen = set()
+    cut = near_dups._crossed(marked).toArrow()
+    for rows, split in near_dups._groups(cut, "component"):
+        ids = np.asarray(cut.column("id"))[rows]
+        for i, j in near_dups._open_pairs(len(rows), split, near_dups.Groups(len(rows))):
+            seen |= {tuple(sorted(p)) for p in zip(ids[i].tolist(), ids[j].tolist(), strict=True)}
+    opened = {i for i in range(60) if i % 4 == 1}
+    assert seen >= {(a, b) for a in range(60) for b in range(a + 1, 60) if {a, b} & opened}
+
+
+def test_many_near_copies_of_one_template(spark):
+    """3,000 copies of a template, with as many texts beside it that drift away from it:
+    the components of brute force over all pairs, from a small share of the comparisons."""
+    import random
+    rng = random.Random(5)
+    voc = [f"w{i}" for i in range(400)]
+    base = [rng.choice(voc) for _ in range(150)]
+    texts = [" ".join([*base, f"x{i}"]) for i in range(3000)]
+    w = list(base)
+    for k in range(60):  # a chain: each is near the one before it only
+        w[k * 2] = f"y{k}"
+        texts.append(" ".join(w))
+    got = {r["doc_id"]: r["component_id"]
+           for r in near_dups.link(frame(spark, list(enumerate(texts)))).collect()}
+    assert all(got[i] == 0 for i in range(3000))
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    up = {}
+    for i in range(3000, 3060):
+        near = [j for j in (0, *range(3000, i))
+                if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+        up[i] = min([up.get(j, j) for j in near], default=i)
+    assert {i: got[i] for i in range(3000, 3060)} == up
+
+
 def test_near_dups_sizes_exact_tasks_after_the_copies(spark, monkeypatch):
     asked = []
     plain = near_dups._tasks
@@ -344,7 +388,8 @@ def test_near_dups_sizes_exact_tasks_after_the_copies(spark, monkeypatch):
     monkeypatch.setattr(near_dups, "CHUNK", 8)
     data = [(i, " ".join(f"w{j}" for j in range(200)) + f" x{i}") for i in range(40)]
     assert bag(near_dups.link(frame(spark, data)).collect()) == plain_components(data)
-    assert [rows == real for _, rows, real in asked] == [True, True]
+    assert [k for k, _, _ in asked] == ["bucket", "component"]  # one template: no second pass
+    assert all(rows == real for _, rows, real in asked)
 
 
 def test_fingerprint_pairs_behind_other_headings(spark):
