@@ -334,7 +334,8 @@ class Warehouse:
         index, rows, own = self.key_index(name), batch.count(), batch.select(*keys)
         if rows <= BROADCAST_KEY_ROWS:
             return index.join(F.broadcast(own), keys, "left_semi")
-        return own.join(key_filter.may_hold(index, own, keys, rows), keys, "left_semi")
+        # a key has one row on either side; a semi join would be moved below the probe
+        return key_filter.may_hold(index, own, keys, rows).join(own, keys)
 
     # -- swaps of files ---------------------------------------------------------
     def _swap(self, name: str, rows: DataFrame, replaced: list[str]) -> None:
