@@ -6,10 +6,10 @@ after the keys are not; stored rows that it rules out drop out of the scan's sta
 and never reach the shuffle.  The join that follows is exact, so a false positive
 costs a shuffled row and changes no result.
 
-The sketch is a table ``_block, _words``: a key belongs to one block of 32,768 bits and
-sets ``PROBES`` of them.  It is built with partial aggregates (or of 64-bit words), so
-repeated and hot keys collapse before they are shuffled, and probed with a broadcast
-join on the block.  Native columns only; nothing passes through Python.
+The sketch is a table ``_block, _words``: a key belongs to one 64-bit word of one block
+and sets up to ``PROBES`` of the word's bits, so it takes one row to build.  It is built
+with partial aggregates (or of words), so repeated and hot keys collapse before they are
+shuffled, and probed with a broadcast join on the block.  Native columns only; nothing passes through Python.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS_PER_KEY = 16
-#: Bits of a key inside its block; with 16 bits a key some 0.24 % of other keys pass.
+#: Bits of a key inside its word; with 16 bits a key under 1 % of other keys pass.
 PROBES = 4
 WORDS = 512  # of 64 bits: 4 KB a block
 BLOCK_BITS = WORDS * 64
@@ -37,18 +37,25 @@ def _block(keys: list[str], blocks: int) -> Column:
     return F.xxhash64(*keys).bitwiseAND(F.lit(blocks - 1))
 
 
-def _probe(keys: list[str], i: int) -> Column:
-    return F.xxhash64(*keys, F.lit(i)).bitwiseAND(F.lit(BLOCK_BITS - 1))
+def _places(keys: list[str]) -> tuple[Column, list[Column]]:
+    """Word of a key inside its block and the key's bits inside the word, all from one
+    hash: 9 bits of it for the word, 6 for every bit."""
+    h = F.xxhash64(*keys, F.lit(0))
+    return h.bitwiseAND(F.lit(WORDS - 1)).cast("int"), [
+        F.shiftrightunsigned(h, 9 + 6 * i).bitwiseAND(F.lit(63)).cast("int")
+        for i in range(PROBES)]
 
 
 def sketch(df: DataFrame, keys: list[str], expected: int) -> DataFrame:
     """Sketch of the keys in ``df``, sized for ``expected`` different ones.  With more
     keys than that it only lets more rows pass.  Every block has a row."""
     blocks = _blocks(expected)
-    at = F.explode(F.array(*[_probe(keys, i) for i in range(PROBES)]))
-    bits = df.select(_block(keys, blocks).alias("_block"), at.alias("_bit")).select(
-        "_block", F.shiftright("_bit", 6).cast("int").alias("_word"),
-        F.expr("shiftleft(1L, cast(_bit % 64 as int))").alias("_bits"))
+    word, places = _places(keys)
+    own = F.lit(0).cast("long")
+    for at in places:
+        own = own.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+    bits = df.select(_block(keys, blocks).alias("_block"), word.alias("_word"),
+                     own.alias("_bits"))
     blank = df.sparkSession.range(blocks * WORDS).select(
         F.expr(f"id div {WORDS}").alias("_block"),
         F.expr(f"cast(id % {WORDS} as int)").alias("_word"), F.lit(0).cast("long").alias("_bits"))
@@ -70,11 +77,10 @@ def split(large: DataFrame, small: DataFrame, keys: list[str],
     types = [[df.schema[k].dataType for k in keys] for df in (large, small)]
     if expected > MAX_KEYS or types[0] != types[1]:
         return large, None
+    word, places = _places(keys)
     hit = F.lit(True)
-    for i in range(PROBES):
-        p = _probe(keys, i)
-        word = F.get("_words", F.shiftright(p, 6).cast("int"))
-        hit = hit & (F.getbit(word, p.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    for at in places:
+        hit = hit & (F.getbit(F.get("_words", word), at) == 1)
     probed = large.withColumn("_block", _block(keys, _blocks(expected))) \
         .join(F.broadcast(sketch(small, keys, expected)), "_block")
     return tuple(probed.where(c).select(*large.columns) for c in (hit, ~hit))

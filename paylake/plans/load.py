@@ -62,15 +62,20 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
         raw = raw.observe(o_corrupt, F.count_if(CORRUPT).alias("rows")).drop(CORRUPT)
     batch = raw if start is None and end is None else C.between_days(raw, start, end, fmt)
     batch, o_batch = _count(batch, "batch")
-    deduped, o_dedupe = _count(C.dedupe_first(batch), "dedupe")
-    complete, o_null = _count(C.drop_incomplete(deduped), "drop_missing")
-    positive, o_amount = _count(C.positive_amount(complete), "positive_amount")
+    # the steps after the dedupe are counted in one place: every observed step costs
+    # another copy of the row
+    o_steps = Observation(f"steps-{uuid.uuid4().hex[:12]}")
+    deduped = C.dedupe_first(batch)
+    complete = C.is_complete(deduped)
+    deduped = deduped.observe(
+        o_steps, F.count(F.lit(1)).alias("dedupe"), F.count_if(complete).alias("drop_missing"),
+        F.count_if(complete & (F.col("amount") > 0)).alias("positive_amount"))
+    positive = C.positive_amount(C.drop_incomplete(deduped))
     cleaned = C.mask_pii(C.standardise(positive, strict_timestamps, fmt), min_digits, salt)
     # raw PII never reaches storage: only masked values and the hash are staged
     staged = stage(cleaned.drop(*RAW_PII), spark, "clean", scope)
-    named = {"batch": o_batch, "dedupe": o_dedupe, "drop_missing": o_null,
-             "positive_amount": o_amount}
-    counters = {k: o.get.get("rows", 0) for k, o in named.items()}
+    counters = {"batch": o_batch.get.get("rows", 0)}
+    counters |= {k: o_steps.get.get(k, 0) for k in ("dedupe", "drop_missing", "positive_amount")}
     # what each step removed, as the reference reports it
     counters["removed_duplicates"] = counters["batch"] - counters["dedupe"]
     counters["removed_missing"] = counters["dedupe"] - counters["drop_missing"]

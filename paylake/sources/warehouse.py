@@ -49,7 +49,7 @@ from paylake.functions.timeparse import format_ts
 from paylake.operators import key_filter
 from paylake.operators import upsert as K
 from paylake.schemas import TABLES
-from paylake.session import (delete_paths, list_dirs, list_files, move_file, path_exists, stage,
+from paylake.session import (CODEC, delete_paths, list_dirs, list_files, move_file, path_exists, stage,
                              touch_file)
 
 # Batches with at most this many keys are broadcast into the upsert joins
@@ -175,8 +175,8 @@ class Warehouse:
         versions = self._versions(name)
         n = self._next_version(name)
         # mode "error": a concurrent writer of the same version fails here
-        df.select(*self._write_order(name)).write.mode("error").parquet(
-            self._version_path(name, n))
+        df.select(*self._write_order(name)).write.mode("error").option(
+            "compression", CODEC).parquet(self._version_path(name, n))
         if self.database and self.spark.catalog.tableExists(f"{self.database}.{name}"):
             self.spark.sql(f"ALTER TABLE `{self.database}`.`{name}` SET LOCATION "
                            f"'{self._version_path(name, n)}'")
@@ -275,7 +275,7 @@ class Warehouse:
 
     def _write(self, name: str, df: DataFrame, path: str, mode: str) -> None:
         part = self.part_column(name)
-        w = self._prepare_write(name, df).write.mode(mode)
+        w = self._prepare_write(name, df).write.mode(mode).option("compression", CODEC)
         if part:
             w = w.partitionBy(part)
         w.parquet(path)
@@ -329,9 +329,12 @@ class Warehouse:
         """Keys of the batch that are stored already. Up to BROADCAST_KEY_ROWS keys
         of the batch are broadcast to the index; beyond, the batch is shuffled to the
         index's buckets, and of the index only ids that a sketch of the batch does not
-        rule out are sorted. The stored side is not moved either way."""
+        rule out are sorted. The stored side is not moved either way. Nothing is joined
+        with an empty index."""
         keys = TABLES[name][1]
         index, rows, own = self.key_index(name), batch.count(), batch.select(*keys)
+        if not index.count():  # Parquet footers only
+            return index
         if rows <= BROADCAST_KEY_ROWS:
             return index.join(F.broadcast(own), keys, "left_semi")
         # a key has one row on either side; a semi join would be moved below the probe
@@ -375,6 +378,10 @@ class Warehouse:
         current = self.read(name)
         batch = batch.select(*current.columns)
         rows = batch.count()  # Parquet footers only
+        if not current.count():  # as well: nothing to compare or to keep
+            if rows:
+                self._commit_version(name, batch)
+            return
         if self.unchanged_rows(current, batch, keys, rows).count() == rows:
             return
         # v=n+1 is written from v=n: no staging copy needed
@@ -400,18 +407,16 @@ class Warehouse:
 
     def insert_ignore_table(self, name: str, batch: DataFrame, on_new=None) -> int:
         """K3: append rows whose key is not stored yet; returns rows added.
-        ``on_new`` is then called with these rows, if there are any.
+        ``on_new`` is then called with these rows, if there are any.  ``batch`` must be
+        staged.
 
         Two steps: ``hits`` - batch keys that the key index has - is staged; then
         the batch minus ``hits`` is staged, counted, appended, and its keys go to the
         index.  The append job never reads the table it writes."""
-        _s, keys, _part = TABLES[name]
         self._finish_swaps(name)
         staged: list = []
         hits = stage(self.stored_keys(name, batch), self.spark, f"{name}-hits", staged)
-        new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys,
-                                    "left_anti"), self.spark, f"{name}-new", staged)
-        added = new_rows.count()  # of the written copy: Parquet footers only
+        new_rows, added = self._not_stored(name, batch, hits, staged)
         if added:
             self._append(name, new_rows)
             self._index_write(name, new_rows)
@@ -420,6 +425,20 @@ class Warehouse:
         delete_paths(self.spark, staged)
         return added
 
+    def _not_stored(self, name: str, batch: DataFrame, hits: DataFrame,
+                    staged: list) -> tuple[DataFrame, int]:
+        """Rows of a staged batch whose key is not among its stored keys, and their
+        number. The batch itself where none is stored, nothing where all are: no join
+        and no second copy then."""
+        keys, rows, held = TABLES[name][1], batch.count(), hits.count()  # Parquet footers
+        if not held:
+            return batch, rows
+        if held == rows:
+            return batch.limit(0), 0
+        new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, held), keys,
+                                    "left_anti"), self.spark, f"{name}-new", staged)
+        return new_rows, new_rows.count()
+
     def changed_files(self, name: str, batch: DataFrame, hits: DataFrame) -> DataFrame:
         """``path`` of every stored file that holds another version of a batch row, and
         ``transaction_date`` of these versions. ``hits``: the batch's stored keys (beyond
@@ -427,8 +446,9 @@ class Warehouse:
         _s, keys, part = TABLES[name]
         values = [f for f in self.schema(name).fieldNames() if f not in keys]
         rows = hits.count()
-        new = batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows), keys, "left_semi") \
-            .select(*keys, F.struct(*values).alias("_new"))
+        new = batch.select(*keys, F.struct(*values).alias("_new"))
+        if rows <= BROADCAST_KEY_ROWS:  # beyond, the join with the stored rows does it
+            new = new.join(F.broadcast(hits), keys, "left_semi")
         old = self._stored(name).select(*keys, part, F.struct(*values).alias("_old"),
                                         F.col("_metadata.file_path").alias("path"))
         if rows > BROADCAST_KEY_ROWS:
@@ -445,13 +465,14 @@ class Warehouse:
         staged: list = []
         hits = stage(self.stored_keys(name, batch), self.spark, f"{name}-hits", staged)
         days = set(self._days(batch))
-        new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS), keys,
-                                    "left_anti"), self.spark, f"{name}-new", staged)
-        changed = stage(self.changed_files(name, batch, hits), self.spark, f"{name}-files",
-                        staged)
-        # (the metadata column has paths as URIs)
-        files = [unquote(r["path"]) for r in changed.select("path").distinct().collect()]
-        days |= set(self._days(changed))
+        new_rows, added = self._not_stored(name, batch, hits, staged)
+        files: list[str] = []
+        if hits.count():
+            changed = stage(self.changed_files(name, batch, hits), self.spark, f"{name}-files",
+                            staged)
+            # (the metadata column has paths as URIs)
+            files = [unquote(r["path"]) for r in changed.select("path").distinct().collect()]
+            days |= set(self._days(changed))
         if files:
             bk = self._batch_keys(batch, keys)
             held = self._stored(name, files).select(*self.schema(name).fieldNames())
@@ -461,7 +482,7 @@ class Warehouse:
                     held.select(*keys).join(bk, keys, "left_semi"), self.spark, f"{name}-held",
                     staged), BROADCAST_KEY_ROWS), keys, "left_semi").select(*held.columns))
             self._swap(name, after, files)
-        if new_rows.count():
+        if added:
             self._append(name, new_rows)
             self._index_write(name, new_rows)
         delete_paths(self.spark, staged)
