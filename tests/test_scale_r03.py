@@ -14,7 +14,7 @@ from paylake.plans.load import run_load
 from paylake.session import stage
 from paylake.sources import csv_records
 from paylake.sources import warehouse as W
-from paylake.sources.testdata import raw_transactions
+from paylake.sources.testdata import _six_digits, raw_transactions
 from pyspark.sql import functions as F
 
 
@@ -64,8 +64,52 @@ def test_sketch_takes_a_row_a_key(spark):
     assert passed.count() < 3_000 + 97_000 // 50
 
 
+def test_order_key_shuffle_carries_no_supplier_texts(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(raw_transactions(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.index("BroadcastHashJoin [l_suppkey") < plan.index("SortMergeJoin [l_orderkey")
+
+
+def test_padded_keys_are_those_of_the_formatter(spark):
+    df = spark.createDataFrame([(k,) for k in (0, 7, 999_999, 1_000_000, 12345678, -1, -1234567,
+                                               None)], "k bigint")
+    got = df.select(_six_digits(F.col("k")), F.format_string("%06d", "k")).collect()
+    assert all(a == b for a, b in got)
+
+
 TEXTS = ["2026-08-01 10:00:00", "2026-02-30 10:00:00", "2026-08-01 24:00:00", "0000-01-01 00:00:00",
          "0001-01-01 00:00:00", "2026-08-01T10:00:00", "2026-8-01 010:00:00", " 026-08-01 10:00:00",
          "2026-08-01 10:00:0 ", "2026-08-01 10:00:0Z", "2026-08-01 10:00:00.5", "+12026-08-01 10:00:00",
          "-2026-08-01 10:00:00", "2026-08-01", "2026-08-01 1:00:000", "", None, "9999-12-31 23:59:59",
          "20a6-08-01 10:00:00", "2026-08-01 10:60:00"]
+
+
+def test_cast_timestamps_are_those_of_the_formatter(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    fmt = F.lit("yyyy-MM-dd HH:mm:ss")
+    old = F.when(F.try_to_timestamp("t", fmt).isNotNull(), F.to_timestamp_ntz("t", fmt))
+    assert "cast(t" in _plan(df.select(parse_lenient(F.col("t"))))  # the formatter is the rest
+    got = df.select("t", parse_lenient(F.col("t")).cast("string"), old.cast("string")).collect()
+    assert [r for r in got if r[1] != r[2]] == []
+    good = df.where(old.isNotNull())
+    assert good.select(parse_strict(F.col("t"))).where("1 = 1").count() == good.count()
+
+
+def test_day_filter_parses_once(spark):
+    raw = raw_frame(spark, [tx(f"T{i}", ts=t) for i, t in enumerate(TEXTS)])
+    for start, end in (("2026-08-01", None), (None, "2026-08-01"), ("0001-01-01", "2026-08-02")):
+        df = C.between_days(raw, start, end)
+        ts = F.col("timestamp")
+        fmt = F.lit("yyyy-MM-dd HH:mm:ss")
+        p = F.when(F.try_to_timestamp(ts, fmt).isNotNull(), F.to_timestamp_ntz(ts, fmt))
+        want = raw.where(p.isNotNull())
+        if start:
+            want = want.where(p >= F.lit(f"{start} 00:00:00").cast("timestamp_ntz"))
+        if end:
+            want = want.where(p < F.lit(f"{end} 00:00:00").cast("timestamp_ntz"))
+        assert sorted(r[0] for r in df.collect()) == sorted(r[0] for r in want.collect())
+    assert "CASE WHEN (timestamp" in df._jdf.queryExecution().optimizedPlan().toString()
