@@ -27,9 +27,9 @@ from paylake.operators import model as M
 from paylake.operators import quality as DQ
 from paylake.operators.timestamps import canonical
 from paylake.operators.joins import scan_rows
-from paylake.plans.load import default_day, run_load
+from paylake.plans.load import RAW_PII, default_day, run_load
 from paylake.schemas import ORD, RAW_COLUMNS
-from paylake.session import scratch_path
+from paylake.session import scratch_path, stage
 from paylake.sources.day_index import DayIndex
 from paylake.sources.raw import read_raw_csv
 from paylake.sources.summary_state import daily_summary_exact
@@ -204,8 +204,23 @@ def dq_orphans_prefiltered(spark, sf_dir):
                                               (a["dim_users"], "user_id", users)], 1)])
 
 
+#: Raw rows from which a model that many rules read is stored once instead of being
+#: made for each of them.
+STAGE_ROWS = 1_000_000
+
+
+def _shared_model(spark, sf_dir) -> dict[str, DataFrame]:
+    """``_model`` for several readers: of a large log the cleaned rows, then the small
+    tables made from them, are staged, as a load does."""
+    clean = C.transform(_raw(spark, sf_dir))
+    if scan_rows(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")) < STAGE_ROWS:
+        return M.star_schema(clean)
+    m = M.star_schema(stage(clean.drop(*RAW_PII), spark, "clean"))
+    return {n: t if n == "fact_transactions" else stage(t, spark, n) for n, t in m.items()}
+
+
 def dq_report(spark, sf_dir):
-    m = _model(spark, sf_dir)
+    m = _shared_model(spark, sf_dir)
     return DQ.report(m["dim_users"], m["dim_merchants"], m["fact_transactions"],
                      m["daily_merchant_summary"], check_orphans=True)
 

@@ -113,3 +113,11 @@ def test_day_filter_parses_once(spark):
             want = want.where(p < F.lit(f"{end} 00:00:00").cast("timestamp_ntz"))
         assert sorted(r[0] for r in df.collect()) == sorted(r[0] for r in want.collect())
     assert "CASE WHEN (timestamp" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_report_of_a_large_log_reads_one_staged_model(spark, monkeypatch):
+    lazy = sorted(map(tuple, Q.dq_report(spark, SF001).collect()), key=str)
+    monkeypatch.setattr(Q, "STAGE_ROWS", 1)
+    df = Q.dq_report(spark, SF001)
+    assert "lineitem" not in _plan(df)
+    assert sorted(map(tuple, df.collect()), key=str) == lazy
