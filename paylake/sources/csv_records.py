@@ -8,7 +8,8 @@ splits, and a line end is a record's end where the quotes before it are even:
    begins inside a quoted field;
 3. each split cuts its lines into records. A record that crosses the split's border
    leaves as a fragment, at most two of them a split, and only fragments are
-   shuffled and joined; all other records stay where they were read.
+   shuffled and joined; all other records stay where they were read.  The two come from
+   two passes, so neither makes the other's rows.
 
 Quotes are expected as CSV writers write them: around a field, doubled inside it.
 """
@@ -35,7 +36,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 def open_splits(text: DataFrame) -> DataFrame:
     """``file, block, open``: whether the split begins inside a quoted field."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     splits = text.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -43,44 +44,93 @@ def open_splits(text: DataFrame) -> DataFrame:
         F.coalesce(F.sum("quotes").over(before), F.lit(0)), F.lit(2)) == 1).alias("open"))
 
 
-def _cut(batches):
-    """Records and fragments of the splits of one task, in order."""
+def _rows(where, kinds, at, records):
+    n = len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.repeat(pa.scalar(where[0], pa.string()), n),
+         pa.array(np.full(n, where[1], dtype=np.int64)),
+         pa.array(np.arange(at, at + n, dtype=np.int64)),
+         pa.array(kinds, pa.int32()), records.cast(pa.string())],
+        schema=pa.schema([("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64()),
+                          ("kind", pa.int32()), ("record", pa.string())]))
+
+
+def _cut(batches, whole: bool):
+    """Records (``whole``) or fragments of the splits of one task, in order. Lines are
+    joined and records cut by offsets, a batch at a time; only a split's first and last
+    pieces and records that cross batches are handled one by one."""
     where, is_open, crossing, held, at = None, False, False, [], 0
 
-    def row(kind):
-        return (*where, at, kind, "\n".join(held))
+    def piece(kind):
+        return _rows(where, [kind], at, pa.array(["\n".join(held)]))
 
     for batch in batches:
-        if not batch.num_rows:
+        n = batch.num_rows
+        if not n:
             continue
-        out = []
-        files, blocks = batch.column("file").to_pylist(), np.asarray(batch.column("block"))
+        files, values = batch.column("file"), batch.column("value").cast(pa.large_string())
+        blocks = np.asarray(batch.column("block"))
         opened = np.asarray(batch.column("open").cast(pa.int8()))
-        odd = np.asarray(pc.count_substring(batch.column("value"), '"')) % 2 == 1
-        values = batch.column("value").to_pylist()
-        for i, value in enumerate(values):
-            split = (files[i], int(blocks[i]))
+        odd = np.asarray(pc.count_substring(values, '"')) % 2
+        change = blocks[1:] != blocks[:-1]
+        change |= np.asarray(pc.not_equal(files[1:], files[:-1]).cast(pa.int8())) == 1
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        # parity of the quotes up to each line's end, split by split
+        ends, now = [], is_open
+        for s, e in zip(starts, [*starts[1:], n], strict=True):
+            if (files[s].as_py(), int(blocks[s])) != where or s:
+                now = bool(opened[s])
+            parity = (np.cumsum(odd[s:e]) + now) % 2
+            now = bool(parity[-1])
+            ends.append((np.flatnonzero(parity == 0) + s, now))
+        # a line end before every line that goes on with the one above
+        first = np.zeros(n, dtype=bool)
+        first[starts] = True
+        for close, _open in ends:
+            first[close[close < n - 1] + 1] = True
+        text = pc.binary_join_element_wise(
+            pa.array(np.where(first, "", "\n"), pa.large_string()), values,
+            pa.scalar("", pa.large_string()))
+        offsets = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset:text.offset + n + 1]
+        data = text.buffers()[2]
+
+        def of(i, j):
+            return data[int(offsets[i]):int(offsets[j])].to_pybytes().decode()
+
+        for s, e, (close, now) in zip(starts, [*starts[1:], n], ends, strict=True):
+            split = (files[s].as_py(), int(blocks[s]))
             if split != where:
-                if held:  # the split before ended inside a record
-                    out.append(row(MIDDLE if crossing else BEGIN))
-                where, is_open, held, at = split, bool(opened[i]), [], 0
-                crossing = is_open  # the record at hand began in an earlier split
-            held.append(value)
-            is_open ^= bool(odd[i])
-            if not is_open:
-                out.append(row(END if crossing else WHOLE))
-                held, crossing = [], False
-                at += 1
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in zip(*out, strict=True)],
-                schema=pa.schema([("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64()),
-                                  ("kind", pa.int32()), ("record", pa.string())]))
-    if held:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x]) for x in row(MIDDLE if crossing else BEGIN)],
-            schema=pa.schema([("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64()),
-                              ("kind", pa.int32()), ("record", pa.string())]))
+                if held and not whole:  # the split before ended inside a record
+                    yield piece(MIDDLE if crossing else BEGIN)
+                where, held, at = split, [], 0
+                crossing = bool(opened[s])  # the record at hand began in an earlier split
+            if not len(close):
+                held.append(of(s, e))
+                is_open = now
+                continue
+            held.append(of(s, close[0] + 1))
+            if whole != crossing:
+                yield piece(END if crossing else WHOLE)
+            held, crossing, at = [], False, at + 1
+            if whole and len(close) > 1:
+                cuts = np.ascontiguousarray(offsets[close + 1])
+                yield _rows(where, np.full(len(close) - 1, WHOLE, dtype=np.int32), at,
+                            pa.LargeStringArray.from_buffers(
+                                len(close) - 1, pa.py_buffer(cuts), data))
+            at += len(close) - 1
+            if close[-1] + 1 < e:
+                held.append(of(close[-1] + 1, e))
+            is_open = now
+    if held and not whole:
+        yield piece(MIDDLE if crossing else BEGIN)
+
+
+def _whole(batches):
+    yield from _cut(batches, True)
+
+
+def _fragments(batches):
+    yield from _cut(batches, False)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -89,9 +139,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     text = lines(spark, path)
     states = open_splits(text)  # one row a split
     # the scan's rows stay in order under a broadcast join only
-    cut = text.join(F.broadcast(states), ["file", "block"]).mapInArrow(_cut, _OUT)
+    placed = text.join(F.broadcast(states), ["file", "block"])
     order = Window.partitionBy("file").orderBy("block", "pos")
-    parts = cut.where(F.col("kind") != WHOLE).withColumn(
+    parts = placed.mapInArrow(_fragments, _OUT).withColumn(
         "n", F.sum((F.col("kind") == BEGIN).cast("int")).over(order))
     first = F.min(F.when(F.col("kind") == BEGIN, F.struct("block", "pos")))
     joined = parts.groupBy("file", "n").agg(
@@ -99,6 +149,6 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("block", "pos", "record"))).alias("all")).select(
         "file", "first.block", "first.pos",
         F.array_join(F.transform("all", lambda x: x["record"]), "\n").alias("record"))
-    whole = cut.where(F.col("kind") == WHOLE).select("file", "block", "pos", "record")
+    whole = placed.mapInArrow(_whole, _OUT).select("file", "block", "pos", "record")
     return whole.unionByName(joined).withColumn("record", F.rtrim("record", F.lit("\r"))) \
         .where(F.trim("record") != "")

@@ -121,3 +121,15 @@ def test_report_of_a_large_log_reads_one_staged_model(spark, monkeypatch):
     df = Q.dq_report(spark, SF001)
     assert "lineitem" not in _plan(df)
     assert sorted(map(tuple, df.collect()), key=str) == lazy
+
+
+def test_fragment_pass_makes_no_whole_records():
+    text = ["a", 'b "x', 'y" c', "d", 'e "', "f"]
+    batch = pa.RecordBatch.from_pydict({
+        "file": ["p"] * 6, "block": [0, 0, 0, 0, 9, 9], "value": text,
+        "open": [False] * 4 + [False] * 2})
+    whole = [r for b in csv_records._whole([batch]) for r in b.to_pylist()]
+    parts = [r for b in csv_records._fragments([batch]) for r in b.to_pylist()]
+    assert [(r["block"], r["pos"], r["record"]) for r in whole] == [
+        (0, 0, "a"), (0, 1, 'b "x\ny" c'), (0, 2, "d")]
+    assert [(r["kind"], r["record"]) for r in parts] == [(csv_records.BEGIN, 'e "\nf')]
