@@ -76,15 +76,26 @@ def dedupe_first(df: DataFrame, key: str = "transaction_id", order: str = ORD) -
         .select(*df.columns)
 
 
+def dedupe_near(df: DataFrame, near: str, key: str = "transaction_id",
+                order: str = ORD) -> DataFrame:
+    """The first row of each key among those that share a value of ``near``, which is
+    dropped.  No shuffle where the rows are partitioned by ``near``.  These rows are
+    those of ``dedupe_first`` if no key is left twice."""
+    attrs = [c for c in df.columns if c not in (key, order, near)]
+    return first_row(df, key, attrs, order, keep_order=True, near=near) \
+        .select(*[c for c in df.columns if c != near])
+
+
 def first_row(df: DataFrame, key: str, attrs: list[str], order: str = ORD,
-              keep_order: bool = False) -> DataFrame:
+              keep_order: bool = False, near: str | None = None) -> DataFrame:
     """``key`` and ``attrs`` of each key's first row.  The least struct of (order,
-    attributes) is that row, so the order key travels once per row."""
+    attributes) is that row, so the order key travels once per row.  ``near``: the first
+    row of each key and value of this column."""
     first = F.min(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in attrs]))
     out = [key, *[F.col(f"_first.{c}").alias(c) for c in attrs]]
     if keep_order:
         out.append(F.col("_first._o").alias(order))
-    return df.groupBy(key).agg(first.alias("_first")).select(*out)
+    return df.groupBy(*([near] if near else []), key).agg(first.alias("_first")).select(*out)
 
 
 def is_complete(df: DataFrame, subset=None):

@@ -65,12 +65,13 @@ def sketch(df: DataFrame, keys: list[str], expected: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("_word", "_bits")))["_bits"].alias("_words"))
 
 
-def split(large: DataFrame, small: DataFrame, keys: list[str],
-          expected: int) -> tuple[DataFrame, DataFrame | None]:
+def split(large: DataFrame, small: DataFrame, keys: list[str], expected: int,
+          made: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """``large`` in two: rows whose key may be one of ``small`` (all that are, and few
     others), and rows whose key is none of them.
 
     ``expected``: different keys in ``small`` at most, from a count the caller has.
+    ``made``: ``sketch(small, keys, expected)``, stored by a caller that probes it often.
     Beyond ``MAX_KEYS``, or where the two sides' key types differ (equal values would
     hash unlike), all rows are in the first part and the second is None.  The rows keep
     their partitioning: a bucketed table stays bucketed for the join that follows."""
@@ -82,11 +83,12 @@ def split(large: DataFrame, small: DataFrame, keys: list[str],
     for at in places:
         hit = hit & (F.getbit(F.get("_words", word), at) == 1)
     probed = large.withColumn("_block", _block(keys, _blocks(expected))) \
-        .join(F.broadcast(sketch(small, keys, expected)), "_block")
+        .join(F.broadcast(sketch(small, keys, expected) if made is None else made), "_block")
     return tuple(probed.where(c).select(*large.columns) for c in (hit, ~hit))
 
 
-def may_hold(large: DataFrame, small: DataFrame, keys: list[str], expected: int) -> DataFrame:
+def may_hold(large: DataFrame, small: DataFrame, keys: list[str], expected: int,
+             made: DataFrame | None = None) -> DataFrame:
     """The first part of ``split``.  Use it as the right side of a semi or anti join, or
     as a side of an inner join: Catalyst moves a semi join of its rows below the probe."""
-    return split(large, small, keys, expected)[0]
+    return split(large, small, keys, expected, made)[0]

@@ -25,7 +25,7 @@ from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
 from paylake.operators.timestamps import INFER, canonical
-from paylake.schemas import TABLES, TIMESTAMP_FORMAT
+from paylake.schemas import NEAR, TABLES, TIMESTAMP_FORMAT
 from paylake.session import delete_paths, stage
 from paylake.sources.jdbc import append_all
 from paylake.sources.raw import CORRUPT
@@ -34,6 +34,9 @@ from paylake.sources.warehouse import Warehouse
 
 FACT_MODES = ("ignore", "replace")
 RAW_PII = ("user_name", "phone_number")
+KEPT = "_kept"
+#: Cleaned rows from which the dimensions are found in two passes over the staged batch.
+TWO_PASS_ROWS = 1_000_000
 
 
 @dataclass
@@ -61,7 +64,28 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
         o_corrupt = Observation(f"corrupt-{uuid.uuid4().hex[:12]}")
         raw = raw.observe(o_corrupt, F.count_if(CORRUPT).alias("rows")).drop(CORRUPT)
     batch = raw if start is None and end is None else C.between_days(raw, start, end, fmt)
-    batch, o_batch = _count(batch, "batch")
+    plain, whole = batch.drop(NEAR), batch
+    batch, o_batch = _count(plain, "batch")
+    staged = None
+    if NEAR in whole.columns:
+        staged, counters = _prepare_near(spark, whole, strict_timestamps, min_digits, salt, scope,
+                                         fmt)
+    if staged is None:
+        staged, counters = _prepare_all(spark, batch, strict_timestamps, min_digits, salt, scope,
+                                        fmt)
+        counters = {"batch": o_batch.get.get("rows", 0), **counters}
+    # what each step removed, as the reference reports it
+    counters["removed_duplicates"] = counters["batch"] - counters["dedupe"]
+    counters["removed_missing"] = counters["dedupe"] - counters["drop_missing"]
+    counters["removed_invalid_amount"] = counters["drop_missing"] - counters["positive_amount"]
+    if o_corrupt is not None:
+        counters["corrupt_records"] = o_corrupt.get.get("rows", 0)
+    return staged, counters
+
+
+def _prepare_all(spark, batch, strict_timestamps, min_digits, salt, scope,
+                 fmt) -> tuple[DataFrame, dict]:
+    """Dedupe of whole rows by id, then the other steps; (staged, counters)."""
     # the steps after the dedupe are counted in one place: every observed step costs
     # another copy of the row
     o_steps = Observation(f"steps-{uuid.uuid4().hex[:12]}")
@@ -74,15 +98,47 @@ def prepare(spark: SparkSession, raw: DataFrame, start=None, end=None,
     cleaned = C.mask_pii(C.standardise(positive, strict_timestamps, fmt), min_digits, salt)
     # raw PII never reaches storage: only masked values and the hash are staged
     staged = stage(cleaned.drop(*RAW_PII), spark, "clean", scope)
-    counters = {"batch": o_batch.get.get("rows", 0)}
-    counters |= {k: o_steps.get.get(k, 0) for k in ("dedupe", "drop_missing", "positive_amount")}
-    # what each step removed, as the reference reports it
-    counters["removed_duplicates"] = counters["batch"] - counters["dedupe"]
-    counters["removed_missing"] = counters["dedupe"] - counters["drop_missing"]
-    counters["removed_invalid_amount"] = counters["drop_missing"] - counters["positive_amount"]
-    if o_corrupt is not None:
-        counters["corrupt_records"] = o_corrupt.get.get("rows", 0)
-    return staged, counters
+    return staged, {k: o_steps.get.get(k, 0)
+                    for k in ("dedupe", "drop_missing", "positive_amount")}
+
+
+def _prepare_near(spark, batch, strict_timestamps, min_digits, salt, scope,
+                  fmt) -> tuple[DataFrame | None, dict]:
+    """``_prepare_all`` without the shuffle of whole rows: copies of an id that share
+    the batch's ``NEAR`` value meet there, the first is staged, and a count of the
+    staged ids proves that none is left twice.  Rows that fail a filter are staged as
+    their id alone, for this count.  Nothing (None) if an id is left twice, or if a row
+    that is kept has a timestamp which a strict parse refuses: the caller then takes the
+    plain way, which also raises."""
+    batch, o_batch = _count(batch, "batch")
+    o_steps = Observation(f"steps-{uuid.uuid4().hex[:12]}")
+    first = C.dedupe_near(batch, NEAR)
+    text, known = F.col("timestamp"), F.col("transaction_id").isNotNull()
+    complete = C.is_complete(first)
+    first = first.withColumn(KEPT, F.coalesce(complete & (F.col("amount") > 0), F.lit(False))) \
+        .withColumn("_complete", complete).withColumn("_text", text.isNotNull())
+    cleaned = C.standardise(first, False, fmt).observe(
+        o_steps, F.count_if(known).alias("ids"), F.count_if(~known).alias("nulls"),
+        F.count_if("_complete").alias("drop_missing"), F.count_if(KEPT).alias("positive_amount"),
+        F.count_if(F.col(KEPT) & F.col("_text") & text.isNull()).alias("refused"))
+    cleaned = C.mask_pii(cleaned, min_digits, salt).drop(*RAW_PII, "_complete", "_text")
+    columns = [c for c in cleaned.columns if c != KEPT]
+    own: list = []
+    staged = stage(cleaned.select("transaction_id", KEPT, *[
+        F.when(F.col(KEPT), F.col(c)).alias(c) for c in columns if c != "transaction_id"]),
+        spark, "clean", own)
+    steps = o_steps.get
+    twice = staged.where(known).groupBy("transaction_id").count().where("count > 1")
+    if (strict_timestamps and steps.get("refused", 0)) or not twice.isEmpty():
+        delete_paths(spark, own)
+        return None, {}
+    if scope is not None:
+        scope.extend(own)
+    # null ids are one id, as in a group
+    return staged.where(KEPT).select(*columns), {
+        "batch": o_batch.get.get("rows", 0),
+        "dedupe": steps.get("ids", 0) + min(1, steps.get("nulls", 0)),
+        **{k: steps.get(k, 0) for k in ("drop_missing", "positive_amount")}}
 
 
 def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
@@ -152,13 +208,17 @@ def _load(spark, raw, warehouse, start, end, fact_mode, strict_timestamps, min_d
                                    scope, fmt)
     result = LoadResult(counters=counters)
     result.timings["prepare"] = time.perf_counter() - t0
-    if staged.count() == 0:  # Parquet footers only
+    if counters["positive_amount"] == 0:
         return result  # nothing to load: the reference's no-op
 
     # The small model tables are staged first (they are aggregates of the
     # cleaned batch); the gate then reads the staged copies, and the upserts
     # count and join them without recomputing the aggregations.
-    tables = M.star_schema(staged)
+    keep = None
+    if counters["positive_amount"] > TWO_PASS_ROWS:
+        def keep(df, name):
+            return stage(df, spark, name, scope)
+    tables = M.star_schema(staged, keep)
     with _described(spark, "model"):
         users = stage(tables["dim_users"], spark, "dim_users-batch", scope)
         merchants = stage(tables["dim_merchants"], spark, "dim_merchants-batch", scope)

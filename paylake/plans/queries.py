@@ -234,7 +234,8 @@ def _loaded(spark, sf_dir, *ranges, fact_mode: str = "ignore", **options) -> War
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), layout="month")
     wh.create_tables()
     for start, end in ranges:
-        run_load(spark, raw_transactions(spark, sf_dir, start, end), wh, start=start, end=end,
+        raw = raw_transactions(spark, sf_dir, start, end, near=True)
+        run_load(spark, raw, wh, start=start, end=end,
                  full=start is None and end is None, fact_mode=fact_mode, **options)
     return wh
 
@@ -288,7 +289,7 @@ def catalog_fact(spark, sf_dir):
     database = "paylake_" + root.rsplit("-", 1)[1]
     wh = Warehouse(spark, root, database=database, layout="month")
     wh.create_tables()
-    run_load(spark, _raw(spark, sf_dir), wh, full=True)
+    run_load(spark, raw_transactions(spark, sf_dir, near=True), wh, full=True)
     return spark.table(f"`{database}`.`fact_transactions`").select(
         *wh.schema("fact_transactions").fieldNames())
 

@@ -27,6 +27,11 @@ RAW_COLUMNS = [f.name for f in RAW.fields]
 # field order defines "file order"; dedupe and first-row picks use it.
 ORD = "ingest_ord"
 
+# Optional column of a raw log: a value by which the source's rows are partitioned
+# already, and that copies of one id mostly share.  The load's dedupe meets such copies
+# where they are; it changes no result.
+NEAR = "ingest_near"
+
 DIM_USERS = T.StructType([
     T.StructField("user_id", S),
     T.StructField("masked_user_name", S),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions.timeparse import format_ts
 from paylake.operators.joins import bounded_broadcast, scan_rows
-from paylake.schemas import ORD, PAYMENT_METHODS, RAW_COLUMNS
+from paylake.schemas import NEAR, ORD, PAYMENT_METHODS, RAW_COLUMNS
 
 # Mapping: order priority digit 1..5 -> the payment methods in their fixed order.
 PRIORITY_TO_METHOD = {str(i + 1): m for i, m in enumerate(PAYMENT_METHODS)}
@@ -74,8 +74,8 @@ def _amount(partkey, price):
 
 def raw_transactions(spark: SparkSession, sf_dir: str,
                      start: _dt.date | str | None = None,
-                     end: _dt.date | str | None = None) -> DataFrame:
-    """Raw log with ``ingest_ord``.
+                     end: _dt.date | str | None = None, near: bool = False) -> DataFrame:
+    """Raw log with ``ingest_ord``, and with ``near`` the order key as ``schemas.NEAR``.
 
     ``start``/``end`` (optional, half-open on the event day) only add a
     pre-filter on ``l_shipdate`` that is pushed into the Parquet scan; it is a
@@ -110,8 +110,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
     # (Catalyst's own check looks at compressed file bytes only).
     order_cust = (orders.join(bounded_broadcast(customer, rows=scan_rows(customer)),
                               orders.o_custkey == customer.c_custkey)
-                  .select("o_orderkey", "o_custkey", "o_orderpriority", "c_custkey",
-                          "c_name", "c_mktsegment"))
+                  .select("o_orderkey", "o_custkey", "o_orderpriority", "c_name", "c_mktsegment"))
 
     j = (li.join(order_cust, li.l_orderkey == order_cust.o_orderkey)
          .join(supp_geo, li.l_suppkey == supp_geo.s_suppkey))
@@ -123,7 +122,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
         F.concat(F.lit("USR-"), _six_digits(F.col("o_custkey"))).alias("user_id"),
         F.concat_ws(" ", F.col("c_name"), F.col("c_mktsegment")).alias("user_name"),
-        _phone(F.col("c_custkey")).alias("phone_number"),
+        _phone(F.col("o_custkey")).alias("phone_number"),
         F.concat(F.lit("MCH-"), _six_digits(F.col("l_suppkey"))).alias("merchant_id"),
         F.col("s_name").alias("merchant_name"),
         F.col("r_name").alias("merchant_category"),
@@ -132,8 +131,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str,
         _status(pk, F.col("l_returnflag"), F.col("l_linestatus")).alias("status"),
         format_ts(event_ts).alias("timestamp"),
         F.struct(*[F.col(c) for c in ORDER_FIELDS]).alias(ORD),
+        F.col("l_orderkey").alias(NEAR),
     )
-    return raw.select(*RAW_COLUMNS, ORD)
+    return raw.select(*RAW_COLUMNS, ORD, *([NEAR] if near else []))
 
 
 def _wall(d: _dt.date):

@@ -103,6 +103,7 @@ class Warehouse:
         self.database = database
         self.layout = layout
         self.index_buckets = index_buckets
+        self._sketches: dict = {}  # of the load under way
 
     # -- layout ---------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -273,9 +274,13 @@ class Warehouse:
     def _append(self, name: str, df: DataFrame) -> None:
         self._write(name, df, self.path(name), "append")
 
-    def _write(self, name: str, df: DataFrame, path: str, mode: str) -> None:
+    def _write(self, name: str, df: DataFrame, path: str, mode: str,
+               in_place: bool = False) -> None:
+        """``in_place``: the rows come from files of few partitions each, so they are
+        written by the tasks that read them."""
         part = self.part_column(name)
-        w = self._prepare_write(name, df).write.mode(mode).option("compression", CODEC)
+        out = self._with_part(name, df) if in_place else self._prepare_write(name, df)
+        w = out.write.mode(mode).option("compression", CODEC)
         if part:
             w = w.partitionBy(part)
         w.parquet(path)
@@ -341,12 +346,16 @@ class Warehouse:
         return key_filter.may_hold(index, own, keys, rows).join(own, keys)
 
     # -- swaps of files ---------------------------------------------------------
-    def _swap(self, name: str, rows: DataFrame, replaced: list[str]) -> None:
-        """Put ``rows`` in the place of the files ``replaced`` (their full paths)."""
+    def _swap(self, name: str, rows: DataFrame, replaced: list[str],
+              unmoved: DataFrame | None = None) -> None:
+        """Put ``rows``, and rows of the replaced files that stay in their partitions
+        (``unmoved``), in the place of the files ``replaced`` (their full paths)."""
         taken = [int(d[len(SWAP):]) for d in list_dirs(self.spark, self.path(name))
                  if d.startswith(SWAP)]
         folder = f"{self.path(name)}/{SWAP}{max(taken, default=-1) + 1}"
         self._write(name, rows, f"{folder}/data", "error")
+        if unmoved is not None:
+            self._write(name, unmoved, f"{folder}/data", "append", in_place=True)
         self.spark.createDataFrame([(p,) for p in replaced], "path string") \
             .coalesce(1).write.parquet(f"{folder}/replaced")
         touch_file(self.spark, f"{folder}/{READY}")  # from here on the swap will be finished
@@ -435,24 +444,63 @@ class Warehouse:
             return batch, rows
         if held == rows:
             return batch.limit(0), 0
-        new_rows = stage(batch.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, held), keys,
-                                    "left_anti"), self.spark, f"{name}-new", staged)
+        new_rows, other = self._not_held(batch, keys, hits, staged)
+        new_rows = stage(new_rows if other is None else new_rows.unionByName(other), self.spark, f"{name}-new", staged)
         return new_rows, new_rows.count()
 
-    def changed_files(self, name: str, batch: DataFrame, hits: DataFrame) -> DataFrame:
+    def _hits_sketch(self, keys: list[str], hits: DataFrame, staged: list) -> DataFrame | None:
+        """Sketch of staged stored keys too many to broadcast, stored since several joins
+        of a load probe it; None where keys are broadcast or too many for a sketch."""
+        rows = hits.count()  # Parquet footers only
+        if rows <= BROADCAST_KEY_ROWS or rows > key_filter.MAX_KEYS:
+            return None
+        path = hits.inputFiles()[0].rsplit("/", 1)[0]
+        if path not in self._sketches:
+            self._sketches = {path: stage(key_filter.sketch(hits.select(*keys), keys, rows),
+                                          self.spark, "hits-sketch", staged)}
+        return self._sketches[path]
+
+    def _not_held(self, df: DataFrame, keys: list[str], hits: DataFrame,
+                  staged: list) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of ``df`` whose key is not among ``hits``: those that took a join to know,
+        and those that the sketch of ``hits`` rules out where they lie (if there is one)."""
+        made, rows = self._hits_sketch(keys, hits, staged), hits.count()
+        if made is None:
+            return df.join(K.bounded_broadcast(hits, BROADCAST_KEY_ROWS, rows), keys,
+                           "left_anti"), None
+        maybe, other = key_filter.split(df, hits, keys, rows, made)
+        # an anti join would be moved below the probe
+        return maybe.join(hits.select(*keys, F.lit(True).alias("_held")), keys, "left") \
+            .where(F.col("_held").isNull()).select(*df.columns), other
+
+    def _held(self, df: DataFrame, keys: list[str], few: DataFrame, hits: DataFrame,
+              staged: list) -> DataFrame:
+        """Rows of ``df`` whose key is one of ``few``: different keys, all among ``hits``."""
+        made, few = self._hits_sketch(keys, hits, staged), few.select(*keys)
+        if made is None:
+            return df.join(K.bounded_broadcast(few, BROADCAST_KEY_ROWS), keys, "left_semi")
+        # a semi join would be moved below the probe
+        return key_filter.may_hold(df, hits, keys, hits.count(), made).join(few, keys) \
+            .select(*df.columns)
+
+    def changed_files(self, name: str, batch: DataFrame, hits: DataFrame,
+                      made: DataFrame | None = None) -> DataFrame:
         """``path`` of every stored file that holds another version of a batch row, and
         ``transaction_date`` of these versions. ``hits``: the batch's stored keys (beyond
-        the broadcast bound, a sketch of them keeps other stored rows out of the shuffle)."""
+        the broadcast bound, a sketch of them, ``made`` if there is one, keeps other rows
+        of both sides out of the shuffle)."""
         _s, keys, part = TABLES[name]
         values = [f for f in self.schema(name).fieldNames() if f not in keys]
         rows = hits.count()
         new = batch.select(*keys, F.struct(*values).alias("_new"))
         if rows <= BROADCAST_KEY_ROWS:  # beyond, the join with the stored rows does it
             new = new.join(F.broadcast(hits), keys, "left_semi")
+        elif made is not None:
+            new = key_filter.may_hold(new, hits, keys, rows, made)
         old = self._stored(name).select(*keys, part, F.struct(*values).alias("_old"),
                                         F.col("_metadata.file_path").alias("path"))
         if rows > BROADCAST_KEY_ROWS:
-            old = key_filter.may_hold(old, hits.select(*keys), keys, rows)
+            old = key_filter.may_hold(old, hits.select(*keys), keys, rows, made)
         return old.join(K.bounded_broadcast(new, BROADCAST_KEY_ROWS, rows), keys) \
             .where(~F.col("_old").eqNullSafe(F.col("_new"))).select("path", part).distinct()
 
@@ -468,20 +516,21 @@ class Warehouse:
         new_rows, added = self._not_stored(name, batch, hits, staged)
         files: list[str] = []
         if hits.count():
-            changed = stage(self.changed_files(name, batch, hits), self.spark, f"{name}-files",
-                            staged)
+            made = self._hits_sketch(keys, hits, staged)
+            changed = stage(self.changed_files(name, batch, hits, made), self.spark,
+                            f"{name}-files", staged)
             # (the metadata column has paths as URIs)
             files = [unquote(r["path"]) for r in changed.select("path").distinct().collect()]
             days |= set(self._days(changed))
         if files:
-            bk = self._batch_keys(batch, keys)
             held = self._stored(name, files).select(*self.schema(name).fieldNames())
+            held_keys = stage(self._held(held.select(*keys), keys, hits, hits, staged).distinct(),
+                              self.spark, f"{name}-held", staged)
             # what these files hold beside the batch, and the batch's version of the rest
-            after = held.join(bk, keys, "left_anti").unionByName(
-                batch.join(K.bounded_broadcast(stage(
-                    held.select(*keys).join(bk, keys, "left_semi"), self.spark, f"{name}-held",
-                    staged), BROADCAST_KEY_ROWS), keys, "left_semi").select(*held.columns))
-            self._swap(name, after, files)
+            kept, unmoved = self._not_held(held, keys, hits, staged)
+            after = kept.unionByName(self._held(batch, keys, held_keys, hits, staged)
+                                     .select(*held.columns))
+            self._swap(name, after, files, unmoved)
         if added:
             self._append(name, new_rows)
             self._index_write(name, new_rows)

@@ -9,8 +9,11 @@ from conftest import SF001, raw_frame, tx
 from paylake.functions.timeparse import parse_lenient, parse_strict
 from paylake.operators import cleaning as C
 from paylake.operators import key_filter as K
+from paylake.operators import model as M
+from paylake.plans import load as L
 from paylake.plans import queries as Q
 from paylake.plans.load import run_load
+from paylake.schemas import NEAR
 from paylake.session import stage
 from paylake.sources import csv_records
 from paylake.sources import warehouse as W
@@ -133,3 +136,89 @@ def test_fragment_pass_makes_no_whole_records():
     assert [(r["block"], r["pos"], r["record"]) for r in whole] == [
         (0, 0, "a"), (0, 1, 'b "x\ny" c'), (0, 2, "d")]
     assert [(r["kind"], r["record"]) for r in parts] == [(csv_records.BEGIN, 'e "\nf')]
+
+
+def _near(spark, rows, near):
+    """Raw log of ``rows`` with ``near`` values."""
+    at = spark.createDataFrame(list(enumerate(near)), "p bigint, n bigint")
+    raw = raw_frame(spark, rows)
+    return raw.join(at, raw["ingest_ord._pos"] == at.p).select(*raw.columns, F.col("n").alias(NEAR))
+
+
+BAD = dict(ts="2026-08-01 1:00:00")
+NEAR_CASES = {
+    "copies share the value": ([tx("T1"), tx("T1", amount=5.0), tx("T2", amount=None), tx("T2"),
+                                tx(None), tx(None), tx("T3", amount=-1.0), tx("T4", uid="U2")],
+                               [1, 1, 2, 2, 3, 4, 5, 6], 1),
+    "copies apart": ([tx("T1"), tx("T1", amount=5.0), tx("T2", amount=None), tx("T2")],
+                     [1, 2, 3, 4], 2),
+    "a later copy is refused": ([tx("T1"), tx("T1", **BAD)], [1, 2], 2),
+}
+
+
+@pytest.mark.parametrize("case", NEAR_CASES)
+def test_copies_meet_where_they_lie(spark, monkeypatch, case):
+    rows, near, writes = NEAR_CASES[case]
+    raw, names = _near(spark, rows, near), []
+    monkeypatch.setattr(L, "stage", lambda df, s, name, scope=None: (
+        names.append(_plan(df)), stage(df, s, name, scope))[1])
+    want, counters = L.prepare(spark, raw.drop(NEAR))
+    names.clear()
+    got, found = L.prepare(spark, raw)
+    assert got.columns == want.columns and found == counters
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert len(names) == writes  # the plain way follows only where an id is left twice
+
+
+def test_a_refused_timestamp_still_ends_a_load(spark):
+    with pytest.raises(Exception, match="unparsable timestamp"):
+        L.prepare(spark, _near(spark, [tx("T1", **BAD)], [1]))
+    assert L.prepare(spark, _near(spark, [tx("T1", **BAD)], [1]), strict_timestamps=False)[0] \
+        .first()["timestamp"] is None
+
+
+def test_rows_of_an_order_are_deduped_without_a_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(C.dedupe_near(raw_transactions(spark, SF001, near=True), NEAR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in plan[:plan.index("SortMergeJoin")]
+
+
+@pytest.mark.parametrize("bound", [0, 100])
+def test_dimensions_of_a_large_batch_shuffle_no_attributes(spark, monkeypatch, bound):
+    monkeypatch.setattr(M, "MAX_LEAST_ROWS", bound)
+    df = spark.createDataFrame(
+        [("U1", (3, 1), "a", "p", "h"), ("U1", (2, 9), "b", "p", "h"), ("U1", (2, 8), "c", "p", "h"),
+         ("U2", (5, 1), "d", None, "h"), ("U2", (None, 7), "e", "p", None), (None, (1, 1), "f", "", ""),
+         ("U2", (None, 6), "g", None, "x"), (None, (0, 2), "i", "", "")],
+        "user_id string, ingest_ord struct<a: bigint, b: bigint>, masked_user_name string, "
+        "masked_phone string, phone_hash string")
+    kept = []
+    got = M.first_per_key_staged(df, "user_id", df.columns[2:], lambda d, name: (
+        kept.append(d.columns), stage(d, spark, name))[1])
+    assert sorted(map(str, got.collect())) == sorted(map(str, M.dim_users(df).collect()))
+    assert kept == [["user_id", "_lead"]]
+
+
+def test_replace_of_a_large_batch_leaves_other_rows_where_they_lie(spark, tmp_path, monkeypatch):
+    writes, real = [], W.Warehouse._write
+    monkeypatch.setattr(W.Warehouse, "_write", lambda self, name, df, path, mode, in_place=False: (
+        writes.append((in_place, _plan(df), sorted(r["transaction_id"] for r in df.collect()))),
+        real(self, name, df, path, mode, in_place))[1])
+    tables = []
+    for bound in (100, 1):
+        monkeypatch.setattr(W, "BROADCAST_KEY_ROWS", bound)
+        wh = W.Warehouse(spark, str(tmp_path / f"wh{bound}"), layout="month", index_buckets=4)
+        wh.create_tables()
+        _load(spark, wh, [f"T{i}" for i in range(40)], "replace")
+        rows = [tx(f"T{i}", amount=7.0) for i in (3, 4)] + [tx("T50")]
+        writes.clear()
+        run_load(spark, raw_frame(spark, rows), wh, full=True, fact_mode="replace")
+        tables.append(sorted(map(str, wh.read("fact_transactions").collect())))
+    assert tables[0] == tables[1] and len(tables[0]) == 41
+    moved, unmoved = [next(w for w in writes if w[0] is place) for place in (False, True)]
+    assert len(unmoved[2]) > 30 and {"T3", "T4"} <= set(moved[2])
+    assert len(moved[2]) + len(unmoved[2]) == 40 and "Exchange hash" not in unmoved[1]
