@@ -13,6 +13,7 @@ from paylake.schemas import MASK
 # Characters the reference treats as whitespace when splitting a name: the
 # Unicode White_Space set plus the four ASCII separators U+001C..U+001F.
 _NAME_SPLIT = r"(?U)[\s\x{1C}-\x{1F}]+"
+_OTHER_THAN_ASCII = r"[^\x20-\x7E]"
 
 
 def _col(c) -> Column:
@@ -37,7 +38,9 @@ def mask_name(name) -> Column:
     # split -> drop empty tokens -> first code point + mask -> join.  Measured
     # on 3M names this is ~20% faster than three chained regex rewrites, even
     # though the array lambdas are evaluated outside generated code.
-    tokens = F.filter(F.split(n, _NAME_SPLIT), lambda t: F.length(t) > 0)
+    # In printable ASCII the blank is the only separator: no Unicode classes needed.
+    parts = F.when(n.rlike(_OTHER_THAN_ASCII), F.split(n, _NAME_SPLIT)).otherwise(F.split(n, " "))
+    tokens = F.filter(parts, lambda t: F.length(t) > 0)
     masked = F.transform(tokens, lambda t: F.concat(F.substring(t, 1, 1), F.lit(MASK)))
     return F.when(n.isNull(), F.lit("Anonymous")).otherwise(F.array_join(masked, " "))
 

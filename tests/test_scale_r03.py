@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from conftest import SF001, raw_frame, tx
+from paylake.functions import privacy as P
 from paylake.functions.timeparse import parse_lenient, parse_strict
 from paylake.operators import cleaning as C
 from paylake.operators import key_filter as K
@@ -222,3 +223,15 @@ def test_replace_of_a_large_batch_leaves_other_rows_where_they_lie(spark, tmp_pa
     moved, unmoved = [next(w for w in writes if w[0] is place) for place in (False, True)]
     assert len(unmoved[2]) > 30 and {"T3", "T4"} <= set(moved[2])
     assert len(moved[2]) + len(unmoved[2]) == 40 and "Exchange hash" not in unmoved[1]
+
+
+def test_names_in_ascii_are_split_without_unicode_classes(spark):
+    names = ["Rina Sari", "  a  b ", "", " ", "a\tb", "a\x1cb", "a b", "Éva Núñez",
+             "a b c", "x\ny", "~!", None, "a\x7fb c", "a\u0085b", "\U0001f600 d"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    parts = F.filter(F.split("n", P._NAME_SPLIT), lambda t: F.length(t) > 0)
+    old = F.when(F.col("n").isNull(), "Anonymous").otherwise(F.array_join(F.transform(
+        parts, lambda t: F.concat(F.substring(t, 1, 1), F.lit("****"))), " "))
+    out = df.select("n", P.mask_name("n"), old)
+    assert [r for r in out.collect() if r[1] != r[2]] == []
+    assert "RLIKE" in _plan(out).upper()
