@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,9 @@ from paylake.functions.privacy import hash_pii, mask_name, mask_phone
 from paylake.functions.timeparse import parse_day, parse_lenient, parse_strict
 from paylake.schemas import ORD, TIMESTAMP_FORMAT
 
+#: Columns of ``dedupe_sets``.
+SETS, LEAD = "_sets", "_lead"
+
 CRITICAL = ["transaction_id", "user_id", "amount", "status"]
 
 
@@ -36,16 +39,23 @@ def between_days(raw: DataFrame, start=None, end=None,
     it is parsed once, to see that it parses; this filter is pushed below the joins and
     may compute its text anew for every mention.
     """
+    return raw.filter(in_days(start, end, fmt))
+
+
+def in_days(start=None, end=None, fmt: str = TIMESTAMP_FORMAT,
+            parses: Column | None = None) -> Column:
+    """Whether ``between_days`` keeps a row, as a column: true, or false or null.
+    ``parses``: whether the text parses, where several ranges share that."""
     def at(d):
         # wall-clock literal from text: independent of driver and session zones
         return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
 
-    text = F.col("timestamp")
+    text, first = F.col("timestamp"), F.lit(True)
     if fmt == TIMESTAMP_FORMAT:
         if start is not None:
-            raw = raw.filter((text >= parse_day(start).isoformat()) | text.startswith("+"))
+            first = first & ((text >= parse_day(start).isoformat()) | text.startswith("+"))
         if end is not None:
-            raw = raw.filter(text < parse_day(end).isoformat())
+            first = first & (text < parse_day(end).isoformat())
     ts = parse_lenient(text, fmt)
     cond = ts.isNotNull()
     if start is not None:
@@ -53,9 +63,10 @@ def between_days(raw: DataFrame, start=None, end=None,
     if end is not None:
         cond = cond & (ts < at(parse_day(end)))
     if fmt == TIMESTAMP_FORMAT:
-        cond = F.when(text >= "0", F.try_to_timestamp(text, F.lit(fmt)).isNotNull()) \
-            .otherwise(cond)
-    return raw.filter(cond)
+        if parses is None:
+            parses = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+        cond = F.when(text >= "0", parses).otherwise(cond)
+    return first & cond
 
 
 def day_slice(raw: DataFrame, day, fmt: str = TIMESTAMP_FORMAT) -> DataFrame:
@@ -86,6 +97,33 @@ def dedupe_near(df: DataFrame, near: str, key: str = "transaction_id",
         .select(*[c for c in df.columns if c != near])
 
 
+def dedupe_sets(df: DataFrame, near: str, sets: list[Column], key: str = "transaction_id",
+                order: str = ORD) -> DataFrame:
+    """``dedupe_near`` of several sets of rows in one pass, each the rows of ``df`` where
+    its condition is true.  A row that is the first of its key in more than one set comes
+    once: bit i of ``SETS`` tells whether it is in set i.  ``LEAD`` marks one row for each
+    key and value of ``near``."""
+    attrs = [c for c in df.columns if c not in (key, order, near)]
+    row = F.struct(F.col(order).alias("_o"), *attrs)
+    first = df.withColumn("_row", row).groupBy(near, key).agg(
+        *[F.min(F.when(c, F.col("_row"))).alias(f"_first{i}") for i, c in enumerate(sets)])
+    rows, before, lead = [], [], F.lit(True)
+    for i in range(len(sets)):
+        own = F.col(f"_first{i}")
+        new, bits = own.isNotNull(), F.lit(0)
+        for other in before:
+            new = new & ~own.eqNullSafe(other)
+        for j in range(i, len(sets)):
+            bits = bits + F.when(own.eqNullSafe(F.col(f"_first{j}")), 1 << j).otherwise(0)
+        rows.append(F.when(new, F.struct(bits.alias(SETS), lead.alias(LEAD), own.alias("_row"))))
+        before.append(own)
+        lead = lead & own.isNull()
+    return first.select(key, F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull()))) \
+        .select(key, *[F.col(f"_row.{c}").alias(c) for c in attrs], F.col("_row._o").alias(order),
+                SETS, LEAD) \
+        .select(*[c for c in df.columns if c != near], SETS, LEAD)
+
+
 def first_row(df: DataFrame, key: str, attrs: list[str], order: str = ORD,
               keep_order: bool = False, near: str | None = None) -> DataFrame:
     """``key`` and ``attrs`` of each key's first row.  The least struct of (order,

@@ -18,6 +18,8 @@ MAX_LEAST_ROWS = 2_000_000
 
 def _first_per_key(df: DataFrame, key: str, attrs: list[str], order: str = ORD) -> DataFrame:
     """First row per key in ingest order, as a partial (map-side) aggregate."""
+    if not attrs:
+        return df.select(key).distinct()
     return first_row(df, key, attrs, order)
 
 
@@ -48,21 +50,25 @@ def first_per_key_staged(df: DataFrame, key: str, attrs: list[str], keep,
     return _first_per_key(first.select(key, order, *attrs), key, attrs, order)
 
 
-def dim_users(clean: DataFrame) -> DataFrame:
+def _columns(schema: T.StructType, only=None) -> list[str]:
+    return [f.name for f in schema.fields if only is None or f.name in only]
+
+
+def dim_users(clean: DataFrame, only=None) -> DataFrame:
     """M1: one row per user_id, attributes from its first cleaned row."""
-    cols = [f.name for f in DIM_USERS.fields]
+    cols = _columns(DIM_USERS, only)
     return _first_per_key(clean, cols[0], cols[1:])
 
 
-def dim_merchants(clean: DataFrame) -> DataFrame:
+def dim_merchants(clean: DataFrame, only=None) -> DataFrame:
     """M2: one row per merchant_id, attributes from its first cleaned row."""
-    cols = [f.name for f in DIM_MERCHANTS.fields]
+    cols = _columns(DIM_MERCHANTS, only)
     return _first_per_key(clean, cols[0], cols[1:])
 
 
-def fact_transactions(clean: DataFrame) -> DataFrame:
+def fact_transactions(clean: DataFrame, only=None) -> DataFrame:
     """M3: the 8 fact columns, no raw PII."""
-    return clean.select(*[f.name for f in FACT.fields])
+    return clean.select(*_columns(FACT, only))
 
 
 def daily_summary(clean: DataFrame) -> DataFrame:
@@ -88,6 +94,13 @@ def daily_summary(clean: DataFrame) -> DataFrame:
     return agg.select(*[F.col(f.name).cast(f.dataType) for f in DAILY_SUMMARY.fields])
 
 
+def key_tables(clean: DataFrame, only: list[str]) -> dict[str, DataFrame]:
+    """Dimensions and fact with the columns ``only``, the dimensions' keys among them, for
+    readers of no others: ``clean`` needs no further ones."""
+    return {"dim_users": dim_users(clean, only), "dim_merchants": dim_merchants(clean, only),
+            "fact_transactions": fact_transactions(clean, only)}
+
+
 def star_schema(clean: DataFrame, keep=None) -> dict[str, DataFrame]:
     """The four tables.  ``keep`` (stages a frame under a name): ``clean`` is staged and
     large, so the dimensions are found in two passes over it."""

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.functions.timeparse import parse_day, yesterday
+from paylake.functions.timeparse import parse_day, parse_lenient, yesterday
 from paylake.operators import cleaning as C
 from paylake.operators import model as M
 from paylake.operators import quality as DQ
@@ -141,6 +141,37 @@ def _prepare_near(spark, batch, strict_timestamps, min_digits, salt, scope,
         **{k: steps.get(k, 0) for k in ("drop_missing", "positive_amount")}}
 
 
+def prepare_ranges(spark: SparkSession, raw: DataFrame, ranges: list[tuple],
+                   columns: list[str], scope: list | None = None) -> list[DataFrame]:
+    """``columns`` of the cleaned rows of each range of days (``None, None``: the whole
+    log), each range cleaned by itself, from one pass over ``raw``: the copies of an id
+    that share its ``NEAR`` value meet there, once for all ranges, and a count of the staged
+    ids proves that none is left twice, as in ``_prepare_near``.  If one is, every range
+    is cleaned the plain way, lazily."""
+    parses = parse_lenient(F.col("timestamp")).isNotNull()
+    sets = [F.lit(True) if r == (None, None) else C.in_days(*r, parses=parses) for r in ranges]
+    first = C.dedupe_sets(raw, NEAR, sets)
+    kept = F.coalesce(C.is_complete(first) & (F.col("amount") > 0), F.lit(False))
+    first = first.withColumn(KEPT, kept).where(F.col(KEPT) | F.col(C.LEAD))
+    cleaned = C.mask_pii(C.standardise(first))
+    own: list = []
+    # a lead row has its id, for the count; a row that passed the filters has its columns
+    staged = stage(cleaned.select(
+        F.when(F.col(C.LEAD), F.col("transaction_id")).alias("_id"),
+        *[F.when(F.col(KEPT), F.col(c)).alias(c) for c in [*columns, C.SETS]]),
+        spark, "ranges", own)
+    twice = staged.where(F.col("_id").isNotNull()).groupBy("_id").count().where("count > 1")
+    if not twice.isEmpty():
+        delete_paths(spark, own)
+        plain = raw.drop(NEAR)
+        return [C.transform(plain if r == (None, None) else C.between_days(plain, *r))
+                .select(*columns) for r in ranges]
+    if scope is not None:
+        scope.extend(own)
+    return [staged.where(F.col(C.SETS).bitwiseAND(1 << i) != 0).select(*columns)
+            for i in range(len(ranges))]
+
+
 def run_load(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, *,
              day=None, start=None, end=None, full: bool = False,
              fact_mode: str = "ignore", strict_timestamps: bool = True,

@@ -27,7 +27,7 @@ from paylake.operators import model as M
 from paylake.operators import quality as DQ
 from paylake.operators.timestamps import canonical
 from paylake.operators.joins import scan_rows
-from paylake.plans.load import RAW_PII, default_day, run_load
+from paylake.plans.load import RAW_PII, default_day, prepare_ranges, run_load
 from paylake.schemas import ORD, RAW_COLUMNS
 from paylake.session import scratch_path, stage
 from paylake.sources.day_index import DayIndex
@@ -193,8 +193,8 @@ def dq_orphans(spark, sf_dir):
 def dq_orphans_prefiltered(spark, sf_dir):
     """Facts of batch B against the dimensions of the whole log and the users of
     batch A; keys that a sketch of the facts' keys rules out are not shuffled."""
-    full, a = _model(spark, sf_dir), _batch(spark, sf_dir, None, CUT_DAY)
-    fact = _batch(spark, sf_dir, OVERLAP_DAY, None)["fact_transactions"]
+    full, a, b = _key_models(spark, sf_dir, (None, None), (None, CUT_DAY), (OVERLAP_DAY, None))
+    fact = b["fact_transactions"]
     users, merchants = (scan_rows(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet"))
                         for t in ("customer", "supplier"))  # Parquet footers
     return _union([
@@ -209,16 +209,32 @@ def dq_orphans_prefiltered(spark, sf_dir):
 STAGE_ROWS = 1_000_000
 
 
+def _log_rows(spark, sf_dir) -> int:
+    return scan_rows(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+
+
 def _shared_model(spark, sf_dir) -> dict[str, DataFrame]:
     """``_model`` for several readers: of a large log the cleaned rows, then the small
     tables made from them, are staged, as a load does."""
     clean = C.transform(_raw(spark, sf_dir))
-    if scan_rows(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")) < STAGE_ROWS:
+    if _log_rows(spark, sf_dir) < STAGE_ROWS:
         return M.star_schema(clean)
     m = M.star_schema(stage(clean.drop(*RAW_PII), spark, "clean"))
     return {n: t if n == "fact_transactions" else stage(t, spark, n) for n, t in m.items()}
 
 
+def _key_models(spark, sf_dir, *ranges) -> list[dict[str, DataFrame]]:
+    """``_batch`` of each range of days (``None, None``: ``_model``), for readers of the
+    keys alone: of a large log the keys of the cleaned rows of all ranges are staged from
+    one pass over it."""
+    if _log_rows(spark, sf_dir) < STAGE_ROWS:
+        return [_model(spark, sf_dir) if r == (None, None) else _batch(spark, sf_dir, *r)
+                for r in ranges]
+    keys = ["user_id", "merchant_id"]
+    raw = raw_transactions(spark, sf_dir, near=True)
+    return [M.key_tables(clean, keys) for clean in prepare_ranges(spark, raw, [*ranges], keys)]
+
+
 def dq_report(spark, sf_dir):
     m = _shared_model(spark, sf_dir)
     return DQ.report(m["dim_users"], m["dim_merchants"], m["fact_transactions"],
